@@ -24,8 +24,8 @@ def parse_ts(x, fmt: str | None = None) -> Column:
 
 
 def days_between(later, earlier) -> Column:
-    """Signed (later - earlier) in fractional days."""
-    return (F.unix_micros(_c(later)) - F.unix_micros(_c(earlier))) / F.lit(MICROS_PER_DAY)
+    """Signed (later - earlier) in fractional days (zone-free, works for TIMESTAMP and TIMESTAMP_NTZ)."""
+    return F.timestamp_diff("MICROSECOND", _c(earlier), _c(later)) / F.lit(MICROS_PER_DAY)
 
 
 def month_start(ts) -> Column:

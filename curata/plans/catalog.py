@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.functions.nulls import differs, outside, truthy
-from curata.operators import dedup, integrity, profile, reshape
-from curata.plans.retail import LINE_KEY, TOL, Star
+from curata.operators import dedup, identity, integrity, payments, profile, reshape
+from curata.plans.retail import CAPTURED, FAILED, LATE_DAYS, LINE_KEY, TOL, VIEW, Star
 from curata.sources.upsert import merge_latest
 
 R4 = 4
@@ -178,6 +178,124 @@ def q_crosstab_row_pct(spark: SparkSession, sf: str) -> DataFrame:
     return _round_doubles(reshape.row_share(reshape.crosstab(g, "country", "c_mktsegment"), "country"))
 
 
+# --- payments (events as payments of (user, day) orders) ------------------------
+
+def payment_orders(s: Star) -> DataFrame:
+    """The paid 'orders': one per (user_id, day); total = value of its 'view' events."""
+    p = s.payments().where(F.col("user_id").isNotNull())
+    return p.groupBy("user_id", "day").agg(
+        F.coalesce(F.sum(F.when(F.col("event_type") == VIEW, F.col("value"))), F.lit(0.0)).alias("total"))
+
+
+def payment_facts(s: Star) -> DataFrame:
+    return payments.payment_check(payment_orders(s), s.payments(), ["user_id", "day"], "total", "event_type",
+                                  "value", captured=CAPTURED, failed=FAILED)
+
+
+def q_payment_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return payments.payment_summary(payment_facts(Star(spark, sf)))
+
+
+def q_payment_ratio_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return payments.ratio_top_k(payment_facts(Star(spark, sf)), 10)
+
+
+def q_status_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    return payments.status_sequences(Star(spark, sf).payments(), ["user_id", "day"], "event_type", "ts", "event_id", k=8)
+
+
+# --- deliveries (line ship date against its order date) --------------------------
+
+def q_delivery_delays(spark: SparkSession, sf: str) -> DataFrame:
+    """A5/A5b summary in one aggregate: delay quantiles plus late and negative counts."""
+    d = Star(spark, sf).deliveries()
+    x = F.col("delay_days")
+    out = d.agg(
+        F.count(x).cast("long").alias("delivered"),
+        F.count_if(x >= LATE_DAYS).cast("long").alias("late"),
+        F.count_if(x < 0).cast("long").alias("before_order"),
+        F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+        F.percentile(x, F.array(*[F.lit(p) for p in (0.5, 0.9, 0.95, 0.99)])).alias("_p"),
+        F.max(x).alias("max"))
+    out = out.select("delivered", "late", "before_order", "mean", "std", "min",
+                     *[F.col("_p")[i].alias(n) for i, n in enumerate(("p50", "p90", "p95", "p99"))], "max")
+    return _round_doubles(out)
+
+
+def q_delay_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    d = Star(spark, sf).deliveries()
+    a = reshape.histogram(d, "delay_days", 0, 23).withColumn("histogram", F.lit("days_0_23"))
+    b = reshape.histogram(d, "delay_days", -2, 21).withColumn("histogram", F.lit("days_m2_21"))
+    return a.unionByName(b)
+
+
+def q_delay_box_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return _round_doubles(reshape.box_stats(Star(spark, sf).deliveries(), "delay_days", "o_orderpriority"))
+
+
+# --- product values ----------------------------------------------------------------
+
+def part_costs(s: Star) -> DataFrame:
+    """part with unit_cost = mean net unit price realised on its lines (null if never sold)."""
+    li = s.t("lineitem").where(F.col("l_quantity") > 0)
+    c = li.groupBy("l_partkey").agg(
+        F.avg(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")) / F.col("l_quantity")).alias("unit_cost"))
+    return s.t("part").join(c, F.col("p_partkey") == F.col("l_partkey"), "left").drop("l_partkey")
+
+
+def q_value_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    p = part_costs(Star(spark, sf))
+    price, cost = F.col("p_retailprice"), F.col("unit_cost")
+    return p.agg(
+        F.count(F.lit(1)).cast("long").alias("products"),
+        F.count_if(truthy(price == 0)).cast("long").alias("zero_price"),
+        F.count_if(truthy(cost > price)).cast("long").alias("cost_above_price"),
+        F.count_if(truthy(cost > price) & ~truthy(price == 0)).cast("long").alias("negative_margin"),
+        F.count_if(truthy(cost == 0)).cast("long").alias("zero_cost"))
+
+
+def bad_products(s: Star) -> DataFrame:
+    p = part_costs(s)
+    return p.where(truthy(F.col("p_retailprice") == 0) | truthy(F.col("unit_cost") > F.col("p_retailprice")))
+
+
+def q_lines_on_bad_products(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that use a zero-price or negative-margin product, and their share."""
+    s = Star(spark, sf)
+    flagged = integrity.flag_orphans(s.t("lineitem"), "l_partkey", bad_products(s), "p_partkey", name="_ok")
+    out = flagged.agg(F.count_if(~F.col("_ok")).cast("long").alias("lines_on_bad_products"),
+                      F.count(F.lit(1)).cast("long").alias("lines"))
+    return _round_doubles(out.withColumn("pct", F.lit(100.0) * F.col("lines_on_bad_products") / F.col("lines")))
+
+
+def q_bad_products_crosstab(spark: SparkSession, sf: str) -> DataFrame:
+    return reshape.crosstab_margins(bad_products(Star(spark, sf)), "p_type", "p_size")
+
+
+# --- duplicate identities (part names shared by several part keys) -----------------
+
+PART_PROFILE = ["p_brand", "p_type", "p_size", "p_retailprice"]
+
+
+def q_duplicate_identity(spark: SparkSession, sf: str) -> DataFrame:
+    return identity.duplicate_identity_summary(Star(spark, sf).t("part"), "p_name", "p_partkey", PART_PROFILE)
+
+
+def q_identity_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    g = identity.identity_groups(Star(spark, sf).t("part"), "p_name", "p_partkey", PART_PROFILE)
+    return g.where(F.col("rows") > 1)
+
+
+def q_group_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return identity.group_sizes(Star(spark, sf).t("part"), "p_name", "p_partkey")
+
+
+def q_document_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """A7-style duplicate summary on documents: same text under several ids."""
+    d = Star(spark, sf).t("documents").withColumn("text_sha", F.sha2("text", 256))
+    return identity.duplicate_identity_summary(d, "text_sha", "doc_id", ["lang", "source"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_latest": q_dedup_latest,
     "dedup_first": q_dedup_first,
@@ -194,4 +312,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_reconciliation": q_order_reconciliation,
     "crosstab_margins": q_crosstab_margins,
     "crosstab_row_pct": q_crosstab_row_pct,
+    "payment_summary": q_payment_summary,
+    "payment_ratio_topk": q_payment_ratio_topk,
+    "status_sequences": q_status_sequences,
+    "delivery_delays": q_delivery_delays,
+    "delay_histogram": q_delay_histogram,
+    "delay_box_stats": q_delay_box_stats,
+    "value_anomalies": q_value_anomalies,
+    "lines_on_bad_products": q_lines_on_bad_products,
+    "bad_products_crosstab": q_bad_products_crosstab,
+    "duplicate_identity": q_duplicate_identity,
+    "identity_profiles": q_identity_profiles,
+    "group_sizes": q_group_sizes,
+    "document_copies": q_document_copies,
 }

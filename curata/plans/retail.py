@@ -24,7 +24,7 @@ from curata.operators import dedup
 # Fixed values of the mapping.
 LINE_KEY = ("l_orderkey", "l_linenumber")
 ACTIVE_PART_MIN_SIZE = 5          # "active catalogue" = parts with p_size > 5
-CAPTURED, FAILED = "purchase", "error"
+CAPTURED, FAILED, VIEW = "purchase", "error", "view"   # VIEW events price the order
 LATE_DAYS = 7
 TOL = 0.05
 
