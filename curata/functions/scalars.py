@@ -10,7 +10,7 @@ MICROS_PER_DAY = 86_400_000_000.0
 # Weekday names in calendar order (Monday first) and the
 # severity ranks of the anomaly register.
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
-SEVERITY_ORDER = {"Haute": 0, "Moyenne": 1, "Info": 2}
+SEVERITY_ORDER = {"High": 0, "Medium": 1, "Info": 2}
 
 
 def _c(x) -> Column:

@@ -296,6 +296,241 @@ def q_document_copies(spark: SparkSession, sf: str) -> DataFrame:
     return identity.duplicate_identity_summary(d, "text_sha", "doc_id", ["lang", "source"])
 
 
+# --- validity rules (V1-V4) ----------------------------------------------------------
+
+# Allowed domains of the driver's tables (TPC-H specification values).
+DOMAINS = {
+    "orders": {"o_orderstatus": ["F", "O", "P"],
+               "o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]},
+    "lineitem": {"l_returnflag": ["A", "N", "R"], "l_linestatus": ["F", "O"]},
+    "customer": {"c_mktsegment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]},
+    # brands are Brand#MN with M and N in 1..5 (built from that rule)
+    "part": {"p_brand": [f"Brand#{m}{n}" for m in range(1, 6) for n in range(1, 6)],
+             "p_type": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]},
+    "events": {"event_type": ["click", "error", "purchase", "signup", "view"]},
+}
+ORDER_WINDOW = ("1992-01-01 00:00:00", "1998-08-02 23:59:59")
+
+
+def _ts(v: str):
+    return F.lit(v).cast("timestamp_ntz")
+
+
+def validity_rules(s: Star) -> list:
+    from curata.operators.rules import domain_rules
+    from curata.functions.nulls import blank, not_full_match
+    from curata.specs import Rule
+    c = F.col
+    return [
+        (s.t("orders"), domain_rules("orders", DOMAINS["orders"]) + [
+            Rule("o_totalprice <= 0", "orders", truthy(c("o_totalprice") <= 0)),
+            Rule("o_orderdate outside announced window", "orders",
+                 outside("o_orderdate", _ts(ORDER_WINDOW[0]), _ts(ORDER_WINDOW[1]))),
+        ]),
+        (s.t("lineitem"), domain_rules("lineitem", DOMAINS["lineitem"]) + [
+            Rule("l_quantity <= 0", "lineitem", truthy(c("l_quantity") <= 0)),
+            Rule("l_extendedprice <= 0", "lineitem", truthy(c("l_extendedprice") <= 0)),
+            Rule("l_discount outside [0, 0.10]", "lineitem", outside("l_discount", 0.0, 0.10)),
+            Rule("l_tax outside [0, 0.08]", "lineitem", outside("l_tax", 0.0, 0.08)),
+        ]),
+        (s.deliveries(), [Rule("l_shipdate < o_orderdate", "lineitem x orders", truthy(c("l_shipdate") < c("o_orderdate")))]),
+        (s.t("customer"), domain_rules("customer", DOMAINS["customer"]) + [
+            Rule("c_acctbal < 0", "customer", truthy(c("c_acctbal") < 0), note="informational"),
+            Rule("c_name null or blank", "customer", blank("c_name")),
+            Rule("c_name not Customer#digits", "customer", not_full_match("c_name", "Customer#[0-9]+")),
+        ]),
+        (s.t("part"), domain_rules("part", DOMAINS["part"]) + [
+            Rule("p_size outside [1, 50]", "part", outside("p_size", 1, 50)),
+            Rule("p_retailprice <= 0", "part", truthy(c("p_retailprice") <= 0)),
+        ]),
+        (s.t("events"), domain_rules("events", DOMAINS["events"]) + [
+            Rule("value <= 0", "events", truthy(c("value") <= 0)),
+            Rule("props not a JSON object", "events", not_full_match("props", r"\{.*\}")),
+        ]),
+        (s.t("supplier"), [Rule("s_acctbal < 0", "supplier", truthy(c("s_acctbal") < 0), note="informational")]),
+    ]
+
+
+def validity(s: Star) -> DataFrame:
+    from curata.operators.rules import rows_of_ambiguous_groups, run_rule_sets
+    base = run_rule_sets(validity_rules(s))
+    amb = rows_of_ambiguous_groups(s.t("lineitem"), "l_returnflag", "l_linestatus").select(
+        F.lit("l_returnflag with more than one l_linestatus").alias("check"), F.lit("lineitem").alias("table"),
+        "violations", "population",
+        F.when(F.col("population") > 0, F.round(F.lit(100.0) * F.col("violations") / F.col("population"), 3))
+        .alias("violations_pct"), F.lit("").alias("note"))
+    return base.unionByName(amb)
+
+
+def q_validity_checks(spark: SparkSession, sf: str) -> DataFrame:
+    return validity(Star(spark, sf))
+
+
+def q_enum_unexpected(spark: SparkSession, sf: str) -> DataFrame:
+    from curata.operators.rules import unexpected_values
+    s = Star(spark, sf)
+    out = None
+    for t, doms in DOMAINS.items():
+        part = unexpected_values(s.t(t), t, doms)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# --- status coherence (C1-C3, V5) ---------------------------------------------------
+
+NONE_PAY, NONE_DELIV = "(no line)", "(no line)"
+
+
+def status_frame(s: Star) -> DataFrame:
+    """orders ⟕ status of the last-shipped line ⟕ every line's return flag (fans out per line)."""
+    li = s.t("lineitem")
+    last = dedup.latest(li.select("l_orderkey", "l_shipdate", "l_linenumber", "l_linestatus"), "l_orderkey",
+                        "l_shipdate", nulls="newest").select(F.col("l_orderkey").alias("_k1"), F.col("l_linestatus").alias("last_status"))
+    flags = li.select(F.col("l_orderkey").alias("_k2"), F.col("l_returnflag").alias("return_flag"))
+    o = s.orders_u().select("o_orderkey", "o_orderstatus")
+    j = (o.join(last, F.col("o_orderkey") == F.col("_k1"), "left")
+         .join(flags, F.col("o_orderkey") == F.col("_k2"), "left"))
+    return j.select("o_orderkey", "o_orderstatus",
+                    F.coalesce("last_status", F.lit(NONE_PAY)).alias("last_status"),
+                    F.coalesce("return_flag", F.lit(NONE_DELIV)).alias("return_flag"))
+
+
+def q_status_matrix_lines(spark: SparkSession, sf: str) -> DataFrame:
+    st = status_frame(Star(spark, sf))
+    return _round_doubles(reshape.row_share(reshape.crosstab(st, "o_orderstatus", "last_status"), "o_orderstatus"))
+
+
+def q_status_matrix_returns(spark: SparkSession, sf: str) -> DataFrame:
+    st = status_frame(Star(spark, sf))
+    return _round_doubles(reshape.row_share(reshape.crosstab(st, "o_orderstatus", "return_flag"), "o_orderstatus"))
+
+
+def q_coherence_checks(spark: SparkSession, sf: str) -> DataFrame:
+    from curata.operators.rules import run_rules
+    from curata.specs import Rule
+    st = status_frame(Star(spark, sf))
+    c = F.col
+    rules = [
+        Rule("order F with last line still O", "orders x lineitem",
+             truthy((c("o_orderstatus") == "F") & (c("last_status") == "O"))),
+        Rule("order F without any line", "orders x lineitem",
+             truthy((c("o_orderstatus") == "F") & (c("return_flag") == NONE_DELIV))),
+        Rule("order O with a returned line", "orders x lineitem",
+             truthy((c("o_orderstatus") == "O") & (c("return_flag") == "R"))),
+    ]
+    return run_rules(st, rules)
+
+
+# --- anomaly register, scorecard, usable share (A*, AS, PR7, PR8) --------------------
+
+def _reg(df: DataFrame, code: str, table: str, description: str, severity: str, treatment: str) -> DataFrame:
+    """One register row from a frame holding ``observed`` and ``base``."""
+    return df.select(
+        F.lit(code).alias("code"), F.lit(table).alias("table"), F.lit(description).alias("description"),
+        F.col("observed").cast("long").alias("observed"), F.col("base").cast("long").alias("base"),
+        F.when(F.col("base") > 0, F.round(F.lit(100.0) * F.col("observed") / F.col("base"), 2)).alias("observed_pct"),
+        F.lit(severity).alias("severity"), F.lit(treatment).alias("treatment"))
+
+
+def anomaly_register(s: Star) -> DataFrame:
+    li = s.t("lineitem")
+    dup = dedup.duplicate_summary(li, LINE_KEY).select(F.col("surplus_rows").alias("observed"), F.col("rows").alias("base"))
+    orph = integrity.flag_orphans(li, "l_partkey", s.active_parts(), "p_partkey").agg(
+        F.count_if("is_orphan").alias("observed"), F.count(F.lit(1)).alias("base"))
+    formula = li.join(s.t("part").select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"), "left").agg(
+        F.count_if(truthy(F.abs(F.col("l_quantity") * F.col("p_retailprice") - F.col("l_extendedprice")) > TOL)).alias("observed"),
+        F.count(F.lit(1)).alias("base"))
+    rec = order_reconciliation(s)
+    nolines = rec.agg(F.count_if("no_lines").alias("observed"), F.count(F.lit(1)).alias("base"))
+    subtot = rec.agg(F.count_if("subtotal_mismatch").alias("observed"), F.count(F.lit(1)).alias("base"))
+    pay = payment_facts(s)
+    retry = pay.agg(F.count_if("is_retry").alias("observed"), F.count_if("has_capture").alias("base"))
+    partial = pay.agg(F.count_if("is_partial").alias("observed"), F.count_if("has_capture").alias("base"))
+    over = pay.agg(F.count_if("is_overcapture").alias("observed"), F.count_if("has_capture").alias("base"))
+    d = s.deliveries()
+    late = d.agg(F.count_if(F.col("delay_days") >= LATE_DAYS).alias("observed"), F.count("delay_days").alias("base"))
+    neg = d.agg(F.count_if(F.col("delay_days") < 0).alias("observed"), F.count("delay_days").alias("base"))
+    pc = part_costs(s)
+    zero = pc.agg(F.count_if(truthy(F.col("p_retailprice") == 0)).alias("observed"), F.count(F.lit(1)).alias("base"))
+    margin = pc.agg(F.count_if(truthy(F.col("unit_cost") > F.col("p_retailprice")) & ~truthy(F.col("p_retailprice") == 0))
+                    .alias("observed"), F.count(F.lit(1)).alias("base"))
+    names = identity.duplicate_identity_summary(s.t("part"), "p_name", "p_partkey", PART_PROFILE).select(
+        F.col("surplus_rows").alias("observed"), F.col("rows").alias("base"))
+    ids = dedup.duplicate_summary(s.t("customer"), "c_custkey").select(
+        F.col("surplus_rows").alias("observed"), F.col("rows").alias("base"))
+    rows = [
+        _reg(dup, "A1", "lineitem", "repeated line key (technical duplicate)", "High",
+             "keep the latest row per key; keep the dropped rows in an audit table"),
+        _reg(orph, "A2", "lineitem", "part key absent from the active catalogue", "High",
+             "quarantine orphan lines; keep them out of the line fact; alert above a rate"),
+        _reg(formula, "A2b", "lineitem", "extended price differs from quantity x catalogue price", "High",
+             "quarantine; test the formula"),
+        _reg(nolines, "A3b", "orders", "order without any line", "High", "quarantine the order"),
+        _reg(subtot, "A3c", "orders", "order total differs from the sum of its lines", "Medium",
+             "reconcile after removing orphan lines"),
+        _reg(retry, "A4a", "events", "failed then captured payment in one order", "Medium",
+             "one reference payment per order (last captured); keep attempts as history"),
+        _reg(partial, "A4b", "events", "captured amount below the order total", "Medium",
+             "flag partial payment and expose the amount still due"),
+        _reg(over, "A4c", "events", "captured amount above the order total", "High",
+             "quarantine; match on the payment reference; never sum without dedup"),
+        _reg(late, "A5", "lineitem", "shipped 7 days or more after the order", "Info",
+             "keep; merge late rows on the order key and expose delay_days"),
+        _reg(neg, "A5b", "lineitem", "shipped before the order date", "Medium",
+             "quarantine or null the delay; rule ship date >= order date"),
+        _reg(zero, "A6a", "part", "zero catalogue price", "Medium", "quarantine the product"),
+        _reg(margin, "A6b", "part", "realised unit cost above a non-zero price", "Medium",
+             "flag; keep if really sold"),
+        _reg(names, "A7a", "part", "part name shared by several part keys", "High",
+             "master record per name; consolidate at master level"),
+        _reg(ids, "A7b", "customer", "customer key used by several rows", "High",
+             "quarantine; surrogate key in the customer dimension"),
+    ]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def q_anomaly_register(spark: SparkSession, sf: str) -> DataFrame:
+    from curata.functions.scalars import severity_rank
+    reg = anomaly_register(Star(spark, sf))
+    return reg.orderBy(severity_rank("severity"), "code")
+
+
+def q_scorecard(spark: SparkSession, sf: str) -> DataFrame:
+    """PR7: rows, completeness, failing checks and registered anomalies per table."""
+    s = Star(spark, sf)
+    tables = ["orders", "lineitem", "customer", "part", "events", "supplier"]
+    comp = None
+    for t in tables:
+        part = profile.completeness(s.t(t), t)
+        comp = part if comp is None else comp.unionByName(part)
+    v = validity(s).groupBy("table").agg(F.count_if(F.col("violations") > 0).cast("long").alias("failing_checks"))
+    a = anomaly_register(s).groupBy("table").agg(F.count(F.lit(1)).cast("long").alias("registered_anomalies"))
+    out = (comp.join(v, "table", "left").join(a, "table", "left")
+           .select("table", "rows", F.round("completeness_pct", 4).alias("completeness_pct"),
+                   F.coalesce("failing_checks", F.lit(0)).cast("long").alias("failing_checks"),
+                   F.coalesce("registered_anomalies", F.lit(0)).cast("long").alias("registered_anomalies")))
+    return out
+
+
+def q_usable_share(spark: SparkSession, sf: str) -> DataFrame:
+    """PR8: lines neither orphan nor off-formula; orders with lines and a matching total."""
+    s = Star(spark, sf)
+    li = integrity.flag_orphans(s.t("lineitem"), "l_partkey", s.active_parts(), "p_partkey")
+    li = li.join(s.t("part").select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"), "left")
+    bad_formula = truthy(F.abs(F.col("l_quantity") * F.col("p_retailprice") - F.col("l_extendedprice")) > TOL)
+    lines = li.agg(F.count_if(~(F.col("is_orphan") | bad_formula)).cast("long").alias("usable"),
+                   F.count(F.lit(1)).cast("long").alias("total")).withColumn("entity", F.lit("lineitem"))
+    rec = order_reconciliation(s)
+    orders = rec.agg(F.count_if(~F.col("no_lines") & ~F.col("subtotal_mismatch")).cast("long").alias("usable"),
+                     F.count(F.lit(1)).cast("long").alias("total")).withColumn("entity", F.lit("orders"))
+    out = lines.unionByName(orders)
+    return out.select("entity", "usable", "total",
+                      F.round(F.lit(100.0) * F.col("usable") / F.col("total"), 4).alias("usable_pct"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_latest": q_dedup_latest,
     "dedup_first": q_dedup_first,
@@ -325,4 +560,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "identity_profiles": q_identity_profiles,
     "group_sizes": q_group_sizes,
     "document_copies": q_document_copies,
+    "validity_checks": q_validity_checks,
+    "enum_unexpected": q_enum_unexpected,
+    "status_matrix_lines": q_status_matrix_lines,
+    "status_matrix_returns": q_status_matrix_returns,
+    "coherence_checks": q_coherence_checks,
+    "anomaly_register": q_anomaly_register,
+    "scorecard": q_scorecard,
+    "usable_share": q_usable_share,
 }
