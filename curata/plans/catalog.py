@@ -531,6 +531,251 @@ def q_usable_share(spark: SparkSession, sf: str) -> DataFrame:
                       F.round(F.lit(100.0) * F.col("usable") / F.col("total"), 4).alias("usable_pct"))
 
 
+# --- business marts (M1-M28) ----------------------------------------------------------
+
+def _orders_mart(s: Star) -> DataFrame:
+    from curata.functions.scalars import month_label
+    return s.orders_geo().withColumn("month", month_label("o_orderdate"))
+
+
+def q_orders_by_month(spark: SparkSession, sf: str) -> DataFrame:
+    """M1: orders per month and country (long form; empty cells are absent)."""
+    return reshape.crosstab(_orders_mart(Star(spark, sf)), "month", "country")
+
+
+def q_value_index(spark: SparkSession, sf: str) -> DataFrame:
+    """M2: order value per month and currency, index 100 = the first month overall."""
+    from curata.operators.marts import value_index
+    o = _orders_mart(Star(spark, sf)).where(F.col("currency").isNotNull())
+    out = value_index(o, "month", "currency", "o_totalprice")
+    return out.select("month", "currency", F.round("value", 2).alias("value"), F.round("index", 4).alias("index"))
+
+
+def q_monthly_volume(spark: SparkSession, sf: str) -> DataFrame:
+    from curata.operators.marts import period_extremes
+    return _round_doubles(period_extremes(_orders_mart(Star(spark, sf)), "month"))
+
+
+def q_weekday_hour(spark: SparkSession, sf: str) -> DataFrame:
+    """M4: payment events per weekday and hour (Monday first)."""
+    from curata.functions.scalars import weekday_name, weekday_rank
+    e = Star(spark, sf).t("events").where(F.col("ts").isNotNull())
+    return (e.groupBy(weekday_rank("ts").alias("dow_rank"), weekday_name("ts").alias("dow"), F.hour("ts").alias("hour"))
+            .agg(F.count(F.lit(1)).cast("long").alias("n")))
+
+
+def q_weekday_hour_range(spark: SparkSession, sf: str) -> DataFrame:
+    """M5: busiest and quietest filled (weekday, hour) slot and the hour range."""
+    cells = q_weekday_hour(spark, sf)
+    return cells.agg(F.min("n").alias("min_slot"), F.max("n").alias("max_slot"),
+                     F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour"))
+
+
+def q_status_channel_freq(spark: SparkSession, sf: str) -> DataFrame:
+    """Frequency and share of order status, channel and line return flag."""
+    s = Star(spark, sf)
+    o = s.orders_u()
+    parts = [reshape.frequency(o, c, dropna=True).select(F.lit(c).alias("dimension"), F.col(c).alias("value"), "n", "pct")
+             for c in ("o_orderstatus", "o_orderpriority")]
+    parts.append(reshape.frequency(s.t("lineitem"), "l_returnflag", dropna=True).select(
+        F.lit("l_returnflag").alias("dimension"), F.col("l_returnflag").alias("value"), "n", "pct"))
+    return _round_doubles(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def q_mix_by_country(spark: SparkSession, sf: str) -> DataFrame:
+    """M7: channel and status mix per country, % of the country's orders."""
+    o = _orders_mart(Star(spark, sf))
+    out = None
+    for dim in ("o_orderpriority", "o_orderstatus"):
+        part = reshape.row_share(reshape.crosstab(o, "country", dim), "country").select(
+            F.lit(dim).alias("dimension"), "country", F.col(dim).alias("value"), "n", "pct")
+        out = part if out is None else out.unionByName(part)
+    return _round_doubles(out)
+
+
+def q_headline_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """M8: shares of selected statuses and channels over all orders."""
+    from curata.functions.nulls import pct_of
+    o = Star(spark, sf).orders_u()
+    st, ch = F.col("o_orderstatus"), F.col("o_orderpriority")
+    return _round_doubles(o.agg(pct_of(st == "F").alias("fulfilled_pct"), pct_of(st == "O").alias("open_pct"),
+                                pct_of(st == "P").alias("partial_pct"), pct_of(ch == "1-URGENT").alias("urgent_pct"),
+                                pct_of(ch == "5-LOW").alias("low_pct")))
+
+
+def q_value_by_currency(spark: SparkSession, sf: str) -> DataFrame:
+    """M9: order value distribution per currency."""
+    o = _orders_mart(Star(spark, sf)).where(F.col("currency").isNotNull())
+    return _round_doubles(reshape.describe(o, "o_totalprice", (0.05, 0.25, 0.5, 0.75, 0.95, 0.99), group="currency"))
+
+
+def q_value_box_stats(spark: SparkSession, sf: str) -> DataFrame:
+    o = _orders_mart(Star(spark, sf)).where(F.col("currency").isNotNull())
+    return _round_doubles(reshape.box_stats(o, "o_totalprice", "currency"))
+
+
+def basket_per_order(s: Star) -> DataFrame:
+    return s.t("lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).cast("long").alias("n_lines"),
+                                                     F.sum("l_quantity").alias("units"))
+
+
+def q_basket(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines and units per order: count, mean, std, min, p50, p90, p99, max."""
+    b = basket_per_order(Star(spark, sf))
+    parts = [reshape.describe(b, c, (0.5, 0.9, 0.99)).select(F.lit(c).alias("metric"), "*") for c in ("n_lines", "units")]
+    return _round_doubles(parts[0].unionByName(parts[1]))
+
+
+def q_basket_frequency(spark: SparkSession, sf: str) -> DataFrame:
+    """How many orders have each line count, how many lines have each quantity."""
+    s = Star(spark, sf)
+    a = reshape.frequency(basket_per_order(s), "n_lines", pct=None).select(
+        F.lit("lines_per_order").alias("metric"), F.col("n_lines").cast("double").alias("value"), "n")
+    b = reshape.frequency(s.t("lineitem"), "l_quantity", dropna=True, pct=None).select(
+        F.lit("quantity_per_line").alias("metric"), F.col("l_quantity").cast("double").alias("value"), "n")
+    return a.unionByName(b)
+
+
+def valid_lines(s: Star) -> DataFrame:
+    """Lines whose part is in the active catalogue, with category and buyer country."""
+    li = s.t("lineitem").join(s.active_parts().select("p_partkey", "p_type", "p_brand"),
+                              F.col("l_partkey") == F.col("p_partkey"), "inner")
+    o = s.orders_geo().select("o_orderkey", "country", "currency")
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+
+
+def q_units_by_category(spark: SparkSession, sf: str) -> DataFrame:
+    """Units sold per category (active catalogue lines)."""
+    return _round_doubles(valid_lines(Star(spark, sf)).groupBy("p_type").agg(F.sum("l_quantity").alias("units")))
+
+
+def q_category_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """Category mix per country, % of the country's units."""
+    c = reshape.crosstab(valid_lines(Star(spark, sf)), "country", "p_type", value="l_quantity", agg="sum", name="units")
+    return _round_doubles(reshape.row_share(c, "country", value="units"))
+
+
+def q_seller_concentration(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of lines held by the top 10 % of suppliers."""
+    from curata.operators.marts import top_share
+    return _round_doubles(top_share(Star(spark, sf).t("lineitem"), "l_suppkey", 0.1))
+
+
+def q_brand_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct brands, missing-brand share, never-ordered parts (anti join)."""
+    from curata.functions.nulls import pct_of
+    s = Star(spark, sf)
+    p = integrity.flag_orphans(s.t("part"), "p_partkey", s.t("lineitem"), "l_partkey", name="never_ordered")
+    return _round_doubles(p.agg(F.countDistinct("p_brand").cast("long").alias("brands"),
+                                pct_of(F.col("p_brand").isNull()).alias("missing_brand_pct"),
+                                F.count_if("never_ordered").cast("long").alias("never_ordered"),
+                                pct_of(F.col("never_ordered")).alias("never_ordered_pct")))
+
+
+def _events_geo(s: Star) -> DataFrame:
+    return s.t("events").join(s.geo().select("c_custkey", "country"), F.col("user_id") == F.col("c_custkey"), "left")
+
+
+def q_payment_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """Event type mix per country, % of the country's events."""
+    c = reshape.crosstab(_events_geo(Star(spark, sf)), "country", "event_type")
+    return _round_doubles(reshape.row_share(c, "country"))
+
+
+def q_failure_rate(spark: SparkSession, sf: str) -> DataFrame:
+    """Failed (error) share per country; null country kept as its own group."""
+    from curata.functions.nulls import pct_of
+    e = _events_geo(Star(spark, sf))
+    return _round_doubles(e.groupBy("country").agg(pct_of(F.col("event_type") == FAILED).alias("failed_pct"),
+                                                   pct_of(F.col("event_type") == CAPTURED).alias("captured_pct")))
+
+
+def q_carrier_scorecard(spark: SparkSession, sf: str) -> DataFrame:
+    """Per supplier: lines, returned %, accepted-return %, mean value, mean quantity, median delay, late %."""
+    from curata.functions.nulls import pct_of
+    s = Star(spark, sf)
+    d = s.deliveries()
+    x = F.col("delay_days")
+    g = d.groupBy(F.col("l_suppkey").alias("carrier")).agg(
+        F.count(F.lit(1)).cast("long").alias("deliveries"),
+        pct_of(F.col("l_returnflag") == "R").alias("returned_pct"),
+        pct_of(F.col("l_returnflag") == "A").alias("accepted_pct"),
+        F.avg("l_extendedprice").alias("mean_value"), F.avg("l_quantity").alias("mean_quantity"),
+        F.percentile(x, F.lit(0.5)).alias("median_delay"),
+        F.when(F.count(x) > 0, F.lit(100.0) * F.count_if(x >= LATE_DAYS) / F.count(x)).alias("late_pct"))
+    return _round_doubles(g)
+
+
+def q_delay_by_priority(spark: SparkSession, sf: str) -> DataFrame:
+    """Delay summary per order priority."""
+    d = Star(spark, sf).deliveries()
+    return _round_doubles(reshape.describe(d, "delay_days", (0.5, 0.95), group="o_orderpriority"))
+
+
+def q_balance_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    """Account balance in 30 equal bins between min and max."""
+    from curata.operators.marts import equal_width_histogram
+    h = equal_width_histogram(Star(spark, sf).t("customer"), "c_acctbal", 30)
+    return h.select("bin", F.round("bin_lo", 4).alias("bin_lo"), "n")
+
+
+def customers_u(s: Star) -> DataFrame:
+    """One row per customer name, the smallest key kept."""
+    return dedup.first(s.t("customer"), "c_name", ["c_custkey"])
+
+
+def orders_per_customer(s: Star) -> DataFrame:
+    n = s.orders_u().groupBy("o_custkey").agg(F.count(F.lit(1)).cast("long").alias("_n"))
+    c = customers_u(s)
+    return (c.join(n, F.col("c_custkey") == F.col("o_custkey"), "left")
+            .select("c_custkey", "c_mktsegment", F.coalesce("_n", F.lit(0)).cast("long").alias("n_orders")))
+
+
+def q_customer_base(spark: SparkSession, sf: str) -> DataFrame:
+    """Segment frequency and customers per quarter of their first order."""
+    from curata.functions.scalars import quarter_label
+    s = Star(spark, sf)
+    c = customers_u(s)
+    seg = reshape.frequency(c, "c_mktsegment", dropna=True, pct=None).select(
+        F.lit("segment").alias("dimension"), F.col("c_mktsegment").alias("value"), "n")
+    first = s.orders_u().groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
+    q = (c.join(first, F.col("c_custkey") == F.col("o_custkey"), "inner")
+         .groupBy(quarter_label("first_order").alias("value")).agg(F.count(F.lit(1)).cast("long").alias("n"))
+         .select(F.lit("first_order_quarter").alias("dimension"), "value", "n"))
+    return seg.unionByName(q)
+
+
+def q_orders_per_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers by number of orders, capped at 8 (8 = 8 or more); 0 = never ordered."""
+    from curata.functions.scalars import clip_upper
+    opc = orders_per_customer(Star(spark, sf))
+    return opc.groupBy(clip_upper("n_orders", 8).cast("long").alias("n_orders")).agg(
+        F.count(F.lit(1)).cast("long").alias("customers"))
+
+
+def q_segment_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders per customer by segment: count, median, mean, max."""
+    opc = orders_per_customer(Star(spark, sf))
+    return _round_doubles(opc.groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).cast("long").alias("customers"),
+        F.percentile(F.col("n_orders").cast("double"), F.lit(0.5)).alias("median"),
+        F.avg("n_orders").alias("mean"), F.max("n_orders").alias("max")))
+
+
+def q_bias_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Per country: share of orders, status and channel shares, median value, currency."""
+    from curata.functions.nulls import pct_of
+    o = _orders_mart(Star(spark, sf))
+    g = o.groupBy("country").agg(
+        F.count(F.lit(1)).alias("_n"),
+        pct_of(F.col("o_orderstatus") == "F").alias("fulfilled_pct"),
+        pct_of(F.col("o_orderpriority") == "1-URGENT").alias("urgent_pct"),
+        F.percentile(F.col("o_totalprice"), F.lit(0.5)).alias("median_value"),
+        F.min("currency").alias("currency"))
+    g = reshape.grand_share(g, "_n", "orders_pct").drop("_n")
+    return _round_doubles(g)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_latest": q_dedup_latest,
     "dedup_first": q_dedup_first,
@@ -568,4 +813,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anomaly_register": q_anomaly_register,
     "scorecard": q_scorecard,
     "usable_share": q_usable_share,
+    "orders_by_month": q_orders_by_month,
+    "value_index": q_value_index,
+    "monthly_volume": q_monthly_volume,
+    "weekday_hour": q_weekday_hour,
+    "weekday_hour_range": q_weekday_hour_range,
+    "status_channel_freq": q_status_channel_freq,
+    "mix_by_country": q_mix_by_country,
+    "headline_shares": q_headline_shares,
+    "value_by_currency": q_value_by_currency,
+    "value_box_stats": q_value_box_stats,
+    "basket": q_basket,
+    "basket_frequency": q_basket_frequency,
+    "units_by_category": q_units_by_category,
+    "category_mix": q_category_mix,
+    "seller_concentration": q_seller_concentration,
+    "brand_stats": q_brand_stats,
+    "payment_mix": q_payment_mix,
+    "failure_rate": q_failure_rate,
+    "carrier_scorecard": q_carrier_scorecard,
+    "delay_by_priority": q_delay_by_priority,
+    "balance_histogram": q_balance_histogram,
+    "customer_base": q_customer_base,
+    "orders_per_customer": q_orders_per_customer,
+    "segment_activity": q_segment_activity,
+    "bias_table": q_bias_table,
 }

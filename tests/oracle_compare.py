@@ -17,6 +17,11 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOL",
+                 "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP", "date": "DATE", "decimal": "DECIMAL",
+                 "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT", "array<float>": "FLOAT[]"}
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -54,6 +59,12 @@ def compare(spark, con, name, fn, sql, sf_dir):
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns differ: spark={s_cols} duck={d_cols}")
         return problems, t1 - t0, t2 - t1
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    d_types = {d[0]: str(d[1]).upper() for d in res.description}
+    for c in s_cols:
+        want = SPARK_TO_DUCK.get(s_types[c].split("(")[0], s_types[c].upper())
+        if not d_types[c].startswith(want):
+            problems.append(f"TYPE {c}: spark={s_types[c]} duck={d_types[c]}")
     order = sorted(range(len(s_cols)), key=lambda i: s_cols[i])
     dorder = [d_cols.index(s_cols[i]) for i in order]
     srows = sorted((tuple(_norm(r[i]) for i in order) for r in s_rows), key=_key)
