@@ -77,15 +77,20 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
 def quantile_scores(df: DataFrame, group: str, cols: dict[str, bool], cuts: Sequence[float] = (0.2, 0.4, 0.6, 0.8),
                     max_groups: int = 100_000) -> DataFrame:
-    """Score 1..len(cuts)+1 per column from exact per-group quantile cut points.
+    """Score 1..len(cuts)+1 per column from exact per-group discrete quantile cut points.
 
     ``cols`` maps a column to ``True`` when larger is better. A value scores
-    1 + the number of cut points it beats (strictly). Unlike ``ntile``, ties
-    always get the same score and no global sort is needed; the cut points
-    (one row per group) are broadcast behind a checked size.
+    1 + the number of cut points it beats (strictly). Cut points are
+    ``percentile_disc`` values (actual data values), so comparisons are exact;
+    unlike ``ntile``, ties always get the same score and no global sort is
+    needed. The cut points (one row per group) are broadcast behind a checked
+    size.
     """
-    arr = F.array(*[F.lit(float(c)) for c in cuts])
-    cp = df.groupBy(group).agg(*[F.percentile(F.col(c).cast("double"), arr).alias(f"_cut_{c}") for c in cols])
+    aggs = []
+    for c in cols:
+        aggs.append(F.array(*[F.expr(f"percentile_disc({float(q)}) WITHIN GROUP (ORDER BY `{c}`)") for q in cuts])
+                    .alias(f"_cut_{c}"))
+    cp = df.groupBy(group).agg(*aggs)
     cp = small_side(cp, max_groups)
     j = df.join(cp, df[group].eqNullSafe(cp[group])).drop(cp[group])
     for c, higher_better in cols.items():

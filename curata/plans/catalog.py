@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from curata.functions.nulls import differs, outside, truthy
 from curata.operators import dedup, identity, integrity, payments, profile, reshape
+from curata.plans.retail import ACTIVE_PART_MIN_SIZE as ACTIVE_MIN
 from curata.plans.retail import CAPTURED, FAILED, LATE_DAYS, LINE_KEY, TOL, VIEW, Star
 from curata.sources.upsert import merge_latest
 
@@ -776,6 +777,137 @@ def q_bias_table(spark: SparkSession, sf: str) -> DataFrame:
     return _round_doubles(g)
 
 
+# --- treatments (T1-T17) -----------------------------------------------------------
+
+LINE_REASONS = ["duplicate", "orphan", "formula"]
+ALERT_PCT = 1.0
+RFM_AS_OF = "2002-01-01 00:00:00"
+PII_SALT = "curata-test-salt"   # tests only; real runs pass the salt in and never store it
+
+
+def q_dedup_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows dropped by the latest-row dedup of lineitem (the audit table)."""
+    _, dropped = dedup.split_latest(Star(spark, sf).t("lineitem"), LINE_KEY, "l_shipdate", nulls="oldest")
+    return dropped
+
+
+def line_quarantine(s: Star) -> DataFrame:
+    """Every line tagged curated/quarantine with its reasons."""
+    from curata.operators.treat import tag_reasons
+    li = s.t("lineitem")
+    from pyspark.sql import Window
+    w = Window.partitionBy(*LINE_KEY).orderBy(
+        F.col("l_shipdate").desc_nulls_last(),
+        *[F.col(c).desc_nulls_last() for c in li.columns if c not in LINE_KEY and c != "l_shipdate"])
+    li = li.withColumn("_rn", F.row_number().over(w))
+    parts = s.t("part").select(F.col("p_partkey").alias("_pk"), "p_retailprice",
+                               (F.col("p_size") > ACTIVE_MIN).alias("_active"))
+    j = li.join(parts, F.col("l_partkey") == F.col("_pk"), "left")
+    tagged = tag_reasons(j, {
+        "duplicate": F.col("_rn") > 1,
+        "orphan": ~F.coalesce(F.col("_active"), F.lit(False)),
+        "formula": F.abs(F.col("l_quantity") * F.col("p_retailprice") - F.col("l_extendedprice")) > TOL,
+    })
+    return tagged.drop("_rn", "_pk", "p_retailprice", "_active")
+
+
+def q_line_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    return line_quarantine(Star(spark, sf))
+
+
+def q_quarantine_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    from curata.operators.treat import reason_rates
+    return _round_doubles(reason_rates(line_quarantine(Star(spark, sf)), LINE_REASONS, ALERT_PCT))
+
+
+def q_order_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders tagged with no_lines / total_mismatch; total recomputed from valid lines when lines exist."""
+    from curata.operators.treat import tag_reasons
+    rec = order_reconciliation(Star(spark, sf))
+    t = tag_reasons(rec, {"no_lines": F.col("no_lines"), "total_mismatch": F.col("subtotal_mismatch")})
+    return t.select("o_orderkey", "zone", "reasons",
+                    F.round(F.when(F.col("n_lines") > 0, F.coalesce(F.col("sum_valid_lines"), F.lit(0.0))), 2)
+                    .alias("recomputed_total"))
+
+
+def q_payment_reference(spark: SparkSession, sf: str) -> DataFrame:
+    """One reference payment per order (the last captured), with its attempt number."""
+    from pyspark.sql import Window
+    p = Star(spark, sf).payments()
+    key = ["user_id", "day"]
+    attempt = F.row_number().over(Window.partitionBy(*key).orderBy(F.col("ts").asc_nulls_last(), F.col("event_id").asc()))
+    is_cap = F.col("event_type") == CAPTURED
+    last_cap = F.row_number().over(Window.partitionBy(*key, is_cap.alias("_c"))
+                                   .orderBy(F.col("ts").desc_nulls_first(), F.col("event_id").desc()))
+    r = p.withColumn("attempt_no", attempt).withColumn("_c", is_cap).withColumn("_last", last_cap)
+    return r.where(F.col("_c") & (F.col("_last") == 1)).select(
+        "user_id", "day", "event_id", "ts", F.round("value", 2).alias("value"), F.col("attempt_no").cast("int"))
+
+
+def q_partial_due(spark: SparkSession, sf: str) -> DataFrame:
+    """Partial-payment flag and amount still due per order."""
+    c = payments.partial_due(payment_facts(Star(spark, sf)), "total")
+    return _round_doubles(c.select("user_id", "day", "total", "captured_amount", "is_partial_payment", "amount_due"), 2)
+
+
+def q_overcapture_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Over-captures before and after removing repeated captures of one payment reference (props)."""
+    s = Star(spark, sf)
+    p = s.payments()
+    before = payments.payment_check(payment_orders(s), p, ["user_id", "day"], "total", "event_type", "value",
+                                    captured=CAPTURED, failed=FAILED)
+    deduped = dedup.first(p, ["user_id", "day", "event_type", "props"], ["ts", "event_id"])
+    after = payments.payment_check(payment_orders(s), deduped, ["user_id", "day"], "total", "event_type", "value",
+                                   captured=CAPTURED, failed=FAILED)
+    b = before.agg(F.count_if("is_overcapture").cast("long").alias("overcapture_before"),
+                   F.count_if("is_multi_capture").cast("long").alias("multi_capture_before"))
+    a = after.agg(F.count_if("is_overcapture").cast("long").alias("overcapture_after"),
+                  F.count_if("is_multi_capture").cast("long").alias("multi_capture_after"))
+    return b.unionByName(a, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in
+        ("overcapture_before", "multi_capture_before", "overcapture_after", "multi_capture_after")])
+
+
+def q_product_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """Per part: zero price (quarantine), negative margin (flag), really sold."""
+    s = Star(spark, sf)
+    p = part_costs(s)
+    sold = integrity.flag_orphans(p, "p_partkey", s.t("lineitem"), "l_partkey", name="_unsold")
+    zero = truthy(F.col("p_retailprice") == 0)
+    neg = truthy(F.col("unit_cost") > F.col("p_retailprice")) & ~zero
+    return sold.select("p_partkey", zero.alias("zero_price"), neg.alias("negative_margin"), (~F.col("_unsold")).alias("is_sold"),
+                       F.when(zero, "quarantine").when(neg, "flagged").otherwise("curated").alias("zone"))
+
+
+def q_customer_master(spark: SparkSession, sf: str) -> DataFrame:
+    """Master id per part name (smallest part key sharing the name)."""
+    return identity.master_id(Star(spark, sf).t("part").select("p_partkey", "p_name"), "p_name", "p_partkey")
+
+
+def q_surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Deterministic surrogate key of the customer dimension."""
+    c = Star(spark, sf).t("customer")
+    return c.select("c_custkey", identity.surrogate_key("c_custkey", "c_name").alias("surrogate_key"))
+
+
+def q_pii_rehash(spark: SparkSession, sf: str) -> DataFrame:
+    """Salted SHA-256 of personal text (the name)."""
+    from curata.functions.scalars import salted_sha256
+    c = Star(spark, sf).t("customer")
+    return c.select("c_custkey", salted_sha256("c_name", PII_SALT).alias("name_hash"))
+
+
+def q_rfm(spark: SparkSession, sf: str) -> DataFrame:
+    """Recency, frequency, monetary per customer and currency, scored 1-5 within the currency."""
+    from curata.functions.scalars import days_between
+    from curata.operators.marts import quantile_scores
+    o = Star(spark, sf).orders_geo().where(F.col("o_custkey").isNotNull() & F.col("currency").isNotNull())
+    base = o.groupBy("o_custkey", "currency").agg(
+        F.round(days_between(_ts(RFM_AS_OF), F.max("o_orderdate")), 4).alias("recency_days"),
+        F.count(F.lit(1)).cast("long").alias("frequency"),
+        F.round(F.sum("o_totalprice"), 2).alias("monetary"))
+    return quantile_scores(base, "currency", {"recency_days": False, "frequency": True, "monetary": True})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_latest": q_dedup_latest,
     "dedup_first": q_dedup_first,
@@ -838,4 +970,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_per_customer": q_orders_per_customer,
     "segment_activity": q_segment_activity,
     "bias_table": q_bias_table,
+    "dedup_audit": q_dedup_audit,
+    "line_quarantine": q_line_quarantine,
+    "quarantine_alerts": q_quarantine_alerts,
+    "order_quarantine": q_order_quarantine,
+    "payment_reference": q_payment_reference,
+    "partial_due": q_partial_due,
+    "overcapture_dedup": q_overcapture_dedup,
+    "product_flags": q_product_flags,
+    "customer_master": q_customer_master,
+    "surrogate_keys": q_surrogate_keys,
+    "pii_rehash": q_pii_rehash,
+    "rfm": q_rfm,
 }
