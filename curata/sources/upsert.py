@@ -26,6 +26,7 @@ from curata.specs import as_tuple
 
 BUCKET = "_bucket"
 POINTER = "_current.json"
+VERSION = "_version"
 
 
 def bucket_of(key, n: int) -> Column:
@@ -74,11 +75,11 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     ptr = _pointer(spark, path)
     if ptr is None:
         raise FileNotFoundError(f"no curated table at {path}")
-    paths = [f"{path}/v={v}/{BUCKET}={b}" for b, v in sorted(ptr["buckets"].items(), key=lambda kv: int(kv[0]))]
+    paths = [f"{path}/{VERSION}={v}/{BUCKET}={b}" for b, v in sorted(ptr["buckets"].items(), key=lambda kv: int(kv[0]))]
     if not paths:
         return spark.createDataFrame([], ptr["schema"])
     df = spark.read.option("basePath", path).parquet(*paths)
-    return df.drop("v", BUCKET).select(*json.loads(ptr["schema_json"])["names"])
+    return df.drop(VERSION, BUCKET).select(*json.loads(ptr["schema_json"])["names"])
 
 
 def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "updated_at",
@@ -106,10 +107,12 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "update
     batch = latest(df, keys, ts, nulls="oldest").withColumn(BUCKET, bucket_of(keys, buckets))
     names = [c for c in df.columns]
     if ptr is None:
-        if fs.exists(spark, path) and fs.list_dirs(spark, path):
-            raise FileExistsError(f"{path} holds data that is not a curated table")
-        batch.write.mode("errorifexists").partitionBy(BUCKET).parquet(f"{path}/v=0")
-        present = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{path}/v=0") if d.startswith(f"{BUCKET}=")]
+        foreign = [d for d in fs.list_dirs(spark, path) if not d.startswith(f"{VERSION}=")]
+        if foreign:
+            raise FileExistsError(f"{path} holds data that is not a curated table: {foreign}")
+        # A version-0 folder without a pointer is a failed first attempt; nothing reads it.
+        batch.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{VERSION}=0")
+        present = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{path}/{VERSION}=0") if d.startswith(f"{BUCKET}=")]
         new_ptr = {"version": 0, "buckets": {b: 0 for b in present}, "n_buckets": buckets,
                    "schema_json": json.dumps({"names": names}), "schema": df.schema.simpleString()}
         fs.write_text_atomic(spark, f"{path}/{POINTER}", json.dumps(new_ptr))
@@ -120,14 +123,16 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "update
     # The list of touched buckets is bounded by the bucket count.
     touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
     version = ptr["version"] + 1
-    old_paths = [f"{path}/v={ptr['buckets'][str(b)]}/{BUCKET}={b}" for b in touched if str(b) in ptr["buckets"]]
+    old_paths = [f"{path}/{VERSION}={ptr['buckets'][str(b)]}/{BUCKET}={b}" for b in touched if str(b) in ptr["buckets"]]
     if old_paths:
-        target = spark.read.option("basePath", path).parquet(*old_paths).drop("v")
+        target = spark.read.option("basePath", path).parquet(*old_paths).drop(VERSION)
     else:
         target = spark.createDataFrame([], batch.schema)
     merged = merge_latest(target.select(*names, BUCKET), batch.select(*names, BUCKET), keys, ts, dedup_source=False)
-    merged.write.mode("errorifexists").partitionBy(BUCKET).parquet(f"{path}/v={version}")
-    written = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{path}/v={version}") if d.startswith(f"{BUCKET}=")]
+    # The new version folder is not referenced by the pointer until the switch
+    # below, so a retried batch may overwrite a leftover of a failed attempt.
+    merged.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{VERSION}={version}")
+    written = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{path}/{VERSION}={version}") if d.startswith(f"{BUCKET}=")]
     bmap = dict(ptr["buckets"])
     for b in written:
         bmap[b] = version
