@@ -120,13 +120,15 @@ def completeness(df: DataFrame, table: str) -> DataFrame:
 
 
 def overview(df: DataFrame, table: str, role: str = "", period_col: str | None = None) -> DataFrame:
-    """PR9: role, rows, columns, empty-cell %, first and last calendar date."""
-    base = completeness(df, table)
+    """PR9: role, rows, columns, empty-cell %, first and last calendar date — one aggregate."""
+    cols = df.columns
+    null_cells = sum((F.count_if(F.col(c).isNull()) for c in cols), F.lit(0))
+    aggs = [F.count(F.lit(1)).cast("long").alias("rows"), null_cells.cast("long").alias("_nulls")]
     if period_col:
-        per = df.agg(F.date_format(F.to_date(F.min(period_col)), "yyyy-MM-dd").alias("period_from"),
-                     F.date_format(F.to_date(F.max(period_col)), "yyyy-MM-dd").alias("period_to"))
-        base = base.join(static_broadcast(per.withColumn("table", F.lit(table))), "table")
-    else:
-        base = base.withColumn("period_from", F.lit(None).cast("string")).withColumn("period_to", F.lit(None).cast("string"))
-    return base.select("table", F.lit(role).alias("role"), "rows", "columns",
-                       (F.lit(100.0) - F.col("completeness_pct")).alias("empty_pct"), "period_from", "period_to")
+        aggs += [F.min(period_col).alias("_mn"), F.max(period_col).alias("_mx")]
+    out = df.agg(*aggs)
+    day = (lambda c: F.date_format(F.to_date(F.col(c)), "yyyy-MM-dd")) if period_col else (lambda c: F.lit(None).cast("string"))
+    return out.select(
+        F.lit(table).alias("table"), F.lit(role).alias("role"), "rows", F.lit(len(cols)).cast("long").alias("columns"),
+        F.when(F.col("rows") > 0, F.lit(100.0) * F.col("_nulls") / (F.col("rows") * F.lit(len(cols)))).alias("empty_pct"),
+        day("_mn").alias("period_from"), day("_mx").alias("period_to"))

@@ -908,6 +908,42 @@ def q_rfm(spark: SparkSession, sf: str) -> DataFrame:
     return quantile_scores(base, "currency", {"recency_days": False, "frequency": True, "monetary": True})
 
 
+# --- inventory, overview, price drift (S4, PR9, A2p) ----------------------------------
+
+OVERVIEW = [("orders", "orders", "o_orderdate"), ("lineitem", "order lines", "l_shipdate"),
+            ("customer", "customers", None), ("part", "products", None), ("events", "payments", "ts"),
+            ("supplier", "sellers", None)]
+
+
+def q_table_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    from curata.sources.io import inventory
+    s = Star(spark, sf)
+    return inventory({t: s.t(t) for t, _, _ in OVERVIEW})
+
+
+def q_table_overview(spark: SparkSession, sf: str) -> DataFrame:
+    s = Star(spark, sf)
+    out = None
+    for t, role, period in OVERVIEW:
+        part = profile.overview(s.t(t), t, role, period)
+        out = part if out is None else out.unionByName(part)
+    return _round_doubles(out)
+
+
+def q_price_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """A2p: line unit price against the catalogue price, on lines of the active catalogue."""
+    from curata.functions.nulls import safe_ratio
+    s = Star(spark, sf)
+    li = s.t("lineitem").join(s.active_parts().select("p_partkey", "p_retailprice"),
+                              F.col("l_partkey") == F.col("p_partkey"), "inner")
+    unit = safe_ratio("l_extendedprice", "l_quantity")
+    ratio = unit / F.nullif(F.col("p_retailprice"), F.lit(0.0))
+    out = li.agg(F.count(F.lit(1)).cast("long").alias("lines"), F.min(ratio).alias("min_ratio"),
+                 F.percentile(ratio, F.lit(0.5)).alias("median_ratio"), F.max(ratio).alias("max_ratio"),
+                 F.count_if(truthy(F.abs(unit - F.col("p_retailprice")) <= 0.01)).cast("long").alias("exact_price_lines"))
+    return _round_doubles(out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_latest": q_dedup_latest,
     "dedup_first": q_dedup_first,
@@ -982,4 +1018,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "surrogate_keys": q_surrogate_keys,
     "pii_rehash": q_pii_rehash,
     "rfm": q_rfm,
+    "table_inventory": q_table_inventory,
+    "table_overview": q_table_overview,
+    "price_drift": q_price_drift,
 }
