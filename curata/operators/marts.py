@@ -86,11 +86,12 @@ def quantile_scores(df: DataFrame, group: str, cols: dict[str, bool], cuts: Sequ
     needed. The cut points (one row per group) are broadcast behind a checked
     size.
     """
-    aggs = []
+    from curata.operators.quantiles import exact_quantiles
+    cp = None
     for c in cols:
-        aggs.append(F.array(*[F.expr(f"percentile_disc({float(q)}) WITHIN GROUP (ORDER BY `{c}`)") for q in cuts])
-                    .alias(f"_cut_{c}"))
-    cp = df.groupBy(group).agg(*aggs)
+        q = exact_quantiles(df, c, cuts, group, names=[f"_q{i}" for i in range(len(cuts))], interpolation="disc")
+        q = q.select(group, F.array(*[F.col(f"_q{i}") for i in range(len(cuts))]).alias(f"_cut_{c}"))
+        cp = q if cp is None else cp.join(q, cp[group].eqNullSafe(q[group])).drop(q[group])
     cp = small_side(cp, max_groups)
     j = df.join(cp, df[group].eqNullSafe(cp[group])).drop(cp[group])
     for c, higher_better in cols.items():

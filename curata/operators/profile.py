@@ -81,21 +81,16 @@ def profile_columns(df: DataFrame, table: str | None = None) -> DataFrame:
 def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None,
                     percentiles: Sequence[float] = (0.01, 0.05, 0.5, 0.95, 0.99),
                     approx: bool = False, accuracy: int = 10000) -> DataFrame:
-    """PR2: ``describe(percentiles)`` for every numeric column, one aggregate pass."""
+    """PR2: ``describe(percentiles)`` for every numeric column.
+
+    Columns are unpivoted to (column, value) so that one grouped pass serves
+    all of them; quantiles are exact (``exact_quantiles``) unless ``approx``.
+    """
+    from curata.operators.reshape import describe
     cols = list(cols or [f.name for f in df.schema.fields
                          if isinstance(f.dataType, _NUMERIC) and not isinstance(f.dataType, BooleanType)])
-    structs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        pc = (F.percentile_approx(x, list(percentiles), accuracy) if approx
-              else F.percentile(x, F.array(*[F.lit(float(p)) for p in percentiles])))
-        structs.append(F.struct(
-            F.lit(c).alias("column"), F.count(x).cast("long").alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), pc.alias("_p"), F.max(x).alias("max")))
-    agg = df.agg(F.array(*structs).alias("_s")).select(F.inline("_s"))
-    names = [f"p{100 * p:.10g}".replace(".", "_") for p in percentiles]
-    return agg.select("column", "count", "mean", "std", "min",
-                      *[F.col("_p")[i].alias(n) for i, n in enumerate(names)], "max")
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    return describe(long, "value", percentiles, group="column", approx=approx, accuracy=accuracy)
 
 
 def categorical_profile(df: DataFrame, max_distinct: int = 12, cols: Sequence[str] | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from curata.functions.scalars import hist_bin
 from curata.operators.joins import small_side
+from curata.operators.quantiles import exact_quantiles
 
 ALL = "All"
 
@@ -72,23 +73,26 @@ def pivot_counts(df: DataFrame, row: str, col: str, values: Sequence, fill: int
 
 def describe(df: DataFrame, col: str, percentiles: Sequence[float] = (0.25, 0.5, 0.75),
              group: Sequence[str] | str | None = None, approx: bool = False, accuracy: int = 10000) -> DataFrame:
-    """Count, mean, std (sample), min, percentiles, max; optionally per group.
+    """Count, mean, std (sample), min, percentiles, max over non-null values; optionally per group.
 
-    Exact percentiles interpolate linearly (as pandas). ``approx=True`` uses a
-    bounded-memory sketch for very large groups.
+    Percentiles are exact and interpolate linearly (as pandas), computed by
+    ``exact_quantiles`` so that no group's values are gathered in one task.
+    ``approx=True`` uses the bounded-memory sketch alone.
     """
     groups = [] if group is None else ([group] if isinstance(group, str) else list(group))
     src = df.where(F.col(col).isNotNull())
     x = F.col(col).cast("double")
+    extra = {"count": F.count(x).cast("long"), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x),
+             "max": F.max(x)}
+    pnames = [_pname(p) for p in percentiles]
     if approx:
         pc = F.percentile_approx(x, list(percentiles), accuracy)
+        aggs = [e.alias(n) for n, e in extra.items()] + [pc.alias("_p")]
+        out = src.groupBy(*groups).agg(*aggs) if groups else src.agg(*aggs)
+        out = out.select("*", *[F.col("_p")[i].alias(n) for i, n in enumerate(pnames)])
     else:
-        pc = F.percentile(x, F.array(*[F.lit(float(p)) for p in percentiles]))
-    aggs = [F.count(x).cast("long").alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"), pc.alias("_p"), F.max(x).alias("max")]
-    out = src.groupBy(*groups).agg(*aggs) if groups else src.agg(*aggs)
-    pcols = [F.col("_p")[i].alias(_pname(p)) for i, p in enumerate(percentiles)]
-    return out.select(*groups, "count", "mean", "std", "min", *pcols, "max")
+        out = exact_quantiles(src, col, percentiles, groups or None, names=pnames, extra=extra)
+    return out.select(*groups, "count", "mean", "std", "min", *pnames, "max")
 
 
 def _pname(p: float) -> str:
@@ -111,8 +115,7 @@ def box_stats(df: DataFrame, col: str, group: Sequence[str] | str, max_groups: i
     """
     groups = [group] if isinstance(group, str) else list(group)
     src = df.where(F.col(col).isNotNull())
-    q = src.groupBy(*groups).agg(F.percentile(F.col(col).cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
-    q = q.select(*groups, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = exact_quantiles(src, col, (0.25, 0.5, 0.75), groups, names=["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = small_side(q, max_groups)
     j = src.join(q, [src[g].eqNullSafe(q[g]) for g in groups]).select(

@@ -208,19 +208,16 @@ def q_status_sequences(spark: SparkSession, sf: str) -> DataFrame:
 # --- deliveries (line ship date against its order date) --------------------------
 
 def q_delivery_delays(spark: SparkSession, sf: str) -> DataFrame:
-    """A5/A5b summary in one aggregate: delay quantiles plus late and negative counts."""
+    """A5/A5b summary: delay quantiles plus late and negative counts."""
+    from curata.operators.quantiles import exact_quantiles
     d = Star(spark, sf).deliveries()
     x = F.col("delay_days")
-    out = d.agg(
-        F.count(x).cast("long").alias("delivered"),
-        F.count_if(x >= LATE_DAYS).cast("long").alias("late"),
-        F.count_if(x < 0).cast("long").alias("before_order"),
-        F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-        F.percentile(x, F.array(*[F.lit(p) for p in (0.5, 0.9, 0.95, 0.99)])).alias("_p"),
-        F.max(x).alias("max"))
-    out = out.select("delivered", "late", "before_order", "mean", "std", "min",
-                     *[F.col("_p")[i].alias(n) for i, n in enumerate(("p50", "p90", "p95", "p99"))], "max")
-    return _round_doubles(out)
+    extra = {"delivered": F.count(x).cast("long"), "late": F.count_if(x >= LATE_DAYS).cast("long"),
+             "before_order": F.count_if(x < 0).cast("long"), "mean": F.avg(x), "std": F.stddev_samp(x),
+             "min": F.min(x), "max": F.max(x)}
+    out = exact_quantiles(d, "delay_days", (0.5, 0.9, 0.95, 0.99), names=["p50", "p90", "p95", "p99"], extra=extra)
+    return _round_doubles(out.select("delivered", "late", "before_order", "mean", "std", "min",
+                                     "p50", "p90", "p95", "p99", "max"))
 
 
 def q_delay_histogram(spark: SparkSession, sf: str) -> DataFrame:
@@ -694,17 +691,17 @@ def q_failure_rate(spark: SparkSession, sf: str) -> DataFrame:
 def q_carrier_scorecard(spark: SparkSession, sf: str) -> DataFrame:
     """Per supplier: lines, returned %, accepted-return %, mean value, mean quantity, median delay, late %."""
     from curata.functions.nulls import pct_of
-    s = Star(spark, sf)
-    d = s.deliveries()
+    from curata.operators.quantiles import median_of
+    d = Star(spark, sf).deliveries().withColumn("carrier", F.col("l_suppkey"))
     x = F.col("delay_days")
-    g = d.groupBy(F.col("l_suppkey").alias("carrier")).agg(
-        F.count(F.lit(1)).cast("long").alias("deliveries"),
-        pct_of(F.col("l_returnflag") == "R").alias("returned_pct"),
-        pct_of(F.col("l_returnflag") == "A").alias("accepted_pct"),
-        F.avg("l_extendedprice").alias("mean_value"), F.avg("l_quantity").alias("mean_quantity"),
-        F.percentile(x, F.lit(0.5)).alias("median_delay"),
-        F.when(F.count(x) > 0, F.lit(100.0) * F.count_if(x >= LATE_DAYS) / F.count(x)).alias("late_pct"))
-    return _round_doubles(g)
+    extra = {
+        "deliveries": F.count(F.lit(1)).cast("long"),
+        "returned_pct": pct_of(F.col("l_returnflag") == "R"),
+        "accepted_pct": pct_of(F.col("l_returnflag") == "A"),
+        "mean_value": F.avg("l_extendedprice"), "mean_quantity": F.avg("l_quantity"),
+        "late_pct": F.when(F.count(x) > 0, F.lit(100.0) * F.count_if(x >= LATE_DAYS) / F.count(x)),
+    }
+    return _round_doubles(median_of(d, "delay_days", "carrier", "median_delay", extra=extra))
 
 
 def q_delay_by_priority(spark: SparkSession, sf: str) -> DataFrame:
@@ -756,24 +753,21 @@ def q_orders_per_customer(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_segment_activity(spark: SparkSession, sf: str) -> DataFrame:
     """Orders per customer by segment: count, median, mean, max."""
+    from curata.operators.quantiles import median_of
     opc = orders_per_customer(Star(spark, sf))
-    return _round_doubles(opc.groupBy("c_mktsegment").agg(
-        F.count(F.lit(1)).cast("long").alias("customers"),
-        F.percentile(F.col("n_orders").cast("double"), F.lit(0.5)).alias("median"),
-        F.avg("n_orders").alias("mean"), F.max("n_orders").alias("max")))
+    extra = {"customers": F.count(F.lit(1)).cast("long"), "mean": F.avg("n_orders"), "max": F.max("n_orders")}
+    return _round_doubles(median_of(opc, "n_orders", "c_mktsegment", "median", extra=extra))
 
 
 def q_bias_table(spark: SparkSession, sf: str) -> DataFrame:
     """Per country: share of orders, status and channel shares, median value, currency."""
     from curata.functions.nulls import pct_of
+    from curata.operators.quantiles import median_of
     o = _orders_mart(Star(spark, sf))
-    g = o.groupBy("country").agg(
-        F.count(F.lit(1)).alias("_n"),
-        pct_of(F.col("o_orderstatus") == "F").alias("fulfilled_pct"),
-        pct_of(F.col("o_orderpriority") == "1-URGENT").alias("urgent_pct"),
-        F.percentile(F.col("o_totalprice"), F.lit(0.5)).alias("median_value"),
-        F.min("currency").alias("currency"))
-    g = reshape.grand_share(g, "_n", "orders_pct").drop("_n")
+    extra = {"n_orders": F.count(F.lit(1)), "fulfilled_pct": pct_of(F.col("o_orderstatus") == "F"),
+             "urgent_pct": pct_of(F.col("o_orderpriority") == "1-URGENT"), "currency": F.min("currency")}
+    g = median_of(o, "o_totalprice", "country", "median_value", extra=extra)
+    g = reshape.grand_share(g, "n_orders", "orders_pct").drop("n_orders")
     return _round_doubles(g)
 
 
@@ -933,15 +927,15 @@ def q_table_overview(spark: SparkSession, sf: str) -> DataFrame:
 def q_price_drift(spark: SparkSession, sf: str) -> DataFrame:
     """A2p: line unit price against the catalogue price, on lines of the active catalogue."""
     from curata.functions.nulls import safe_ratio
+    from curata.operators.quantiles import median_of
     s = Star(spark, sf)
     li = s.t("lineitem").join(s.active_parts().select("p_partkey", "p_retailprice"),
                               F.col("l_partkey") == F.col("p_partkey"), "inner")
     unit = safe_ratio("l_extendedprice", "l_quantity")
-    ratio = unit / F.nullif(F.col("p_retailprice"), F.lit(0.0))
-    out = li.agg(F.count(F.lit(1)).cast("long").alias("lines"), F.min(ratio).alias("min_ratio"),
-                 F.percentile(ratio, F.lit(0.5)).alias("median_ratio"), F.max(ratio).alias("max_ratio"),
-                 F.count_if(truthy(F.abs(unit - F.col("p_retailprice")) <= 0.01)).cast("long").alias("exact_price_lines"))
-    return _round_doubles(out)
+    li = li.withColumn("_unit", unit).withColumn("_ratio", F.col("_unit") / F.nullif(F.col("p_retailprice"), F.lit(0.0)))
+    extra = {"lines": F.count(F.lit(1)).cast("long"), "min_ratio": F.min("_ratio"), "max_ratio": F.max("_ratio"),
+             "exact_price_lines": F.count_if(truthy(F.abs(F.col("_unit") - F.col("p_retailprice")) <= 0.01)).cast("long")}
+    return _round_doubles(median_of(li, "_ratio", None, "median_ratio", extra=extra))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

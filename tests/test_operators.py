@@ -109,3 +109,24 @@ def test_crosstab_margins(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), (None, "x")], "r string, c string")
     got = {(x.r, x.c): x.n for x in reshape.crosstab_margins(df, "r", "c").collect()}
     assert got[("All", "All")] == 3 and got[("a", "All")] == 2 and got[("All", "x")] == 2
+
+
+def test_exact_quantiles_bracket_path_matches_percentile(spark):
+    """A small sketch accuracy forces the distributed bracket path on 3 groups of ~3k values."""
+    from curata.operators.quantiles import exact_quantiles
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b", "c"], 9000), "x": np.round(rng.normal(50, 20, 9000), 1)})
+    pdf.loc[::11, "x"] = np.nan
+    df = spark.createDataFrame(pdf)
+    df = df.withColumn("x", F.when(F.isnan("x"), None).otherwise(F.col("x")))   # real nulls, not NaN
+    probs = [0.01, 0.25, 0.5, 0.9, 0.99]
+    got = exact_quantiles(df, "x", probs, "g", accuracy=500, extra={"n": F.count("x")}).toPandas().set_index("g")
+    ref = df.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).toPandas().set_index("g")
+    for g in ref.index:
+        for i, p in enumerate(probs):
+            assert math.isclose(got.loc[g, f"p{100 * p:.10g}".replace(".", "_")], ref.loc[g, "q"][i], rel_tol=1e-12)
+    disc = exact_quantiles(df, "x", [0.2, 0.8], None, interpolation="disc", accuracy=500).first()
+    df.createOrReplaceTempView("qt")
+    want = spark.sql("SELECT percentile_disc(0.2) WITHIN GROUP (ORDER BY x), "
+                     "percentile_disc(0.8) WITHIN GROUP (ORDER BY x) FROM qt").first()
+    assert tuple(disc) == tuple(want)
