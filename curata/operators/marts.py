@@ -87,11 +87,16 @@ def quantile_scores(df: DataFrame, group: str, cols: dict[str, bool], cuts: Sequ
     size.
     """
     from curata.operators.quantiles import exact_quantiles
-    cp = None
-    for c in cols:
-        q = exact_quantiles(df, c, cuts, group, names=[f"_q{i}" for i in range(len(cuts))], interpolation="disc")
-        q = q.select(group, F.array(*[F.col(f"_q{i}") for i in range(len(cuts))]).alias(f"_cut_{c}"))
-        cp = q if cp is None else cp.join(q, cp[group].eqNullSafe(q[group])).drop(q[group])
+    from curata.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)          # the input is read 3 times below; cut its lineage once
+    names = list(cols)
+    long = df.select(group, *[F.col(c).cast("double").alias(c) for c in names]).unpivot(
+        group, names, "_col", "_val")
+    q = exact_quantiles(long, "_val", cuts, [group, "_col"], names=[f"_q{i}" for i in range(len(cuts))],
+                        interpolation="disc", max_groups=max_groups)
+    arr = F.array(*[F.col(f"_q{i}") for i in range(len(cuts))])
+    cp = q.groupBy(group).agg(*[F.max(F.when(F.col("_col") == c, arr)).alias(f"_cut_{c}") for c in names])
     cp = small_side(cp, max_groups)
     j = df.join(cp, df[group].eqNullSafe(cp[group])).drop(cp[group])
     for c, higher_better in cols.items():

@@ -34,19 +34,32 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     return str(data)
 
 
-def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    """Write to a sibling temp file, then rename over the target."""
+def write_text_new(spark: SparkSession, path: str, text: str) -> None:
+    """Create ``path`` with ``text`` via a temp file and a rename; fail if it already exists.
+
+    The rename to a name that does not exist yet is atomic on HDFS-like
+    stores, and a second writer racing for the same name loses.
+    """
+    import uuid
+
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    if fs.exists(p) or not fs.rename(tmp, p):
+        fs.delete(tmp, False)
+        raise FileExistsError(f"{path} was written by another writer")
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [str(s.getPath().getName()) for s in fs.listStatus(p) if s.isFile()]
 
 
 def list_dirs(spark: SparkSession, path: str) -> list[str]:

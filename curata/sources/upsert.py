@@ -9,7 +9,9 @@ Semantics of the curated MERGE:
 
 ``merge_latest`` is that rule as one full outer join. ``upsert`` stores the
 target as hash buckets of the key (``_bucket``) in versioned folders and
-rewrites only the buckets a batch touches, then switches a pointer file.
+rewrites only the buckets a batch touches, then publishes a new numbered
+pointer file (``_pointers/<version>.json``, never overwritten; readers take
+the highest). A concurrent second writer fails instead of losing an update.
 Delta Lake is used instead when it is on the classpath.
 """
 
@@ -25,7 +27,7 @@ from curata.sources import fs
 from curata.specs import as_tuple
 
 BUCKET = "_bucket"
-POINTER = "_current.json"
+POINTERS = "_pointers"
 VERSION = "_version"
 
 
@@ -59,8 +61,14 @@ def _delta_available(spark: SparkSession) -> bool:
 
 
 def _pointer(spark: SparkSession, path: str) -> dict | None:
-    txt = fs.read_text(spark, f"{path}/{POINTER}")
-    return json.loads(txt) if txt else None
+    versions = [int(n[:-5]) for n in fs.list_files(spark, f"{path}/{POINTERS}") if n.endswith(".json") and n[:-5].isdigit()]
+    if not versions:
+        return None
+    return json.loads(fs.read_text(spark, f"{path}/{POINTERS}/{max(versions)}.json"))
+
+
+def _publish(spark: SparkSession, path: str, ptr: dict) -> None:
+    fs.write_text_new(spark, f"{path}/{POINTERS}/{ptr['version']}.json", json.dumps(ptr))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -107,7 +115,7 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "update
     batch = latest(df, keys, ts, nulls="oldest").withColumn(BUCKET, bucket_of(keys, buckets))
     names = [c for c in df.columns]
     if ptr is None:
-        foreign = [d for d in fs.list_dirs(spark, path) if not d.startswith(f"{VERSION}=")]
+        foreign = [d for d in fs.list_dirs(spark, path) if not d.startswith(f"{VERSION}=") and d != POINTERS]
         if foreign:
             raise FileExistsError(f"{path} holds data that is not a curated table: {foreign}")
         # A version-0 folder without a pointer is a failed first attempt; nothing reads it.
@@ -115,7 +123,7 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "update
         present = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{path}/{VERSION}=0") if d.startswith(f"{BUCKET}=")]
         new_ptr = {"version": 0, "buckets": {b: 0 for b in present}, "n_buckets": buckets,
                    "schema_json": json.dumps({"names": names}), "schema": df.schema.simpleString()}
-        fs.write_text_atomic(spark, f"{path}/{POINTER}", json.dumps(new_ptr))
+        _publish(spark, path, new_ptr)
         return {"version": 0, "touched_buckets": len(present)}
 
     if ptr["n_buckets"] != buckets:
@@ -137,5 +145,5 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "update
     for b in written:
         bmap[b] = version
     new_ptr = {**ptr, "version": version, "buckets": bmap}
-    fs.write_text_atomic(spark, f"{path}/{POINTER}", json.dumps(new_ptr))
+    _publish(spark, path, new_ptr)
     return {"version": version, "touched_buckets": len(touched)}
