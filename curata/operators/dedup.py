@@ -5,7 +5,9 @@ order; ties are broken by the remaining columns so results are repeatable.
 "latest"/"first" use ``row_number() = 1``, which Catalyst turns into a
 partial WindowGroupLimit before the shuffle: a hot key is cut to one row per
 map task before it is exchanged. Counting uses group-by with map-side
-partial aggregation, never a window over the whole group.
+partial aggregation, never a window over the whole group. Flags that need
+every row's rank (surplus, audit split) use ``ordering.positions``, which
+spreads a hot key over many tasks.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curata.operators.ordering import positions
 from curata.specs import as_tuple
 
 _RN = "_rn"
@@ -64,8 +67,8 @@ def flag_surplus(df: DataFrame, key, order_cols: Sequence[str] = (), tie: Sequen
                  name: str = "is_surplus") -> DataFrame:
     """``duplicated(keep='first')`` -> True on every row after the first (ascending order)."""
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    w = Window.partitionBy(*as_tuple(key)).orderBy(*_ordered(df, key, order, order_cols, tie, False))
-    return df.withColumn(name, F.row_number().over(w) > 1)
+    ranked = positions(df, key, _ordered(df, key, order, order_cols, tie, False), _RN)
+    return ranked.withColumn(name, F.col(_RN) > 1).drop(_RN)
 
 
 def flag_repeated(df: DataFrame, key, name: str = "is_repeated") -> DataFrame:
@@ -130,6 +133,5 @@ def split_latest(df: DataFrame, key, ts: str = "updated_at", nulls: str = "newes
                  tie: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(kept latest rows, dropped rows for the audit table)."""
     o = F.col(ts).desc_nulls_last() if nulls == "oldest" else F.col(ts).desc_nulls_first()
-    w = Window.partitionBy(*as_tuple(key)).orderBy(*_ordered(df, key, [o], [ts], tie, True))
-    ranked = df.withColumn(_RN, F.row_number().over(w))
+    ranked = positions(df, key, _ordered(df, key, [o], [ts], tie, True), _RN)
     return ranked.where(F.col(_RN) == 1).drop(_RN), ranked.where(F.col(_RN) > 1).drop(_RN)

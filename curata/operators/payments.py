@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curata.functions.nulls import safe_ratio
+from curata.operators.dedup import keep_one
 from curata.operators.joins import static_broadcast
+from curata.operators.ordering import positions
 
 
 def per_order(payments: DataFrame, key: Sequence[str], status: str, amount: str,
@@ -81,15 +83,16 @@ def status_sequences(payments: DataFrame, key: Sequence[str], status: str, ts: s
     """A4s/G13: the k most frequent chronological status paths (>= ``min_steps`` steps).
 
     No group is gathered whole: each payment gets its position in its order
-    (a streaming row_number, spillable), and a path is identified by its
-    length plus two exact DECIMAL sums of 64-bit hashes of (position,
-    status), which are map-side combinable. Only the k reported paths are
-    turned into text, from their smallest order key. Ties in frequency go to
-    the path first seen at the smallest order key.
+    from ``ordering.positions`` (a hot order is spread over many tasks), and
+    a path is identified by its length plus two exact DECIMAL sums of 64-bit
+    hashes of (position, status), which are map-side combinable. Only the k
+    reported paths are turned into text, each from the steps of one order
+    (its smallest order key): the text is the answer itself. Ties in
+    frequency go to the path first seen at the smallest order key.
     """
     key = list(key)
-    w = Window.partitionBy(*key).orderBy(F.col(ts).asc_nulls_last(), F.col(tie).asc())
-    pos = payments.select(*key, status, ts, tie).withColumn("_pos", F.row_number().over(w))
+    order = [F.col(ts).asc_nulls_last(), F.col(tie).asc()]
+    pos = positions(payments.select(*key, status, ts, tie), key, order, "_pos").select(*key, status, "_pos")
     h1 = F.xxhash64(F.col("_pos"), F.col(status)).cast("decimal(20,0)")
     h2 = F.xxhash64(F.col(status), F.col("_pos"), F.lit("~")).cast("decimal(20,0)")
     fp = pos.groupBy(*key).agg(F.count(F.lit(1)).alias("_len"), F.sum(h1).alias("_h1"), F.sum(h2).alias("_h2"))
@@ -98,20 +101,23 @@ def status_sequences(payments: DataFrame, key: Sequence[str], status: str, ts: s
         F.count(F.lit(1)).cast("long").alias("orders"), F.min(F.struct(*key)).alias("_rep"))
     top = per_path.orderBy(F.col("orders").desc(), F.col("_rep").asc()).limit(k).select("orders", "_rep.*")
     # k rows: bounded by the report size, so broadcasting it is safe.
-    steps = payments.join(static_broadcast(top), key).groupBy(*key, "orders").agg(
-        F.sort_array(F.collect_list(F.struct(F.col(ts).isNull(), F.col(ts), F.col(tie), F.col(status)))).alias("_s"))
+    steps = pos.join(static_broadcast(top), key).groupBy(*key, "orders").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("_pos"), F.col(status)))).alias("_s"))
     return steps.select(F.array_join(F.transform("_s", lambda x: x[status]), sep).alias("sequence"), "orders")
 
 
 def reference_payment(payments: DataFrame, key: Sequence[str], status: str, ts: str, tie: str,
-                      captured: str = "CAPTURED") -> tuple[DataFrame, DataFrame]:
-    """(one reference payment per order = last captured, all attempts numbered)."""
+                      captured: str = "CAPTURED", attempt: str = "attempt_no") -> tuple[DataFrame, DataFrame]:
+    """(one reference payment per order = last captured, all attempts numbered).
+
+    Attempts are numbered chronologically by ``ordering.positions``; the
+    reference is the top-1 captured attempt (partial group limit before the
+    shuffle), so neither step gathers an order in one task.
+    """
     key = list(key)
-    w_all = Window.partitionBy(*key).orderBy(F.col(ts).asc_nulls_last(), F.col(tie).asc())
-    attempts = payments.withColumn("attempt_no", F.row_number().over(w_all))
-    cap = payments.where(F.col(status) == captured)
-    w_last = Window.partitionBy(*key).orderBy(F.col(ts).desc_nulls_first(), F.col(tie).desc())
-    ref = cap.withColumn("_rn", F.row_number().over(w_last)).where(F.col("_rn") == 1).drop("_rn")
+    attempts = positions(payments, key, [F.col(ts).asc_nulls_last(), F.col(tie).asc()], attempt)
+    cap = attempts.where(F.col(status) == captured)
+    ref = keep_one(cap, key, [F.col(ts).desc_nulls_first(), F.col(tie).desc()], [ts, tie])
     return ref, attempts
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from curata.functions.nulls import differs, outside, truthy
 from curata.operators import dedup, identity, integrity, payments, profile, reshape
+from curata.operators.ordering import positions
 from curata.plans.retail import ACTIVE_PART_MIN_SIZE as ACTIVE_MIN
 from curata.plans.retail import CAPTURED, FAILED, LATE_DAYS, LINE_KEY, TOL, VIEW, Star
 from curata.sources.upsert import merge_latest
@@ -789,11 +790,9 @@ def line_quarantine(s: Star) -> DataFrame:
     """Every line tagged curated/quarantine with its reasons."""
     from curata.operators.treat import tag_reasons
     li = s.t("lineitem")
-    from pyspark.sql import Window
-    w = Window.partitionBy(*LINE_KEY).orderBy(
-        F.col("l_shipdate").desc_nulls_last(),
-        *[F.col(c).desc_nulls_last() for c in li.columns if c not in LINE_KEY and c != "l_shipdate"])
-    li = li.withColumn("_rn", F.row_number().over(w))
+    order = [F.col("l_shipdate").desc_nulls_last(),
+             *[F.col(c).desc_nulls_last() for c in li.columns if c not in LINE_KEY and c != "l_shipdate"]]
+    li = positions(li, LINE_KEY, order, "_rn")
     parts = s.t("part").select(F.col("p_partkey").alias("_pk"), "p_retailprice",
                                (F.col("p_size") > ACTIVE_MIN).alias("_active"))
     j = li.join(parts, F.col("l_partkey") == F.col("_pk"), "left")
@@ -826,16 +825,10 @@ def q_order_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_payment_reference(spark: SparkSession, sf: str) -> DataFrame:
     """One reference payment per order (the last captured), with its attempt number."""
-    from pyspark.sql import Window
-    p = Star(spark, sf).payments()
-    key = ["user_id", "day"]
-    attempt = F.row_number().over(Window.partitionBy(*key).orderBy(F.col("ts").asc_nulls_last(), F.col("event_id").asc()))
-    is_cap = F.col("event_type") == CAPTURED
-    last_cap = F.row_number().over(Window.partitionBy(*key, is_cap.alias("_c"))
-                                   .orderBy(F.col("ts").desc_nulls_first(), F.col("event_id").desc()))
-    r = p.withColumn("attempt_no", attempt).withColumn("_c", is_cap).withColumn("_last", last_cap)
-    return r.where(F.col("_c") & (F.col("_last") == 1)).select(
-        "user_id", "day", "event_id", "ts", F.round("value", 2).alias("value"), F.col("attempt_no").cast("int"))
+    ref, _ = payments.reference_payment(Star(spark, sf).payments(), ["user_id", "day"], "event_type", "ts",
+                                        "event_id", captured=CAPTURED)
+    return ref.select("user_id", "day", "event_id", "ts", F.round("value", 2).alias("value"),
+                      F.col("attempt_no").cast("int"))
 
 
 def q_partial_due(spark: SparkSession, sf: str) -> DataFrame:
