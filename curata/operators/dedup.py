@@ -84,6 +84,27 @@ def flag_repeated(df: DataFrame, key, name: str = "is_repeated") -> DataFrame:
     return out
 
 
+_SHORT = 64
+
+
+def compact_text(df: DataFrame) -> DataFrame:
+    """Replace every text value longer than 64 characters by its SHA-256 digest.
+
+    For grouping whole rows: values up to 64 characters are kept (tagged
+    ``=``), longer ones become ``#`` + digest, so equal rows stay equal and
+    a shuffle never carries a whole document. Nulls stay null.
+    """
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if f.dataType.typeName() in ("string", "binary"):
+            txt = c if f.dataType.typeName() == "string" else F.hex(c)
+            c = F.when(F.length(txt) <= _SHORT, F.concat(F.lit("="), txt)).otherwise(
+                F.concat(F.lit("#"), F.sha2(c, 256)))
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
 def duplicate_summary(df: DataFrame, key, table: str | None = None) -> DataFrame:
     """PR4 + A1 in one chain of aggregations (no join).
 
@@ -91,11 +112,12 @@ def duplicate_summary(df: DataFrame, key, table: str | None = None) -> DataFrame
     early), then rows per key, then one global row:
     rows, distinct_keys, null_keys, rows_with_repeated_key, surplus_rows,
     fully_identical_rows (surplus identical copies) and conflicting_rows
-    (surplus by key but not an identical copy).
+    (surplus by key but not an identical copy). Long texts are grouped by
+    their digest (``compact_text``).
     """
     keys = list(as_tuple(key))
     cols = [c for c in df.columns if df.schema[c].dataType.typeName() not in ("map",)]
-    full = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    full = compact_text(df.select(*cols)).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
@@ -123,7 +145,7 @@ def full_row_duplicates(df: DataFrame, name: str = "n_copies") -> DataFrame:
 def conflicting_duplicates(df: DataFrame, key) -> DataFrame:
     """A1 detail: keys whose copies disagree on at least one column."""
     keys = list(as_tuple(key))
-    full = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    full = compact_text(df).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     return (full.groupBy(*keys)
             .agg(F.sum("_n").cast("long").alias("n_rows"), F.count(F.lit(1)).cast("long").alias("n_variants"))
             .where(F.col("n_variants") > 1))

@@ -3,7 +3,10 @@
 "Identical profile" uses min/max/count per column instead of one distinct
 count per column: a column has at most one value in a group iff its min
 equals its max. That keeps the aggregation partial (map-side combined) and
-avoids the Expand that several DISTINCT aggregates would need.
+avoids the Expand that several DISTINCT aggregates would need. Distinct
+members are counted in two grouped levels, (identity, member) and then
+identity, both map-side combined: a DISTINCT aggregate would shuffle on the
+identity alone and send every member of a hot identity to one task.
 """
 
 from __future__ import annotations
@@ -17,11 +20,14 @@ from pyspark.sql import functions as F
 def identity_groups(df: DataFrame, identity: str, member_id: str, profile_cols: Sequence[str],
                     keep_null: bool = False) -> DataFrame:
     """Per identity value: rows, distinct members, identical-profile flag (null dropped unless asked, N7)."""
-    aggs = [F.count(F.lit(1)).cast("long").alias("rows"), F.countDistinct(member_id).cast("long").alias("n_ids")]
-    for c in profile_cols:
-        aggs += [F.min(c).alias(f"_mn_{c}"), F.max(c).alias(f"_mx_{c}"), F.count(c).alias(f"_n_{c}")]
     src = df if keep_null else df.where(F.col(identity).isNotNull())
-    g = src.groupBy(identity).agg(*aggs)
+    inner = [F.count(F.lit(1)).alias("_r")]
+    outer = [F.sum("_r").cast("long").alias("rows"), F.count_if(F.col(member_id).isNotNull()).cast("long").alias("n_ids")]
+    for c in profile_cols:
+        inner += [F.min(c).alias(f"_mn_{c}"), F.max(c).alias(f"_mx_{c}"), F.count(c).alias(f"_n_{c}")]
+        outer += [F.min(f"_mn_{c}").alias(f"_mn_{c}"), F.max(f"_mx_{c}").alias(f"_mx_{c}"),
+                  F.sum(f"_n_{c}").alias(f"_n_{c}")]
+    g = src.groupBy(identity, member_id).agg(*inner).groupBy(identity).agg(*outer)
     at_most_one = F.lit(True)
     some_one = F.lit(False)
     for c in profile_cols:
@@ -45,8 +51,9 @@ def duplicate_identity_summary(df: DataFrame, identity: str, member_id: str, pro
 
 def group_sizes(df: DataFrame, identity: str, member_id: str) -> DataFrame:
     """Distribution of the number of distinct members per duplicated identity."""
-    g = (df.where(F.col(identity).isNotNull()).groupBy(identity)
-         .agg(F.count(F.lit(1)).alias("_rows"), F.countDistinct(member_id).cast("long").alias("group_size"))
+    per_member = df.where(F.col(identity).isNotNull()).groupBy(identity, member_id).agg(F.count(F.lit(1)).alias("_r"))
+    g = (per_member.groupBy(identity)
+         .agg(F.sum("_r").alias("_rows"), F.count_if(F.col(member_id).isNotNull()).cast("long").alias("group_size"))
          .where(F.col("_rows") > 1))
     return g.groupBy("group_size").agg(F.count(F.lit(1)).cast("long").alias("n_groups"))
 

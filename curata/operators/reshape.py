@@ -3,7 +3,9 @@
 Results are long form (one row per cell) unless a pivot is asked for with
 known column values, so that their schema does not depend on the data.
 Windows used for shares run on already-aggregated frames and are partitioned
-by the row label, never over the raw rows.
+by the row label, never over the raw rows; a share of the grand total
+divides by a scalar subquery (``DataFrame.scalar``), so the cells are never
+gathered in one partition.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ def frequency(df: DataFrame, col: str, dropna: bool = False, name: str = "n", pc
     src = df.where(F.col(col).isNotNull()) if dropna else df
     out = src.groupBy(col).agg(F.count(F.lit(1)).cast("long").alias(name))
     if pct:
-        out = out.withColumn(pct, F.lit(100.0) * F.col(name) / F.sum(name).over(Window.partitionBy()))
+        out = grand_share(out, name, pct)
     return out
 
 
@@ -62,8 +64,9 @@ def row_share(counts: DataFrame, row: Sequence[str] | str, value: str = "n", nam
 
 
 def grand_share(counts: DataFrame, value: str = "n", name: str = "pct") -> DataFrame:
-    """100 x cell / grand total (on a small aggregate)."""
-    return counts.withColumn(name, F.lit(100.0) * F.col(value) / F.sum(value).over(Window.partitionBy()))
+    """100 x cell / grand total; the total is a scalar subquery over the same cells."""
+    total = counts.select(F.sum(value)).scalar()
+    return counts.withColumn(name, F.lit(100.0) * F.col(value) / total)
 
 
 def pivot_counts(df: DataFrame, row: str, col: str, values: Sequence, fill: int = 0) -> DataFrame:

@@ -431,7 +431,8 @@ def _reg(df: DataFrame, code: str, table: str, description: str, severity: str,
         F.lit(severity).alias("severity"), F.lit(treatment).alias("treatment"))
 
 
-def anomaly_register(s: Star) -> DataFrame:
+def anomaly_counts(s: Star) -> dict[str, DataFrame]:
+    """code -> one-row frame (observed, base) for every registered anomaly."""
     li = s.t("lineitem")
     dup = dedup.duplicate_summary(li, LINE_KEY).select(F.col("surplus_rows").alias("observed"), F.col("rows").alias("base"))
     orph = integrity.flag_orphans(li, "l_partkey", s.active_parts(), "p_partkey").agg(
@@ -457,6 +458,15 @@ def anomaly_register(s: Star) -> DataFrame:
         F.col("surplus_rows").alias("observed"), F.col("rows").alias("base"))
     ids = dedup.duplicate_summary(s.t("customer"), "c_custkey").select(
         F.col("surplus_rows").alias("observed"), F.col("rows").alias("base"))
+    return {"A1": dup, "A2": orph, "A2b": formula, "A3b": nolines, "A3c": subtot, "A4a": retry, "A4b": partial,
+            "A4c": over, "A5": late, "A5b": neg, "A6a": zero, "A6b": margin, "A7a": names, "A7b": ids}
+
+
+def anomaly_register(s: Star) -> DataFrame:
+    c = anomaly_counts(s)
+    dup, orph, formula, nolines, subtot = c["A1"], c["A2"], c["A2b"], c["A3b"], c["A3c"]
+    retry, partial, over, late, neg = c["A4a"], c["A4b"], c["A4c"], c["A5"], c["A5b"]
+    zero, margin, names, ids = c["A6a"], c["A6b"], c["A7a"], c["A7b"]
     rows = [
         _reg(dup, "A1", "lineitem", "repeated line key (technical duplicate)", "High",
              "keep the latest row per key; keep the dropped rows in an audit table"),
@@ -497,6 +507,105 @@ def q_anomaly_register(spark: SparkSession, sf: str) -> DataFrame:
     return reg.orderBy(severity_rank("severity"), "code")
 
 
+# The plain-language problem report (AR), in its order of presentation:
+# (code, problem, table, severity, in plain words, what to do).
+PROBLEMS = [
+    ("A1", "Duplicate lines", "lineitem", "High", "The same line key appears more than once.", "Keep one copy."),
+    ("A2", "Lines pointing to a missing product", "lineitem", "High",
+     "An ordered part is not in the active catalogue.", "Quarantine these lines."),
+    ("A3c", "Inconsistent order total", "orders", "High",
+     "The billed total does not match the sum of the lines.", "Quarantine."),
+    ("A4c", "Payment captured more than once", "events", "High",
+     "An order is captured for more than its total.", "Check with the payment provider; never add up without a check."),
+    ("A7a", "Duplicate products (same name)", "part", "High",
+     "The same product exists under several keys.", "Merge into one product."),
+    ("A7b", "Shared customer key", "customer", "High", "One key is used for several rows.", "Create a unique technical key."),
+    ("A4b", "Partial payment", "events", "Medium", "The captured amount is below the order total.",
+     "Mark the order as partially paid."),
+    ("A4a", "Payment retried (failure then success)", "events", "Medium",
+     "A first payment fails, a later one succeeds.", "Keep the successful payment as the reference."),
+    ("A5b", "Shipped before being ordered", "lineitem", "Medium",
+     "The ship date is before the order date (impossible).", "Correct or quarantine."),
+    ("A6a", "Zero-price product", "part", "Medium", "A product is listed at 0.", "Report to the business; quarantine."),
+    ("A6b", "Product sold at a loss", "part", "Medium", "The realised unit cost exceeds the list price.",
+     "Report to the business."),
+    ("A5", "Late shipment (7 days or more)", "lineitem", "To know",
+     "The line ships 7 days or more after the order.", "Normal: keep it and measure it."),
+]
+
+
+def q_problem_report(spark: SparkSession, sf: str) -> DataFrame:
+    """AR: the twelve-row plain-language problem report with the share of its file."""
+    counts = anomaly_counts(Star(spark, sf))
+    out = None
+    for rank, (code, problem, table, sev, plain, action) in enumerate(PROBLEMS, start=1):
+        row = counts[code].select(
+            F.lit(rank).alias("rank"), F.lit(problem).alias("problem"), F.lit(table).alias("table"),
+            F.col("observed").cast("long").alias("observed"), F.col("base").cast("long").alias("base"),
+            F.when(F.col("base") > 0, F.lit(100.0) * F.col("observed") / F.col("base")).alias("share_pct"),
+            F.lit(sev).alias("severity"), F.lit(plain).alias("plain_text"), F.lit(action).alias("action"))
+        out = row if out is None else out.unionByName(row)
+    return _round_doubles(out)
+
+
+def line_checks(s: Star) -> DataFrame:
+    """Lines with the A2 orphan flag, the A2b formula flag and the X8 signature (first word of the part type)."""
+    li = integrity.flag_orphans(s.t("lineitem"), "l_partkey", s.active_parts(), "p_partkey")
+    parts = s.t("part").select(F.col("p_partkey").alias("_pk"), "p_retailprice",
+                               F.substring_index("p_type", " ", 1).alias("signature"))
+    j = li.join(parts, F.col("l_partkey") == F.col("_pk"), "left")
+    return j.select("l_orderkey", "l_partkey", "is_orphan", "signature", truthy(
+        F.abs(F.col("l_quantity") * F.col("p_retailprice") - F.col("l_extendedprice")) > TOL).alias("formula_mismatch"))
+
+
+def q_orphan_lines_detail(spark: SparkSession, sf: str) -> DataFrame:
+    """A2: orphan lines, their share, the orders they touch, and how they overlap the A2b formula check."""
+    lc = line_checks(Star(spark, sf))
+    out = lc.agg(
+        F.count(F.lit(1)).cast("long").alias("lines"),
+        F.count_if("is_orphan").cast("long").alias("orphan_lines"),
+        F.count_distinct(F.when(F.col("is_orphan"), F.col("l_orderkey"))).cast("long").alias("orders_touched"),
+        F.count_if("formula_mismatch").cast("long").alias("formula_mismatch"),
+        F.count_if(F.col("is_orphan") & F.col("formula_mismatch")).cast("long").alias("orphan_and_mismatch"))
+    return _round_doubles(out.withColumn(
+        "orphan_pct", F.when(F.col("lines") > 0, F.lit(100.0) * F.col("orphan_lines") / F.col("lines"))))
+
+
+def q_orphan_formula_crosstab(spark: SparkSession, sf: str) -> DataFrame:
+    """A2 x A2b with margins."""
+    return reshape.crosstab_margins(line_checks(Star(spark, sf)), "is_orphan", "formula_mismatch")
+
+
+def q_orphan_signature(spark: SparkSession, sf: str) -> DataFrame:
+    """A2 signature (X8) side by side (U8): lines and orphan lines per first word of the part type."""
+    return line_checks(Star(spark, sf)).groupBy("signature").agg(
+        F.count(F.lit(1)).cast("long").alias("lines"), F.count_if("is_orphan").cast("long").alias("orphan_lines"))
+
+
+def q_identity_history(spark: SparkSession, sf: str) -> DataFrame:
+    """A7a impact (G14, J18): duplicate-name groups whose history is split over >= 2 sold parts; unsold parts."""
+    s = Star(spark, sf)
+    p = integrity.flag_orphans(s.t("part"), "p_partkey", s.t("lineitem"), "l_partkey", name="_unsold", null_safe=True)
+    groups = p.where(F.col("p_name").isNotNull()).groupBy("p_name").agg(
+        F.count(F.lit(1)).alias("_rows"), F.count_if(~F.col("_unsold")).alias("_sold"))
+    g = groups.agg(F.count_if(F.col("_rows") > 1).cast("long").alias("dup_groups"),
+                   F.count_if((F.col("_rows") > 1) & (F.col("_sold") >= 2)).cast("long").alias("split_history_groups"))
+    u = p.agg(F.count(F.lit(1)).cast("long").alias("parts"), F.count_if("_unsold").cast("long").alias("parts_without_sales"))
+    # two one-row aggregates side by side, without a join
+    out = g.unionByName(u, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("dup_groups", "split_history_groups", "parts", "parts_without_sales")])
+    return _round_doubles(out.withColumn(
+        "parts_without_sales_pct", F.when(F.col("parts") > 0, F.lit(100.0) * F.col("parts_without_sales") / F.col("parts"))))
+
+
+def q_id_prefix_signature(spark: SparkSession, sf: str) -> DataFrame:
+    """A7a signature (X9, U8): per 11-character prefix of the part type, all parts and surplus parts by name."""
+    part = Star(spark, sf).t("part")
+    flagged = dedup.flag_surplus(part, "p_name", ["p_partkey"])
+    return flagged.groupBy(F.substring("p_type", 1, 11).alias("prefix")).agg(
+        F.count(F.lit(1)).cast("long").alias("rows"), F.count_if("is_surplus").cast("long").alias("surplus_rows"))
+
+
 def q_scorecard(spark: SparkSession, sf: str) -> DataFrame:
     """PR7: rows, completeness, failing checks and registered anomalies per table."""
     s = Star(spark, sf)
@@ -966,6 +1075,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "status_matrix_returns": q_status_matrix_returns,
     "coherence_checks": q_coherence_checks,
     "anomaly_register": q_anomaly_register,
+    "problem_report": q_problem_report,
+    "orphan_lines_detail": q_orphan_lines_detail,
+    "orphan_formula_crosstab": q_orphan_formula_crosstab,
+    "orphan_signature": q_orphan_signature,
+    "identity_history": q_identity_history,
+    "id_prefix_signature": q_id_prefix_signature,
     "scorecard": q_scorecard,
     "usable_share": q_usable_share,
     "orders_by_month": q_orders_by_month,

@@ -49,11 +49,18 @@ def get_spark(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; set a private one only if unset."""
+    """The session's shared checkpoint folder; set a private one only if unset.
+
+    The private folder is machine-local, so it is only made in local mode; a
+    cluster must name a shared folder in ``spark.checkpoint.dir``.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(intermediate results are checkpointed there)")
         current = tempfile.mkdtemp(prefix="curata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
