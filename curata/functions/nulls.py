@@ -35,6 +35,14 @@ def differs(a, b) -> Column:
     return ~F.coalesce(_c(a) == _c(b), F.lit(False))
 
 
+def any_of(cols: Iterable, pred) -> Column:
+    """F8: ``(df[cols] <pred>).any(axis=1)``; a null comparison counts as False."""
+    out = F.lit(False)
+    for c in cols:
+        out = out | truthy(pred(_c(c)))
+    return out
+
+
 def outside(x, lo, hi) -> Column:
     """``~x.between(lo, hi)``; a null value counts as out of range."""
     return ~F.coalesce(_c(x).between(lo, hi), F.lit(False))

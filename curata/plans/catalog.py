@@ -16,7 +16,7 @@ from curata.functions.nulls import differs, outside, truthy
 from curata.operators import dedup, identity, integrity, payments, profile, reshape
 from curata.operators.ordering import positions
 from curata.plans.retail import ACTIVE_PART_MIN_SIZE as ACTIVE_MIN
-from curata.plans.retail import CAPTURED, FAILED, LATE_DAYS, LINE_KEY, TOL, VIEW, Star
+from curata.plans.retail import CAPTURED, FAILED, LATE_DAYS, LINE_KEY, SIGNUP, TOL, VIEW, Star
 from curata.sources.upsert import merge_latest
 
 R4 = 4
@@ -315,9 +315,22 @@ def _ts(v: str):
     return F.lit(v).cast("timestamp_ntz")
 
 
+def first_order_vs_signup(s: Star) -> DataFrame:
+    """V3.9/J11: per customer who ordered, the first order date and the first sign-up event (left join).
+
+    Both sides are reduced to one row per customer first (min, map-side
+    combined); null customer keys are dropped as in a pandas groupby (N7).
+    """
+    fo = (s.orders_u().where(F.col("o_custkey").isNotNull()).groupBy("o_custkey")
+          .agg(F.min("o_orderdate").alias("first_order")))
+    reg = (s.t("events").where((F.col("event_type") == SIGNUP) & F.col("user_id").isNotNull()).groupBy("user_id")
+           .agg(F.min("ts").alias("signup")))
+    return fo.join(reg, F.col("o_custkey") == F.col("user_id"), "left")
+
+
 def validity_rules(s: Star) -> list:
     from curata.operators.rules import domain_rules
-    from curata.functions.nulls import blank, not_full_match
+    from curata.functions.nulls import any_of, blank, not_full_match
     from curata.specs import Rule
     c = F.col
     return [
@@ -331,11 +344,18 @@ def validity_rules(s: Star) -> list:
             Rule("l_extendedprice <= 0", "lineitem", truthy(c("l_extendedprice") <= 0)),
             Rule("l_discount outside [0, 0.10]", "lineitem", outside("l_discount", 0.0, 0.10)),
             Rule("l_tax outside [0, 0.08]", "lineitem", outside("l_tax", 0.0, 0.08)),
+            Rule("any of quantity, price, discount, tax < 0", "lineitem",
+                 any_of(["l_quantity", "l_extendedprice", "l_discount", "l_tax"], lambda x: x < 0)),
+            Rule("returned line not finished", "lineitem",
+                 truthy(c("l_returnflag").isin("R", "A")) & differs(c("l_linestatus"), F.lit("F"))),
         ]),
+        (first_order_vs_signup(s), [Rule("first order before sign-up", "orders x events",
+                                         truthy(c("first_order") < c("signup")))]),
         (s.deliveries(), [Rule("l_shipdate < o_orderdate", "lineitem x orders", truthy(c("l_shipdate") < c("o_orderdate")))]),
         (s.t("customer"), domain_rules("customer", DOMAINS["customer"]) + [
             Rule("c_acctbal < 0", "customer", truthy(c("c_acctbal") < 0), note="informational"),
             Rule("c_name null or blank", "customer", blank("c_name")),
+            Rule("c_name length != 18", "customer", differs(F.length("c_name"), F.lit(18))),
             Rule("c_name not Customer#digits", "customer", not_full_match("c_name", "Customer#[0-9]+")),
         ]),
         (s.t("part"), domain_rules("part", DOMAINS["part"]) + [

@@ -25,6 +25,7 @@ from curata.operators import dedup
 LINE_KEY = ("l_orderkey", "l_linenumber")
 ACTIVE_PART_MIN_SIZE = 5          # "active catalogue" = parts with p_size > 5
 CAPTURED, FAILED, VIEW = "purchase", "error", "view"   # VIEW events price the order
+SIGNUP = "signup"                 # a customer's registration = its first sign-up event
 LATE_DAYS = 7
 TOL = 0.05
 
