@@ -16,14 +16,23 @@ from curata.functions.nulls import not_in_domain
 from curata.specs import Rule
 
 
-def run_rules(df: DataFrame, rules: Sequence[Rule], digits: int = 3) -> DataFrame:
-    """Evaluate every rule of one frame in one pass."""
+def run_rules(df: DataFrame, rules: Sequence[Rule], digits: int = 3, weight: str | None = None) -> DataFrame:
+    """Evaluate every rule of one frame in one pass.
+
+    ``weight`` names a count column when each row stands for several rows
+    (a pre-aggregated fan-out); violations and population then sum it.
+    """
+    def tally(pred):
+        if weight is None:
+            return F.count_if(pred)
+        return F.coalesce(F.sum(F.when(pred, F.col(weight))), F.lit(0))
+
     aggs = []
     for i, r in enumerate(rules):
         pop = r.population if r.population is not None else F.lit(True)
         viol = F.coalesce(r.predicate, F.lit(False)) & F.coalesce(pop, F.lit(False))
-        aggs.append(F.count_if(viol).cast("long").alias(f"v{i}"))
-        aggs.append(F.count_if(F.coalesce(pop, F.lit(False))).cast("long").alias(f"p{i}"))
+        aggs.append(tally(viol).cast("long").alias(f"v{i}"))
+        aggs.append(tally(F.coalesce(pop, F.lit(False))).cast("long").alias(f"p{i}"))
     wide = df.agg(*aggs)
     structs = [F.struct(F.lit(r.name).alias("check"), F.lit(r.table).alias("table"),
                         F.col(f"v{i}").alias("violations"), F.col(f"p{i}").alias("population"),

@@ -401,27 +401,37 @@ NONE_PAY, NONE_DELIV = "(no line)", "(no line)"
 
 
 def status_frame(s: Star) -> DataFrame:
-    """orders ⟕ status of the last-shipped line ⟕ every line's return flag (fans out per line)."""
+    """Orders ⟕ status of the last-shipped line ⟕ return flags of their lines.
+
+    The fan-out over lines is pre-aggregated: one row per (order, return
+    flag) with ``n`` = the number of such lines (1 for an order without
+    lines), so a hot order adds at most one row per flag to the join.
+    Counting rows of the fan-out = summing ``n``.
+    """
     li = s.t("lineitem")
     last = dedup.latest(li.select("l_orderkey", "l_shipdate", "l_linenumber", "l_linestatus"), "l_orderkey",
                         "l_shipdate", nulls="newest").select(F.col("l_orderkey").alias("_k1"), F.col("l_linestatus").alias("last_status"))
-    flags = li.select(F.col("l_orderkey").alias("_k2"), F.col("l_returnflag").alias("return_flag"))
+    flags = li.groupBy(F.col("l_orderkey").alias("_k2"), F.col("l_returnflag").alias("return_flag")).agg(
+        F.count(F.lit(1)).alias("_n"))
     o = s.orders_u().select("o_orderkey", "o_orderstatus")
     j = (o.join(last, F.col("o_orderkey") == F.col("_k1"), "left")
          .join(flags, F.col("o_orderkey") == F.col("_k2"), "left"))
     return j.select("o_orderkey", "o_orderstatus",
                     F.coalesce("last_status", F.lit(NONE_PAY)).alias("last_status"),
-                    F.coalesce("return_flag", F.lit(NONE_DELIV)).alias("return_flag"))
+                    F.coalesce("return_flag", F.lit(NONE_DELIV)).alias("return_flag"),
+                    F.coalesce(F.col("_n"), F.lit(1)).cast("long").alias("n"))
 
 
 def q_status_matrix_lines(spark: SparkSession, sf: str) -> DataFrame:
     st = status_frame(Star(spark, sf))
-    return _round_doubles(reshape.row_share(reshape.crosstab(st, "o_orderstatus", "last_status"), "o_orderstatus"))
+    return _round_doubles(reshape.row_share(reshape.crosstab(st, "o_orderstatus", "last_status", "n", "sum"),
+                                            "o_orderstatus"))
 
 
 def q_status_matrix_returns(spark: SparkSession, sf: str) -> DataFrame:
     st = status_frame(Star(spark, sf))
-    return _round_doubles(reshape.row_share(reshape.crosstab(st, "o_orderstatus", "return_flag"), "o_orderstatus"))
+    return _round_doubles(reshape.row_share(reshape.crosstab(st, "o_orderstatus", "return_flag", "n", "sum"),
+                                            "o_orderstatus"))
 
 
 def q_coherence_checks(spark: SparkSession, sf: str) -> DataFrame:
@@ -437,7 +447,7 @@ def q_coherence_checks(spark: SparkSession, sf: str) -> DataFrame:
         Rule("order O with a returned line", "orders x lineitem",
              truthy((c("o_orderstatus") == "O") & (c("return_flag") == "R"))),
     ]
-    return run_rules(st, rules)
+    return run_rules(st, rules, weight="n")
 
 
 # --- anomaly register, scorecard, usable share (A*, AS, PR7, PR8) --------------------
