@@ -30,6 +30,29 @@ LATE_DAYS = 7
 TOL = 0.05
 
 
+# The explicit schemas of the driver's tables (as the parquet
+# files declare them). Reading with a schema skips the footer inference job.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey INT,r_name STRING",
+    "nation": "n_nationkey INT,n_name STRING,n_regionkey INT",
+    "customer": "c_custkey BIGINT,c_name STRING,c_nationkey INT,c_acctbal DOUBLE,c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT,s_name STRING,s_nationkey INT,s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT,p_name STRING,p_brand STRING,p_type STRING,p_size INT,p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT,o_custkey BIGINT,o_orderstatus STRING,o_totalprice DOUBLE,o_orderdate TIMESTAMP_NTZ,"
+              "o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT,l_partkey BIGINT,l_suppkey BIGINT,l_linenumber INT,l_quantity DOUBLE,"
+                "l_extendedprice DOUBLE,l_discount DOUBLE,l_tax DOUBLE,l_returnflag STRING,l_linestatus STRING,"
+                "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT,ts TIMESTAMP_NTZ,user_id BIGINT,event_type STRING,value DOUBLE,props STRING",
+    "documents": "doc_id BIGINT,text STRING,lang STRING,source STRING,n_chars BIGINT",
+    "labels": "doc_id BIGINT,quality INT,toxic INT",
+    "conversations": "conv_id BIGINT,turn BIGINT,role STRING,text STRING",
+    "pages": "page_id BIGINT,url STRING,html STRING",
+    "benchmark": "item_id BIGINT,text STRING",
+    "embeddings": "vec_id BIGINT,embedding ARRAY<FLOAT>,label INT",
+}
+
+
 @dataclass
 class Star:
     spark: SparkSession
@@ -38,7 +61,10 @@ class Star:
 
     def t(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+            reader = self.spark.read
+            if name in TABLE_SCHEMAS:
+                reader = reader.schema(TABLE_SCHEMAS[name])
+            self._cache[name] = reader.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
         return self._cache[name]
 
     # --- roles ---------------------------------------------------------
