@@ -72,13 +72,16 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], group: Sequ
     rows = rows.select(*[F.col(f"r.{g}").alias(g) for g in gcols], "_x", "_q_n")
 
     # 2. groups below 4 x accuracy values: Spark's exact aggregate, buffer bounded by that size
+    small_rows = rows.where(F.col("_q_n") < small)
     if interpolation == "linear":
-        exact_aggs = [F.percentile("_x", F.array(*[F.lit(p) for p in probs])).alias("_pa")]
-        exact_cols = [F.col("_pa")[i].alias(names[i]) for i in range(k)]
+        # (group, value) -> count first (codegen'd hash aggregate, map-side combined), then
+        # percentile with a frequency: exact, and its buffer holds distinct values only
+        vc = small_rows.groupBy(*gcols, "_x").agg(F.count(F.lit(1)).alias("_c"))
+        wide = vc.groupBy(*gcols).agg(F.percentile("_x", F.array(*[F.lit(p) for p in probs]), F.col("_c")).alias("_pa"))
+        wide = wide.select(*gcols, *[F.col("_pa")[i].alias(names[i]) for i in range(k)])
     else:
         exact_aggs = [F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY _x)").alias(f"_pd{i}") for i, p in enumerate(probs)]
-        exact_cols = [F.col(f"_pd{i}").alias(names[i]) for i in range(k)]
-    wide = rows.where(F.col("_q_n") < small).groupBy(*gcols).agg(*exact_aggs).select(*gcols, *exact_cols)
+        wide = small_rows.groupBy(*gcols).agg(*exact_aggs).select(*gcols, *[F.col(f"_pd{i}").alias(names[i]) for i in range(k)])
     if has_big:
         wide = wide.unionByName(_bracketed(rows.where(F.col("_q_n") >= small), gcols, probs, names,
                                            interpolation, accuracy, max_groups))
