@@ -1,25 +1,50 @@
 """Join helpers: broadcast only behind a checked size.
 
 ``small_side`` materialises a (usually aggregated) frame once into the shared
-checkpoint folder, counts it, and marks it for broadcast only when the count
-is within the bound; above the bound the join stays a shuffle join, where
-AQE can still split skewed partitions.
+checkpoint folder, counts it, and marks it for broadcast only when both its
+row count and its estimated size (rows x an upper-bound row width) are within
+the bounds; above them the join stays a shuffle join, where AQE can still
+split skewed partitions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from curata.session import checkpoint_dir
 
 DEFAULT_MAX_ROWS = 1_000_000
-
-
-def small_side(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+DEFAULT_MAX_BYTES = 256 << 20
+_TEXT_BYTES = 64          # assumed width of a text value
+_ELEMENTS = 16            # assumed length of an array or map
+_FIXED = {"long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "integer": 4, "float": 4, "date": 4,
+          "short": 2, "byte": 1, "boolean": 1, "decimal": 16, "null": 1}
+
+
+def value_bytes(t: DataType) -> int:
+    if isinstance(t, ArrayType):
+        return _ELEMENTS * value_bytes(t.elementType)
+    if isinstance(t, MapType):
+        return _ELEMENTS * (value_bytes(t.keyType) + value_bytes(t.valueType))
+    if isinstance(t, StructType):
+        return sum(value_bytes(f.dataType) for f in t.fields)
+    return _FIXED.get(t.typeName(), _TEXT_BYTES)
+
+
+def small_side(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES,
+               row_bytes: int | None = None) -> DataFrame:
+    """``df`` checkpointed; broadcast-marked only if its rows and estimated bytes are within the bounds.
+
+    ``row_bytes`` overrides the schema-based width estimate (e.g. when an
+    array column's length is known).
+    """
     checkpoint_dir(df.sparkSession)
     frozen = df.checkpoint(eager=True)
-    return F.broadcast(frozen) if frozen.count() <= max_rows else frozen
+    n = frozen.count()
+    width = row_bytes if row_bytes is not None else 16 + sum(value_bytes(f.dataType) for f in df.schema.fields)
+    return F.broadcast(frozen) if n <= max_rows and n * width <= max_bytes else frozen
 
 
 def static_broadcast(df: DataFrame) -> DataFrame:

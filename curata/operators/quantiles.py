@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curata.operators.joins import small_side
+from curata.operators.joins import small_side, value_bytes
 
 _G0 = "_all"
 
@@ -101,7 +101,9 @@ def _bracketed(rows: DataFrame, gcols: list[str], probs: list[float], names: lis
     eps = 2.0 / accuracy
     bounds = [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
     sk = rows.groupBy(*gcols).agg(F.max("_q_n").alias("_q_n"), F.percentile_approx("_x", bounds, accuracy).alias("_b"))
-    sk = small_side(sk, max_groups)
+    # row = group columns, the count and 2k bracket bounds
+    width = 16 + 8 + 16 * 2 * k + sum(value_bytes(f.dataType) for f in rows.schema.fields if f.name in gcols)
+    sk = small_side(sk, max_groups, row_bytes=width)
     r = rows.select(*gcols, "_x").alias("r").join(
         sk.select(*gcols, "_b").alias("s"), [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in gcols])
     r = r.select(*[F.col(f"r.{g}").alias(g) for g in gcols], "_x", "_b")
