@@ -1,10 +1,13 @@
 """Column profiling (PR1-PR3, PR9, G16).
 
-``profile_columns`` unpivots every column to (column, value-as-text), counts
+``profile_columns`` unpivots every column to (column, typed value), counts
 (column, value) pairs with map-side combine, and derives nulls, distinct and
 the dominant value per column from that frame: two shuffles for the whole
-table instead of one distinct-count per column. Min/max come from one typed
-aggregate over numeric and time columns.
+table instead of one distinct-count per column. The value is a struct with
+one field per type family (text, integral, floating, date, timestamp) of
+which only the column's own is set, so no value is formatted as text before
+grouping; text is rendered per distinct value only, for the dominant value.
+Min/max come from one typed aggregate over numeric and time columns.
 """
 
 from __future__ import annotations
@@ -38,6 +41,51 @@ def value_counts_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
+_INTEGRAL = (IntegerType, LongType, ShortType, ByteType)
+_FAMILY_TYPE = {"s": "string", "l": "bigint", "d": "double", "dt": "date", "tn": "timestamp_ntz", "tz": "timestamp"}
+
+
+def _family(t) -> str:
+    if isinstance(t, _INTEGRAL):
+        return "l"
+    if isinstance(t, (DoubleType, FloatType)):
+        return "d"
+    if isinstance(t, DateType):
+        return "dt"
+    if isinstance(t, TimestampNTZType):
+        return "tn"
+    if isinstance(t, TimestampType):
+        return "tz"
+    return "s"   # text, booleans, decimals: grouped by their text
+
+
+def typed_value_counts(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """(column, value, n) with ``value`` a struct holding the typed value (null value -> null struct).
+
+    Returns the frame and the struct's field names; ``value_text`` renders a value.
+    """
+    fams = {c: _family(df.schema[c].dataType) for c in cols}
+    used = sorted(set(fams.values()))
+
+    def typed(c: str):
+        x = F.col(c)
+        f = fams[c]
+        if f == "d":
+            x = x.cast("double") + F.lit(0.0)   # -0.0 and 0.0 are one value, as in pandas
+        elif f != "tn" and f != "tz" and f != "dt":
+            x = x.cast(_FAMILY_TYPE[f])
+        fields = [(x if u == f else F.lit(None).cast(_FAMILY_TYPE[u])).alias(u) for u in used]
+        return F.when(F.col(c).isNotNull(), F.struct(*fields))
+
+    long = df.select(*[typed(c).alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
+    return long.groupBy("column", "value").agg(F.count(F.lit(1)).cast("long").alias("n")), used
+
+
+def value_text(used: Sequence[str], value: str = "value"):
+    """Text of a typed value, equal to casting the original column to string."""
+    return F.coalesce(*[F.col(value)[u].cast("string") for u in used])
+
+
 def profile_columns(df: DataFrame, table: str | None = None) -> DataFrame:
     """PR1: per column dtype, nulls, null_pct, distinct, distinct_pct, min, max, top_value, top_freq_pct.
 
@@ -46,12 +94,13 @@ def profile_columns(df: DataFrame, table: str | None = None) -> DataFrame:
     """
     fields = [f for f in df.schema.fields if f.dataType.typeName() not in ("array", "map", "struct")]
     cols = [f.name for f in fields]
-    vc = value_counts_long(df, cols)
+    vc, used = typed_value_counts(df, cols)
+    vc = vc.withColumn("_text", value_text(used))
     per_col = vc.groupBy("column").agg(
         F.sum("n").cast("long").alias("_rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("nulls"),
         F.count("value").cast("long").alias("distinct"),
-        F.min_by(F.col("value"), F.when(F.col("value").isNotNull(), F.struct(-F.col("n"), F.col("value")))).alias("top_value"),
+        F.min_by(F.col("_text"), F.when(F.col("value").isNotNull(), F.struct(-F.col("n"), F.col("_text")))).alias("top_value"),
         F.max(F.when(F.col("value").isNotNull(), F.col("n"))).alias("_top_n"),
     )
     typed = [f for f in fields if isinstance(f.dataType, _NUMERIC + _TIME) and not isinstance(f.dataType, BooleanType)]

@@ -51,3 +51,25 @@ def test_frequency_share_uses_grand_total(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "v string")
     got = {r.v: (r.n, round(r.pct, 6)) for r in reshape.frequency(df, "v").collect()}
     assert got == {"a": (2, 50.0), "b": (1, 25.0), None: (1, 25.0)}
+
+
+def test_profile_columns_typed_values_match_text(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from curata.operators import profile
+    rows = [(1, 0.0, "a", True, dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 5), Decimal("1.50")),
+            (1, -0.0, "a", False, dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 5), Decimal("1.50")),
+            (2, 2.5, None, None, None, None, None),
+            (None, 2.5, "b", True, dt.date(2024, 2, 1), dt.datetime(2024, 2, 1, 6), Decimal("2.00"))]
+    df = spark.createDataFrame(rows, "i long, d double, s string, b boolean, day date, ts timestamp, m decimal(10,2)")
+    got = {r.column: (r.nulls, r.distinct, r.top_value) for r in profile.profile_columns(df).collect()}
+    # reference: every value as text (-0.0 folded into 0.0), ties to the smallest text
+    exp = {}
+    for c in df.columns:
+        col = F.col(c) + F.lit(0.0) if c == "d" else F.col(c)
+        vc = df.select(col.cast("string").alias("v")).groupBy("v").count().collect()
+        nn = [(r["count"], r.v) for r in vc if r.v is not None]
+        top = min(nn, key=lambda t: (-t[0], t[1]))[1]
+        exp[c] = (sum(r["count"] for r in vc if r.v is None), len(nn), top)
+    assert got == exp
