@@ -107,9 +107,19 @@ def quantile_scores(df: DataFrame, group: str, cols: dict[str, bool], cuts: Sequ
 
 
 def fx_convert(df: DataFrame, rates: DataFrame, amount: str, currency: str, day: str,
-               rate_cols: tuple[str, str, str] = ("currency", "day", "rate"), name: str = "amount_converted") -> DataFrame:
-    """Convert through a rate table on (currency, day); a missing rate gives null, never 1."""
+               rate_cols: tuple[str, str, str] = ("currency", "day", "rate"), name: str = "amount_converted",
+               max_rates: int = 1_000_000) -> DataFrame:
+    """Convert through a rate table on (currency, day); a missing rate gives null, never 1.
+
+    The rate table is first reduced to one rate per (currency, day): repeated
+    rows that agree keep their rate, conflicting ones give null (no guess),
+    so the join never multiplies amounts. The reduced table is broadcast
+    behind a checked size; otherwise the join stays a shuffle join.
+    """
     rc, rd, rr = rate_cols
-    r = rates.select(F.col(rc).alias("_rc"), F.col(rd).alias("_rd"), F.col(rr).alias("_rate"))
+    r = rates.where(F.col(rc).isNotNull() & F.col(rd).isNotNull()).groupBy(
+        F.col(rc).alias("_rc"), F.col(rd).alias("_rd")).agg(
+        F.when(F.min(rr) == F.max(rr), F.min(rr)).alias("_rate"))
+    r = small_side(r, max_rates)
     j = df.join(r, (df[currency] == F.col("_rc")) & (df[day] == F.col("_rd")), "left")
     return j.withColumn(name, F.col(amount) * F.col("_rate")).drop("_rc", "_rd", "_rate")

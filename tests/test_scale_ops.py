@@ -73,3 +73,19 @@ def test_profile_columns_typed_values_match_text(spark):
         top = min(nn, key=lambda t: (-t[0], t[1]))[1]
         exp[c] = (sum(r["count"] for r in vc if r.v is None), len(nn), top)
     assert got == exp
+
+
+def test_fx_convert_rate_table(spark):
+    import datetime as dt
+
+    from curata.operators.marts import fx_convert
+    d1, d2 = dt.date(2025, 5, 1), dt.date(2025, 5, 2)
+    sales = spark.createDataFrame([(1, 100.0, "XOF", d1), (2, 50.0, "NGN", d1), (3, 10.0, "XOF", d2),
+                                   (4, 20.0, "KES", d1)], "id int, amount double, currency string, day date")
+    rates = spark.createDataFrame([("XOF", d1, 0.0016), ("XOF", d1, 0.0016),   # repeated, agreeing
+                                   ("NGN", d1, 0.0006), ("NGN", d1, 0.0007),   # conflicting
+                                   ("XOF", d2, 0.0015)], "currency string, day date, rate double")
+    out = {r.id: r.amount_converted for r in fx_convert(sales, rates, "amount", "currency", "day").collect()}
+    assert out[1] == 100.0 * 0.0016 and out[3] == 10.0 * 0.0015
+    assert out[2] is None and out[4] is None          # conflicting rate, missing rate: null, never 1
+    assert len(out) == 4
