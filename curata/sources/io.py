@@ -83,7 +83,8 @@ def load_tables(spark: SparkSession, base_dir: str, names: Iterable[str], fmt: s
     for n in names:
         p = f"{base_dir.rstrip('/')}/{n}{ext}"
         if fmt == "parquet":
-            out[n] = spark.read.parquet(p)
+            st = (schemas or {}).get(n)
+            out[n] = (spark.read.schema(st) if st is not None else spark.read).parquet(p)
         else:
             out[n] = read_csv_table(spark, p, (schemas or {}).get(n))
     return out

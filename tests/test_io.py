@@ -77,3 +77,16 @@ def test_run_daily_keeps_every_line_and_is_idempotent(spark, scratch):
     assert spark.read.parquet(f"{base}/quarantine/lineitem").count() == out1["lines_quarantine"]
     assert spark.read.parquet(f"{base}/monitoring/anomaly_register").count() == n_reg
     assert read_current(spark, f"{base}/curated/lineitem").count() == curated.count()
+
+
+def test_run_profiling_writes_report_tables(spark, scratch):
+    from curata.plans.report import run_profiling
+    sf = "/root/testdata/sf0.001"
+    paths = run_profiling(spark, sf, scratch, "2025-05-01", ["anomaly_register", "orders_by_month"])
+    assert paths["anomaly_register"].endswith("/monitoring/anomaly_register")
+    assert paths["orders_by_month"].endswith("/marts/orders_by_month")
+    reg = spark.read.parquet(paths["anomaly_register"])
+    assert reg.where("run_id = '2025-05-01'").count() == 14
+    # re-running the same day replaces it
+    run_profiling(spark, sf, scratch, "2025-05-01", ["anomaly_register"])
+    assert spark.read.parquet(paths["anomaly_register"]).count() == 14
