@@ -42,8 +42,13 @@ def small_side(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int =
     """
     checkpoint_dir(df.sparkSession)
     frozen = df.checkpoint(eager=True)
-    n = frozen.count()
-    width = row_bytes if row_bytes is not None else 16 + sum(value_bytes(f.dataType) for f in df.schema.fields)
+    return broadcast_if_small(frozen, frozen.count(), max_rows, max_bytes, row_bytes)
+
+
+def broadcast_if_small(frozen: DataFrame, n: int, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES,
+                       row_bytes: int | None = None) -> DataFrame:
+    """Broadcast-mark a materialised frame of ``n`` counted rows when rows and estimated bytes are within bounds."""
+    width = row_bytes if row_bytes is not None else 16 + sum(value_bytes(f.dataType) for f in frozen.schema.fields)
     return F.broadcast(frozen) if n <= max_rows and n * width <= max_bytes else frozen
 
 

@@ -32,7 +32,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curata.operators.joins import small_side, value_bytes
+from curata.operators.joins import broadcast_if_small, small_side, value_bytes
+from curata.session import checkpoint_dir
 
 _G0 = "_all"
 
@@ -64,8 +65,12 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], group: Sequ
 
     # 1. per group: value count and the extra aggregates (small, checkpointed)
     stats = src.groupBy(*gcols).agg(F.count("_x").alias("_q_n"), *[c.alias(n) for n, c in extra.items()])
-    stats = small_side(stats, max_groups)
-    has_big = stats.where(F.col("_q_n") >= small).limit(1).count() > 0   # read from the checkpointed frame
+    checkpoint_dir(df.sparkSession)
+    stats = stats.checkpoint(eager=True)
+    # one read of the checkpointed stats: group count (broadcast check) and the largest group
+    n_groups, n_max = stats.agg(F.count(F.lit(1)), F.max("_q_n")).first()
+    stats = broadcast_if_small(stats, n_groups, max_groups)
+    has_big = (n_max or 0) >= small
 
     rows = src.where(F.col("_x").isNotNull()).select(*gcols, "_x").alias("r").join(
         stats.select(*gcols, "_q_n").alias("s"), [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in gcols])
