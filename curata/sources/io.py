@@ -71,6 +71,18 @@ def coerce_timestamps(df: DataFrame, cols: Iterable[str]) -> tuple[DataFrame, Da
     return out, fails
 
 
+def locate_tables(spark: SparkSession, names: Iterable[str], candidates: Iterable[str], override: str | None = None,
+                  ext: str = ".csv") -> str:
+    """The first folder holding every named table; ``override`` (e.g. a path from the caller's
+    environment) is tried before the candidates. Fails naming what was searched."""
+    names = list(names)
+    tried = ([override] if override else []) + list(candidates)
+    for folder in tried:
+        if all(fs.exists(spark, f"{folder.rstrip('/')}/{n}{ext}") for n in names):
+            return folder
+    raise FileNotFoundError(f"no folder holds all of {', '.join(n + ext for n in names)}; searched: {', '.join(tried)}")
+
+
 def load_tables(spark: SparkSession, base_dir: str, names: Iterable[str], fmt: str = "parquet",
                 schemas: Mapping[str, StructType] | None = None) -> dict[str, DataFrame]:
     """Load every named table from ``base_dir``; fail listing all missing ones."""

@@ -90,3 +90,20 @@ def test_run_profiling_writes_report_tables(spark, scratch):
     # re-running the same day replaces it
     run_profiling(spark, sf, scratch, "2025-05-01", ["anomaly_register"])
     assert spark.read.parquet(paths["anomaly_register"]).count() == 14
+
+
+def test_locate_tables_override_then_candidates(spark, scratch):
+    import os
+
+    import pytest
+
+    from curata.sources.io import locate_tables
+    full, partial = os.path.join(scratch, "full"), os.path.join(scratch, "partial")
+    for folder, tables in ((full, ["a", "b"]), (partial, ["a"])):
+        os.makedirs(folder)
+        for t in tables:
+            open(os.path.join(folder, f"{t}.csv"), "w").write("x\n1\n")
+    assert locate_tables(spark, ["a", "b"], [partial, full]) == full
+    assert locate_tables(spark, ["a"], [full], override=partial) == partial
+    with pytest.raises(FileNotFoundError, match="searched"):
+        locate_tables(spark, ["a", "b"], [partial], override=os.path.join(scratch, "nowhere"))
