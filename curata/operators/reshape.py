@@ -110,6 +110,15 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, width: float = 1.0,
             .groupBy("bin_lo").agg(F.count(F.lit(1)).cast("long").alias(name)))
 
 
+def histograms(df: DataFrame, col: str, specs: dict[str, tuple[float, float]], width: float = 1.0,
+               name: str = "n") -> DataFrame:
+    """M22 for several bin ranges in ONE pass: label -> (lo, hi); rows (histogram, bin_lo, n)."""
+    pairs = F.array(*[F.struct(F.lit(label).alias("histogram"), hist_bin(col, lo, hi, width).alias("bin_lo"))
+                      for label, (lo, hi) in specs.items()])
+    return (df.select(F.inline(pairs)).where(F.col("bin_lo").isNotNull())
+            .groupBy("histogram", "bin_lo").agg(F.count(F.lit(1)).cast("long").alias(name)))
+
+
 def box_stats(df: DataFrame, col: str, group: Sequence[str] | str, max_groups: int = 100_000) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (most extreme points inside) and outlier count.
 

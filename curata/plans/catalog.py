@@ -250,9 +250,7 @@ def q_delivery_delays(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_delay_histogram(spark: SparkSession, sf: str) -> DataFrame:
     d = Star(spark, sf).deliveries()
-    a = reshape.histogram(d, "delay_days", 0, 23).withColumn("histogram", F.lit("days_0_23"))
-    b = reshape.histogram(d, "delay_days", -2, 21).withColumn("histogram", F.lit("days_m2_21"))
-    return a.unionByName(b)
+    return reshape.histograms(d, "delay_days", {"days_0_23": (0, 23), "days_m2_21": (-2, 21)})
 
 
 def q_delay_box_stats(spark: SparkSession, sf: str) -> DataFrame:
