@@ -35,6 +35,26 @@ def frequency(df: DataFrame, col: str, dropna: bool = False, name: str = "n", pc
     return out
 
 
+def frequencies(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), dropna: bool = True,
+                name: str = "n", pct: str = "pct") -> DataFrame:
+    """G11/W11 for several columns in ONE pass: (by..., dimension, value, n, pct).
+
+    The columns are unpivoted to (dimension, value as text) and counted
+    together; ``pct`` is the share of the value within its (by..., dimension)
+    rows, so each dimension reads like its own ``value_counts(normalize=True)``.
+    Rows with a null ``by`` label are dropped, as in a crosstab.
+    """
+    by = list(by)
+    src = df
+    for b in by:
+        src = src.where(F.col(b).isNotNull())
+    long = src.select(*by, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot(by, list(cols), "dimension", "value")
+    if dropna:
+        long = long.where(F.col("value").isNotNull())
+    counts = long.groupBy(*by, "dimension", "value").agg(F.count(F.lit(1)).cast("long").alias(name))
+    return row_share(counts, [*by, "dimension"], name, pct)
+
+
 def crosstab(df: DataFrame, row: str, col: str, value: str | None = None, agg: str = "count",
              name: str = "n") -> DataFrame:
     """Long-form crosstab; rows with a null label are dropped like pandas."""

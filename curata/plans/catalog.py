@@ -740,23 +740,16 @@ def q_weekday_hour_range(spark: SparkSession, sf: str) -> DataFrame:
 def q_status_channel_freq(spark: SparkSession, sf: str) -> DataFrame:
     """Frequency and share of order status, channel and line return flag."""
     s = Star(spark, sf)
-    o = s.orders_u()
-    parts = [reshape.frequency(o, c, dropna=True).select(F.lit(c).alias("dimension"), F.col(c).alias("value"), "n", "pct")
-             for c in ("o_orderstatus", "o_orderpriority")]
-    parts.append(reshape.frequency(s.t("lineitem"), "l_returnflag", dropna=True).select(
-        F.lit("l_returnflag").alias("dimension"), F.col("l_returnflag").alias("value"), "n", "pct"))
-    return _round_doubles(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    orders = reshape.frequencies(s.orders_u(), ["o_orderstatus", "o_orderpriority"])   # one pass over the orders
+    lines = reshape.frequencies(s.t("lineitem"), ["l_returnflag"])
+    return _round_doubles(orders.unionByName(lines))
 
 
 def q_mix_by_country(spark: SparkSession, sf: str) -> DataFrame:
     """M7: channel and status mix per country, % of the country's orders."""
     o = _orders_mart(Star(spark, sf))
-    out = None
-    for dim in ("o_orderpriority", "o_orderstatus"):
-        part = reshape.row_share(reshape.crosstab(o, "country", dim), "country").select(
-            F.lit(dim).alias("dimension"), "country", F.col(dim).alias("value"), "n", "pct")
-        out = part if out is None else out.unionByName(part)
-    return _round_doubles(out)
+    mix = reshape.frequencies(o, ["o_orderpriority", "o_orderstatus"], by=["country"])   # one pass for both
+    return _round_doubles(mix.select("dimension", "country", "value", "n", "pct"))
 
 
 def q_headline_shares(spark: SparkSession, sf: str) -> DataFrame:
