@@ -9,7 +9,9 @@ billions of rows. Here:
    rank of every requested quantile (the sketch's rank error is at most
    n/accuracy);
 2. every row is compared with its group's brackets in one pass: rows below
-   a bracket are only counted, rows inside it are kept as (value, count);
+   a bracket are only counted, rows inside it are kept as (value, count).
+   The narrow (group, value) rows of the large groups are checkpointed
+   once, since steps 1-2 read them three times;
 3. per (group, quantile) the few bracketed distinct values are ranked with a
    running sum that starts at the below-count, and the exact order
    statistics are read off and interpolated like ``percentile``
@@ -88,8 +90,10 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], group: Sequ
         exact_aggs = [F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY _x)").alias(f"_pd{i}") for i, p in enumerate(probs)]
         wide = small_rows.groupBy(*gcols).agg(*exact_aggs).select(*gcols, *[F.col(f"_pd{i}").alias(names[i]) for i in range(k)])
     if has_big:
-        wide = wide.unionByName(_bracketed(rows.where(F.col("_q_n") >= small), gcols, probs, names,
-                                           interpolation, accuracy, max_groups))
+        # the bracket path reads its rows three times (sketch, below-counts, candidates): materialise the
+        # narrow (group, value) rows once instead of recomputing the input (often a join) each time
+        big = rows.where(F.col("_q_n") >= small).checkpoint(eager=True)
+        wide = wide.unionByName(_bracketed(big, gcols, probs, names, interpolation, accuracy, max_groups))
 
     extra_names = list(extra)
     out = stats.select(*gcols, *extra_names).alias("s").join(
