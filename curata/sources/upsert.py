@@ -91,12 +91,15 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "updated_at",
-           buckets: int = 64) -> dict:
-    """Apply one batch; returns {"version", "touched_buckets"}.
+           buckets: int = 64, batch_key: str | None = None, batch_id: int | None = None) -> dict:
+    """Apply one batch; returns {"version", "touched_buckets"} (and "skipped" for a replay).
 
     First call writes the deduplicated batch (fails if the path already holds
     data, like the default write mode). Later calls read only the buckets the
     batch touches, merge them and write a new version of those buckets.
+    With ``batch_key``/``batch_id`` (a stream and its epoch) the pointer
+    records the last applied id per key, so a replayed batch is skipped:
+    exactly-once even for rows with a null key.
     """
     keys = list(as_tuple(key))
     if _delta_available(spark):  # pragma: no cover - Delta not in this image
@@ -112,6 +115,11 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "update
         return {"version": None, "touched_buckets": None}
 
     ptr = _pointer(spark, path)
+    applied = dict((ptr or {}).get("batches", {}))
+    if batch_key is not None and batch_id is not None:
+        if batch_key in applied and batch_id <= applied[batch_key]:
+            return {"version": ptr["version"], "touched_buckets": 0, "skipped": True}
+        applied[batch_key] = batch_id
     batch = latest(df, keys, ts, nulls="oldest").withColumn(BUCKET, bucket_of(keys, buckets))
     names = [c for c in df.columns]
     if ptr is None:
@@ -122,7 +130,8 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "update
         batch.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{VERSION}=0")
         present = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{path}/{VERSION}=0") if d.startswith(f"{BUCKET}=")]
         new_ptr = {"version": 0, "buckets": {b: 0 for b in present}, "n_buckets": buckets,
-                   "schema_json": json.dumps({"names": names}), "schema": df.schema.simpleString()}
+                   "schema_json": json.dumps({"names": names}), "schema": df.schema.simpleString(),
+                   "batches": applied}
         _publish(spark, path, new_ptr)
         return {"version": 0, "touched_buckets": len(present)}
 
@@ -144,6 +153,6 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "update
     bmap = dict(ptr["buckets"])
     for b in written:
         bmap[b] = version
-    new_ptr = {**ptr, "version": version, "buckets": bmap}
+    new_ptr = {**ptr, "version": version, "buckets": bmap, "batches": applied}
     _publish(spark, path, new_ptr)
     return {"version": version, "touched_buckets": len(touched)}

@@ -4,9 +4,10 @@ The reference treats late data only in batch form (the MERGE guard that
 ignores older rows). A stream of change rows is handled by running the same
 ``upsert`` inside ``foreachBatch``: replaying a micro-batch after a failure
 gives the same table for non-null keys, because a tie takes the batch row and
-older rows never win. Rows with a null key are inserted on every run (they
-never match), so a replayed batch repeats them; filter them upstream when
-that matters.
+older rows never win. On top of that, the epoch of every applied batch is
+recorded in the table's pointer file under the stream's checkpoint location,
+so a replayed epoch is skipped: rows with a null key (which never match and
+would be inserted again) are applied exactly once as well.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ def start_upsert_stream(stream: DataFrame, path: str, key, ts: str, checkpoint_l
     def apply(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        upsert(batch.sparkSession, batch, path, key, ts, buckets)
+        upsert(batch.sparkSession, batch, path, key, ts, buckets, batch_key=checkpoint_location, batch_id=epoch_id)
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     if query_name:

@@ -56,3 +56,20 @@ def test_batch_order_does_not_matter(spark, scratch):
     upsert(spark, b2, p2, "id", buckets=4)
     upsert(spark, b1, p2, "id", buckets=4)
     assert _rows(read_current(spark, p1)) == _rows(read_current(spark, p2))
+
+
+def test_replayed_epoch_is_skipped(spark, scratch):
+    import os
+
+    path = os.path.join(scratch, "t_epochs")
+    schema = "id string, updated_at timestamp, v string"
+    b0 = spark.createDataFrame([("a", dt.datetime(2025, 1, 1), "1"), (None, dt.datetime(2025, 1, 1), "n")], schema)
+    upsert(spark, b0, path, "id", "updated_at", 4, batch_key="stream-1", batch_id=0)
+    b1 = spark.createDataFrame([("b", dt.datetime(2025, 1, 2), "2"), (None, dt.datetime(2025, 1, 2), "m")], schema)
+    upsert(spark, b1, path, "id", "updated_at", 4, batch_key="stream-1", batch_id=1)
+    out = upsert(spark, b1, path, "id", "updated_at", 4, batch_key="stream-1", batch_id=1)   # replay after a failure
+    assert out.get("skipped") is True
+    assert read_current(spark, path).count() == 4          # a, b and the two null-key rows, once each
+    # another stream keeps its own epochs
+    upsert(spark, b1, path, "id", "updated_at", 4, batch_key="stream-2", batch_id=0)
+    assert read_current(spark, path).count() == 5          # its null-key row is new to the table
