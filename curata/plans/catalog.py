@@ -682,13 +682,15 @@ def q_scorecard(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_usable_share(spark: SparkSession, sf: str) -> DataFrame:
-    """PR8: lines neither orphan nor off-formula; orders with lines and a matching total."""
+    """PR8: lines neither orphan nor off-formula (v2: not orphan); orders with lines and a matching total."""
     s = Star(spark, sf)
     li = integrity.flag_orphans(s.t("lineitem"), "l_partkey", s.active_parts(), "p_partkey")
     li = li.join(s.t("part").select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"), "left")
     bad_formula = truthy(F.abs(F.col("l_quantity") * F.col("p_retailprice") - F.col("l_extendedprice")) > TOL)
-    lines = li.agg(F.count_if(~(F.col("is_orphan") | bad_formula)).cast("long").alias("usable"),
-                   F.count(F.lit(1)).cast("long").alias("total")).withColumn("entity", F.lit("lineitem"))
+    # v1: neither orphan nor off-formula; v2 (plain notebook): not orphan only -- one aggregate for both
+    lines = _counts(li, lineitem=(F.count_if(~(F.col("is_orphan") | bad_formula)), F.count(F.lit(1))),
+                    lineitem_not_orphan=(F.count_if(~F.col("is_orphan")), F.count(F.lit(1)))).select(
+        F.col("code").alias("entity"), F.col("observed").alias("usable"), F.col("base").alias("total"))
     rec = order_reconciliation(s)
     orders = rec.agg(F.count_if(~F.col("no_lines") & ~F.col("subtotal_mismatch")).cast("long").alias("usable"),
                      F.count(F.lit(1)).cast("long").alias("total")).withColumn("entity", F.lit("orders"))
