@@ -943,6 +943,12 @@ RFM_AS_OF = "2002-01-01 00:00:00"
 PII_SALT = "curata-test-salt"   # tests only; real runs pass the salt in and never store it
 
 
+def q_line_key_collisions(spark: SparkSession, sf: str) -> DataFrame:
+    """W6/A7b listing: every row whose key repeats (``duplicated(keep=False)``), here the line key."""
+    li = Star(spark, sf).t("lineitem")
+    return dedup.flag_repeated(li, LINE_KEY).where(F.col("is_repeated")).drop("is_repeated")
+
+
 def q_dedup_audit(spark: SparkSession, sf: str) -> DataFrame:
     """The rows dropped by the latest-row dedup of lineitem (the audit table)."""
     _, dropped = dedup.split_latest(Star(spark, sf).t("lineitem"), LINE_KEY, "l_shipdate", nulls="oldest")
@@ -1129,6 +1135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "status_matrix_returns": q_status_matrix_returns,
     "coherence_checks": q_coherence_checks,
     "anomaly_register": q_anomaly_register,
+    "line_key_collisions": q_line_key_collisions,
     "reconciliation_summary": q_reconciliation_summary,
     "reconciliation_crosstab": q_reconciliation_crosstab,
     "gap_ratio_summary": q_gap_ratio_summary,
