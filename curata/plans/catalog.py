@@ -732,6 +732,15 @@ def q_weekday_hour(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.count(F.lit(1)).cast("long").alias("n")))
 
 
+def q_weekday_hour_pivot(spark: SparkSession, sf: str) -> DataFrame:
+    """The weekday x hour table as a pivot over the 24 known hours, empty slots 0."""
+    from curata.functions.scalars import weekday_name, weekday_rank
+    e = Star(spark, sf).t("events").where(F.col("ts").isNotNull()).select(
+        weekday_rank("ts").alias("dow_rank"), weekday_name("ts").alias("dow"), F.hour("ts").alias("hour"))
+    return (e.groupBy("dow_rank", "dow").pivot("hour", list(range(24))).count()
+            .fillna(0, subset=[str(h) for h in range(24)]))
+
+
 def q_weekday_hour_range(spark: SparkSession, sf: str) -> DataFrame:
     """M5: busiest and quietest filled (weekday, hour) slot and the hour range."""
     cells = q_weekday_hour(spark, sf)
@@ -943,6 +952,17 @@ RFM_AS_OF = "2002-01-01 00:00:00"
 PII_SALT = "curata-test-salt"   # tests only; real runs pass the salt in and never store it
 
 
+def q_dup_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """A1 detail: line keys whose copies disagree on at least one column (rows and distinct versions)."""
+    return dedup.conflicting_duplicates(Star(spark, sf).t("lineitem"), LINE_KEY)
+
+
+def q_orphan_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The orphan lines themselves (left anti join on the active catalogue; a null key is an orphan)."""
+    s = Star(spark, sf)
+    return integrity.orphans(s.t("lineitem"), "l_partkey", s.active_parts(), "p_partkey")
+
+
 def q_line_key_collisions(spark: SparkSession, sf: str) -> DataFrame:
     """W6/A7b listing: every row whose key repeats (``duplicated(keep=False)``), here the line key."""
     li = Star(spark, sf).t("lineitem")
@@ -1136,6 +1156,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coherence_checks": q_coherence_checks,
     "anomaly_register": q_anomaly_register,
     "line_key_collisions": q_line_key_collisions,
+    "dup_conflicts": q_dup_conflicts,
+    "orphan_lines": q_orphan_lines,
+    "weekday_hour_pivot": q_weekday_hour_pivot,
     "reconciliation_summary": q_reconciliation_summary,
     "reconciliation_crosstab": q_reconciliation_crosstab,
     "gap_ratio_summary": q_gap_ratio_summary,
