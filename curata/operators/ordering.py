@@ -6,8 +6,9 @@ by one core. ``positions`` computes the same numbers this way:
 
 1. range-partition the rows on (key, order) and sort within partitions:
    Spark samples the boundaries, so a hot key spans many balanced
-   partitions; ``monotonically_increasing_id`` then holds (partition id,
-   index in the partition) for every row;
+   partitions (their number is the session's, AQE may merge neighbours);
+   ``monotonically_increasing_id`` then holds (partition id, index in the
+   partition) for every row;
 2. the ranged frame is checkpointed once into the session's shared
    checkpoint folder, so that the ids are data: re-evaluating the plan (or
    losing an executor) cannot change them. Spark gives the same advice for
@@ -34,12 +35,6 @@ from curata.specs import as_tuple
 _ID, _PID, _FIRST, _OFF = "_pos_id", "_pos_pid", "_pos_first", "_pos_off"
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return int(partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def positions(df: DataFrame, key, order: Sequence[Column], name: str = "pos", partitions: int | None = None) -> DataFrame:
     """``df`` with ``name`` = 1-based position of the row in its key under ``order``.
 
@@ -49,9 +44,10 @@ def positions(df: DataFrame, key, order: Sequence[Column], name: str = "pos", pa
     """
     keys = list(as_tuple(key))
     sort = [F.col(k).asc_nulls_first() for k in keys] + list(order)
-    n = _partitions(df, partitions)
-    ranged = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
-              .withColumn(_ID, F.monotonically_increasing_id()))
+    # Without an explicit count the session decides (AQE's initial partition number, then coalescing of
+    # contiguous ranges), so partition ids stay in sort order whatever the data size.
+    ranged = df.repartitionByRange(int(partitions), *sort) if partitions else df.repartitionByRange(*sort)
+    ranged = ranged.sortWithinPartitions(*sort).withColumn(_ID, F.monotonically_increasing_id())
     checkpoint_dir(df.sparkSession)
     ranged = ranged.checkpoint(eager=True).withColumn(_PID, F.shiftright(F.col(_ID), 33))
 
