@@ -71,6 +71,14 @@ def _publish(spark: SparkSession, path: str, ptr: dict) -> None:
     fs.write_text_new(spark, f"{path}/{POINTERS}/{ptr['version']}.json", json.dumps(ptr))
 
 
+def _segments(ptr: dict, bucket) -> list[int]:
+    """Versions holding a bucket's current rows (a list; older pointers hold one int)."""
+    v = ptr["buckets"].get(str(bucket))
+    if v is None:
+        return []
+    return list(v) if isinstance(v, list) else [v]
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """The path holds a curated table (pointer file or Delta log)."""
     return _pointer(spark, path) is not None or fs.exists(spark, f"{path}/_delta_log")
@@ -83,7 +91,7 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     ptr = _pointer(spark, path)
     if ptr is None:
         raise FileNotFoundError(f"no curated table at {path}")
-    paths = [f"{path}/{VERSION}={v}/{BUCKET}={b}" for b, v in sorted(ptr["buckets"].items(), key=lambda kv: int(kv[0]))]
+    paths = [f"{path}/{VERSION}={v}/{BUCKET}={b}" for b in sorted(ptr["buckets"], key=int) for v in _segments(ptr, b)]
     if not paths:
         return spark.createDataFrame([], ptr["schema"])
     df = spark.read.option("basePath", path).parquet(*paths)
@@ -91,12 +99,17 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "updated_at",
-           buckets: int = 64, batch_key: str | None = None, batch_id: int | None = None) -> dict:
+           buckets: int = 64, batch_key: str | None = None, batch_id: int | None = None,
+           max_segments: int = 8) -> dict:
     """Apply one batch; returns {"version", "touched_buckets"} (and "skipped" for a replay).
 
     First call writes the deduplicated batch (fails if the path already holds
     data, like the default write mode). Later calls read only the buckets the
     batch touches, merge them and write a new version of those buckets.
+    A touched bucket where no batch key exists yet (found from the key
+    columns alone) is not rewritten: the batch's rows are appended as a new
+    segment of it; a bucket is merged and compacted into one segment when a
+    batch key matches or when it has ``max_segments`` segments.
     With ``batch_key``/``batch_id`` (a stream and its epoch) the pointer
     records the last applied id per key, so a replayed batch is skipped:
     exactly-once even for rows with a null key.
@@ -129,7 +142,7 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "update
         # A version-0 folder without a pointer is a failed first attempt; nothing reads it.
         batch.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{VERSION}=0")
         present = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{path}/{VERSION}=0") if d.startswith(f"{BUCKET}=")]
-        new_ptr = {"version": 0, "buckets": {b: 0 for b in present}, "n_buckets": buckets,
+        new_ptr = {"version": 0, "buckets": {b: [0] for b in present}, "n_buckets": buckets,
                    "schema_json": json.dumps({"names": names}), "schema": df.schema.simpleString(),
                    "batches": applied}
         _publish(spark, path, new_ptr)
@@ -140,19 +153,32 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "update
     # The list of touched buckets is bounded by the bucket count.
     touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
     version = ptr["version"] + 1
-    old_paths = [f"{path}/{VERSION}={ptr['buckets'][str(b)]}/{BUCKET}={b}" for b in touched if str(b) in ptr["buckets"]]
+    seg_paths = {b: [f"{path}/{VERSION}={v}/{BUCKET}={b}" for v in _segments(ptr, b)] for b in touched}
+    old_paths = [p for b in touched for p in seg_paths[b]]
+    rewrite: set[int] = set()
     if old_paths:
-        target = spark.read.option("basePath", path).parquet(*old_paths).drop(VERSION)
+        # buckets where a batch key already exists: the key columns suffice (column pruning), and the
+        # list of such buckets is bounded by the bucket count
+        target_keys = spark.read.option("basePath", path).parquet(*old_paths).select(*keys, BUCKET)
+        hit = target_keys.join(batch.select(*keys), keys, "left_semi").select(BUCKET).distinct()
+        rewrite = {r[0] for r in hit.collect()}
+        rewrite |= {b for b in touched if len(_segments(ptr, b)) >= max_segments}
+    rewrite_paths = [p for b in sorted(rewrite) for p in seg_paths[b]]
+    inserts = batch.where(~F.col(BUCKET).isin(sorted(rewrite))).select(*names, BUCKET)
+    if rewrite_paths:
+        target = spark.read.option("basePath", path).parquet(*rewrite_paths).drop(VERSION)
+        merged = merge_latest(target.select(*names, BUCKET), batch.where(F.col(BUCKET).isin(sorted(rewrite)))
+                              .select(*names, BUCKET), keys, ts, dedup_source=False)
+        out = merged.unionByName(inserts)
     else:
-        target = spark.createDataFrame([], batch.schema)
-    merged = merge_latest(target.select(*names, BUCKET), batch.select(*names, BUCKET), keys, ts, dedup_source=False)
+        out = inserts
     # The new version folder is not referenced by the pointer until the switch
     # below, so a retried batch may overwrite a leftover of a failed attempt.
-    merged.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{VERSION}={version}")
+    out.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{VERSION}={version}")
     written = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{path}/{VERSION}={version}") if d.startswith(f"{BUCKET}=")]
-    bmap = dict(ptr["buckets"])
+    bmap = {b: _segments(ptr, b) for b in ptr["buckets"]}
     for b in written:
-        bmap[b] = version
+        bmap[b] = [version] if int(b) in rewrite else bmap.get(b, []) + [version]
     new_ptr = {**ptr, "version": version, "buckets": bmap, "batches": applied}
     _publish(spark, path, new_ptr)
     return {"version": version, "touched_buckets": len(touched)}

@@ -73,3 +73,29 @@ def test_replayed_epoch_is_skipped(spark, scratch):
     # another stream keeps its own epochs
     upsert(spark, b1, path, "id", "updated_at", 4, batch_key="stream-2", batch_id=0)
     assert read_current(spark, path).count() == 5          # its null-key row is new to the table
+
+
+def test_insert_only_buckets_append_segments(spark, scratch):
+    import json
+    import os
+
+    path = os.path.join(scratch, "t_segments")
+    b0 = spark.createDataFrame([(f"k{i}", T(2025, 1, 1), "0") for i in range(20)], SCHEMA)
+    upsert(spark, b0, path, "id", "updated_at", 4)
+    b1 = spark.createDataFrame([(f"n{i}", T(2025, 1, 2), "1") for i in range(20)], SCHEMA)   # new keys only
+    upsert(spark, b1, path, "id", "updated_at", 4)
+
+    def pointer():
+        d = os.path.join(path, "_pointers")
+        names = [n for n in os.listdir(d) if n.endswith(".json") and n[:-5].isdigit()]
+        return json.load(open(os.path.join(d, max(names, key=lambda n: int(n[:-5])))))
+
+    segs = pointer()["buckets"]
+    assert all(v == [0, 1] for v in segs.values())            # appended, nothing rewritten
+    b2 = spark.createDataFrame([("k0", T(2025, 1, 3), "2"), ("k1", T(2024, 1, 1), "old")], SCHEMA)
+    upsert(spark, b2, path, "id", "updated_at", 4)
+    segs = pointer()["buckets"]
+    assert any(v == [2] for v in segs.values())                # the matched buckets were merged and compacted
+    got = {r.id: r.v for r in read_current(spark, path).collect()}
+    assert len(got) == 40 and got["k0"] == "2" and got["k1"] == "0" and got["n5"] == "1"
+    assert read_current(spark, path).count() == 40            # no key twice across segments
