@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.operators.dedup import latest
+from curata.session import checkpoint_dir
 from curata.sources import fs
 from curata.specs import as_tuple
 
@@ -150,6 +151,9 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "update
 
     if ptr["n_buckets"] != buckets:
         batch = batch.withColumn(BUCKET, bucket_of(keys, ptr["n_buckets"]))
+    # the deduplicated batch feeds three jobs below (touched buckets, key match, write): materialise it once
+    checkpoint_dir(spark)
+    batch = batch.checkpoint(eager=True)
     # The list of touched buckets is bounded by the bucket count.
     touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
     version = ptr["version"] + 1
