@@ -50,3 +50,17 @@ def test_attempt_numbers_and_reference(spark):
     # null time sorts last among attempts and counts as the newest capture
     assert got == {("o1", 3, 3), ("o3", None, 2)}
     assert sorted(r.attempt_no for r in att.where("order_id = 'o1'").collect()) == [1, 2, 3]
+
+
+def test_positions_with_aqe_coalesced_ranges(spark):
+    # many range partitions on small data: AQE merges neighbouring ranges, ids must stay in sort order
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        df = _skewed(spark, 3000)
+        order = [F.col("ts").desc_nulls_first(), F.col("tie").desc()]
+        got = positions(df, "k", order, "pos")
+        exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("k").orderBy(*order)).cast("long"))
+        assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
