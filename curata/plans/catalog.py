@@ -593,7 +593,10 @@ def q_problem_report(spark: SparkSession, sf: str) -> DataFrame:
     """AR: the twelve-row plain-language problem report with the share of its file."""
     counts = anomaly_counts(Star(spark, sf)).where(F.col("code").isin([p[0] for p in PROBLEMS]))
     code = F.col("code")
-    pick = lambda i: _lookup(code, [(p[0], p[i]) for p in PROBLEMS])
+
+    def pick(i: int) -> Column:
+        return _lookup(code, [(p[0], p[i]) for p in PROBLEMS])
+
     out = counts.select(
         _lookup(code, [(p[0], r) for r, p in enumerate(PROBLEMS, start=1)]).alias("rank"),
         pick(1).alias("problem"), pick(2).alias("table"), "observed", "base",
