@@ -46,6 +46,16 @@ def payment_check(orders: DataFrame, payments: DataFrame, key: Sequence[str], to
     j = j.select(*key, total,
                  *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("n_payments", "n_failed", "n_captured")],
                  F.coalesce(F.col("captured_amount"), F.lit(0.0)).alias("captured_amount"))
+    return payment_flags(j, total, tol)
+
+
+def payment_flags(facts: DataFrame, total: str, tol: float = 0.001) -> DataFrame:
+    """The A4 flags on a per-order frame holding ``total``, n_payments, n_failed, n_captured, captured_amount.
+
+    Lets a caller whose orders and payments come from one table build the
+    facts in one grouped pass and still share the flag rules.
+    """
+    j = facts
     ratio = safe_ratio("captured_amount", total)
     has = F.col("n_captured") > 0
     return j.withColumn("ratio", ratio).select(

@@ -217,8 +217,21 @@ def payment_orders(s: Star) -> DataFrame:
 
 
 def payment_facts(s: Star) -> DataFrame:
-    return payments.payment_check(payment_orders(s), s.payments(), ["user_id", "day"], "total", "event_type",
-                                  "value", captured=CAPTURED, failed=FAILED)
+    """Per paid 'order' (user_id, day): total and payment facts in ONE grouped pass over the events.
+
+    Orders and payments are one table here, so the order totals and the
+    payment facts share the grouping instead of two aggregations and a join.
+    Facts count only rows with a day, as the join on (user_id, day) would.
+    """
+    p = s.payments().where(F.col("user_id").isNotNull())
+    has_day, st = F.col("day").isNotNull(), F.col("event_type")
+    g = p.groupBy("user_id", "day").agg(
+        F.coalesce(F.sum(F.when(st == VIEW, F.col("value"))), F.lit(0.0)).alias("total"),
+        F.count_if(has_day).cast("long").alias("n_payments"),
+        F.count_if(has_day & (st == FAILED)).cast("long").alias("n_failed"),
+        F.count_if(has_day & (st == CAPTURED)).cast("long").alias("n_captured"),
+        F.coalesce(F.sum(F.when(has_day & (st == CAPTURED), F.col("value"))), F.lit(0.0)).alias("captured_amount"))
+    return payments.payment_flags(g, "total")
 
 
 def q_payment_summary(spark: SparkSession, sf: str) -> DataFrame:
