@@ -1054,8 +1054,7 @@ def q_overcapture_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Over-captures before and after removing repeated captures of one payment reference (props)."""
     s = Star(spark, sf)
     p = s.payments()
-    before = payments.payment_check(payment_orders(s), p, ["user_id", "day"], "total", "event_type", "value",
-                                    captured=CAPTURED, failed=FAILED)
+    before = payment_facts(s)
     deduped = dedup.first(p, ["user_id", "day", "event_type", "props"], ["ts", "event_id"])
     after = payments.payment_check(payment_orders(s), deduped, ["user_id", "day"], "total", "event_type", "value",
                                    captured=CAPTURED, failed=FAILED)
