@@ -34,3 +34,15 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = _plan(df)
     assert "GreaterThan(p_size,5)" in plan
     assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in plan
+
+
+def test_payment_facts_group_the_events_once(spark):
+    from curata.plans.catalog import payment_facts
+    plan = _plan(payment_facts(Star(spark, SF)))
+    assert plan.count("Scan parquet") == 1 and "Join" not in plan
+
+
+def test_frequencies_of_several_columns_scan_once(spark):
+    from curata.operators import reshape
+    plan = _plan(reshape.frequencies(Star(spark, SF).t("orders"), ["o_orderstatus", "o_orderpriority"]))
+    assert plan.count("Scan parquet") == 1
