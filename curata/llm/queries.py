@@ -6,19 +6,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curata.llm import ngram_join
+from curata.llm import ngram_join, quality_cascade
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op9_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_cascade.judge(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", *quality_cascade.BASE_COLUMNS, "base_failed", "kept")
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_t(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_quality_cascade": op9_quality_cascade,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_quality_cascade": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+                     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+        p AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, w FROM w WHERE len(w) >= 3),
+        g AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS c FROM p),
+        rep AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM g WHERE c > 1) GROUP BY r),
+        m AS (SELECT w.r, doc_id, t, len(lines) AS n_lines, CAST(len(w) AS BIGINT) AS n_words,
+                     CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+                     CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+                     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                     CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+                     len(list_filter(w, lambda x: NOT regexp_matches(x, '\p{L}'))) AS letterless
+              FROM w LEFT JOIN rep ON w.r = rep.r),
+        b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+                    OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+                    OR len(regexp_extract_all(t, '\p{Lu}')) > len(regexp_extract_all(t, '\p{Ll}'))
+                    OR 5 * letterless > n_words
+                    OR 10 * len(regexp_extract_all(t, '(?m)^[\x20\x09]*[-*•◦‣]')) > 9 * n_lines
+                    OR 10 * len(regexp_extract_all(t, '(?m)(?:\.\.\.|…)[\x20\x09\r]*$')) > 3 * n_lines) AS kept
+        FROM b""",
+}
