@@ -6,7 +6,6 @@ only read it. Tests and local runs, where it is unset, get a fresh folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
