@@ -22,8 +22,8 @@ _powers: dict[str, np.ndarray] = {}
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_SPACE_OR_MARK = _SPACE.copy()
+_SPACE_OR_MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
 
 def _power(kind: str, base: np.uint64, n: int) -> np.ndarray:
@@ -50,22 +50,23 @@ class Words:
 
     ``hash`` has one 64-bit hash per word; ``first`` (length n + 1) the index
     of each text's first word; ``start``/``end`` the words' byte offsets in
-    ``data``; ``offset`` the texts' byte offsets.
+    ``data``; ``offset`` the texts' byte offsets. With ``plain``, texts are
+    lower-cased first and ASCII punctuation counts as white space. A null
+    text has no words.
     """
 
-    def __init__(self, texts: list[str | None], lower: bool = False):
-        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    def __init__(self, texts: list[str | None], plain: bool = False):
+        raw = [(t.lower() if plain else t).encode("utf-8", "surrogatepass") if t else b"" for t in texts]
         # one separator byte after each text, so that no word spans two texts
         self.data = np.frombuffer(b"\n".join([*raw, b""]), dtype=np.uint8)
         self.offset = np.zeros(len(raw) + 1, dtype=np.int64)
         np.cumsum([len(r) + 1 for r in raw], out=self.offset[1:])
-        d = _LOWER[self.data] if lower else self.data
-        space = _SPACE[d]
+        space = (_SPACE_OR_MARK if plain else _SPACE)[self.data]
         edge = np.diff(np.concatenate(([True], space)).astype(np.int8))
         self.start = np.flatnonzero(edge == -1)
         self.end = np.flatnonzero(edge == 1)
         self.first = np.searchsorted(self.start, self.offset)
-        self.hash = self._hash(d)
+        self.hash = self._hash(self.data)
 
     def _hash(self, d: np.ndarray) -> np.ndarray:
         out = np.empty(len(self.start), dtype=np.uint64)
