@@ -5,14 +5,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from curata.llm import ngram_join, quality_cascade
+from curata.llm import decontaminate, html_density, license_scan, mixture, ngram_join, pii, quality_cascade, token_counts, url_rules, warc_revisit
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark"))
+
+
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(_t(spark, sf_dir, "documents").select("doc_id", "text"), counts="n_mentions")
+
+
+def op3_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_density.extract(_t(spark, sf_dir, "pages"))
+
+
+def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_revisit.resolve(warc_revisit.crawl_records(_t(spark, sf_dir, "pages")))
+    header = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.withColumn("headers", F.array_join(header, "\n")).withColumn("at", F.unix_seconds("at"))
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixture.mix(_t(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(_t(spark, sf_dir, "pages")).drop("matched_by")
+
+
+def op7_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(_t(spark, sf_dir, "documents"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_t(spark, sf_dir, "documents"))
+
+
 def op9_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_cascade.judge(_t(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", *quality_cascade.BASE_COLUMNS, "base_failed", "kept")
@@ -23,11 +59,76 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
+    "op2_surrogates": op2_surrogates,
+    "op3_html_density": op3_html_density,
+    "op4_revisits": op4_revisits,
+    "op5_source_mix": op5_source_mix,
+    "op6_url_rules": op6_url_rules,
+    "op7_section_tokens": op7_section_tokens,
+    "op8_license_scan": op8_license_scan,
     "op9_quality_cascade": op9_quality_cascade,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_revisits": r"""
+        WITH p AS (SELECT page_id AS n, url, coalesce(html, '') AS html FROM pages),
+        x AS (SELECT *, '"' || md5(html)[1:12] || '"' AS tag, 'day ' || CAST(n % 365 AS VARCHAR) AS modified, 1700000000 + (n % 500) * 3600 AS base,
+                     regexp_replace(regexp_replace(url, '(?s)#.*$', ''), '(?s)^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM p),
+        k AS (SELECT *, CASE WHEN contains(url, '://') THEN
+                 regexp_replace(regexp_replace(lower(regexp_extract(rest, '(?s)^([^/?]*)', 1)), ':(80|443)$', ''), '^www\.', '')
+                 || regexp_replace(regexp_extract(rest, '(?s)^[^/?]*([^?]*)', 1), '/+$', '')
+                 || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END ELSE url END AS canonical
+              FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(rest, '(?s)^[^?]*\?(.*)$', 1), '&'),
+                        lambda v: v <> '' AND NOT regexp_matches(lower(v), '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS q FROM x)),
+        rev AS (SELECT n * 8 + 1 AS record_id, canonical, base + 30 * 3600 AS at, 'W/' || tag AS etag, modified AS lm, 'cache-control' AS name, 'max-age=3600' AS value, '0' AS cl FROM k
+                UNION ALL SELECT n * 8 + 2, canonical, base + 31 * 3600, '"old"', modified, 'date', 'later', NULL FROM k WHERE n % 5 = 0
+                UNION ALL SELECT n * 8 + 3, canonical, base - 900 * 3600, tag, NULL, 'date', 'before', NULL FROM k WHERE n % 7 = 0
+                UNION ALL SELECT n * 8 + 4, canonical, base + 200 * 3600, NULL, modified, 'expires', 'soon', NULL FROM k WHERE n % 3 = 0
+                UNION ALL SELECT n * 8 + 5, canonical, base + 3600, NULL, NULL, 'date', 'bare', NULL FROM k WHERE n % 11 = 0),
+        j AS (SELECT r.*, f.record_id AS response_id, f.tag AS ftag, f.lm AS flm, f.html FROM rev r LEFT JOIN LATERAL (
+                SELECT n * 8 AS record_id, tag, modified AS lm, html FROM k WHERE k.canonical = r.canonical AND k.base <= r.at ORDER BY k.base DESC, n DESC LIMIT 1) f ON true),
+        v AS (SELECT *, CASE WHEN response_id IS NULL THEN 'no response' WHEN etag IS NULL AND lm IS NULL THEN 'unvalidated'
+                             WHEN CASE WHEN etag IS NOT NULL THEN regexp_replace(etag, '^W/', '') = ftag ELSE lm = flm END THEN 'resolved' ELSE 'mismatch' END AS verdict FROM j)
+        SELECT record_id, canonical, at, verdict, response_id,
+               array_to_string(list_sort(list_filter(CASE WHEN verdict = 'resolved' THEN
+                   ['cache-control: ' || CASE WHEN name = 'cache-control' THEN value ELSE 'max-age=60' END, 'content-length: ' || CAST(length(html) AS VARCHAR),
+                    'content-type: text/html', 'etag: ' || coalesce(etag, ftag), 'last-modified: ' || coalesce(lm, flm), CASE WHEN name <> 'cache-control' THEN name || ': ' || value END]
+                   ELSE ['content-length: ' || cl, 'etag: ' || etag, 'last-modified: ' || lm, name || ': ' || value] END, lambda h: h IS NOT NULL)), chr(10)) AS headers,
+               CASE WHEN verdict = 'resolved' THEN sha256(html) END AS payload_digest, CASE WHEN verdict = 'resolved' THEN length(html) END AS payload_length
+        FROM v""",
+    "op5_source_mix": r"""
+        WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                          md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+        s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                     CAST([3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT) + 1] AS DOUBLE) AS w FROM d GROUP BY source),
+        c AS (SELECT *, CAST(2 * source_size AS DOUBLE) AS cap,
+                     1.5 * sum(CAST(source_size AS DOUBLE)) OVER ()
+                       - coalesce(sum(CAST(2 * source_size AS DOUBLE)) OVER (ORDER BY 2 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS money,
+                     sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY 2 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open FROM s),
+        f AS (SELECT min(money / open) AS rate, min_by(money, cap / w) AS money, min_by(open, cap / w) AS open FROM c WHERE money * w <= cap * open),
+        t AS (SELECT c.source, c.source_size, CASE WHEN c.money * c.w <= c.cap * c.open OR c.cap / c.w >= f.rate THEN f.money * c.w / f.open ELSE c.cap END AS target
+              FROM c, f),
+        p AS (SELECT d.*, t.source_size, t.target,
+                     coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY key, doc_id NULLS FIRST, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+              FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+        e AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM p)
+        SELECT doc_id, size, source_size, target,
+               CAST(epochs * size + greatest(0, least(size, floor(target) - epochs * source_size - before)) AS BIGINT) AS taken FROM e""",
+    "op6_url_rules": r"""
+        WITH u AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1) AS h,
+                          regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+        v AS (SELECT row_number() OVER () AS r, page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM u),
+        s AS (SELECT * FROM (VALUES ('com/', 'allow', 'com', '/'), ('example.com/en/', 'block', 'example.com', '/en/'),
+              ('www.example.com/en/', 'allow', 'www.example.com', '/en/'), ('net/es/', 'block', 'net', '/es/'),
+              ('net/fr/', 'block', 'net', '/fr/')) AS x(rule, verdict, h, p)),
+        b AS (SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+              FROM v JOIN s ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r)
+        SELECT page_id, host, path, b.rule,
+               coalesce(b.verdict, CASE WHEN regexp_matches(host || path, '(?:^|\.)spam-farm\.|(?:^|\.)cheap-pills\.|(?:^|[./_-])casinos?(?:[./_-]|$)|/login(?:[./]|$)|/cart(?:[./]|$)')
+                                        THEN 'block' ELSE 'allow' END) AS verdict
+        FROM v LEFT JOIN b ON v.r = b.r""",
     "op9_quality_cascade": r"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
         w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
