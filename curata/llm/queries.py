@@ -29,7 +29,7 @@ def op3_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc_revisit.resolve(warc_revisit.crawl_records(_t(spark, sf_dir, "pages")))
     header = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
-    return found.withColumn("headers", F.array_join(header, "\n")).withColumn("at", F.unix_seconds("at"))
+    return found.withColumn("headers", F.array_join(header, "\n")).withColumn("at_second", F.unix_seconds("at")).drop("at")
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,16 +82,16 @@ ORACLE: dict[str, str] = {
                  || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END ELSE url END AS canonical
               FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(rest, '(?s)^[^?]*\?(.*)$', 1), '&'),
                         lambda v: v <> '' AND NOT regexp_matches(lower(v), '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS q FROM x)),
-        rev AS (SELECT n * 8 + 1 AS record_id, canonical, base + 30 * 3600 AS at, 'W/' || tag AS etag, modified AS lm, 'cache-control' AS name, 'max-age=3600' AS value, '0' AS cl FROM k
+        rev AS (SELECT n * 8 + 1 AS record_id, canonical, base + 30 * 3600 AS at_second, 'W/' || tag AS etag, modified AS lm, 'cache-control' AS name, 'max-age=3600' AS value, '0' AS cl FROM k
                 UNION ALL SELECT n * 8 + 2, canonical, base + 31 * 3600, '"old"', modified, 'date', 'later', NULL FROM k WHERE n % 5 = 0
                 UNION ALL SELECT n * 8 + 3, canonical, base - 900 * 3600, tag, NULL, 'date', 'before', NULL FROM k WHERE n % 7 = 0
                 UNION ALL SELECT n * 8 + 4, canonical, base + 200 * 3600, NULL, modified, 'expires', 'soon', NULL FROM k WHERE n % 3 = 0
                 UNION ALL SELECT n * 8 + 5, canonical, base + 3600, NULL, NULL, 'date', 'bare', NULL FROM k WHERE n % 11 = 0),
         j AS (SELECT r.*, f.record_id AS response_id, f.tag AS ftag, f.lm AS flm, f.html FROM rev r LEFT JOIN LATERAL (
-                SELECT n * 8 AS record_id, tag, modified AS lm, html FROM k WHERE k.canonical = r.canonical AND k.base <= r.at ORDER BY k.base DESC, n DESC LIMIT 1) f ON true),
+                SELECT n * 8 AS record_id, tag, modified AS lm, html FROM k WHERE k.canonical = r.canonical AND k.base <= r.at_second ORDER BY k.base DESC, n DESC LIMIT 1) f ON true),
         v AS (SELECT *, CASE WHEN response_id IS NULL THEN 'no response' WHEN etag IS NULL AND lm IS NULL THEN 'unvalidated'
                              WHEN CASE WHEN etag IS NOT NULL THEN regexp_replace(etag, '^W/', '') = ftag ELSE lm = flm END THEN 'resolved' ELSE 'mismatch' END AS verdict FROM j)
-        SELECT record_id, canonical, at, verdict, response_id,
+        SELECT record_id, canonical, at_second, verdict, response_id,
                array_to_string(list_sort(list_filter(CASE WHEN verdict = 'resolved' THEN
                    ['cache-control: ' || CASE WHEN name = 'cache-control' THEN value ELSE 'max-age=60' END, 'content-length: ' || CAST(length(html) AS VARCHAR),
                     'content-type: text/html', 'etag: ' || coalesce(etag, ftag), 'last-modified: ' || coalesce(lm, flm), CASE WHEN name <> 'cache-control' THEN name || ': ' || value END]
@@ -103,13 +103,11 @@ ORACLE: dict[str, str] = {
                           md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
         s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
                      CAST([3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT) + 1] AS DOUBLE) AS w FROM d GROUP BY source),
-        c AS (SELECT *, CAST(2 * source_size AS DOUBLE) AS cap,
-                     1.5 * sum(CAST(source_size AS DOUBLE)) OVER ()
-                       - coalesce(sum(CAST(2 * source_size AS DOUBLE)) OVER (ORDER BY 2 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS money,
-                     sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY 2 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open FROM s),
-        f AS (SELECT min(money / open) AS rate, min_by(money, cap / w) AS money, min_by(open, cap / w) AS open FROM c WHERE money * w <= cap * open),
-        t AS (SELECT c.source, c.source_size, CASE WHEN c.money * c.w <= c.cap * c.open OR c.cap / c.w >= f.rate THEN f.money * c.w / f.open ELSE c.cap END AS target
-              FROM c, f),
+        k AS (SELECT *, CAST(2 * source_size AS DOUBLE) AS cap, row_number() OVER (ORDER BY 2 * source_size / w, source NULLS LAST) AS n FROM s),
+        c AS (SELECT *, 1.5 * sum(CAST(source_size AS DOUBLE)) OVER () - coalesce(sum(cap) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS money,
+                     sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open FROM k),
+        f AS (SELECT n, money, open FROM c WHERE money * w <= cap * open ORDER BY n LIMIT 1),
+        t AS (SELECT c.source, c.source_size, CASE WHEN c.n >= f.n THEN f.money * c.w / f.open ELSE c.cap END AS target FROM c LEFT JOIN f ON true),
         p AS (SELECT d.*, t.source_size, t.target,
                      coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY key, doc_id NULLS FIRST, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
               FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
