@@ -144,7 +144,7 @@ def _links(src: DataFrame, texts: DataFrame, cells: DataFrame, threshold: float,
                     ["digest", "shingles"])
 
     cells = cells.checkpoint()
-    wanted = small_side(cells.select("digest").distinct(), row_bytes=64)
+    wanted = small_side(cells.select("digest").distinct())
     payload = (src.select("digest", "text").join(wanted, "digest", "left_semi").mapInArrow(sets, "digest binary, shingles binary")
                .groupBy("digest").agg(F.first("shingles").alias("shingles"))
                .join(texts.select("digest", "sig"), "digest").checkpoint())
