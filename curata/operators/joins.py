@@ -1,55 +1,59 @@
-"""Join helpers: broadcast only behind a checked size.
+"""Join helpers: broadcast only behind a checked size; joins whose hot keys AQE can split.
 
 ``small_side`` materialises a (usually aggregated) frame once into the shared
-checkpoint folder, counts it, and marks it for broadcast only when both its
-row count and its estimated size (rows x an upper-bound row width) are within
-the bounds; above them the join stays a shuffle join, where AQE can still
-split skewed partitions.
+checkpoint folder, counts its rows and measures its bytes in one job, and
+marks it for broadcast only when both are within the bounds; above them the
+join stays a shuffle join, where AQE can still split skewed partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 from curata.session import checkpoint_dir
 
 DEFAULT_MAX_ROWS = 1_000_000
 DEFAULT_MAX_BYTES = 256 << 20
-_TEXT_BYTES = 64          # assumed width of a text value
-_ELEMENTS = 16            # assumed length of an array or map
-_FIXED = {"long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "integer": 4, "float": 4, "date": 4,
-          "short": 2, "byte": 1, "boolean": 1, "decimal": 16, "null": 1}
 
 
-def value_bytes(t: DataType) -> int:
+def row_bytes(c: Column, t: DataType) -> Column:
+    """Bytes a value takes in a row, counted from the value itself: 16 for its slot and offset plus its variable part."""
+    if isinstance(t, (StringType, BinaryType)):
+        return F.lit(16) + F.coalesce(F.octet_length(c), F.lit(0))
     if isinstance(t, ArrayType):
-        return _ELEMENTS * value_bytes(t.elementType)
+        return F.lit(16) + F.coalesce(F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + row_bytes(x, t.elementType)), F.lit(0))
     if isinstance(t, MapType):
-        return _ELEMENTS * (value_bytes(t.keyType) + value_bytes(t.valueType))
+        return row_bytes(F.map_keys(c), ArrayType(t.keyType)) + row_bytes(F.map_values(c), ArrayType(t.valueType))
     if isinstance(t, StructType):
-        return sum(value_bytes(f.dataType) for f in t.fields)
-    return _FIXED.get(t.typeName(), _TEXT_BYTES)
-
+        return sum((row_bytes(c[f.name], f.dataType) for f in t.fields), F.lit(16))
+    return F.lit(16)
 
-def small_side(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES,
-               row_bytes: int | None = None) -> DataFrame:
-    """``df`` checkpointed; broadcast-marked only if its rows and estimated bytes are within the bounds.
 
-    ``row_bytes`` overrides the schema-based width estimate (e.g. when an
-    array column's length is known).
-    """
+def small_side(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    """``df`` checkpointed; broadcast-marked only if its counted rows and measured bytes are within the bounds."""
     checkpoint_dir(df.sparkSession)
     frozen = df.checkpoint(eager=True)
-    return broadcast_if_small(frozen, frozen.count(), max_rows, max_bytes, row_bytes)
+    width = sum((row_bytes(F.col(f"`{f.name}`"), f.dataType) for f in frozen.schema.fields), F.lit(16)).cast("long")
+    n, size = frozen.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(frozen) if n <= max_rows and size <= max_bytes else frozen
 
 
-def broadcast_if_small(frozen: DataFrame, n: int, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES,
-                       row_bytes: int | None = None) -> DataFrame:
-    """Broadcast-mark a materialised frame of ``n`` counted rows when rows and estimated bytes are within bounds."""
-    width = row_bytes if row_bytes is not None else 16 + sum(value_bytes(f.dataType) for f in frozen.schema.fields)
-    return F.broadcast(frozen) if n <= max_rows and n * width <= max_bytes else frozen
+def join_on_keys(left: DataFrame, right: DataFrame, on: Sequence[tuple[Column, Column]], how: str, null_safe: bool = False) -> DataFrame:
+    """Join whose large partitions AQE can split even if ``right`` was aggregated or ranked on the same key.
+
+    AQE splits a skewed side only if both sides' shuffles stand right below
+    the join. A right side that was already shuffled by the key for its
+    aggregation would be joined without a shuffle of its own; the hash of the
+    key as one more join key makes Spark shuffle it (small: one row per key)
+    once more. Both key columns must have the same type.
+    """
+    equal = [a.eqNullSafe(b) if null_safe else a == b for a, b in on]
+    hashes = F.xxhash64(*[a for a, _ in on]) == F.xxhash64(*[b for _, b in on])
+    return left.join(right, [*equal, hashes], how)
 
 
 def static_broadcast(df: DataFrame) -> DataFrame:

@@ -132,14 +132,25 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None,
                     approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """PR2: ``describe(percentiles)`` for every numeric column.
 
-    Columns are unpivoted to (column, value) so that one grouped pass serves
-    all of them; quantiles are exact (``exact_quantiles``) unless ``approx``.
+    Count, mean, deviation and bounds of all columns are one aggregate of the
+    table as it is. For the quantiles only (column, value) pairs are counted,
+    combined before the shuffle; they are exact unless ``approx``.
     """
-    from curata.operators.reshape import describe
+    from curata.operators.quantiles import quantiles_of_counts, value_counts
+    from curata.operators.reshape import _pname, describe
     cols = list(cols or [f.name for f in df.schema.fields
                          if isinstance(f.dataType, _NUMERIC) and not isinstance(f.dataType, BooleanType)])
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    return describe(long, "value", percentiles, group="column", approx=approx, accuracy=accuracy)
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    long = wide.unpivot([], cols, "column", "value")
+    if approx:
+        return describe(long, "value", percentiles, group="column", approx=True, accuracy=accuracy)
+    names = [_pname(p) for p in percentiles]
+    parts = {"count": lambda c: F.count(c).cast("long"), "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    one = wide.agg(*[f(F.col(c)).alias(f"{n}__{i}") for i, c in enumerate(cols) for n, f in parts.items()])
+    stats = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"{n}__{i}").alias(n) for n in parts])
+                                          for i, c in enumerate(cols)]))).where("count > 0")
+    q = quantiles_of_counts(value_counts(long, "value", ["column"]), percentiles, ["column"], names)
+    return q.join(static_broadcast(stats), "column").select("column", "count", "mean", "std", "min", *names, "max")
 
 
 def categorical_profile(df: DataFrame, max_distinct: int = 12, cols: Sequence[str] | None = None) -> DataFrame:

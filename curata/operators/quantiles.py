@@ -2,29 +2,25 @@
 
 Spark's ``percentile`` keeps a map of every distinct value of a group in the
 final aggregation buffer: fine for day counts, fatal for a money column over
-billions of rows. Here:
-
-1. one aggregate per group computes the row count and a bounded-memory
-   sketch (``percentile_approx``) at p ± 2/accuracy, which brackets the exact
-   rank of every requested quantile (the sketch's rank error is at most
-   n/accuracy);
-2. every row is compared with its group's brackets in one pass: rows below
-   a bracket are only counted, rows inside it are kept as (value, count).
-   The narrow (group, value) rows of the large groups are checkpointed
-   once, since steps 1-2 read them three times;
-3. per (group, quantile) the few bracketed distinct values are ranked with a
-   running sum that starts at the below-count, and the exact order
-   statistics are read off and interpolated like ``percentile``
-   (``linear``) or taken as ``percentile_disc`` (``disc``).
-
-Groups with fewer than ``4 x accuracy`` values take Spark's exact in-memory
-aggregate instead (its buffer is then bounded by that size); for larger
-groups the probability margin 2/accuracy covers the sketch's rank error plus
-the neighbouring ranks that interpolation needs. If a bracket ever missed its
-target rank the query fails (``raise_error``) instead of returning a wrong
-value. The group-level sketch frame is joined
-back to the rows through ``small_side`` (broadcast only when its row count is
-checked small; otherwise a shuffle join that AQE splits when skewed).
+billions of rows. Here every group, of whatever size, takes the same path, a
+distributed selection by histogram:
+
+1. the rows are reduced to (group, value) -> count, map-side combined, and
+   checkpointed once;
+2. a group's values are binned between its smallest and largest (on a log
+   scale if they span orders of magnitude, so that heavy tails spread);
+   running
+   sums over the ``BINS`` bin counts tell which bins hold a wanted rank.
+   Only those bins' values go on;
+3. a bin that holds more than ``WINDOW_VALUES`` different values becomes a
+   range of its own and step 2 repeats on it. The smallest and largest value
+   of a range always fall into different bins, so this ends;
+4. the values left per (group, bin) are ranked with a running sum, the order
+   statistics read off, and interpolated like ``percentile`` (``linear``) or
+   taken as ``percentile_disc`` (``disc``).
+
+No step collects values, holds more than ``BINS`` or ``WINDOW_VALUES`` rows of
+a group in a window, or can fail for a distribution.
 """
 
 from __future__ import annotations
@@ -34,128 +30,114 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curata.operators.joins import broadcast_if_small, small_side, value_bytes
+from curata.operators.joins import small_side
 from curata.session import checkpoint_dir
 
-_G0 = "_all"
+BINS = 4096
+WINDOW_VALUES = 100_000
+_ALL = "_all"
+
+
+def value_counts(df: DataFrame, col: str, groups: Sequence[str]) -> DataFrame:
+    """``(groups, _x, _c)``, materialised: how often each value occurs in its group; nulls and NaN are left out."""
+    checkpoint_dir(df.sparkSession)
+    x = F.col(col).cast("double")
+    return (df.select(*groups, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+            .groupBy(*groups, "_x").agg(F.count(F.lit(1)).alias("_c")).checkpoint())
+
+
+def _same(a: str, b: str, cols: Sequence[str]) -> list[Column]:
+    return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols]
+
+
+def _bin(bins: int) -> Column:
+    """Bin of ``_x`` between ``_lo`` and ``_hi``: monotone, 0 at the smallest and ``bins`` - 1 at the largest value."""
+    def share(t):
+        return (t("_x") - t("_lo")) / F.nullif(t("_hi") - t("_lo"), F.lit(0.0))
+
+    a, b = F.abs("_lo"), F.abs("_hi")
+    wide = (F.greatest(a, b) > 16 * F.least(a, b)) & (F.greatest(a, b) > 16)
+    share = F.when(wide, share(lambda c: F.signum(c) * F.log1p(F.abs(c)))).otherwise(share(lambda c: F.col(c) / 2))
+    inside = F.floor(F.coalesce(F.nanvl(share, F.lit(0.5)), F.lit(0.5)) * bins)
+    return (F.when(F.col("_x") == F.col("_lo"), 0).when(F.col("_x") == F.col("_hi"), bins - 1)
+            .otherwise(F.greatest(F.lit(0), F.least(F.lit(bins - 1), inside))).cast("int"))
+
+
+def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], groups: Sequence[str], names: Sequence[str],
+                        interpolation: str = "linear", bins: int = BINS, window_values: int = WINDOW_VALUES,
+                        max_groups: int = 1_000_000) -> DataFrame:
+    """Per group of ``value_counts``: one column per probability. ``groups`` names one column at least."""
+    if interpolation not in ("linear", "disc"):
+        raise ValueError("interpolation must be 'linear' or 'disc'")
+    groups = list(groups)
+    n = F.col("_n")
+    position = [F.lit(float(p)) * (n - 1) if interpolation == "linear" else F.greatest(F.ceil(F.lit(float(p)) * n) - 1, F.lit(0)).cast("double")
+                for p in probs]
+    low, high = [F.floor(p) for p in position], [F.ceil(p) for p in position]
+    wanted = F.array(*low, *high)
+
+    whole = counts.groupBy(*groups).agg(F.sum("_c").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    ranges = small_side(whole.withColumn("_below", F.lit(0).cast("long")), max_groups)
+    rows = counts.alias("c").join(ranges.alias("r"), _same("c", "r", groups))
+    rows = rows.select(*[F.col(f"c.{g}") for g in groups], "_x", "_c", "_n", "_lo", "_hi", "_below")
+    while True:
+        binned = rows.withColumn("_b", _bin(bins))
+        # _lo names a range: ranges of a group don't overlap
+        hist = binned.groupBy(*groups, "_lo", "_b").agg(
+            F.sum("_c").alias("_bc"), F.count(F.lit(1)).alias("_values"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
+            F.first("_n").alias("_n"), F.first("_below").alias("_below"))
+        before = Window.partitionBy(*groups, "_lo").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        hist = hist.withColumn("_below", F.col("_below") + F.coalesce(F.sum("_bc").over(before), F.lit(0)))
+        hit = F.exists(wanted, lambda r: (r >= F.col("_below")) & (r < F.col("_below") + F.col("_bc")))
+        needed = hist.where(hit).checkpoint()
+        most = needed.agg(F.max("_values")).first()[0] or 0
+        keys = [*groups, "_lo", "_b"]
+        rows = binned.alias("v").join(small_side(needed, max_groups).alias("h"), _same("v", "h", keys)).select(
+            *[F.col(f"v.{g}") for g in groups], "v._x", "v._c", "v._n", F.col("h._min").alias("_lo"), F.col("h._max").alias("_hi"), "h._below")
+        if most <= window_values:
+            break
+        rows = rows.checkpoint()
+    rank = Window.partitionBy(*groups, "_lo").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = rows.withColumn("_below", F.col("_below") + F.coalesce(F.sum("_c").over(rank), F.lit(0)))
+    at = lambda r: F.max(F.when((r >= F.col("_below")) & (r < F.col("_below") + F.col("_c")), F.col("_x")))
+    k = range(len(names))
+    found = ranked.groupBy(*groups).agg(F.max("_n").alias("_n"), *[at(low[i]).alias(f"_l{i}") for i in k], *[at(high[i]).alias(f"_h{i}") for i in k])
+    value = [F.when(low[i] == high[i], F.col(f"_l{i}")).otherwise(
+        (high[i] - position[i]) * F.col(f"_l{i}") + (position[i] - low[i]) * F.col(f"_h{i}")).alias(names[i]) for i in k]
+    return found.select(*groups, *value)
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], group: Sequence[str] | str | None = None,
                     names: Sequence[str] | None = None, extra: dict[str, Column] | None = None, interpolation: str = "linear",
-                    accuracy: int = 200_000, max_groups: int = 1_000_000) -> DataFrame:
+                    inputs: Sequence[str] | None = None, max_groups: int = 1_000_000, bins: int = BINS,
+                    window_values: int = WINDOW_VALUES) -> DataFrame:
     """Per group: ``extra`` aggregates (name -> Column, over all rows of the group) and exact quantiles of ``col``.
 
-    Null values of ``col`` are ignored by the quantiles, as by ``percentile``.
-    Returns the group columns, the ``extra`` aliases and one column per
-    probability (null for a group without values).
+    Null and NaN values of ``col`` are ignored by the quantiles. Returns the
+    group columns, the ``extra`` aliases and one column per probability
+    (null for a group without values; without groups, one row, or none if
+    ``df`` is empty). ``inputs``
+    names the columns besides ``col`` that ``extra`` reads (default: all): the
+    input, often a join, is materialised once, with these columns only.
     """
-    if interpolation not in ("linear", "disc"):
-        raise ValueError("interpolation must be 'linear' or 'disc'")
     groups = [] if group is None else ([group] if isinstance(group, str) else list(group))
-    probs = [float(p) for p in probs]
     names = list(names or [f"p{100 * p:.10g}".replace(".", "_") for p in probs])
-    gcols = groups or [_G0]
     extra = dict(extra or {})
-    clash = [n for n in extra if n.startswith("_q_") or n in names]
+    clash = [n for n in extra if n.startswith("_") or n in names]
     if clash:
         raise ValueError(f"extra aggregate names clash with quantile columns: {clash}")
-    k = len(probs)
-    small = 4 * accuracy
-
-    src = df if groups else df.withColumn(_G0, F.lit(0))
-    src = src.withColumn("_x", F.col(col).cast("double"))
-
-    # 1. per group: value count and the extra aggregates (small, checkpointed)
-    stats = src.groupBy(*gcols).agg(F.count("_x").alias("_q_n"), *[c.alias(n) for n, c in extra.items()])
     checkpoint_dir(df.sparkSession)
-    stats = stats.checkpoint(eager=True)
-    # one read of the checkpointed stats: group count (broadcast check) and the largest group
-    n_groups, n_max = stats.agg(F.count(F.lit(1)), F.max("_q_n")).first()
-    stats = broadcast_if_small(stats, n_groups, max_groups)
-    has_big = (n_max or 0) >= small
-
-    rows = src.where(F.col("_x").isNotNull()).select(*gcols, "_x").alias("r").join(
-        stats.select(*gcols, "_q_n").alias("s"), [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in gcols])
-    rows = rows.select(*[F.col(f"r.{g}").alias(g) for g in gcols], "_x", "_q_n")
-
-    # 2. groups below 4 x accuracy values: Spark's exact aggregate, buffer bounded by that size
-    small_rows = rows.where(F.col("_q_n") < small)
-    if interpolation == "linear":
-        # (group, value) -> count first (codegen'd hash aggregate, map-side combined), then
-        # percentile with a frequency: exact, and its buffer holds distinct values only
-        vc = small_rows.groupBy(*gcols, "_x").agg(F.count(F.lit(1)).alias("_c"))
-        wide = vc.groupBy(*gcols).agg(F.percentile("_x", F.array(*[F.lit(p) for p in probs]), F.col("_c")).alias("_pa"))
-        wide = wide.select(*gcols, *[F.col("_pa")[i].alias(names[i]) for i in range(k)])
-    else:
-        exact_aggs = [F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY _x)").alias(f"_pd{i}") for i, p in enumerate(probs)]
-        wide = small_rows.groupBy(*gcols).agg(*exact_aggs).select(*gcols, *[F.col(f"_pd{i}").alias(names[i]) for i in range(k)])
-    if has_big:
-        # the bracket path reads its rows three times (sketch, below-counts, candidates): materialise the
-        # narrow (group, value) rows once instead of recomputing the input (often a join) each time
-        big = rows.where(F.col("_q_n") >= small).checkpoint(eager=True)
-        wide = wide.unionByName(_bracketed(big, gcols, probs, names, interpolation, accuracy, max_groups))
-
-    extra_names = list(extra)
-    out = stats.select(*gcols, *extra_names).alias("s").join(
-        wide.alias("w"), [F.col(f"s.{g}").eqNullSafe(F.col(f"w.{g}")) for g in gcols], "left")
-    out = out.select(*[F.col(f"s.{g}").alias(g) for g in gcols], *[F.col(f"s.{e}") for e in extra_names],
-                     *[F.col(f"w.{n}") for n in names])
-    return out.drop(_G0) if not groups else out
-
-
-def _bracketed(rows: DataFrame, gcols: list[str], probs: list[float], names: list[str], interpolation: str,
-               accuracy: int, max_groups: int) -> DataFrame:
-    """Exact quantiles of large groups from sketch brackets (see the module notes)."""
-    k = len(probs)
-    eps = 2.0 / accuracy
-    bounds = [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
-    sk = rows.groupBy(*gcols).agg(F.max("_q_n").alias("_q_n"), F.percentile_approx("_x", bounds, accuracy).alias("_b"))
-    # row = group columns, the count and 2k bracket bounds
-    width = 16 + 8 + 16 * 2 * k + sum(value_bytes(f.dataType) for f in rows.schema.fields if f.name in gcols)
-    sk = small_side(sk, max_groups, row_bytes=width)
-    r = rows.select(*gcols, "_x").alias("r").join(
-        sk.select(*gcols, "_b").alias("s"), [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in gcols])
-    r = r.select(*[F.col(f"r.{g}").alias(g) for g in gcols], "_x", "_b")
-    lo = [F.col("_b")[i] for i in range(k)]
-    hi = [F.col("_b")[k + i] for i in range(k)]
-    below = r.groupBy(*gcols).agg(*[F.count_if(F.col("_x") < lo[i]).alias(f"_below{i}") for i in range(k)])
-    inside = F.filter(F.array(*[F.when((F.col("_x") >= lo[i]) & (F.col("_x") <= hi[i]), F.lit(i)) for i in range(k)]),
-                      lambda e: e.isNotNull())
-    cand = (r.select(*gcols, "_x", F.explode(inside).alias("_k"))
-            .groupBy(*gcols, "_k", "_x").agg(F.count(F.lit(1)).alias("_c")))
-
-    below_long = below.select(*gcols, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_k"), F.col(f"_below{i}").alias("_below")) for i in range(k)])))
-    per = sk.select(*gcols, "_q_n").alias("t").join(
-        below_long.alias("b"), [F.col(f"b.{g}").eqNullSafe(F.col(f"t.{g}")) for g in gcols])
-    per = per.select(*[F.col(f"t.{g}").alias(g) for g in gcols], "_q_n", "_k", "_below")
-    c = cand.alias("c").join(per.alias("p"), [F.col(f"c.{g}").eqNullSafe(F.col(f"p.{g}")) for g in gcols]
-                             + [F.col("c._k") == F.col("p._k")])
-    c = c.select(*[F.col(f"c.{g}").alias(g) for g in gcols], F.col("c._k").alias("_k"), "_x", "_c", "_q_n", "_below")
-    w = Window.partitionBy(*gcols, "_k").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = c.withColumn("_cum", F.col("_below") + F.sum("_c").over(w))
-
-    p_of_k = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_k") + 1)
-    if interpolation == "linear":
-        pos = p_of_k * (F.col("_q_n") - 1)
-        i_lo, i_hi = F.floor(pos), F.ceil(pos)
-    else:
-        pos = F.greatest(F.ceil(p_of_k * F.col("_q_n")) - 1, F.lit(0))
-        i_lo = i_hi = pos
-    c = c.withColumn("_pos", pos.cast("double")).withColumn("_ilo", i_lo).withColumn("_ihi", i_hi)
-    per_q = c.groupBy(*gcols, "_k").agg(
-        F.max("_pos").alias("_pos"), F.max("_ilo").alias("_ilo"), F.max("_ihi").alias("_ihi"),
-        F.max("_below").alias("_below"), F.max("_cum").alias("_top"),
-        F.min(F.when(F.col("_cum") > F.col("_ilo"), F.col("_x"))).alias("_vlo"),
-        F.min(F.when(F.col("_cum") > F.col("_ihi"), F.col("_x"))).alias("_vhi"))
-    ok = (F.col("_below") <= F.col("_ilo")) & (F.col("_top") > F.col("_ihi"))
-    value = F.when(F.col("_ihi") == F.col("_ilo"), F.col("_vlo")).otherwise(
-        (F.col("_ihi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_ilo")) * F.col("_vhi"))
-    per_q = per_q.withColumn("_v", F.when(ok, value).otherwise(
-        F.raise_error(F.lit("exact_quantiles: sketch bracket missed the target rank"))))
-    return per_q.groupBy(*gcols).agg(*[F.max(F.when(F.col("_k") == i, F.col("_v"))).alias(names[i]) for i in range(k)])
+    narrow = df if inputs is None and extra else df.select(*dict.fromkeys([*groups, col, *(inputs or [])]))
+    keys = groups or [_ALL]
+    narrow = (narrow if groups else narrow.withColumn(_ALL, F.lit(0))).checkpoint()
+    aggregates = [c.alias(n) for n, c in extra.items()] or [F.count(F.lit(1)).alias("_rows")]
+    stats = narrow.groupBy(*keys).agg(*aggregates)
+    q = quantiles_of_counts(value_counts(narrow, col, keys), probs, keys, names, interpolation, bins, window_values, max_groups)
+    out = stats.alias("s").join(q.alias("q"), _same("s", "q", keys), "left")
+    return out.select(*[F.col(f"s.{g}").alias(g) for g in groups], *[F.col(f"s.{e}").alias(e) for e in extra],
+                      *[F.col(f"q.{n}").alias(n) for n in names])
 
 
 def median_of(df: DataFrame, col: str, group: Sequence[str] | str | None = None, name: str = "median",
-              extra: dict[str, Column] | None = None) -> DataFrame:
-    return exact_quantiles(df, col, [0.5], group, names=[name], extra=extra)
+              extra: dict[str, Column] | None = None, inputs: Sequence[str] | None = None) -> DataFrame:
+    return exact_quantiles(df, col, [0.5], group, names=[name], extra=extra, inputs=inputs)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from curata.functions.scalars import hist_bin
 from curata.operators.joins import small_side
-from curata.operators.quantiles import exact_quantiles
+from curata.operators.quantiles import exact_quantiles, quantiles_of_counts, value_counts
 
 ALL = "All"
 
@@ -66,10 +66,10 @@ def crosstab(df: DataFrame, row: str, col: str, value: str | None = None, agg: s
 
 
 def crosstab_margins(df: DataFrame, row: str, col: str, name: str = "n", all_label: str = ALL) -> DataFrame:
-    """Counts with row, column and grand totals (``margins=True``) via CUBE."""
-    src = df.where(F.col(row).isNotNull() & F.col(col).isNotNull()).select(
-        F.col(row).cast("string").alias(row), F.col(col).cast("string").alias(col))
-    g = src.cube(row, col).agg(F.count(F.lit(1)).cast("long").alias(name),
+    """Counts with row, column and grand totals (``margins=True``): cells counted first, then a CUBE over the cells."""
+    cells = df.where(F.col(row).isNotNull() & F.col(col).isNotNull()).select(
+        F.col(row).cast("string").alias(row), F.col(col).cast("string").alias(col)).groupBy(row, col).agg(F.count(F.lit(1)).alias("_cell"))
+    g = cells.cube(row, col).agg(F.sum("_cell").cast("long").alias(name),
                                 F.grouping(row).alias("_gr"), F.grouping(col).alias("_gc"))
     return g.select(
         F.when(F.col("_gr") == 1, F.lit(all_label)).otherwise(F.col(row)).alias(row),
@@ -114,7 +114,7 @@ def describe(df: DataFrame, col: str, percentiles: Sequence[float] = (0.25, 0.5,
         out = src.groupBy(*groups).agg(*aggs) if groups else src.agg(*aggs)
         out = out.select("*", *[F.col("_p")[i].alias(n) for i, n in enumerate(pnames)])
     else:
-        out = exact_quantiles(src, col, percentiles, groups or None, names=pnames, extra=extra)
+        out = exact_quantiles(src, col, percentiles, groups or None, names=pnames, extra=extra, inputs=[])
     return out.select(*groups, "count", "mean", "std", "min", *pnames, "max")
 
 
@@ -142,23 +142,23 @@ def histograms(df: DataFrame, col: str, specs: dict[str, tuple[float, float]], w
 def box_stats(df: DataFrame, col: str, group: Sequence[str] | str, max_groups: int = 100_000) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (most extreme points inside) and outlier count.
 
-    The per-group quartiles are joined back to the rows; they are broadcast
-    only when their checked row count is within ``max_groups``.
+    All of it comes from the counts per (group, value), so the input is read
+    once; the quartiles are joined to those counts and broadcast only when
+    their checked row count is within ``max_groups``. Rows without a group
+    (N7) or a value are left out.
     """
     groups = [group] if isinstance(group, str) else list(group)
-    src = df.where(F.col(col).isNotNull())
-    q = exact_quantiles(src, col, (0.25, 0.5, 0.75), groups, names=["q1", "median", "q3"])
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    q = small_side(q, max_groups)
-    j = src.join(q, [src[g].eqNullSafe(q[g]) for g in groups]).select(
-        *[src[g] for g in groups], F.col(col).cast("double").alias("_x"), "q1", "median", "q3", "iqr")
+    counts = value_counts(df.dropna(subset=groups), col, groups)
+    q = quantiles_of_counts(counts, (0.25, 0.5, 0.75), groups, ["q1", "median", "q3"], max_groups=max_groups)
+    q = small_side(q.withColumn("iqr", F.col("q3") - F.col("q1")), max_groups)
+    j = counts.join(q, groups)
     lo = F.col("q1") - 1.5 * F.col("iqr")
     hi = F.col("q3") + 1.5 * F.col("iqr")
     return j.groupBy(*groups, "q1", "median", "q3", "iqr").agg(
-        F.count(F.lit(1)).cast("long").alias("count"),
+        F.sum("_c").cast("long").alias("count"),
         F.min(F.when(F.col("_x") >= lo, F.col("_x"))).alias("whisker_low"),
         F.max(F.when(F.col("_x") <= hi, F.col("_x"))).alias("whisker_high"),
-        F.count_if((F.col("_x") < lo) | (F.col("_x") > hi)).cast("long").alias("n_outliers"),
+        F.coalesce(F.sum(F.when((F.col("_x") < lo) | (F.col("_x") > hi), F.col("_c"))), F.lit(0)).cast("long").alias("n_outliers"),
     )
 
 

@@ -256,7 +256,7 @@ def q_delivery_delays(spark: SparkSession, sf: str) -> DataFrame:
     extra = {"delivered": F.count(x).cast("long"), "late": F.count_if(x >= LATE_DAYS).cast("long"),
              "before_order": F.count_if(x < 0).cast("long"), "mean": F.avg(x), "std": F.stddev_samp(x),
              "min": F.min(x), "max": F.max(x)}
-    out = exact_quantiles(d, "delay_days", (0.5, 0.9, 0.95, 0.99), names=["p50", "p90", "p95", "p99"], extra=extra)
+    out = exact_quantiles(d, "delay_days", (0.5, 0.9, 0.95, 0.99), names=["p50", "p90", "p95", "p99"], extra=extra, inputs=[])
     return _round_doubles(out.select("delivered", "late", "before_order", "mean", "std", "min",
                                      "p50", "p90", "p95", "p99", "max"))
 
@@ -890,7 +890,8 @@ def q_carrier_scorecard(spark: SparkSession, sf: str) -> DataFrame:
         "mean_value": F.avg("l_extendedprice"), "mean_quantity": F.avg("l_quantity"),
         "late_pct": F.when(F.count(x) > 0, F.lit(100.0) * F.count_if(x >= LATE_DAYS) / F.count(x)),
     }
-    return _round_doubles(median_of(d, "delay_days", "carrier", "median_delay", extra=extra))
+    return _round_doubles(median_of(d, "delay_days", "carrier", "median_delay", extra=extra,
+                                    inputs=["l_returnflag", "l_extendedprice", "l_quantity"]))
 
 
 def q_delay_by_priority(spark: SparkSession, sf: str) -> DataFrame:
@@ -953,7 +954,7 @@ def q_segment_activity(spark: SparkSession, sf: str) -> DataFrame:
     from curata.operators.quantiles import median_of
     opc = orders_per_customer(Star(spark, sf))
     extra = {"customers": F.count(F.lit(1)).cast("long"), "mean": F.avg("n_orders"), "max": F.max("n_orders")}
-    return _round_doubles(median_of(opc, "n_orders", "c_mktsegment", "median", extra=extra))
+    return _round_doubles(median_of(opc, "n_orders", "c_mktsegment", "median", extra=extra, inputs=[]))
 
 
 def q_bias_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -963,7 +964,8 @@ def q_bias_table(spark: SparkSession, sf: str) -> DataFrame:
     o = _orders_mart(Star(spark, sf))
     extra = {"n_orders": F.count(F.lit(1)), "fulfilled_pct": pct_of(F.col("o_orderstatus") == "F"),
              "urgent_pct": pct_of(F.col("o_orderpriority") == "1-URGENT"), "currency": F.min("currency")}
-    g = median_of(o, "o_totalprice", "country", "median_value", extra=extra)
+    g = median_of(o, "o_totalprice", "country", "median_value", extra=extra,
+                  inputs=["o_orderstatus", "o_orderpriority", "currency"])
     g = reshape.grand_share(g, "n_orders", "orders_pct").drop("n_orders")
     return _round_doubles(g)
 
@@ -1140,7 +1142,7 @@ def q_price_drift(spark: SparkSession, sf: str) -> DataFrame:
     li = li.withColumn("_unit", unit).withColumn("_ratio", F.col("_unit") / F.nullif(F.col("p_retailprice"), F.lit(0.0)))
     extra = {"lines": F.count(F.lit(1)).cast("long"), "min_ratio": F.min("_ratio"), "max_ratio": F.max("_ratio"),
              "exact_price_lines": F.count_if(truthy(F.abs(F.col("_unit") - F.col("p_retailprice")) <= 0.01)).cast("long")}
-    return _round_doubles(median_of(li, "_ratio", None, "median_ratio", extra=extra))
+    return _round_doubles(median_of(li, "_ratio", None, "median_ratio", extra=extra, inputs=["_unit", "p_retailprice"]))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from curata.operators import identity, payments, reshape, treat
@@ -111,22 +112,39 @@ def test_crosstab_margins(spark):
     assert got[("All", "All")] == 3 and got[("a", "All")] == 2 and got[("All", "x")] == 2
 
 
-def test_exact_quantiles_bracket_path_matches_percentile(spark):
-    """A small sketch accuracy forces the distributed bracket path on 3 groups of ~3k values."""
+@pytest.mark.parametrize("bins,window", [(4096, 100_000), (64, 40)])
+def test_exact_quantiles_match_percentile(spark, bins, window):
+    """Groups of 1, 10, 10**4 and heavy-tailed values; small bins and windows force many rounds of the same path."""
     from curata.operators.quantiles import exact_quantiles
     rng = np.random.default_rng(5)
-    pdf = pd.DataFrame({"g": rng.choice(["a", "b", "c"], 9000), "x": np.round(rng.normal(50, 20, 9000), 1)})
-    pdf.loc[::11, "x"] = np.nan
-    df = spark.createDataFrame(pdf)
-    df = df.withColumn("x", F.when(F.isnan("x"), None).otherwise(F.col("x")))   # real nulls, not NaN
-    probs = [0.01, 0.25, 0.5, 0.9, 0.99]
-    got = exact_quantiles(df, "x", probs, "g", accuracy=500, extra={"n": F.count("x")}).toPandas().set_index("g")
-    ref = df.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).toPandas().set_index("g")
-    for g in ref.index:
+    parts = {"one": [3.5], "ten": rng.normal(0, 1, 10), "many": np.round(rng.normal(50, 20, 10_000), 1),
+             "tail": np.concatenate([rng.lognormal(0, 8, 800), -rng.lognormal(0, 8, 200), [1e300, -1e300, 0.0, 5e-324, float("inf")]]), "none": [None] * 3}
+    rows = [(g, None if x is None else float(x)) for g, v in parts.items() for x in v] + [("many", None), (None, 1.0), (None, 2.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
+    got = {r.g: r for r in exact_quantiles(df, "x", probs, "g", extra={"n": F.count("x")}, bins=bins, window_values=window).collect()}
+    ref = {r.g: r.q for r in df.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()}
+    assert set(got) == set(parts) | {None} and got["many"].n == 10_000
+    for g, want in ref.items():
         for i, p in enumerate(probs):
-            assert math.isclose(got.loc[g, f"p{100 * p:.10g}".replace(".", "_")], ref.loc[g, "q"][i], rel_tol=1e-12)
-    disc = exact_quantiles(df, "x", [0.2, 0.8], None, interpolation="disc", accuracy=500).first()
+            x = got[g][f"p{100 * p:.10g}".replace(".", "_")]
+            assert (x is None and want is None) or x == want[i] or math.isclose(x, want[i], rel_tol=1e-12) or math.isnan(want[i])
+    disc = exact_quantiles(df, "x", [0.2, 0.8], None, interpolation="disc", bins=bins, window_values=window).first()
     df.createOrReplaceTempView("qt")
     want = spark.sql("SELECT percentile_disc(0.2) WITHIN GROUP (ORDER BY x), "
                      "percentile_disc(0.8) WITHIN GROUP (ORDER BY x) FROM qt").first()
     assert tuple(disc) == tuple(want)
+
+
+def test_exact_quantiles_of_a_million_values(spark):
+    from curata.operators.quantiles import exact_quantiles
+    df = spark.range(1_000_000).select((F.col("id") * F.lit(7919) % F.lit(1_000_000)).cast("double").alias("x"))
+    got = exact_quantiles(df, "x", [0.25, 0.5], names=["a", "b"]).first()
+    assert tuple(got) == (249999.75, 499999.5)
+
+
+def test_broadcast_is_bounded_by_measured_bytes(spark):
+    from curata.operators.joins import small_side
+    long_labels = spark.range(100).select(F.repeat(F.lit("x"), 10_000).alias("label"), F.array(F.repeat(F.lit("y"), 100)).alias("more"))
+    hint = lambda d: "broadcast" in d._jdf.queryExecution().logical().toString().lower()
+    assert hint(small_side(long_labels, max_bytes=2 << 20)) and not hint(small_side(long_labels, max_bytes=900_000))
