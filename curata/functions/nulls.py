@@ -94,3 +94,8 @@ def na_to_null(x, tokens: Iterable[str] = PANDAS_NA_TOKENS) -> Column:
 def null_safe_eq(a, b) -> Column:
     """Equality where null matches null."""
     return _c(a).eqNullSafe(_c(b))
+
+
+def null_if_negative(x) -> Column:
+    """A negative delay becomes null; null and zero stay."""
+    return F.when(~truthy(F.col(x) < 0), F.col(x))

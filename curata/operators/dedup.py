@@ -5,9 +5,11 @@ order; ties are broken by the remaining columns so results are repeatable.
 "latest"/"first" use ``row_number() = 1``, which Catalyst turns into a
 partial WindowGroupLimit before the shuffle: a hot key is cut to one row per
 map task before it is exchanged. Counting uses group-by with map-side
-partial aggregation, never a window over the whole group. Flags that need
-every row's rank (surplus, audit split) use ``ordering.positions``, which
-spreads a hot key over many tasks.
+partial aggregation, never a window over the whole group. Flags of one row
+per key (surplus, audit split) compare counted rows with the key's best row;
+only with an explicit tie order or columns that can't be ordered do they
+rank every row (``ordering.positions``, which spreads a hot key over many
+tasks).
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curata.operators.joins import join_on_keys
 from curata.operators.ordering import positions
 from curata.specs import as_tuple
 
@@ -63,14 +66,54 @@ def first(df: DataFrame, key, order_cols: Sequence[str] = (), tie: Sequence[str]
     return keep_one(df, key, order, order_cols, tie=tie, desc_tie=False)
 
 
+def _flag_best(df: DataFrame, key, rank: Sequence[Column], last: bool, name: str) -> DataFrame:
+    """``df`` with ``name`` true on one row per key: the one whose ``rank`` values are largest (``last``) or smallest.
+
+    Whole rows are counted first and each key's best rank is one aggregate,
+    both combined before the shuffle; of the best row's copies one is
+    flagged. No key is gathered or sorted in one task, and nothing is ranked
+    that isn't asked for. ``rank`` must tell different rows of a key apart.
+    """
+    keys = list(as_tuple(key))
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_rank", F.struct(*rank))
+    best = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg((F.max if last else F.min)(F.struct(*rank)).alias("_best"))
+    j = join_on_keys(rows, best, [(k, f"_k{i}") for i, k in enumerate(keys)], "inner", null_safe=True)
+    return j.select(*[rows[c] for c in df.columns], F.col("_rank").eqNullSafe(F.col("_best")).alias("_is"),
+                    F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).select(
+        *df.columns, (F.col("_is") & (F.col("_copy") == 1)).alias(name))
+
+
+def _rest(df: DataFrame, key, first_cols: Sequence[str]) -> list[Column] | None:
+    """The other columns, which break ties; None if one of them can't be ordered."""
+    rest = [f for f in df.schema.fields if f.name not in {*as_tuple(key), *first_cols}]
+    if any(f.dataType.typeName() in ("array", "map", "struct", "variant") for f in df.schema.fields):
+        return None
+    return [F.col(f.name) for f in rest]
+
+
 def flag_surplus(df: DataFrame, key, order_cols: Sequence[str] = (), tie: Sequence[str] | None = None,
                  name: str = "is_surplus") -> DataFrame:
-    """``duplicated(keep='first')`` -> True on every row after the first (ascending order)."""
+    """``duplicated(keep='first')`` -> True on every row after the first (ascending order, nulls first)."""
+    rest = _rest(df, key, order_cols)
+    if tie is None and rest is not None:
+        return _flag_best(df, key, [*map(F.col, order_cols), *rest] or [F.lit(0)], False, name).withColumn(name, ~F.col(name))
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     ranked = positions(df, key, _ordered(df, key, order, order_cols, tie, False), _RN)
     return ranked.withColumn(name, F.col(_RN) > 1).drop(_RN)
 
 
+def flag_latest(df: DataFrame, key, ts: str = "updated_at", nulls: str = "oldest", tie: Sequence[str] | None = None,
+                name: str = "is_latest") -> DataFrame:
+    """``df`` with ``name`` true on the row that ``latest`` would keep of each key."""
+    rest = _rest(df, key, [ts])
+    if tie is None and rest is not None:
+        newest = [F.col(ts).isNull()] if nulls == "newest" else []
+        return _flag_best(df, key, [*newest, F.col(ts), *rest], True, name)
+    o = F.col(ts).desc_nulls_last() if nulls == "oldest" else F.col(ts).desc_nulls_first()
+    ranked = positions(df, key, _ordered(df, key, [o], [ts], tie, True), _RN)
+    return ranked.withColumn(name, F.col(_RN) == 1).drop(_RN)
+
+
 def flag_repeated(df: DataFrame, key, name: str = "is_repeated") -> DataFrame:
     """``duplicated(keep=False)`` -> True on every row whose key repeats.
 
@@ -154,6 +197,5 @@ def conflicting_duplicates(df: DataFrame, key) -> DataFrame:
 def split_latest(df: DataFrame, key, ts: str = "updated_at", nulls: str = "newest",
                  tie: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(kept latest rows, dropped rows for the audit table)."""
-    o = F.col(ts).desc_nulls_last() if nulls == "oldest" else F.col(ts).desc_nulls_first()
-    ranked = positions(df, key, _ordered(df, key, [o], [ts], tie, True), _RN)
-    return ranked.where(F.col(_RN) == 1).drop(_RN), ranked.where(F.col(_RN) > 1).drop(_RN)
+    flagged = flag_latest(df, key, ts, nulls, tie, "_latest")
+    return flagged.where(F.col("_latest")).drop("_latest"), flagged.where(~F.col("_latest")).drop("_latest")

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curata.operators.joins import join_on_keys
+
 
 def identity_groups(df: DataFrame, identity: str, member_id: str, profile_cols: Sequence[str],
                     keep_null: bool = False) -> DataFrame:
@@ -62,13 +64,18 @@ def master_id(df: DataFrame, identity: str, member_id: str, name: str = "master_
     """Every row gets the smallest member id sharing its identity; null identity keeps its own id.
 
     The (identity -> smallest id) map is a map-side-combined aggregate joined
-    back on the identity; AQE splits the join if one identity is hot.
+    back on the identity with ``join_on_keys``, so that a hot identity is split.
     """
-    m = df.where(F.col(identity).isNotNull()).groupBy(identity).agg(F.min(member_id).alias("_m"))
-    j = df.join(m, identity, "left")
-    return j.withColumn(name, F.coalesce(F.col("_m"), F.col(member_id))).drop("_m")
+    m = df.where(F.col(identity).isNotNull()).groupBy(F.col(identity).alias("_identity")).agg(F.min(member_id).alias("_m"))
+    j = join_on_keys(df, m, [(identity, "_identity")], "left")
+    return j.select(df["*"], F.coalesce(F.col("_m"), F.col(member_id)).alias(name))
 
 
 def surrogate_key(*cols) -> "F.Column":
-    """Deterministic surrogate key from the natural columns."""
-    return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("∅")) for c in cols]), 256)
+    """Deterministic surrogate key from the natural columns.
+
+    Every part is written with its length, so no two different rows of values
+    give the same text: ("a|b", "c") and ("a", "b|c") differ, as do null and "".
+    """
+    part = lambda c: F.concat(F.length(c).cast("string"), F.lit(":"), c)
+    return F.sha2(F.concat(*[F.coalesce(part(F.col(c).cast("string")), F.lit("-")) for c in cols]), 256)

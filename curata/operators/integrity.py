@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curata.operators.dedup import duplicate_summary
+from curata.operators.joins import join_on_keys
 from curata.specs import as_tuple
 
 
@@ -90,14 +91,15 @@ def orphans(child: DataFrame, fk, parent: DataFrame, pk, null_safe: bool = False
     null parent key (N2).
     """
     fk, pk = as_tuple(fk), as_tuple(pk)
-    pkeys = parent.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(pk)]).distinct()
+    # the parent as it is: repeated keys don't matter to an anti join, and AQE can split a hot child key
+    pkeys = parent.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(pk)])
     cond = [(child[f].eqNullSafe(pkeys[f"_p{i}"]) if null_safe else child[f] == pkeys[f"_p{i}"]) for i, f in enumerate(fk)]
     return child.join(pkeys, cond, "left_anti")
 
 
 def flag_orphans(child: DataFrame, fk, parent: DataFrame, pk, name: str = "is_orphan", null_safe: bool = False) -> DataFrame:
-    """J15 as a flag column (keeps every child row)."""
+    """J15 as a flag column (keeps every child row); a hot child key is split (``join_on_keys``)."""
     fk, pk = as_tuple(fk), as_tuple(pk)
     pkeys = parent.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(pk)]).distinct().withColumn("_hit", F.lit(True))
-    cond = [(child[f].eqNullSafe(pkeys[f"_p{i}"]) if null_safe else child[f] == pkeys[f"_p{i}"]) for i, f in enumerate(fk)]
-    return child.join(pkeys, cond, "left").select(child["*"], F.col("_hit").isNull().alias(name))
+    j = join_on_keys(child, pkeys, [(f, f"_p{i}") for i, f in enumerate(fk)], "left", null_safe)
+    return j.select(child["*"], F.col("_hit").isNull().alias(name))

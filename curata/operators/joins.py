@@ -42,17 +42,18 @@ def small_side(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int =
     return F.broadcast(frozen) if n <= max_rows and size <= max_bytes else frozen
 
 
-def join_on_keys(left: DataFrame, right: DataFrame, on: Sequence[tuple[Column, Column]], how: str, null_safe: bool = False) -> DataFrame:
+def join_on_keys(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str, null_safe: bool = False) -> DataFrame:
     """Join whose large partitions AQE can split even if ``right`` was aggregated or ranked on the same key.
 
     AQE splits a skewed side only if both sides' shuffles stand right below
     the join. A right side that was already shuffled by the key for its
     aggregation would be joined without a shuffle of its own; the hash of the
-    key as one more join key makes Spark shuffle it (small: one row per key)
-    once more. Both key columns must have the same type.
+    key as one more join key makes Spark shuffle it (one row per key) once
+    more. ``on`` pairs a column of ``left`` with one of ``right``.
     """
-    equal = [a.eqNullSafe(b) if null_safe else a == b for a, b in on]
-    hashes = F.xxhash64(*[a for a, _ in on]) == F.xxhash64(*[b for _, b in on])
+    equal = [left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b] for a, b in on]
+    same_type = [right[b].cast(left.schema[a].dataType) for a, b in on]
+    hashes = F.xxhash64(*[left[a] for a, _ in on]) == F.xxhash64(*same_type)
     return left.join(right, [*equal, hashes], how)
 
 

@@ -18,9 +18,10 @@ def value_index(df: DataFrame, period: str, group: str, value: str, name: str =
     """Per (period, group) total and index = 100 x total / total of the global first period.
 
     The base is the first period over all groups, so a group absent then gets
-    a null index. Runs on the (period, group) aggregate only.
+    a null index. Rows without a period or group are left out (N7). Runs on
+    the (period, group) aggregate only.
     """
-    agg = df.groupBy(period, group).agg(F.sum(value).alias("value"))
+    agg = df.dropna(subset=[period, group]).groupBy(period, group).agg(F.sum(value).alias("value"))
     first_period = F.min(period).over(Window.partitionBy())
     base = F.max(F.when(F.col(period) == F.col("_p0"), F.col("value"))).over(Window.partitionBy(group))
     return (agg.withColumn("_p0", first_period).withColumn("_base", base)
@@ -28,8 +29,8 @@ def value_index(df: DataFrame, period: str, group: str, value: str, name: str =
 
 
 def period_extremes(df: DataFrame, period: str) -> DataFrame:
-    """Mean rows per period, and the quietest and busiest periods (earliest on ties)."""
-    per = df.groupBy(period).agg(F.count(F.lit(1)).alias("n"))
+    """Mean rows per period, and the quietest and busiest periods (earliest on ties); rows without a period are left out."""
+    per = df.where(F.col(period).isNotNull()).groupBy(period).agg(F.count(F.lit(1)).alias("n"))
     return per.agg(
         F.avg("n").alias("mean_per_period"),
         F.min_by(period, F.struct(F.col("n"), F.col(period))).alias("min_period"),

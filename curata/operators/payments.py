@@ -98,11 +98,12 @@ def status_sequences(payments: DataFrame, key: Sequence[str], status: str, ts: s
     hashes of (position, status), which are map-side combinable. Only the k
     reported paths are turned into text, each from the steps of one order
     (its smallest order key): the text is the answer itself. Ties in
-    frequency go to the path first seen at the smallest order key.
+    frequency go to the path first seen at the smallest order key. Rows with
+    a null key are left out (N7).
     """
     key = list(key)
     order = [F.col(ts).asc_nulls_last(), F.col(tie).asc()]
-    pos = positions(payments.select(*key, status, ts, tie), key, order, "_pos").select(*key, status, "_pos")
+    pos = positions(payments.dropna(subset=key).select(*key, status, ts, tie), key, order, "_pos").select(*key, status, "_pos")
     h1 = F.xxhash64(F.col("_pos"), F.col(status)).cast("decimal(20,0)")
     h2 = F.xxhash64(F.col(status), F.col("_pos"), F.lit("~")).cast("decimal(20,0)")
     fp = pos.groupBy(*key).agg(F.count(F.lit(1)).alias("_len"), F.sum(h1).alias("_h1"), F.sum(h2).alias("_h2"))
@@ -118,14 +119,14 @@ def status_sequences(payments: DataFrame, key: Sequence[str], status: str, ts: s
 
 def reference_payment(payments: DataFrame, key: Sequence[str], status: str, ts: str, tie: str,
                       captured: str = "CAPTURED", attempt: str = "attempt_no") -> tuple[DataFrame, DataFrame]:
-    """(one reference payment per order = last captured, all attempts numbered).
+    """(one reference payment per order = last captured, all attempts numbered); rows with a null key are left out.
 
     Attempts are numbered chronologically by ``ordering.positions``; the
     reference is the top-1 captured attempt (partial group limit before the
     shuffle), so neither step gathers an order in one task.
     """
     key = list(key)
-    attempts = positions(payments, key, [F.col(ts).asc_nulls_last(), F.col(tie).asc()], attempt)
+    attempts = positions(payments.dropna(subset=key), key, [F.col(ts).asc_nulls_last(), F.col(tie).asc()], attempt)
     cap = attempts.where(F.col(status) == captured)
     ref = keep_one(cap, key, [F.col(ts).desc_nulls_first(), F.col(tie).desc()], [ts, tie])
     return ref, attempts

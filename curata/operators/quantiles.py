@@ -140,4 +140,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], group: Sequ
 
 def median_of(df: DataFrame, col: str, group: Sequence[str] | str | None = None, name: str = "median",
               extra: dict[str, Column] | None = None, inputs: Sequence[str] | None = None) -> DataFrame:
+    """``exact_quantiles`` for the median; rows without a group are left out."""
+    if group is not None:
+        df = df.dropna(subset=[group] if isinstance(group, str) else list(group))
     return exact_quantiles(df, col, [0.5], group, names=[name], extra=extra, inputs=inputs)

@@ -96,14 +96,14 @@ def pivot_counts(df: DataFrame, row: str, col: str, values: Sequence, fill: int
 
 def describe(df: DataFrame, col: str, percentiles: Sequence[float] = (0.25, 0.5, 0.75),
              group: Sequence[str] | str | None = None, approx: bool = False, accuracy: int = 10000) -> DataFrame:
-    """Count, mean, std (sample), min, percentiles, max over non-null values; optionally per group.
+    """Count, mean, std (sample), min, percentiles, max over non-null values; optionally per (non-null, N7) group.
 
     Percentiles are exact and interpolate linearly (as pandas), computed by
     ``exact_quantiles`` so that no group's values are gathered in one task.
     ``approx=True`` uses the bounded-memory sketch alone.
     """
     groups = [] if group is None else ([group] if isinstance(group, str) else list(group))
-    src = df.where(F.col(col).isNotNull())
+    src = df.dropna(subset=[col, *groups])
     x = F.col(col).cast("double")
     extra = {"count": F.count(x).cast("long"), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x),
              "max": F.max(x)}

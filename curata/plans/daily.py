@@ -1,10 +1,11 @@
 """One daily run over a table set: quarantine, curate, monitor (§3.3, S6, S7, S9, S10, T1, T21).
 
 ``run_daily`` is a plain function; scheduling stays outside. Every output is
-either an idempotent upsert (curated zone) or a ``run_id`` partition written
-with dynamic partition overwrite (re-running a day replaces that day only).
-The tagged lines are written once to the intermediate zone and read back, so
-the quarantine and the curated upsert do not recompute them.
+either an idempotent upsert (curated zone) or the folder of a ``run_id``,
+replaced as a whole (re-running a day replaces that day only, also when it
+has no rows any more).
+The tagged lines and orders are written once to the intermediate zone and read
+back, so the quarantine and the curated upsert do not recompute them.
 """
 
 from __future__ import annotations
@@ -19,8 +20,7 @@ from curata.sources.upsert import upsert
 
 
 def _write_run(df: DataFrame, path: str, run_id: str) -> None:
-    (df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
+    df.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
 def run_daily(spark: SparkSession, input_dir: str, base_dir: str, run_id: str, buckets: int = 64) -> dict:
@@ -29,13 +29,15 @@ def run_daily(spark: SparkSession, input_dir: str, base_dir: str, run_id: str, b
     # lines: tag once, keep the tagged table, split into curated / quarantine
     staged = zone_path(base_dir, "intermediate", "lineitem_tagged")
     _write_run(catalog.line_quarantine(s), staged, run_id)
-    tagged = spark.read.parquet(staged).where(F.col("run_id") == run_id).drop("run_id")
+    tagged = spark.read.parquet(f"{staged}/run_id={run_id}")
     _write_run(tagged.where(F.col("zone") == "quarantine"), zone_path(base_dir, "quarantine", "lineitem"), run_id)
     lines_ok = tagged.where(F.col("zone") == "curated").drop("zone", "reasons")
     upsert(spark, lines_ok, zone_path(base_dir, "curated", "lineitem"), list(LINE_KEY), "l_shipdate", buckets)
 
     # orders: quarantine those without lines or with a wrong total, curate the rest
-    oq = catalog.q_order_quarantine(spark, input_dir)
+    staged = zone_path(base_dir, "intermediate", "orders_tagged")
+    _write_run(catalog.q_order_quarantine(spark, input_dir), staged, run_id)
+    oq = spark.read.parquet(f"{staged}/run_id={run_id}")
     _write_run(oq.where(F.col("zone") == "quarantine"), zone_path(base_dir, "quarantine", "orders"), run_id)
     orders_ok = s.orders_u().join(oq.where(F.col("zone") == "curated").select("o_orderkey"), "o_orderkey", "left_semi")
     upsert(spark, orders_ok, zone_path(base_dir, "curated", "orders"), "o_orderkey", "o_orderdate", buckets)

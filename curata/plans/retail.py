@@ -20,11 +20,13 @@ from pyspark.sql import functions as F
 
 from curata.functions.scalars import days_between
 from curata.operators import dedup
+from curata.operators.joins import join_on_keys
 
 # Fixed values of the mapping.
 LINE_KEY = ("l_orderkey", "l_linenumber")
 ACTIVE_PART_MIN_SIZE = 5          # "active catalogue" = parts with p_size > 5
 CAPTURED, FAILED, VIEW = "purchase", "error", "view"   # VIEW events price the order
+CANCELLED = "P"                   # order status that plays the cancelled one
 SIGNUP = "signup"                 # a customer's registration = its first sign-up event
 LATE_DAYS = 7
 TOL = 0.05
@@ -94,7 +96,7 @@ class Star:
     def deliveries(self) -> DataFrame:
         """lineitem with its order's date: delay = ship date - order date, in days."""
         o = self.orders_u().select(F.col("o_orderkey"), "o_orderdate", "o_orderpriority", "o_orderstatus")
-        return (self.t("lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        return (join_on_keys(self.t("lineitem"), o, [("l_orderkey", "o_orderkey")], "left")
                 .withColumn("delay_days", days_between("l_shipdate", "o_orderdate")))
 
     def payments(self) -> DataFrame:

@@ -20,6 +20,8 @@ _BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -33,10 +35,14 @@ def get_spark(
 
     ``cluster=False`` runs ``local[*]``; ``cluster=True`` takes the master from
     the builder's usual ``spark.master`` setting (spark-submit) unless one is
-    passed. An already running session is reused as it is.
+    passed. An already running session is reused as it is; one in another
+    time zone than UTC is refused, because every date would differ.
     """
     active = SparkSession.getActiveSession()
     if active is not None:
+        zone = active.conf.get("spark.sql.session.timeZone")
+        if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+            raise ValueError(f"the active session's time zone is {zone}; set spark.sql.session.timeZone to UTC")
         return active
     builder = SparkSession.builder.appName(app_name)
     if master is not None:

@@ -37,8 +37,9 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 def write_text_new(spark: SparkSession, path: str, text: str) -> None:
     """Create ``path`` with ``text`` via a temp file and a rename; fail if it already exists.
 
-    The rename to a name that does not exist yet is atomic on HDFS-like
-    stores, and a second writer racing for the same name loses.
+    On stores whose rename is atomic and refuses an existing name (HDFS), a
+    second writer racing for the same name loses. Object stores that copy on
+    rename don't promise that: there, two racing writers need a lock.
     """
     import uuid
 

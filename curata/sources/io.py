@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from curata.functions.nulls import PANDAS_NA_TOKENS, na_to_null
 from curata.functions.scalars import parse_ts
@@ -27,17 +27,20 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType | None = N
                    na_tokens: Iterable[str] = PANDAS_NA_TOKENS) -> DataFrame:
     """CSV with a header row.
 
-    Text columns are read as strings and pandas' NA tokens become null
-    (N17); typed columns are then cast with ``try_cast`` so that a bad cell
-    is null instead of an error. Without a schema every column stays text.
+    Columns are taken by their name in the header, in any order; quotes follow
+    RFC 4180 (doubled inside quotes, line breaks allowed), so a file isn't
+    split: store a large table as many files. Text columns are read as strings
+    and pandas' NA tokens become null (N17); typed columns are then cast with
+    ``try_cast`` so that a bad cell is null instead of an error, and a whole
+    number written as ``1985.0`` is an integer. Without a schema every column
+    stays text; a column that the header lacks is an error.
     """
-    names = None
+    raw = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
     if schema is not None:
-        names = [f.name for f in schema.fields]
-        text_schema = StructType([StructField(n, StringType(), True) for n in names])
-        raw = spark.read.schema(text_schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    else:
-        raw = spark.read.option("header", True).csv(path)
+        missing = [f.name for f in schema.fields if f.name not in raw.columns]
+        if missing:
+            raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+        raw = raw.select(*[F.col(f"`{f.name}`") for f in schema.fields])
     tokens = list(na_tokens)
     cleaned = raw.select(*[na_to_null(c, tokens).alias(c) for c in raw.columns])
     if schema is None:
@@ -52,6 +55,9 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType | None = N
         elif t == "boolean":
             low = F.lower(F.col(f.name))
             out.append(F.when(low.isin("true", "1", "yes"), True).when(low.isin("false", "0", "no"), False).alias(f.name))
+        elif t in ("tinyint", "smallint", "int", "bigint"):
+            number = f"try_cast(`{f.name}` as double)"
+            out.append(F.expr(f"coalesce(try_cast(`{f.name}` as {t}), if({number} = floor({number}), try_cast({number} as {t}), null))").alias(f.name))
         else:
             out.append(F.expr(f"try_cast(`{f.name}` as {t})").alias(f.name))
     return cleaned.select(*out)

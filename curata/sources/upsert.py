@@ -7,17 +7,21 @@ Semantics of the curated MERGE:
 * a key absent from the target is inserted; null keys never match, so rows
   with a null key are inserted on every run.
 
-``merge_latest`` is that rule as one full outer join. ``upsert`` stores the
-target as hash buckets of the key (``_bucket``) in versioned folders and
-rewrites only the buckets a batch touches, then publishes a new numbered
-pointer file (``_pointers/<version>.json``, never overwritten; readers take
-the highest). A concurrent second writer fails instead of losing an update.
-Delta Lake is used instead when it is on the classpath.
+``merge_latest`` is that rule as one full outer join. ``upsert`` keeps the
+target as hash buckets of the key (``_bucket``), merges the buckets that a
+batch touches into a folder of this attempt's own (never written by anybody
+else), and then publishes a numbered pointer file that names the folder of
+every bucket (``_pointers/<version>.json``; readers take the highest). Of two
+writers that started from one version, the second fails at the pointer: its
+folder is referred to by nothing, and what the first committed stays as it
+is. This needs a store whose rename refuses an existing name (HDFS, a local
+disk); elsewhere, use Delta Lake, which is taken when it is on the classpath.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,27 +76,19 @@ def _publish(spark: SparkSession, path: str, ptr: dict) -> None:
     fs.write_text_new(spark, f"{path}/{POINTERS}/{ptr['version']}.json", json.dumps(ptr))
 
 
-def _segments(ptr: dict, bucket) -> list[int]:
-    """Versions holding a bucket's current rows (a list; older pointers hold one int)."""
-    v = ptr["buckets"].get(str(bucket))
-    if v is None:
-        return []
-    return list(v) if isinstance(v, list) else [v]
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
     """The path holds a curated table (pointer file or Delta log)."""
     return _pointer(spark, path) is not None or fs.exists(spark, f"{path}/_delta_log")
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """Current version of a bucketed table (each bucket from its own version)."""
+    """Current version of a bucketed table (each bucket from the folder that the pointer names)."""
     if fs.exists(spark, f"{path}/_delta_log"):
         return spark.read.format("delta").load(path)
     ptr = _pointer(spark, path)
     if ptr is None:
         raise FileNotFoundError(f"no curated table at {path}")
-    paths = [f"{path}/{VERSION}={v}/{BUCKET}={b}" for b in sorted(ptr["buckets"], key=int) for v in _segments(ptr, b)]
+    paths = [f"{path}/{VERSION}={v}/{BUCKET}={b}" for b, v in ptr["buckets"].items()]
     if not paths:
         return spark.createDataFrame([], ptr["schema"])
     df = spark.read.option("basePath", path).parquet(*paths)
@@ -100,17 +96,13 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "updated_at",
-           buckets: int = 64, batch_key: str | None = None, batch_id: int | None = None,
-           max_segments: int = 8) -> dict:
+           buckets: int = 64, batch_key: str | None = None, batch_id: int | None = None) -> dict:
     """Apply one batch; returns {"version", "touched_buckets"} (and "skipped" for a replay).
 
     First call writes the deduplicated batch (fails if the path already holds
     data, like the default write mode). Later calls read only the buckets the
-    batch touches, merge them and write a new version of those buckets.
-    A touched bucket where no batch key exists yet (found from the key
-    columns alone) is not rewritten: the batch's rows are appended as a new
-    segment of it; a bucket is merged and compacted into one segment when a
-    batch key matches or when it has ``max_segments`` segments.
+    batch touches, merge them and write those buckets anew, one file each;
+    choose ``buckets`` at the first call so that a bucket fits a task.
     With ``batch_key``/``batch_id`` (a stream and its epoch) the pointer
     records the last applied id per key, so a replayed batch is skipped:
     exactly-once even for rows with a null key.
@@ -134,55 +126,26 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "update
         if batch_key in applied and batch_id <= applied[batch_key]:
             return {"version": ptr["version"], "touched_buckets": 0, "skipped": True}
         applied[batch_key] = batch_id
-    batch = latest(df, keys, ts, nulls="oldest").withColumn(BUCKET, bucket_of(keys, buckets))
-    names = [c for c in df.columns]
+    names = list(df.columns)
+    n_buckets = ptr["n_buckets"] if ptr else buckets
     if ptr is None:
         foreign = [d for d in fs.list_dirs(spark, path) if not d.startswith(f"{VERSION}=") and d != POINTERS]
         if foreign:
             raise FileExistsError(f"{path} holds data that is not a curated table: {foreign}")
-        # A version-0 folder without a pointer is a failed first attempt; nothing reads it.
-        batch.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{VERSION}=0")
-        present = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{path}/{VERSION}=0") if d.startswith(f"{BUCKET}=")]
-        new_ptr = {"version": 0, "buckets": {b: [0] for b in present}, "n_buckets": buckets,
-                   "schema_json": json.dumps({"names": names}), "schema": df.schema.simpleString(),
-                   "batches": applied}
-        _publish(spark, path, new_ptr)
-        return {"version": 0, "touched_buckets": len(present)}
-
-    if ptr["n_buckets"] != buckets:
-        batch = batch.withColumn(BUCKET, bucket_of(keys, ptr["n_buckets"]))
-    # the deduplicated batch feeds three jobs below (touched buckets, key match, write): materialise it once
+    # the deduplicated batch feeds two jobs (touched buckets, write): materialise it once
     checkpoint_dir(spark)
-    batch = batch.checkpoint(eager=True)
-    # The list of touched buckets is bounded by the bucket count.
-    touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
-    version = ptr["version"] + 1
-    seg_paths = {b: [f"{path}/{VERSION}={v}/{BUCKET}={b}" for v in _segments(ptr, b)] for b in touched}
-    old_paths = [p for b in touched for p in seg_paths[b]]
-    rewrite: set[int] = set()
+    batch = latest(df, keys, ts, nulls="oldest").withColumn(BUCKET, bucket_of(keys, n_buckets)).checkpoint(eager=True)
+    touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())       # as many as buckets at most
+    current = ptr["buckets"] if ptr else {}
+    old_paths = [f"{path}/{VERSION}={current[str(b)]}/{BUCKET}={b}" for b in touched if str(b) in current]
+    out = batch.select(*names, BUCKET)
     if old_paths:
-        # buckets where a batch key already exists: the key columns suffice (column pruning), and the
-        # list of such buckets is bounded by the bucket count
-        target_keys = spark.read.option("basePath", path).parquet(*old_paths).select(*keys, BUCKET)
-        hit = target_keys.join(batch.select(*keys), keys, "left_semi").select(BUCKET).distinct()
-        rewrite = {r[0] for r in hit.collect()}
-        rewrite |= {b for b in touched if len(_segments(ptr, b)) >= max_segments}
-    rewrite_paths = [p for b in sorted(rewrite) for p in seg_paths[b]]
-    inserts = batch.where(~F.col(BUCKET).isin(sorted(rewrite))).select(*names, BUCKET)
-    if rewrite_paths:
-        target = spark.read.option("basePath", path).parquet(*rewrite_paths).drop(VERSION)
-        merged = merge_latest(target.select(*names, BUCKET), batch.where(F.col(BUCKET).isin(sorted(rewrite)))
-                              .select(*names, BUCKET), keys, ts, dedup_source=False)
-        out = merged.unionByName(inserts)
-    else:
-        out = inserts
-    # The new version folder is not referenced by the pointer until the switch
-    # below, so a retried batch may overwrite a leftover of a failed attempt.
-    out.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{VERSION}={version}")
-    written = [d.split("=", 1)[1] for d in fs.list_dirs(spark, f"{path}/{VERSION}={version}") if d.startswith(f"{BUCKET}=")]
-    bmap = {b: _segments(ptr, b) for b in ptr["buckets"]}
-    for b in written:
-        bmap[b] = [version] if int(b) in rewrite else bmap.get(b, []) + [version]
-    new_ptr = {**ptr, "version": version, "buckets": bmap, "batches": applied}
+        target = spark.read.option("basePath", path).parquet(*old_paths)
+        out = merge_latest(target.select(*names, BUCKET), out, keys, ts, dedup_source=False)
+    version = ptr["version"] + 1 if ptr else 0
+    folder = f"{version}-{uuid.uuid4().hex}"
+    out.repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{VERSION}={folder}")
+    new_ptr = {"version": version, "buckets": {**current, **{str(b): folder for b in touched}}, "n_buckets": n_buckets,
+               "schema_json": json.dumps({"names": names}), "schema": df.schema.simpleString(), "batches": applied}
     _publish(spark, path, new_ptr)
     return {"version": version, "touched_buckets": len(touched)}

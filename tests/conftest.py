@@ -16,6 +16,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
          .config("spark.local.dir", os.path.join(scratch, "local"))
          .getOrCreate())

@@ -30,6 +30,19 @@ def test_csv_na_tokens_and_dates(spark, scratch):
     assert fails.first()["order_date"] == 1
 
 
+def test_csv_by_name_quotes_and_whole_floats(spark, scratch):
+    from pyspark.sql.types import IntegerType, LongType
+    p = os.path.join(scratch, "t.csv")
+    with open(p, "w") as f:
+        f.write('year,order_id,note,big\n1985.0,o1,"say ""hi"", ok",9007199254740993\n1985.5,o2,"two\nlines",7.0\n,o3,"",x\n')
+    schema = StructType([StructField("order_id", StringType()), StructField("note", StringType()), StructField("year", IntegerType()),
+                         StructField("big", LongType())])
+    got = {r.order_id: tuple(r)[1:] for r in io.read_csv_table(spark, p, schema).collect()}
+    assert got == {"o1": ('say "hi", ok', 1985, 9007199254740993), "o2": ("two\nlines", None, 7), "o3": (None, None, None)}
+    with pytest.raises(ValueError, match="gone"):
+        io.read_csv_table(spark, p, StructType([StructField("gone", StringType())]))
+
+
 def test_load_tables_lists_missing(spark):
     with pytest.raises(FileNotFoundError, match="nope"):
         io.load_tables(spark, "/root/testdata/sf0.001", ["orders", "nope"])
@@ -87,6 +100,8 @@ def test_run_profiling_writes_report_tables(spark, scratch):
     assert paths["orders_by_month"].endswith("/marts/orders_by_month")
     reg = spark.read.parquet(paths["anomaly_register"])
     assert reg.where("run_id = '2025-05-01'").count() == 14
+    with pytest.raises(ValueError, match="salt"):
+        run_profiling(spark, sf, scratch, "2025-05-01", ["pii_rehash"])
     # re-running the same day replaces it
     run_profiling(spark, sf, scratch, "2025-05-01", ["anomaly_register"])
     assert spark.read.parquet(paths["anomaly_register"]).count() == 14

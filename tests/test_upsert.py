@@ -75,27 +75,37 @@ def test_replayed_epoch_is_skipped(spark, scratch):
     assert read_current(spark, path).count() == 5          # its null-key row is new to the table
 
 
-def test_insert_only_buckets_append_segments(spark, scratch):
-    import json
-    import os
-
-    path = os.path.join(scratch, "t_segments")
-    b0 = spark.createDataFrame([(f"k{i}", T(2025, 1, 1), "0") for i in range(20)], SCHEMA)
-    upsert(spark, b0, path, "id", "updated_at", 4)
-    b1 = spark.createDataFrame([(f"n{i}", T(2025, 1, 2), "1") for i in range(20)], SCHEMA)   # new keys only
-    upsert(spark, b1, path, "id", "updated_at", 4)
-
-    def pointer():
-        d = os.path.join(path, "_pointers")
-        names = [n for n in os.listdir(d) if n.endswith(".json") and n[:-5].isdigit()]
-        return json.load(open(os.path.join(d, max(names, key=lambda n: int(n[:-5])))))
-
-    segs = pointer()["buckets"]
-    assert all(v == [0, 1] for v in segs.values())            # appended, nothing rewritten
-    b2 = spark.createDataFrame([("k0", T(2025, 1, 3), "2"), ("k1", T(2024, 1, 1), "old")], SCHEMA)
-    upsert(spark, b2, path, "id", "updated_at", 4)
-    segs = pointer()["buckets"]
-    assert any(v == [2] for v in segs.values())                # the matched buckets were merged and compacted
+def test_stale_writer_fails_and_loses_nothing(spark, scratch, monkeypatch):
+    """Two writers start from one version: the first commit stays readable, the second fails."""
+    import pytest
+
+    from curata.sources import upsert as store
+
+    path = f"{scratch}/stale"
+    upsert(spark, spark.createDataFrame([(f"k{i}", T(2025, 1, 1), "0") for i in range(20)], SCHEMA), path, "id", buckets=4)
+    old = store._pointer(spark, path)
+    first = spark.createDataFrame([("k0", T(2025, 1, 2), "first"), ("n", T(2025, 1, 2), "first")], SCHEMA)
+    second = spark.createDataFrame([("k0", T(2025, 1, 3), "second"), ("k1", T(2025, 1, 3), "second")], SCHEMA)
+    upsert(spark, first, path, "id", buckets=4)
+    committed = _rows(read_current(spark, path))
+    monkeypatch.setattr(store, "_pointer", lambda *a: old)          # the second writer read the table before the first commit
+    with pytest.raises(FileExistsError):
+        upsert(spark, second, path, "id", buckets=4)
+    monkeypatch.undo()
+    assert _rows(read_current(spark, path)) == committed and ("k0", "first") in {(r[0], r[2]) for r in committed}
+    upsert(spark, second, path, "id", buckets=4)                    # a retry from the new version works
     got = {r.id: r.v for r in read_current(spark, path).collect()}
-    assert len(got) == 40 and got["k0"] == "2" and got["k1"] == "0" and got["n5"] == "1"
-    assert read_current(spark, path).count() == 40            # no key twice across segments
+    assert len(got) == 21 and got["k0"] == got["k1"] == "second" and got["n"] == "first"
+
+
+def test_null_times_stay_in_the_target(spark):
+    """The registered merge splits lines by time; lines without one belong to the target."""
+    from curata.plans import catalog
+
+    li = spark.createDataFrame([(1, 1, None), (1, 2, T(1998, 6, 1))], "l_orderkey long, l_linenumber int, l_shipdate timestamp")
+    star = type("S", (), {"t": lambda self, n: li})()
+    catalog_star, catalog.Star = catalog.Star, lambda *a: star
+    try:
+        assert catalog.q_upsert_merge(spark, "").count() == 2
+    finally:
+        catalog.Star = catalog_star
