@@ -82,7 +82,7 @@ def default_rules(text: str = "text") -> list[Rule]:
     count = lambda pattern: F.regexp_count(t, F.lit(pattern))
     return [
         Rule("symbols", 10 * F.col("n_symbols") > n),
-        Rule("repeated_lines", 10 * F.col("n_dup_lines") > 3 * F.col("n_lines")),
+        Rule("repeated_lines", (F.col("n_dup_lines") >= 3) & (10 * F.col("n_dup_lines") > 3 * F.col("n_lines"))),
         Rule("word_length", (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n)),
         Rule("capitals", count(r"\p{Lu}") > count(r"\p{Ll}")),
         Rule("words_without_letters", 5 * count(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D\p{L}]++(?![^\x20\x09-\x0D])") > n),

@@ -131,8 +131,9 @@ ORACLE: dict[str, str] = {
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
         w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
                      list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
-        p AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, w FROM w WHERE len(w) >= 3),
-        g AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS c FROM p),
+        p AS (SELECT r, unnest(range(1, len(w) - 1)) AS i,
+                     unnest(list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) AS three FROM w WHERE len(w) >= 3),
+        g AS (SELECT r, i, count(*) OVER (PARTITION BY r, three) AS c FROM p),
         rep AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM g WHERE c > 1) GROUP BY r),
         m AS (SELECT w.r, doc_id, t, len(lines) AS n_lines, CAST(len(w) AS BIGINT) AS n_words,
                      CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
@@ -143,7 +144,7 @@ ORACLE: dict[str, str] = {
               FROM w LEFT JOIN rep ON w.r = rep.r),
         b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-               NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+               NOT (base_failed OR 10 * n_symbols > n_words OR (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines)
                     OR word_chars < 2 * n_words OR word_chars > 15 * n_words
                     OR len(regexp_extract_all(t, '\p{Lu}')) > len(regexp_extract_all(t, '\p{Ll}'))
                     OR 5 * letterless > n_words

@@ -18,7 +18,7 @@ def accepted(text):
     lines = [x for x in text.split("\n") if x.strip(" \t\n\v\f\r")]
     upper, lower = sum(c.isupper() for c in text), sum(c.islower() for c in text)
     letterless = sum(not any(c.isalpha() for c in w) for w in re.findall(WORD, text))
-    return not (n < 50 or 2 * repeat > n or 10 * symbols > n or 10 * dup > 3 * len(lines) or chars < 2 * n or chars > 15 * n
+    return not (n < 50 or 2 * repeat > n or 10 * symbols > n or dup >= 3 and 10 * dup > 3 * len(lines) or chars < 2 * n or chars > 15 * n
                 or upper > lower or 5 * letterless > n)
 
 
