@@ -46,3 +46,28 @@ def test_frequencies_of_several_columns_scan_once(spark):
     from curata.operators import reshape
     plan = _plan(reshape.frequencies(Star(spark, SF).t("orders"), ["o_orderstatus", "o_orderpriority"]))
     assert plan.count("Scan parquet") == 1
+
+
+def test_hot_keys_are_split(spark):
+    """Half of the rows on one key: AQE must split the join's hot partition, also against an aggregated or ranked parent."""
+    from curata.operators import identity
+    from curata.operators.joins import join_on_keys
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        child = spark.range(0, 60_000, 1, 8).select(
+            F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).cast("long").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad"), "id")
+        parent = spark.range(0, 40_000, 1, 8).select(F.col("id").alias("p"), F.rand(1).alias("x"))
+        ranked = dedup.latest(parent, "p", "x")
+        frames = {"flag_orphans": integrity.flag_orphans(child, "k", parent, "p"), "orphans": integrity.orphans(child, "k", parent.where("p <> 7"), "p"),
+                  "master_id": identity.master_id(child, "k", "id"), "ranked parent": join_on_keys(child, ranked, [("k", "p")], "left")}
+        for name, df in frames.items():
+            df.collect()
+            assert "skew=true" in _plan(df), name
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
