@@ -18,9 +18,8 @@ from curata.session import scratch_path
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    columns = [F.col(c) for c in docs.columns]
-    judged = quality_cascade.judge(docs.select(*columns, F.col("text").alias("_judged")), "_judged")
-    return judged.where("kept").select(docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("judged_text"))
+    return quality_cascade.judge(rows, "judged_text").where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
