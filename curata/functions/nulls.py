@@ -80,10 +80,6 @@ def safe_ratio(num, den) -> Column:
     return F.when(_c(den) > 0, _c(num) / _c(den))
 
 
-def zero_to_null(x) -> Column:
-    """``replace(0, nan)``."""
-    return F.nullif(_c(x), F.lit(0))
-
 
 def na_to_null(x, tokens: Iterable[str] = PANDAS_NA_TOKENS) -> Column:
     """Map pandas' default NA tokens (after a CSV read) to null."""
@@ -91,10 +87,6 @@ def na_to_null(x, tokens: Iterable[str] = PANDAS_NA_TOKENS) -> Column:
     return F.when(col.isin(list(tokens)), F.lit(None).cast("string")).otherwise(col)
 
 
-def null_safe_eq(a, b) -> Column:
-    """Equality where null matches null."""
-    return _c(a).eqNullSafe(_c(b))
-
 
 def null_if_negative(x) -> Column:
     """A negative delay becomes null; null and zero stay."""

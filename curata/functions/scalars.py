@@ -28,9 +28,6 @@ def days_between(later, earlier) -> Column:
     return F.timestamp_diff("MICROSECOND", _c(earlier), _c(later)) / F.lit(MICROS_PER_DAY)
 
 
-def month_start(ts) -> Column:
-    return F.date_trunc("month", _c(ts))
-
 
 def month_label(ts) -> Column:
     """``YYYY-MM``."""
@@ -52,14 +49,6 @@ def weekday_rank(ts) -> Column:
     return F.weekday(_c(ts))
 
 
-def first_token(x, sep: str = "-") -> Column:
-    """Text before the first separator."""
-    return F.substring_index(_c(x), sep, 1)
-
-
-def prefix(x, n: int) -> Column:
-    """First n characters."""
-    return F.substring(_c(x), 1, n)
 
 
 def clip_upper(x, n) -> Column:

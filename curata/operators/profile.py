@@ -156,6 +156,9 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None,
 def categorical_profile(df: DataFrame, max_distinct: int = 12, cols: Sequence[str] | None = None) -> DataFrame:
     """PR3: counts and % of rows (null included) for text/bool columns with few values."""
     cols = list(cols or [f.name for f in df.schema.fields if isinstance(f.dataType, (StringType, BooleanType))])
+    # columns with far more values are told apart by one sketch each, so their values aren't shuffled; the rest is counted exactly
+    roughly = df.agg(*[F.approx_count_distinct(c).alias(f"_{i}") for i, c in enumerate(cols)]).first() if cols else []
+    cols = [c for c, n in zip(cols, roughly) if n <= 2 * max_distinct + 10] or cols[:1]
     vc = value_counts_long(df, cols)
     card = vc.groupBy("column").agg(F.count("value").alias("_distinct"), F.sum("n").alias("_rows"))
     # one row per profiled column: bounded by the schema width

@@ -89,10 +89,6 @@ def grand_share(counts: DataFrame, value: str = "n", name: str = "pct") -> DataF
     return counts.withColumn(name, F.lit(100.0) * F.col(value) / total)
 
 
-def pivot_counts(df: DataFrame, row: str, col: str, values: Sequence, fill: int = 0) -> DataFrame:
-    """``pivot_table``/``unstack(fill_value=0)`` with known column values."""
-    return df.groupBy(row).pivot(col, list(values)).count().fillna(fill)
-
 
 def describe(df: DataFrame, col: str, percentiles: Sequence[float] = (0.25, 0.5, 0.75),
              group: Sequence[str] | str | None = None, approx: bool = False, accuracy: int = 10000) -> DataFrame:
@@ -123,12 +119,6 @@ def _pname(p: float) -> str:
     return f"p{s}"
 
 
-def histogram(df: DataFrame, col: str, lo: float, hi: float, width: float = 1.0, name: str = "n") -> DataFrame:
-    """Equal-width bins on [lo, hi]; last bin closed, outside dropped."""
-    b = hist_bin(col, lo, hi, width)
-    return (df.select(b.alias("bin_lo")).where(F.col("bin_lo").isNotNull())
-            .groupBy("bin_lo").agg(F.count(F.lit(1)).cast("long").alias(name)))
-
 
 def histograms(df: DataFrame, col: str, specs: dict[str, tuple[float, float]], width: float = 1.0,
                name: str = "n") -> DataFrame:
@@ -160,15 +150,3 @@ def box_stats(df: DataFrame, col: str, group: Sequence[str] | str, max_groups: i
         F.max(F.when(F.col("_x") <= hi, F.col("_x"))).alias("whisker_high"),
         F.coalesce(F.sum(F.when((F.col("_x") < lo) | (F.col("_x") > hi), F.col("_c"))), F.lit(0)).cast("long").alias("n_outliers"),
     )
-
-
-def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """K2: ``sort + head(k)`` (TakeOrderedAndProject; k is the report size)."""
-    return df.orderBy(*order).limit(k)
-
-
-def group_size_frequency(df: DataFrame, key: Sequence[str] | str, name: str = "n_groups") -> DataFrame:
-    """How many groups have each size."""
-    keys = [key] if isinstance(key, str) else list(key)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).cast("long").alias("group_size"))
-    return sizes.groupBy("group_size").agg(F.count(F.lit(1)).cast("long").alias(name))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curata.operators.treat import split_zones
 from curata.plans import catalog
 from curata.plans.retail import LINE_KEY, Star
 from curata.sources.io import zone_path
@@ -30,9 +31,9 @@ def run_daily(spark: SparkSession, input_dir: str, base_dir: str, run_id: str, b
     staged = zone_path(base_dir, "intermediate", "lineitem_tagged")
     _write_run(catalog.line_quarantine(s), staged, run_id)
     tagged = spark.read.parquet(f"{staged}/run_id={run_id}")
-    _write_run(tagged.where(F.col("zone") == "quarantine"), zone_path(base_dir, "quarantine", "lineitem"), run_id)
-    lines_ok = tagged.where(F.col("zone") == "curated").drop("zone", "reasons")
-    upsert(spark, lines_ok, zone_path(base_dir, "curated", "lineitem"), list(LINE_KEY), "l_shipdate", buckets)
+    lines_ok, lines_bad = split_zones(tagged)
+    _write_run(lines_bad, zone_path(base_dir, "quarantine", "lineitem"), run_id)
+    upsert(spark, lines_ok.drop("zone", "reasons"), zone_path(base_dir, "curated", "lineitem"), list(LINE_KEY), "l_shipdate", buckets)
 
     # orders: quarantine those without lines or with a wrong total, curate the rest
     staged = zone_path(base_dir, "intermediate", "orders_tagged")

@@ -122,3 +122,15 @@ def test_locate_tables_override_then_candidates(spark, scratch):
     assert locate_tables(spark, ["a"], [full], override=partial) == partial
     with pytest.raises(FileNotFoundError, match="searched"):
         locate_tables(spark, ["a", "b"], [partial], override=os.path.join(scratch, "nowhere"))
+
+
+def test_session_factory(spark):
+    from curata.session import get_spark
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    assert get_spark() is not None
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+        with pytest.raises(ValueError, match="UTC"):
+            get_spark()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -47,7 +47,7 @@ def test_status_sequences_match_brute_force(spark):
 
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(0.0,), (6.99,), (7.0,), (23.0,), (-1.0,), (None,), (22.5,)], "d double")
-    got = {r.bin_lo: r.n for r in reshape.histogram(df, "d", 0, 23).collect()}
+    got = {r.bin_lo: r.n for r in reshape.histograms(df, "d", {"days": (0, 23)}).collect()}
     assert got == {0.0: 1, 6.0: 1, 7.0: 1, 22.0: 2}      # last bin closed, outside and null dropped
 
 
