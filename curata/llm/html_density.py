@@ -43,7 +43,10 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 MARKS = frozenset("ad ads advert adverts advertisement advertising adbox sponsor sponsored promo promotion banner cookie cookies consent gdpr "
                   "notice notices alert popup modal overlay newsletter subscribe subscription signup login paywall nav navbar navigation menu "
                   "menus submenu breadcrumb breadcrumbs pagination pager sidebar aside widget widgets related recommended share sharing social "
-                  "footer masthead topbar toolbar comment comments commentlist disqus replies respond feedback copyright skip hidden".split())
+                  "footer masthead topbar toolbar rail adsbygoogle comment comments commentlist commentform disqus reply replies respond responses "
+                  "discussion feedback copyright skip hidden".split())
+#: Whole classes or ids that do (an article's own header has longer names, like "entry-header").
+WHOLE_MARKS = frozenset("header site-header page-header global-header top-header side-bar".split())
 #: On these a mark counts only if a whole class or id is that word: themes put words like "comments-open" on them.
 WHOLE_PAGE = frozenset("html body main article".split())
 #: A class like "has-sidebar" says what stands elsewhere.
@@ -82,7 +85,7 @@ def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if name in ("class", "id"):
             for word in value.split():
                 parts = re.split(r"[^a-z]+", word)
-                if word in MARKS or tag not in WHOLE_PAGE and not MARKS.isdisjoint(parts) and NOT_ITSELF.isdisjoint(parts):
+                if word in MARKS or word in WHOLE_MARKS or tag not in WHOLE_PAGE and not MARKS.isdisjoint(parts) and NOT_ITSELF.isdisjoint(parts):
                     return True
     return False
 

@@ -22,7 +22,7 @@ any; all other texts pass through untouched.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curata.llm.quality_cascade import let
@@ -63,8 +63,10 @@ NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.?\x20{_NAME}(?:\x20{_NAME}){{0,2}}
 #: In this order; an entity is of the first kind whose expression matches it as a whole.
 KINDS = {"email": EMAIL, "secret": SECRET, "ssn": SSN, "phone": PHONE, "ip": IP, "card": CARD, "name": NAME}
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
-#: Every entity has one of these; texts without are not searched further.
-HINT = rf"[@\p{{Nd}}]|(?i:token|secret|passw|key)|(?<!\p{{L}})(?:{_TITLES})\.?\x20\p{{Lu}}"
+#: Cheap signs, one of which every entity has: texts without are not searched further.
+_SIGN = "[@0-9]"
+_SECRET_SIGN = "(?=[tspaTSPA])(?i:token|secret|passw|api[_-]?key|access[_-]?key)"
+_TITLE_SIGN = rf"(?=[{''.join(sorted({t[0] for t in MALE_TITLES + FEMALE_TITLES}))}])(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.?\x20\p{{Lu}}"
 
 _KIND_OF = [("email", "@"), ("name", rf"^(?:{_TITLES})\.?\x20"), ("ssn", r"^\d{3}-\d{2}-\d{4}$"), ("ip", rf"^(?:{_OCTET}\.){{3}}{_OCTET}$"),
             ("phone", r"^(?:\+[\d(). -]{8,24}|\(?\d{3}\)?[ .-]{0,2}\d{3}[ .-]\d{4})$"), ("card", r"^[\d -]{13,23}$")]
@@ -73,7 +75,8 @@ _KIND_OF = [("email", "@"), ("name", rf"^(?:{_TITLES})\.?\x20"), ("ssn", r"^\d{3
 def mentions(text: Column) -> Column:
     """The entities of a whole text in order (array of strings; null and plain texts: empty)."""
     none = F.array().cast("array<string>")
-    return F.coalesce(F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))), none)
+    quoted = (text.contains('"') | text.contains("'")) & text.rlike(_SECRET_SIGN)
+    return F.coalesce(F.when(text.rlike(_SIGN) | quoted | text.rlike(_TITLE_SIGN), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))), none)
 
 
 def kind_of(e: Column) -> Column:
@@ -231,6 +234,6 @@ def replace(docs: DataFrame, text: str = "text", key: str = KEY, counts: str | N
     gaps = F.split(t, PATTERN, -1)
     rebuilt = let(gaps, lambda g: F.array_join(F.transform(g, lambda x, i: F.concat(x, F.coalesce(F.get("_new", i), F.lit("")))), ""))
     rest = [F.col(c) for c in columns]
-    number = [] if counts is None else [F.size("_mentions").cast("long").alias(counts)]
+    number, none = ([], []) if counts is None else ([F.size("_mentions").cast("long").alias(counts)], [F.lit(0).cast("long").alias(counts)])
     with_new = joined.select(*[rebuilt.alias(text) if c == text else F.col(c) for c in columns], *number)
-    return found.where(F.size("_mentions") == 0).select(*rest, *number).unionByName(with_new)
+    return found.where(F.size("_mentions") == 0).select(*rest, *none).unionByName(with_new)

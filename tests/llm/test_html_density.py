@@ -29,6 +29,8 @@ PAGES = {
     "notice": f"<body><div class='cookie-notice'><p>{JUNK}</p></div><div role='dialog'><p>{JUNK}</p></div><article>{BODY}</article>"
               f"<div class='comments-area'><ol class='commentlist'><li><p>{JUNK}</p></li></ol></div></body>",
     "hidden": f"<article>{BODY}<div style='display: none'>{JUNK}</div><p hidden>{JUNK}</p><noscript>{JUNK}</noscript><!-- {JUNK} --></article>",
+    "div header": f"<body><div id='header'><h2>The site's name</h2><p>{JUNK}</p></div><div class='post'><div class='entry-header'><h1>A title</h1></div>"
+                  f"{BODY[16:]}<div class='adsbygoogle'>{JUNK}</div></div><div id='disqus_thread'><p>{JUNK}</p></div></body>",
     "unmarked ad": f"<body><div><p>{JUNK}</p></div><article>{BODY}</article></body>",
     "link list": f"<article>{BODY}{MENU}</article>",
 }
