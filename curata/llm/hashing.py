@@ -70,7 +70,7 @@ class Words:
 
     def _hash(self, d: np.ndarray) -> np.ndarray:
         out = np.empty(len(self.start), dtype=np.uint64)
-        block = 1 << 22                       # bytes hashed at a time, to bound memory
+        block = 1 << 19                       # bytes hashed at a time, to bound memory
         i = 0
         while i < len(self.start):
             lo = self.start[i]
