@@ -5,8 +5,9 @@ hashed word 1- and 2-grams tells the licence families and ``none`` apart:
 
 * training rows: every template's wordings (written out from small parts by
   rule) for the families, and a bounded sample of the corpus' own paragraphs
-  for ``none`` (``SAMPLE_DOCS`` documents with the smallest hashed ids; only
-  the training sees a sample, every paragraph is scored);
+  for ``none`` (the first 20,000 characters of the ``SAMPLE_DOCS`` documents with
+  the smallest hashed ids; only the training sees a sample, every paragraph
+  is scored);
 * the probabilities are calibrated by a temperature chosen on held-out
   training rows; a paragraph whose best family stays under ``MIN_PROBABILITY``
   is of unknown class and isn't reported;
@@ -167,8 +168,10 @@ def training_rows(docs: DataFrame, doc_id: str, text: str, sample_docs: int, sam
         texts += own
         labels += [k] * len(own)
     templates = Templates()
-    rows = (docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).where("text is not null")
-            .orderBy(F.xxhash64("id"), F.length("text"), F.xxhash64("text")).select(F.substring("text", 1, 20_000).alias("text")).limit(sample_docs))
+    # the ids alone are ranked, so no task sends texts that another's outrank; then one text of each id is read
+    ids = docs.select(F.col(doc_id).alias("id")).where("id is not null").orderBy(F.xxhash64("id"), "id").limit(sample_docs).distinct()
+    rows = (docs.select(F.col(doc_id).alias("id"), F.substring(F.col(text).cast("string"), 1, 20_000).alias("text")).where("text is not null")
+            .join(F.broadcast(ids), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
     none = sorted({p for r in rows.collect() for p in r.text.split("\n") if p.strip()})[:sample_paragraphs]
     none = [p for p in none if max(templates.best(f, p)[0] for f in TEMPLATES) < 0.3]
     none += ["", "the license plate of the car", "under the bridge", "public notice", "version 2 0 of the report", "all rights reserved", "copyright 2020 the authors",
