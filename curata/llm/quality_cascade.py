@@ -84,7 +84,7 @@ def default_rules(text: str = "text") -> list[Rule]:
         Rule("symbols", 10 * F.col("n_symbols") > n),
         Rule("repeated_lines", (F.col("n_dup_lines") >= 3) & (10 * F.col("n_dup_lines") > 3 * F.col("n_lines"))),
         Rule("word_length", (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n)),
-        Rule("capitals", count(r"\p{Lu}") > count(r"\p{Ll}")),
+        Rule("capitals", 2 * count(r"\p{Lu}") > count(r"\p{L}")),      # of all letters: many scripts have no lower case
         Rule("words_without_letters", 5 * count(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D\p{L}]++(?![^\x20\x09-\x0D])") > n),
         Rule("bullet_lines", 10 * count(r"(?m)^[\x20\x09]*[-*•◦‣]") > 9 * F.col("n_lines")),
         Rule("open_lines", 10 * count(r"(?m)(?:\.\.\.|…)[\x20\x09\r]*$") > 3 * F.col("n_lines")),

@@ -7,6 +7,7 @@ import corpus_pipeline
 from test_decontaminate import brute as leaks
 from test_mixture import process
 from test_ngram_join import brute as groups
+from test_quality_cascade import UNCASED
 from test_quality_cascade import brute as metrics
 
 from curata.llm.words import WORD
@@ -89,3 +90,8 @@ def test_empty(spark, scratch):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{scratch}/documents.parquet")
     spark.createDataFrame([(1, "an item of some words here")], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
     assert corpus_pipeline.run(spark, scratch).count() == 0
+
+
+def test_quality_stage_keeps_uncased_scripts(spark, scratch):
+    docs = spark.createDataFrame([(i, t, "xx", "a", len(t)) for i, t in enumerate(UNCASED)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, scratch).collect()) == list(range(len(UNCASED)))

@@ -41,6 +41,18 @@ def test_verdicts(spark):
     assert again == kept
 
 
+#: Prose of scripts without case, each with acronyms.
+UNCASED = [" ".join(w + chr(ord(first) + i) for i in range(26) for w in ws.split()) + end for ws, first, end in (
+    ("회사는 올해 새로운", "가", " LG AI NATO"), ("الشركة تعلن اليوم", "ا", " NATO AI"), ("החברה הודיעה היום", "א", " IBM"), ("कंपनी आज नई", "क", " AI NATO"))]
+
+
+def test_uncased_scripts_with_acronyms_are_kept(spark):
+    texts = [*UNCASED, PROSE.upper(), PROSE.upper() + " " + "회사는 " * 3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    why = {r.doc_id: r.why for r in cascade(base_metrics(docs), default_rules(), rejected_by="why").collect()}
+    assert [why[i] for i in range(len(texts))] == [None] * 4 + ["capitals"] * 2
+
+
 def test_order_prefers_rejections_per_cost(spark):
     docs = spark.createDataFrame([(i, PROSE) for i in range(50)], "doc_id long, text string")
     order = rule_order(docs.checkpoint(), [Rule("never", F.lit(False)), Rule("always", F.col("doc_id") >= 0)])
