@@ -80,14 +80,16 @@ def default_rules(text: str = "text") -> list[Rule]:
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     n = F.col("n_words")
     count = lambda pattern: F.regexp_count(t, F.lit(pattern))
+    # a few such lines say nothing of a short document; (?d): only \n ends a line, as in n_lines
+    share = lambda hits, tenths: let(hits, lambda n_hits: (n_hits >= 3) & (10 * n_hits > tenths * F.col("n_lines")))
     return [
         Rule("symbols", 10 * F.col("n_symbols") > n),
         Rule("repeated_lines", (F.col("n_dup_lines") >= 3) & (10 * F.col("n_dup_lines") > 3 * F.col("n_lines"))),
         Rule("word_length", (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n)),
         Rule("capitals", 2 * count(r"\p{Lu}") > count(r"\p{L}")),      # of all letters: many scripts have no lower case
         Rule("words_without_letters", 5 * count(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D\p{L}]++(?![^\x20\x09-\x0D])") > n),
-        Rule("bullet_lines", 10 * count(r"(?m)^[\x20\x09]*[-*•◦‣]") > 9 * F.col("n_lines")),
-        Rule("open_lines", 10 * count(r"(?m)(?:\.\.\.|…)[\x20\x09\r]*$") > 3 * F.col("n_lines")),
+        Rule("bullet_lines", share(count(r"(?md)^[\x20\x09]*[-*•◦‣]"), 9)),
+        Rule("open_lines", share(count(r"(?md)(?:\.\.\.|…)[\x20\x09\r]*$"), 3)),
     ]
 
 

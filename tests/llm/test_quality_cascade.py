@@ -53,6 +53,21 @@ def test_uncased_scripts_with_acronyms_are_kept(spark):
     assert [why[i] for i in range(len(texts))] == [None] * 4 + ["capitals"] * 2
 
 
+#: Short documents with line marks: long lines that end in an ellipsis, dialogue after a dash, marks before other line breaks than \n.
+FEW_LINES = [PROSE + "...", PROSE + " …\n", PROSE + "...\n" + PROSE[::-1], "- " + PROSE, "• " + PROSE + "\r\n- " + PROSE[::-1],
+             PROSE + "...\u2028a...\u2028b...\u2028c...\u0085d...\re", PROSE + "\n" + PROSE[::-1] + "\r- a\r- b\u0085- c\u2028- d"]
+MANY_LINES = ["\n".join(f"- {PROSE[i:]}" for i in (0, 1, 2)), "\n".join(f"{PROSE[i:]}...\r" for i in (0, 2, 4)) + "\n" + "\n".join(PROSE[i:] for i in (1, 3, 5))]
+
+
+def test_line_rules_need_three_lines(spark):
+    texts = [*FEW_LINES, *MANY_LINES]
+    rules = [r for r in default_rules() if r.name in ("bullet_lines", "open_lines")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    why = {r.doc_id: r.why for r in cascade(base_metrics(docs), rules, rejected_by="why").collect()}
+    assert [why[i] for i in range(len(texts))] == [None] * len(FEW_LINES) + ["bullet_lines", "open_lines"]
+    assert judge(docs.where(F.col("doc_id") < 2)).where("kept").count() == 2
+
+
 def test_order_prefers_rejections_per_cost(spark):
     docs = spark.createDataFrame([(i, PROSE) for i in range(50)], "doc_id long, text string")
     order = rule_order(docs.checkpoint(), [Rule("never", F.lit(False)), Rule("always", F.col("doc_id") >= 0)])
