@@ -3,7 +3,8 @@
 Every page is parsed into a tree of elements. Elements that are never article
 text (menus, page headers, footers, sidebars, notices, adverts, forms,
 scripts, styles, reader comments) are left out, by element, ARIA role or the
-words of their class and id. On what is left, following Sun, Song and Liao
+words of their class and id; such words and forms are no reason to leave out
+what holds the article (see ``settle``). On what is left, following Sun, Song and Liao
 ("DOM based content extraction via text density"):
 
 * the density of an element is its characters per tag, damped by the share
@@ -35,9 +36,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-                   "strike strong sub sup time tt u var wbr img body-text".split())
-LEFT_OUT = frozenset("script style noscript template head title nav footer aside form button select option textarea input dialog menu svg "
-                     "math canvas iframe object embed audio video map area link meta base".split())
+                   "strike strong sub sup time tt u var wbr img body-text "
+                   "math semantics mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mspace mpadded mphantom "
+                   "menclose mtable mtr mtd mmultiscripts mprescripts".split())
+LEFT_OUT = frozenset("script style noscript template head title nav footer aside button select option textarea input dialog menu svg "
+                     "annotation annotation-xml canvas iframe object embed audio video map area link meta base".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar tablist status".split())
 #: Words of a class or id that mark an element as not part of the article.
 MARKS = frozenset("ad ads advert adverts advertisement advertising adbox sponsor sponsored promo promotion banner cookie cookies consent gdpr "
@@ -45,6 +48,19 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising adbox sponsor
                   "menus submenu breadcrumb breadcrumbs pagination pager sidebar aside widget widgets related recommended share sharing social "
                   "footer masthead topbar toolbar rail adsbygoogle comment comments commentlist commentform disqus reply replies respond responses "
                   "discussion feedback copyright skip hidden".split())
+#: Of these: reader comments, and words with no other use. The others are everyday words too.
+COMMENTS = frozenset("comment comments commentlist commentform disqus".split())
+STRONG = frozenset("ad ads advert adverts adbox adsbygoogle gdpr nav navbar submenu breadcrumb breadcrumbs pagination newsletter paywall topbar".split())
+#: Words that leave a mark's meaning as it is ("share-buttons").
+HELPERS = frozenset("area bar block body bottom box btn button buttons container content form global group header icons inner item items left link "
+                    "links list main page panel post posts primary right secondary section site thread top wrap wrapper".split())
+#: As an id these may be an article's own section.
+TOPICS = frozenset("discussion feedback responses replies notice notices copyright cookie cookies consent subscription advertising navigation "
+                   "sharing alert".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Ids of these are often slugs of a title ("ad-hoc-networks").
+SLUGGED = HEADINGS | frozenset("section p li dt dd td th tr table figure".split())
+LISTS = frozenset("ul ol dl div section table tbody menu".split())
 #: Whole classes or ids that do (an article's own header has longer names, like "entry-header").
 WHOLE_MARKS = frozenset("header site-header page-header global-header top-header side-bar".split())
 #: On these a mark counts only if a whole class or id is that word: themes put words like "comments-open" on them.
@@ -63,31 +79,46 @@ _SPACES = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "out", "chars", "link_chars", "tags", "link_tags", "density", "density_sum")
+    __slots__ = ("tag", "parent", "parts", "out", "chars", "link_chars", "tags", "link_tags", "density", "density_sum", "mark", "title", "article")
 
     def __init__(self, tag: str, parent: Node | None, out: bool = False):
         self.tag, self.parent, self.out = tag, parent, out
         self.parts: list[Node | str] = []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.density_sum = 0.0
+        self.mark: str | None = None
+        self.title = self.article = False
 
     def children(self):
         return (p for p in self.parts if type(p) is Node)
 
 
-def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+def _mark(tag: str, attrs: list[tuple[str, str | None]]) -> str | None:
+    """``out`` for an element that is left out whatever it holds; else the surest mark of its class and id, if any."""
+    found = {"form"} if tag == "form" else set()
     for name, value in attrs:
         value = (value or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if name == "role" and value in ROLES:
-            return True
-        if name in ("class", "id"):
+            return "out"
+        if name == "role" and value in ROLES and not (tag == "form" and value == "form"):
+            return "out"
+        if name in ("class", "id") and tag not in HEADINGS:
             for word in value.split():
-                parts = re.split(r"[^a-z]+", word)
-                if word in MARKS or word in WHOLE_MARKS or tag not in WHOLE_PAGE and not MARKS.isdisjoint(parts) and NOT_ITSELF.isdisjoint(parts):
-                    return True
-    return False
+                parts = {x for x in re.split(r"[^a-z]+", word) if x}
+                marks = parts & MARKS
+                if word in WHOLE_MARKS:
+                    found.add("header")
+                elif not marks or not NOT_ITSELF.isdisjoint(parts) or tag in WHOLE_PAGE and word not in MARKS:
+                    continue
+                elif name == "id" and tag in SLUGGED and not parts <= MARKS | HELPERS:
+                    continue
+                elif marks & COMMENTS:
+                    found.add("comment")
+                elif marks & STRONG:
+                    found.add("strong")
+                else:
+                    found.add("weak" if parts <= MARKS | HELPERS and not (name == "id" and parts <= TOPICS) else "part")
+    return next((m for m in ("comment", "strong", "header", "weak", "form", "part") if m in found), None)
 
 
 class TreeParser(HTMLParser):
@@ -97,9 +128,13 @@ class TreeParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
         self.open: dict[str, int] = {}
+        self.marked: list[Node] = []
 
-    def _push(self, tag: str, out: bool) -> None:
+    def _push(self, tag: str, out: bool, mark: str | None) -> None:
         node = Node(tag, self.at, out)
+        if mark and not out:
+            node.mark = mark
+            self.marked.append(node)
         self.at.parts.append(node)
         self.at = node
         self.open[tag] = self.open.get(tag, 0) + 1
@@ -136,11 +171,12 @@ class TreeParser(HTMLParser):
         if tag == "body" and self.open.get("head"):
             self._pop_to(self._nearest({"head"}, ()))
         header = tag == "header" and not (self.open.get("article") or self.open.get("main"))
-        out = tag in LEFT_OUT or header or _marked(tag, attrs)
+        mark = _mark(tag, attrs)
+        out = tag in LEFT_OUT or header or mark == "out"
         if tag in VOID:
             self.at.parts.append(Node(tag, self.at, out))
         else:
-            self._push(tag, out)
+            self._push(tag, out, mark)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)      # a slash closes nothing in HTML
@@ -162,11 +198,12 @@ class TreeParser(HTMLParser):
         self.at.parts.append(data)
 
 
-def parse(html: str) -> Node:
+def parse(html: str) -> tuple[Node, list[Node]]:
+    """The page's root and its marked elements, in page order."""
     parser = TreeParser()
     parser.feed(html)
     parser.close()
-    return parser.root
+    return parser.root, parser.marked
 
 
 def _postorder(root: Node) -> list[Node]:
@@ -181,6 +218,48 @@ def _postorder(root: Node) -> list[Node]:
     return order
 
 
+def settle(body: Node, marked: list[Node]) -> None:
+    """Leave out the marked elements that don't hold the article.
+
+    An element with the ``h1`` stays, unless it is a page header. So does one
+    with nine tenths of the text outside links and, if its mark is an everyday
+    word or it is a form, one with most of it (on pages with an ``article`` or
+    ``main``: only if it holds or is part of one). Everyday words that are
+    part of a longer class or id count for lists of links alone.
+    """
+    if not marked:
+        return
+    order = _postorder(body)
+    for n in order:
+        kept = [c for c in n.children() if not c.out]
+        n.chars = sum(len("".join(p.split())) for p in n.parts if type(p) is str) + sum(c.chars for c in kept)
+        n.link_tags = sum(c.link_tags + (c.tag == "a") for c in kept)
+        n.link_chars = n.chars if n.tag == "a" else sum(c.link_chars for c in kept)
+        n.title = n.tag == "h1" or any(c.title for c in kept)
+        n.article = n.tag in ("article", "main") and n.chars > 0 or any(c.article for c in kept)
+    all_plain = total = body.chars - body.link_chars
+    within = {id(n) for n in order}
+    marked = [n for n in marked if n is not body and id(n) in within]
+    for n in sorted(marked, key=lambda n: n.mark != "comment"):
+        around, inside = n.parent, False
+        while around is not None and not around.out:
+            inside = inside or around.tag in ("article", "main")
+            around = around.parent
+        if around is not None:
+            continue                              # left out with what is around it
+        plain = n.chars - n.link_chars
+        most = 2 * plain > total and (n.article or inside or not body.article)
+        heavy = n.link_tags >= 3 and 2 * n.link_chars > n.chars
+        if n.title and n.mark != "header":
+            continue
+        if n.mark in ("comment", "strong"):
+            n.out = 10 * plain <= 9 * all_plain
+        else:
+            n.out = not most and (n.mark != "part" or heavy)
+        if n.out and n.mark == "comment":
+            total -= plain
+
+
 def measure(body: Node) -> list[Node]:
     """Fill in counts, densities and density sums below ``body``; returns its elements, children first."""
     order = _postorder(body)
@@ -248,7 +327,7 @@ def main_text(html: str | None) -> str:
     """The article of a page: one line for each block of text; empty for null and for pages without text."""
     if not html:
         return ""
-    root = parse(html)
+    root, marked = parse(html)
     body, todo = root, [root]
     while todo:
         n = todo.pop()
@@ -257,6 +336,7 @@ def main_text(html: str | None) -> str:
             break
         todo.extend(n.children())
     body.out = False
+    settle(body, marked)
     order = measure(body)
     chosen, threshold = _choose(body, order)
     semantic = [x for x in map(_article_of, chosen) if x is not None]

@@ -41,6 +41,27 @@ def test_pages(name):
     assert main_text(PAGES[name]) == WANT
 
 
+KEPT = {
+    "wrapper class": f"<body><nav>{MENU}</nav><div class='prose overflow-hidden'>{BODY}</div></body>",
+    "page class": f"<body><div id='page' class='right-sidebar'>{BODY}<div class='sidebar'><p>{JUNK}</p></div></div></body>",
+    "whole class": f"<body><div class='sidebar'><h1>A title</h1>{BODY[16:]}</div></body>",
+    "form": f"<body><form id='aspnetForm'><nav>{MENU}</nav>{BODY}<form><label>Name</label></form></form></body>",
+}
+
+
+@pytest.mark.parametrize("name", KEPT)
+def test_marks_do_not_drop_the_article(name):
+    assert main_text(KEPT[name]) == WANT
+
+
+def test_words_of_titles_are_no_marks():
+    more = ("<h2 id='cookies-and-sessions'>Cookies</h2><p>{0}</p><section id='discussion'><h2 id='feedback-loops' class='notice'>Loops</h2><p>{0}</p></section>"
+            "<section id='ad-hoc-networks'><p>{0}</p></section><div class='section' id='discussion'><p>{0}</p></div>").format(PARA[0])
+    want = "\n".join([WANT, "Cookies", PARA[0], "Loops", PARA[0], PARA[0], PARA[0]])
+    assert main_text(f"<article>{BODY}{more}<div class='share-buttons'>Share</div><div id='comments'><p>{JUNK * 20}</p></div></article>") == want
+    assert main_text(f"<article>{BODY}<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>") == WANT + "\nSo x=2 holds."
+
+
 def test_text_rules():
     assert main_text(None) == main_text("") == main_text("<html><body></body></html>") == main_text("<nav>x</nav>") == ""
     assert main_text("just  text \n here") == "just text here"
