@@ -18,7 +18,7 @@ what holds the article (see ``settle``). On what is left, following Sun, Song an
 A chosen element is widened to the ``article`` (or else ``main``) element
 that holds it, so short paragraphs and titles are not lost; if the page has
 its largest density sum in one, text outside such elements is left out.
-Inside, only branches that are mostly links and below the threshold go.
+Inside, only lists of links that look like a menu go (see ``_is_menu``).
 
 Blocks: an element that is not inline starts and ends a block, and so does a
 line break. Pages are independent rows, parsed in place without a shuffle.
@@ -323,6 +323,39 @@ def _article_of(node: Node) -> Node | None:
     return found.get("article") or found.get("main")
 
 
+def _is_menu(node: Node) -> bool:
+    """Three or more short links and no words beside them, without heading or paragraph, and not introduced by one.
+
+    A list right below a heading, or after text that ends in a colon, belongs
+    to the article, like references and long link texts (25 characters or more
+    on average).
+    """
+    if node.tag not in LISTS or node.link_tags < 3 or node.chars - node.link_chars > 2 * node.link_tags or node.link_chars >= 25 * node.link_tags:
+        return False
+    todo = [node]
+    while todo:
+        n = todo.pop()
+        if n.tag in HEADINGS or n.tag == "p":
+            return False
+        todo.extend(c for c in n.children() if not c.out)
+    while True:
+        parts = node.parent.parts
+        before = next((k for k, x in enumerate(parts) if x is node), 0) - 1
+        while before >= 0 and (parts[before].out or not parts[before].chars if type(parts[before]) is Node else not parts[before].strip()):
+            before -= 1
+        if before >= 0:
+            last = parts[before]
+            break
+        node = node.parent                       # the first of its parent: what stands before that introduces it
+        if node.parent is None or node.tag in ("article", "main", "body"):
+            return True
+    while type(last) is Node:
+        if last.tag in HEADINGS:
+            return False
+        last = next((x for x in reversed(last.parts) if (not x.out and x.chars if type(x) is Node else x.strip())), "")
+    return not last.rstrip().endswith((":", "："))
+
+
 def main_text(html: str | None) -> str:
     """The article of a page: one line for each block of text; empty for null and for pages without text."""
     if not html:
@@ -363,7 +396,7 @@ def main_text(html: str | None) -> str:
             end_block()
         elif not part.out:
             now = inside or id(part) in keep
-            if inside and part.tag not in INLINE and part.chars and part.density < threshold and 2 * part.link_chars > part.chars:
+            if inside and part.link_tags and part.density < threshold and _is_menu(part):
                 end_block()
                 continue
             if part.tag not in INLINE:

@@ -62,6 +62,16 @@ def test_words_of_titles_are_no_marks():
     assert main_text(f"<article>{BODY}<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>") == WANT + "\nSo x=2 holds."
 
 
+def test_linked_blocks_of_the_article_stay():
+    refs = [f"Author {i}, a report of some length on the subject, volume {i}" for i in range(4)]
+    body = ("<h1><a href='/t'>A title</a></h1>" + BODY[16:] + "<h2><a href='#s'>Section</a></h2><p>" + PARA[0] + "</p><p><a href='/r'>Source report</a></p>"
+            "<p>See also:</p><ul>" + "".join(f"<li><a href='/{i}'>Page {i}</a></li>" for i in range(4)) + "</ul><div><ul><li><a href='/z'>One link</a></ul></div>"
+            "<h2>Links</h2><div><ul>" + "".join(f"<li><a href='/l{i}'>Link {i}</a></li>" for i in range(3)) + "</ul></div><p>" + PARA[3] + "</p><ol>"
+            + "".join(f"<li><a href='/{i}'>{x}</a></li>" for i, x in enumerate(refs)) + "</ol>")
+    want = [WANT, "Section", PARA[0], "Source report", "See also:", *[f"Page {i}" for i in range(4)], "One link", "Links", *[f"Link {i}" for i in range(3)], PARA[3], *refs]
+    assert main_text(f"<nav>{MENU}</nav><article>{body}<p>{PARA[3]}</p><div>{MENU}</div></article>") == "\n".join([*want, PARA[3]])
+
+
 def test_text_rules():
     assert main_text(None) == main_text("") == main_text("<html><body></body></html>") == main_text("<nav>x</nav>") == ""
     assert main_text("just  text \n here") == "just text here"
