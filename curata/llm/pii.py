@@ -1,8 +1,8 @@
 """Surrogates for personal data (operator 2), in DataFrame expressions only.
 
 1. One regular expression finds the entities of every whole text: e-mail
-   addresses, phone and card numbers, social security numbers, IPv4
-   addresses, secrets in quotes, and names after a title.
+   addresses, phone and card numbers, social security numbers, IP
+   addresses, secrets after their key, and names after titles.
 2. An entity's canonical form (lower case, digits only, ...) is its identity:
    all its mentions, however written, get the same surrogate (coreference).
    Only distinct (kind, canonical) pairs travel on.
@@ -33,6 +33,8 @@ KEY = "surrogate-key-1"    # a default for tests and the registered query; pass
 #: Titles that tell a person's gender, by language.
 MALE_TITLES = ["Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "г-н", "господин", "κύριος", "κ"]
 FEMALE_TITLES = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Señora", "Señorita", "Sra", "г-жа", "госпожа", "κυρία", "κα"]
+#: Titles of any gender; given names after these alone come from both lists.
+NEUTRAL_TITLES = ["Dr", "Dra", "Doctor", "Docteur", "Doktor", "Prof", "Professor", "Professeur", "Profesor", "Profesora"]
 
 #: Given names by script and gender; surnames are made of syllables.
 GIVEN = {
@@ -51,25 +53,40 @@ ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUV
              "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ", "äöüßàâæçéèêëîïôœùûñáíóúìò", "ÄÖÜÀÂÆÇÉÈÊËÎÏÔŒÙÛÑÁÍÓÚÌÒ"]
 
 _NAME = r"\p{Lu}[\p{L}'’-]*+"
-_TITLES = "|".join(sorted(MALE_TITLES + FEMALE_TITLES, key=len, reverse=True))
+_TITLES = "|".join(sorted(MALE_TITLES + FEMALE_TITLES + NEUTRAL_TITLES, key=len, reverse=True))
+_BEFORE_NAME = rf"(?:(?:{_TITLES})\.?\x20)++"       # "Frau Prof. Dr. "
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}@(?:[\p{L}\p{N}](?:[\p{L}\p{N}-]{0,61}[\p{L}\p{N}])?\.)+\p{L}{2,24}"
-PHONE = r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\p{L}\p{N}])\+\d{8,15}(?!\d)"
+_NORTH_AMERICAN = r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\p{L}\p{N}.-])[2-9]\d\d[2-9]\d{6}(?![\p{L}\p{N}])"
+_STEP = r"(?:[ ./-]|\x20?\(|\)[ ./-]?)?\d"        # a digit of a number in groups
+#: Not a date, nor a card number.
+_NO_PHONE = r"(?!\d{2}[ ./-]\d{2}[ ./-](?:19|20)\d{2}(?!\d)|(?:\d{4}[ -]){3}\d|\d{13})"
+_INTERNATIONAL = rf"(?<![\p{{L}}\p{{N}}])\+\d(?:{_STEP}){{7,14}}(?<=\d\d)(?!\d)"
+_NATIONAL = rf"(?=[(0])(?<![\p{{L}}\p{{N}}])(?<!\d[./:,-])(?:{_NO_PHONE}0[1-9](?:{_STEP}){{7,10}}|{_NO_PHONE}00[1-9](?:{_STEP}){{7,12}}|\(0\d{{1,5}}\)[ ./-]?\d(?:[ ./-]?\d){{4,9}})(?<=\d\d)(?![\p{{L}}\p{{N}}])"
+PHONE = rf"{_NORTH_AMERICAN}|{_INTERNATIONAL}|{_NATIONAL}"
+#: Country codes; numbers with and without one share the digits behind it.
+_COUNTRY = r"^(?:1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 CARD = r"(?<![\p{L}\p{N}.])(?:\d{4}[ -]){3}\d{1,7}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}.])\d{13,19}(?![\p{L}\p{N}])"
 SSN = r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 IP = rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
-SECRET = r"""(?<=(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)["']?\s{0,3}[=:]\s{0,3}["'])[^\s"']{6,256}(?=["'])"""
-NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.?\x20{_NAME}(?:\x20{_NAME}){{0,2}}"
+IP6 = (r"(?=[0-9A-Fa-f:])(?<![\p{L}\p{N}:.])(?=[A-Fa-f:]{0,8}\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+       r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}|::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\p{L}\p{N}:])")
+_SECRET_KEY = r"""(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)["']?\s{0,3}[=:]\s{0,3}"""
+#: In quotes, or a word with a digit.
+SECRET = (rf"""(?<={_SECRET_KEY}["'])[^\s"']{{6,256}}(?=["'])"""
+          rf"""|(?<=[=:\s])(?=[^\s"'&,;<>]{{0,255}}\d)(?<={_SECRET_KEY})[^\s"'&,;<>]{{5,255}}[^\s"'&,;<>.!?)]""")
+NAME = rf"(?<![\p{{L}}\p{{N}}]){_BEFORE_NAME}{_NAME}(?:\x20{_NAME}){{0,2}}"
 #: In this order; an entity is of the first kind whose expression matches it as a whole.
-KINDS = {"email": EMAIL, "secret": SECRET, "ssn": SSN, "phone": PHONE, "ip": IP, "card": CARD, "name": NAME}
+KINDS = {"email": EMAIL, "secret": SECRET, "ssn": SSN, "phone": PHONE, "ip": IP, "ip6": IP6, "card": CARD, "name": NAME}
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: Cheap signs, one of which every entity has: texts without are not searched further.
 _SIGN = "[@0-9]"
 _SECRET_SIGN = "(?=[tspaTSPA])(?i:token|secret|passw|api[_-]?key|access[_-]?key)"
-_TITLE_SIGN = rf"(?=[{''.join(sorted({t[0] for t in MALE_TITLES + FEMALE_TITLES}))}])(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.?\x20\p{{Lu}}"
+_TITLE_SIGN = rf"(?=[{''.join(sorted({t[0] for t in MALE_TITLES + FEMALE_TITLES + NEUTRAL_TITLES}))}])(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.?\x20\p{{Lu}}"
 
-_KIND_OF = [("email", "@"), ("name", rf"^(?:{_TITLES})\.?\x20"), ("ssn", r"^\d{3}-\d{2}-\d{4}$"), ("ip", rf"^(?:{_OCTET}\.){{3}}{_OCTET}$"),
-            ("phone", r"^(?:\+[\d(). -]{8,24}|\(?\d{3}\)?[ .-]{0,2}\d{3}[ .-]\d{4})$"), ("card", r"^[\d -]{13,23}$")]
+_KIND_OF = [("email", "@"), ("name", rf"^{_BEFORE_NAME}"), ("ssn", r"^\d{3}-\d{2}-\d{4}$"), ("ip", rf"^(?:{_OCTET}\.){{3}}{_OCTET}$"),
+            ("phone", rf"^(?:\+[\d()./ -]{{8,45}}|\(?\d{{3}}\)?[ .-]{{0,2}}\d{{3}}[ .-]\d{{4}}|[2-9]\d{{9}}|{_NO_PHONE}\(?0[\d()./ -]{{6,45}})$"),
+            ("ip6", r"^[0-9A-Fa-f:]*:[0-9A-Fa-f:]*:[0-9A-Fa-f:]*$"), ("card", r"^[\d -]{13,23}$")]
 
 
 def mentions(text: Column) -> Column:
@@ -96,14 +113,20 @@ def parts(e: Column) -> Column:
     The last word of a name is its family name, the others are given names of
     the title's gender, so "Mr John Smith" and "Mr Smith" share a surname.
     """
-    words = F.split(F.regexp_replace(e, rf"^(?:{_TITLES})\.?\x20", ""), " ")
-    gender = F.when(e.rlike(rf"^(?:{'|'.join(FEMALE_TITLES)})\.?\x20"), "f").otherwise("m")
+    words = F.split(F.regexp_replace(e, rf"^{_BEFORE_NAME}", ""), " ")
+    some = lambda titles: e.rlike(rf"^(?:(?:{_TITLES})\.?\x20)*(?:{'|'.join(titles)})\.?\x20")
+    gender = F.when(some(FEMALE_TITLES), "f").when(some(MALE_TITLES), "m").otherwise("n")
     given = F.concat(F.lit("given_"), gender)
     of_name = F.transform(words, lambda w, i: F.struct(
         F.when(i == F.size(words) - 1, F.lit("family")).otherwise(given).alias("kind"), F.lower(w).alias("canonical"), w.alias("written")))
     digits = F.regexp_replace(e, r"\D", "")
     kind = kind_of(e)
-    canonical = (F.when(kind == "email", F.lower(e)).when(kind == "phone", F.when(F.length(digits) > 10, F.right(digits, F.lit(10))).otherwise(digits))
+    # a phone number without its country code and the 0 before an area code
+    north_american = e.rlike(rf"^(?:{_NORTH_AMERICAN})$") | e.rlike(r"^\+\D*1(?:\D*\d){10}$")
+    behind = F.regexp_replace(F.regexp_replace(digits, r"^00", ""), _COUNTRY, "")
+    national = F.regexp_replace(F.when(e.rlike(r"^(?:\+|00)"), behind).otherwise(digits), "^0", "")
+    phone = F.when(north_american, F.right(digits, F.lit(10))).otherwise(national)
+    canonical = (F.when(kind == "email", F.lower(e)).when(kind == "phone", phone).when(kind == "ip6", F.lower(e))
                  .when(kind.isin("card", "ssn"), digits).otherwise(e))
     return F.when(kind == "name", of_name).otherwise(F.array(F.struct(kind.alias("kind"), canonical.alias("canonical"), e.alias("written"))))
 
@@ -165,12 +188,15 @@ def surrogate(kind: Column, canonical: Column, attempt: Column, key: str) -> Col
         canonical.rlike(r"^(?:10|127)\."), F.concat_ws(".", F.get(o, F.lit(0)), *[F.get(b, F.lit(i)).cast("string") for i in (1, 2, 3)])).when(
         canonical.rlike(r"^(?:192\.168|169\.254|172\.(?:1[6-9]|2\d|3[01]))\."), F.concat_ws(".", F.get(o, F.lit(0)), F.get(o, F.lit(1)), *[F.get(b, F.lit(i)).cast("string") for i in (2, 3)])).otherwise(
         F.concat_ws(".", (11 + F.get(b, F.lit(0)) % 89).cast("string"), *[F.get(b, F.lit(i)).cast("string") for i in (1, 2, 3)]))))
+    six = let(F.split(canonical, ""), lambda chars: let(_bytes(F.concat(seed, F.lit("6")), F.size(chars)), lambda b: F.array_join(F.transform(chars, lambda ch, i: F.when(
+        ch == ":", ch).otherwise(F.substring(F.lit("123456789abcdef"), 1 + F.get(b, i) % 15, F.lit(1)))), "")))
     is_hex = canonical.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$")
     hexes = F.substring(F.array_join(F.transform(F.sequence(F.lit(0), F.floor(F.length(canonical) / 64).cast("int")), lambda i: F.sha2(F.concat(seed, i.cast("string")), 256)), ""),
                         F.lit(1), F.length(canonical))
     secret = F.when(is_hex & canonical.rlike("[A-F]"), F.upper(hexes)).when(is_hex, hexes).otherwise(F.concat(_scrambled(canonical, seed), extra))
-    return (F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", ssn).when(kind == "ip", octets)
-            .when(kind == "given_m", given("m")).when(kind == "given_f", given("f")).when(kind == "family", F.initcap(by_script(syllable))).otherwise(secret))
+    return (F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", ssn).when(kind == "ip", octets).when(kind == "ip6", six)
+            .when(kind == "given_m", given("m")).when(kind == "given_f", given("f"))
+            .when(kind == "given_n", F.when(F.get(_bytes(F.concat(seed, F.lit("g")), F.lit(1)), F.lit(0)) % 2 == 0, given("f")).otherwise(given("m"))).when(kind == "family", F.initcap(by_script(syllable))).otherwise(secret))
 
 
 def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
@@ -227,7 +253,7 @@ def replace(docs: DataFrame, text: str = "text", key: str = KEY, counts: str | N
     each = each.join(made, ["kind", "canonical"]).withColumn("new", _poured(F.col("kind"), F.col("canonical"), F.col("written"), F.col("surrogate")))
     # words of a name back together behind their title, then the mentions of a text in order
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "new"))), lambda x: x["new"]), " ")
-    title = F.regexp_extract(F.first("mention"), rf"^(?:{_TITLES})\.?\x20(?=\p{{Lu}})", 0)
+    title = F.regexp_extract(F.first("mention"), rf"^{_BEFORE_NAME}(?=\p{{Lu}})", 0)
     per_mention = each.groupBy("_digest", "n").agg(F.concat(F.when(F.first("kind").rlike("^(?:given|family)"), title).otherwise(""), whole).alias("new"))
     news = per_mention.groupBy("_digest").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "new"))), lambda x: x["new"]).alias("_new")).checkpoint()
     joined = held.join(news, "_digest")

@@ -56,6 +56,35 @@ def test_surrogates(spark):
     assert re.fullmatch(r"SSN 9\d\d-\d\d-\d{4} here\.", got[6][0])
 
 
+MORE = {
+    "fr": ("Appelez le {} ou le {} ou {} ou {}.", ["+33 6 12 34 56 78", "06 12 34 56 78", "0612345678", "06.12.34.56.78"]),
+    "de": ("Tel. {} oder {}, {} und {}; {} nicht am 01.02.2023 10:30.", ["+49 30 1234567", "030/1234567", "+49 (0)30 1234567", "(030) 1234567", "0049 30 1234567"]),
+    "es": ("Llame al {} hoy", ["+34 612 345 678"]),
+    "en": ("Ring {} or {}; US {} and {}.", ["+44 20 7946 0958", "020 7946 0958", "6515558501", "651-555-8501"]),
+    "secret": ("my password: {} and api_key={}&x=1, secret: nothing here", ["hunter22", "Zz9-abc_77"]),
+    "name": ("Dr {} and Prof. Dr. {} met Frau Dr. {}.", ["Anna Smith", "Hans Weber", "Weber"]),
+    "ip6": ("at {}, {} and {}; 12:30:45 std::vector", ["2001:db8::ff00:42:8329", "2001:DB8::FF00:42:8329", "fe80:0:0:0:202:b3ff:fe1e:8329"]),
+}
+PLAIN = ["On 01.02.2023 10:30, 01/02/2023 and 2023-01-02 0.123456789 of 012 parts, 1700000000 s, 12 0345, the secret: everything."]
+
+
+def test_other_groupings_secrets_titles_and_ip6(spark):
+    got = run(spark, [f.format(*x) for f, x in MORE.values()] + PLAIN)
+    new = {}
+    for i, (kind, (form, old)) in enumerate(MORE.items()):
+        m = re.fullmatch(re.escape(form).replace(r"\{\}", "(.+?)"), got[i][0])
+        assert m and got[i][1] == len(old), (kind, got[i])
+        new[kind] = m.groups()
+        assert all(a != b for a, b in zip(new[kind], old)), (kind, got[i])
+        if kind in ("fr", "de", "es", "en", "ip6"):
+            shape = lambda x: re.sub("[0-9a-fA-F]" if kind == "ip6" else r"\d", "9", x)
+            assert [shape(x) for x in new[kind]] == [shape(x) for x in old]
+    tail = lambda x, n: re.sub(r"\D", "", x)[-n:]
+    assert len({tail(x, 9) for x in new["fr"]}) == len({tail(x, 9) for x in new["de"]}) == len({tail(x, 10) for x in new["en"][:2]}) == len({tail(x, 10) for x in new["en"][2:]}) == 1
+    assert new["fr"][0].startswith("+33 ") and new["de"][2].startswith("+49 (0)") and new["ip6"][0] == new["ip6"][1].lower()
+    assert new["name"][1].split()[1] == new["name"][2] and got[len(MORE)] == (PLAIN[0], 0)
+
+
 def test_key_decides_and_reruns_agree(spark):
     a, b, c = run(spark, TEXTS), run(spark, TEXTS), run(spark, TEXTS, key="other")
     assert a == b and all(a[i][0] != c[i][0] for i in range(7))
