@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.llm import decontaminate, html_density, license_scan, mixture, ngram_join, pii, quality_cascade, token_counts, url_rules, warc_revisit
+from curata.llm import decontaminate, html_density, license_scan, mixture, ngram_join, pii, quality_cascade, token_counts, token_files, url_rules, warc_revisit
+from curata.session import scratch_path
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +59,12 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_t(spark, sf_dir, "documents"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    token_files.write(_t(spark, sf_dir, "documents"), folder)
+    return token_files.read(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_surrogates": op2_surrogates,
@@ -69,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_quality_cascade": op9_quality_cascade,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op12_token_files": op12_token_files,
 }
 
 ORACLE: dict[str, str] = {
