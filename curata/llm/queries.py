@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.llm import decontaminate, html_density, license_scan, mixture, ngram_join, pii, quality_cascade, token_counts, token_files, url_rules, warc_revisit
+from curata.llm import conversation_trie, decontaminate, html_density, license_scan, mixture, ngram_join, pii, quality_cascade, token_counts, token_files, url_rules, warc_revisit
 from curata.session import scratch_path
 
 
@@ -59,6 +59,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_t(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(conversation_trie.spliced(conversation_trie.numbered(_t(spark, sf_dir, "conversations"))))
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     token_files.write(_t(spark, sf_dir, "documents"), folder)
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_quality_cascade": op9_quality_cascade,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_token_files": op12_token_files,
 }
 
@@ -159,4 +164,27 @@ ORACLE: dict[str, str] = {
                     OR 10 * len(regexp_extract_all(t, '(?m)^[\x20\x09]*[-*•◦‣]')) > 9 * n_lines
                     OR 10 * len(regexp_extract_all(t, '(?m)(?:\.\.\.|…)[\x20\x09\r]*$')) > 3 * n_lines) AS kept
         FROM b""",
+    "op11_conversation_trie": r"""
+        WITH tab AS (SELECT list(v ORDER BY n) AS tab FROM (SELECT n, list_reduce(list_concat([CAST(n AS BIGINT)], range(8)),
+                            lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) AS r(n))),
+        o AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                     md5(CAST(octet_length(encode(coalesce(role, ''))) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS d
+              FROM conversations WHERE conv_id IS NOT NULL),
+        h AS (SELECT c, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                     lambda a, x: xor(a >> 8, tab[CAST(xor(a & 255, x) AS INT) + 1])), 4294967295) % 9 AS h
+              FROM (SELECT DISTINCT c FROM o), tab),
+        u AS (SELECT h.c, o.d, o.role, o.text FROM h JOIN o ON o.c = h.c - h.c % 5 AND o.d <= h.h
+              UNION ALL SELECT h.c, o.d + 100000000, o.role, o.text FROM h JOIN o ON o.c = h.c AND o.d > h.h),
+        t AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY d) AS d, octet_length(encode(text)) AS size,
+                     string_agg(md5(CAST(octet_length(encode(role)) AS VARCHAR) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY d) AS path FROM u
+              UNION ALL SELECT c, 0, 0, '' FROM h),
+        l AS (SELECT c, max(d) AS last FROM t GROUP BY c),
+        n AS (SELECT path, any_value(d) AS depth, min(t.c) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+                     coalesce(string_agg(CAST(t.c AS VARCHAR), ',' ORDER BY t.c) FILTER (last = d), '') AS ends FROM t JOIN l ON t.c = l.c GROUP BY path),
+        k AS (SELECT path, depth, conv_id, n_convs, ends, (n_convs - 1) * size AS saved, left(path, length(path) - 32) AS up,
+                     (SELECT count(*) FROM n AS m WHERE m.depth = n.depth + 1 AND starts_with(m.path, n.path)) AS n_children FROM n)
+        SELECT k.conv_id, CAST(k.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children,
+               CAST(count(*) FILTER (s.n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(s.saved) AS BIGINT) AS saved_tokens, sha256(k.ends) AS ends_sha256
+        FROM k JOIN k AS s ON starts_with(s.path, k.path) LEFT JOIN k AS p ON k.depth > 0 AND p.path = k.up
+        GROUP BY ALL""",
 }
