@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.llm import conversation_trie, decontaminate, html_density, license_scan, mixture, ngram_join, pii, quality_cascade, token_counts, token_files, url_rules, warc_revisit
+from curata.llm import conversation_trie, decontaminate, html_density, license_scan, mixture, ngram_join, pii, quality_cascade, spelling_variants, token_counts, token_files, url_rules, warc_revisit
 from curata.session import scratch_path
 
 
@@ -69,6 +69,10 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, folder)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(_t(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_surrogates": op2_surrogates,
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_conversation_trie": op11_conversation_trie,
     "op12_token_files": op12_token_files,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
@@ -187,4 +192,25 @@ ORACLE: dict[str, str] = {
                CAST(count(*) FILTER (s.n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(s.saved) AS BIGINT) AS saved_tokens, sha256(k.ends) AS ends_sha256
         FROM k JOIN k AS s ON starts_with(s.path, k.path) LEFT JOIN k AS p ON k.depth > 0 AND p.path = k.up
         GROUP BY ALL""",
+    "op13_spelling_variants": r"""
+        WITH RECURSIVE tab AS (SELECT list(v ORDER BY n) AS tab FROM (SELECT n, list_reduce(list_concat([CAST(n AS BIGINT)], range(8)),
+                            lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) AS r(n))),
+        t AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                                          '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+        r AS (SELECT d, run, count(*) AS n, hex(encode(d || ':' || run)) AS x FROM t GROUP BY d, run),
+        h AS (SELECT run, n, xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(x) + 1, 2), lambda i: CAST('0x' || x[i:i + 1] AS BIGINT))),
+                                             lambda a, y: xor(a >> 8, tab[CAST(xor(a & 255, y) AS INT) + 1])), 4294967295) AS h FROM r, tab),
+        c AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substring(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, n FROM h),
+        v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+        g AS (SELECT word, i, left(word, CAST(i AS INT)) || substring(word, CAST(i AS INT) + 2) AS x FROM (SELECT word, unnest(range(length(word))) AS i FROM v)),
+        p AS (SELECT a.word AS a, b.word AS b FROM g AS a JOIN g AS b ON a.i = b.i AND a.x = b.x AND a.word <> b.word
+              UNION SELECT g.word, v.word FROM g JOIN v ON g.x = v.word
+              UNION SELECT v.word, g.word FROM g JOIN v ON g.x = v.word),
+        b AS (SELECT p.a, count(*) AS n_near, max(v.n) AS best_n, arg_max(p.b, (v.n, -o)) AS best
+              FROM p JOIN (SELECT word, n, row_number() OVER (ORDER BY word) AS o FROM v) AS v ON p.b = v.word GROUP BY p.a),
+        w AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * v.n THEN best END AS form, CASE WHEN best_n >= 2 * v.n THEN best_n END AS form_n
+              FROM v LEFT JOIN b ON v.word = b.a),
+        f AS (SELECT word, form AS at FROM w WHERE form IS NOT NULL UNION ALL SELECT f.word, w.form FROM f JOIN w ON f.at = w.word WHERE w.form IS NOT NULL),
+        z AS (SELECT f.word, f.at AS root FROM f JOIN w ON f.at = w.word WHERE w.form IS NULL)
+        SELECT w.word, w.form, coalesce(z.root, w.word) AS root, w.n, CAST(w.n_near AS BIGINT) AS n_near, w.form_n FROM w LEFT JOIN z ON w.word = z.word""",
 }
