@@ -75,14 +75,40 @@ def test_matches_brute_force(spark, block):
     assert got == brute(rows)
 
 
-def test_keep_one(spark):
+@pytest.mark.parametrize("cell_bytes", [4 << 20, 20_000])
+def test_keep_one(spark, cell_bytes):
     rows = made(5)
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_n", F.lit(1))
-    kept = keep_one(docs)
-    assert kept.columns == ["doc_id", "text", "_n"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clash = ["digest", "_digest", "_first", "_n", "row", "own_id", "first_id", "n_copies", "best_digest", "a b"]
+    docs = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in clash])
+    kept = keep_one(docs, cell_bytes=cell_bytes)
+    assert kept.columns == ["doc_id", "text", *clash]
     classes = [x[1] for x in brute(rows)]
-    got = [r.doc_id for r in kept.collect()]
-    assert sorted(got, key=str) == sorted(set(classes), key=str)
+    got = kept.collect()
+    assert sorted((r.doc_id for r in got), key=str) == sorted(set(classes), key=str)
+    assert all(r[c] == f"{c}{r.doc_id}" for r in got for c in clash if r.doc_id is not None)
+
+
+def test_classes_equal_groups_when_the_representative_links_to_few(spark):
+    """Chains: each text is near the next one only, so most links are not with a bucket's smallest text."""
+    r = random.Random(4)
+    rows, k = [], 0
+    for _ in range(4):
+        w = r.choices([f"w{i}" for i in range(500)], k=150)
+        for _ in range(25):
+            for _ in range(2):
+                w[r.randrange(len(w))] = f"n{k}"
+            rows.append((k, " ".join(w)))
+            k += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted({c[1] for c in brute(rows)})
+    for cell_bytes in (4 << 20, 9_000):
+        assert sorted(x.doc_id for x in keep_one(docs, cell_bytes=cell_bytes).collect()) == want
+
+
+def test_equal_rows_but_for_other_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "z"), (1, "a b c d e f", "y"), (2, "a b c d e f", "x")], "doc_id long, text string, digest string")
+    assert [tuple(x) for x in keep_one(docs).collect()] == [(1, "a b c d e f", "y")]
 
 
 def test_empty_table(spark):
