@@ -1,5 +1,6 @@
 """Surrogates: nothing else changes, all mentions change, distinctness, coreference, format, gender and script."""
 
+import ipaddress
 import re
 
 from pyspark.sql import functions as F
@@ -18,13 +19,16 @@ TEXTS = [
 ]
 
 
+CLASH = ["kind", "row", "mentions", "_mentions", "digest", "_digest", "news", "new", "canonical", "a.b c"]
+
+
 def run(spark, texts, **more):
     rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, texts[0])]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_mentions", F.lit(1)).drop("_mentions").withColumn("kind", F.lit("clash"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("*", *[F.lit(c).alias(c) for c in CLASH])
     out = P.replace(docs, counts="n", **more)
-    assert out.columns == ["doc_id", "text", "kind", "n"]
+    assert out.columns == ["doc_id", "text", *CLASH, "n"]
     got = out.collect()
-    assert len(got) == len(rows) and all(r.kind == "clash" for r in got)
+    assert len(got) == len(rows) and all(r[c] == c for r in got for c in CLASH)
     assert len({r.text for r in got if r.doc_id in (0, None)}) == 1
     return {r.doc_id: (r.text, r.n) for r in got if r.doc_id is not None}
 
@@ -85,6 +89,40 @@ def test_other_groupings_secrets_titles_and_ip6(spark):
     assert new["name"][1].split()[1] == new["name"][2] and got[len(MORE)] == (PLAIN[0], 0)
 
 
+def test_secrets_of_any_length(spark):
+    long = ["ab1" * 3334, "Zz9-" * 2500, "a" * 400 + "7"]
+    got = run(spark, [f'token = "{long[0]}" and password: {long[1]} then api_key={long[2]}&x=1', 'token = "abcdefghij'])
+    m = re.fullmatch(r'token = "(\S+)" and password: (\S+) then api_key=(\S+)&x=1', got[0][0])
+    assert got[0][1] == 3 and [len(x) for x in m.groups()] == [len(x) for x in long]
+    for new, old in zip(m.groups(), long):
+        assert sum(a != b for a, b in zip(new, old)) > len(old) / 2 and all(old[i:i + 40] not in new for i in range(0, len(old) - 40, 40))
+    assert got[1] == ('token = "abcdefghij', 0)
+
+
+def test_one_surrogate_per_given_name_whatever_the_title(spark):
+    got = run(spark, ["Dr Anna Schmidt met Frau Anna Schmidt, Prof. Anna Schmidt and Mr Luca Rossi.", "Dr Luca Bianchi saw Sig. Luca Bianchi and M. Jean Dupont. Dr Kim Lee.",
+                      "Mr Andrea Neri and Mrs Andrea Neri", "Frau Müller's dog, Mr O'Neil's cat, Mrs James' hat"])
+    m = re.fullmatch(r"Dr (\S+) (\S+) met Frau (\S+) (\S+), Prof\. (\S+) (\S+) and Mr (\S+) (\S+)\.", got[0][0]).groups()
+    assert m[0] == m[2] == m[4] and m[1] == m[3] == m[5] and m[0] in P.GIVEN["latin"]["f"].split() and m[6] in P.GIVEN["latin"]["m"].split()
+    n = re.fullmatch(r"Dr (\S+) (\S+) saw Sig\. (\S+) (\S+) and M\. (\S+) (\S+)\. Dr (\S+) (\S+)\.", got[1][0]).groups()
+    assert n[0] == n[2] == m[6] and n[1] == n[3] and n[4] in P.GIVEN["latin"]["m"].split() and len({n[0], n[4], n[6], m[0]}) == 4
+    a = re.fullmatch(r"Mr (\S+) (\S+) and Mrs (\S+) (\S+)", got[2][0]).groups()
+    assert a[0] in P.GIVEN["latin"]["m"].split() and a[2] in P.GIVEN["latin"]["f"].split() and a[1] == a[3]
+    assert re.fullmatch(r"Frau (?!Müller)\p{L}+'s dog, Mr (?!O'Neil)\p{L}+'s cat, Mrs (?!James)\p{L}+' hat".replace(r"\p{L}", "[^\\W\\d_]"), got[3][0])
+
+
+def test_one_surrogate_per_ip6_address_and_iban(spark):
+    got = run(spark, ["at 2001:db8::1, 2001:0db8:0:0:0:0:0:1, 2001:0DB8::0001 and ::1:2a", "IBAN DE89 3704 0044 0532 0130 00 or DE89370400440532013000 or GB29NWBK60161331926819."])
+    a, b, c, d = re.fullmatch(r"at (\S+), (\S+), (\S+) and (\S+)", got[0][0]).groups()
+    full = lambda x: str(ipaddress.ip_address(x))
+    assert got[0][1] == 4 and full(a) == full(b) == full(c) != full("2001:db8::1") and full(d) != full("::1:2a")
+    assert re.fullmatch(r"[0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f]", a) and re.fullmatch(r"[0-9a-f]{4}:0[0-9a-f]{3}:0:0:0:0:0:[0-9a-f]", b) and re.fullmatch(r"[0-9A-F]{4}:0[0-9A-F]{3}::000[0-9A-F]", c)
+    x, y, z = re.fullmatch(r"IBAN (DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d) or (DE\d{20}) or (GB\d\d[A-Z]{4}\d{14})\.", got[1][0]).groups()
+    assert x.replace(" ", "") == y != "DE89370400440532013000" and z != "GB29NWBK60161331926819" and "3704" not in x
+    for iban in (y, z):
+        assert int("".join(str(int(ch, 36)) for ch in iban[4:] + iban[:4])) % 97 == 1
+
+
 def test_key_decides_and_reruns_agree(spark):
     a, b, c = run(spark, TEXTS), run(spark, TEXTS), run(spark, TEXTS, key="other")
     assert a == b and all(a[i][0] != c[i][0] for i in range(7))
