@@ -160,14 +160,16 @@ ORACLE: dict[str, str] = {
                      CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
                      len(list_filter(w, lambda x: NOT regexp_matches(x, '\p{L}'))) AS letterless
               FROM w LEFT JOIN rep ON w.r = rep.r),
-        b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+        b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+                     len(regexp_extract_all(t, '(?m)^[\x20\x09]*[-*•◦‣]')) AS n_bullets,
+                     len(regexp_extract_all(t, '(?m)(?:\.\.\.|…)[\x20\x09\r]*$')) AS n_open FROM m)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT (base_failed OR 10 * n_symbols > n_words OR (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines)
-                    OR word_chars < 2 * n_words OR word_chars > 15 * n_words
-                    OR len(regexp_extract_all(t, '\p{Lu}')) > len(regexp_extract_all(t, '\p{Ll}'))
+                    OR word_chars < 2 * n_words
+                    OR (word_chars > 15 * n_words AND word_chars > 15 * (n_words + len(regexp_extract_all(t, '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]'))))
+                    OR 2 * len(regexp_extract_all(t, '\p{Lu}')) > len(regexp_extract_all(t, '\p{L}'))
                     OR 5 * letterless > n_words
-                    OR 10 * len(regexp_extract_all(t, '(?m)^[\x20\x09]*[-*•◦‣]')) > 9 * n_lines
-                    OR 10 * len(regexp_extract_all(t, '(?m)(?:\.\.\.|…)[\x20\x09\r]*$')) > 3 * n_lines) AS kept
+                    OR (n_bullets >= 3 AND 10 * n_bullets > 9 * n_lines) OR (n_open >= 3 AND 10 * n_open > 3 * n_lines)) AS kept
         FROM b""",
     "op11_conversation_trie": r"""
         WITH tab AS (SELECT list(v ORDER BY n) AS tab FROM (SELECT n, list_reduce(list_concat([CAST(n AS BIGINT)], range(8)),

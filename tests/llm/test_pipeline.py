@@ -2,6 +2,7 @@
 
 import random
 import re
+import unicodedata
 
 import corpus_pipeline
 from test_decontaminate import brute as leaks
@@ -17,10 +18,13 @@ def accepted(text):
     n, chars, symbols, dup, repeat = metrics(text)
     text = text or ""
     lines = [x for x in text.split("\n") if x.strip(" \t\n\v\f\r")]
-    upper, lower = sum(c.isupper() for c in text), sum(c.islower() for c in text)
+    upper, letters = sum(unicodedata.category(c) == "Lu" for c in text), sum(c.isalpha() for c in text)
     letterless = sum(not any(c.isalpha() for c in w) for w in re.findall(WORD, text))
-    return not (n < 50 or 2 * repeat > n or 10 * symbols > n or dup >= 3 and 10 * dup > 3 * len(lines) or chars < 2 * n or chars > 15 * n
-                or upper > lower or 5 * letterless > n)
+    bullets = sum(bool(re.match("[ \t]*[-*•◦‣]", x)) for x in text.split("\n"))
+    cut = sum(bool(re.search(r"(\.\.\.|…)[ \t\r]*$", x)) for x in text.split("\n"))
+    share = lambda k, tenths: k >= 3 and 10 * k > tenths * len(lines)
+    return not (n < 50 or 2 * repeat > n or 10 * symbols > n or share(dup, 3) or chars < 2 * n or chars > 15 * n
+                or 2 * upper > letters or 5 * letterless > n or share(bullets, 9) or share(cut, 3))
 
 
 def made(spark, path):
@@ -39,6 +43,7 @@ def made(spark, path):
     rows += [(len(rows) + i, prose(100) + "\n" + items[i][1] + "\n" + prose(50), "en", "c", 0) for i in range(5)]
     rows += [(len(rows) + i, prose(100) + f" write to {word[i]}@mail.example.com or +1 (651) 555-850{i}", "en", "a", 0) for i in range(6)]
     rows += [(len(rows), None, "en", "a", None), (len(rows) + 1, "", None, "a", 0), (len(rows) + 2, prose(80).upper(), "en", "a", 0),
+             (len(rows) + 4, "\n".join("- " + prose(30) for _ in range(4)), "en", "a", 0), (len(rows) + 5, "\n".join(prose(30) + "..." for _ in range(4)), "en", "a", 0),
              (len(rows) + 3, prose(80).replace(" ", "%%% "), "en", "a", 0), (3, rows[3][1], "en", "a", 0), (None, prose(90), "en", "b", 0)]
     rows.append(rows[60])
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")

@@ -68,6 +68,31 @@ def test_line_rules_need_three_lines(spark):
     assert judge(docs.where(F.col("doc_id") < 2)).where("kept").count() == 2
 
 
+#: Prose without spaces between words, in runs as long as a line, and as one text.
+UNSPACED = ["\n".join("".join(chr(first + (7 * i + i * i * k) % span) for i in range(40 + k)) for k in range(70)) + end
+            for first, span, end in ((0x4E00, 900, ""), (0x3042, 70, " AI"), (0x0E01, 40, ""))]
+
+
+def test_sql_states_the_same_rules(spark):
+    """The registered SQL on planted documents: scripts without case or spaces, acronyms, dashes, ellipses, lists."""
+    import duckdb
+
+    from curata.llm.queries import ORACLE
+
+    texts = [*TEXTS, *UNCASED, *FEW_LINES, *MANY_LINES, *UNSPACED, "x" * 900 + " " + PROSE]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in judge(docs).select("doc_id", *BASE_COLUMNS, "base_failed", "kept").collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    want = sorted(con.sql(ORACLE["op9_quality_cascade"]).fetchall())
+    assert got == want
+    kept = {r[0] for r in got if r[-1]}
+    first = len(TEXTS)
+    assert set(range(first, first + len(UNCASED) + len(FEW_LINES))) <= kept and not kept & set(range(first + 11, first + 13))
+    assert set(range(first + 13, first + 16)) <= kept and first + 16 not in kept
+
+
 def test_order_prefers_rejections_per_cost(spark):
     docs = spark.createDataFrame([(i, PROSE) for i in range(50)], "doc_id long, text string")
     order = rule_order(docs.checkpoint(), [Rule("never", F.lit(False)), Rule("always", F.col("doc_id") >= 0)])
