@@ -12,11 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curata.functions.nulls import differs, null_if_negative, outside, truthy
+from curata.functions.nulls import differs, outside, truthy
 from curata.operators import dedup, identity, integrity, payments, profile, reshape
 from curata.operators.joins import join_on_keys
+from curata.plans import marts
 from curata.plans.retail import ACTIVE_PART_MIN_SIZE as ACTIVE_MIN
-from curata.plans.retail import CANCELLED, CAPTURED, FAILED, LATE_DAYS, LINE_KEY, SIGNUP, TOL, VIEW, Star
+from curata.plans.retail import CAPTURED, FAILED, LATE_DAYS, LINE_KEY, SIGNUP, TOL, VIEW, Star
+from curata.plans.roles import Retail, bind
 from curata.sources.upsert import merge_latest
 
 R4 = 4
@@ -278,12 +280,13 @@ def q_delivery_delays(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_delay_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    d = Star(spark, sf).deliveries()
-    return reshape.histograms(d, "delay_days", {"days_0_23": (0, 23), "days_m2_21": (-2, 21)})
+    """M22."""
+    return marts.delay_histogram(Star(spark, sf).roles("deliveries"))
 
 
 def q_delay_box_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return _round_doubles(reshape.box_stats(Star(spark, sf).deliveries(), "delay_days", "o_orderpriority"))
+    """Per order priority."""
+    return _round_doubles(marts.delay_box_stats(Star(spark, sf).roles("deliveries")).withColumnRenamed("area", "o_orderpriority"))
 
 
 # --- product values ----------------------------------------------------------------
@@ -717,35 +720,26 @@ def q_usable_share(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- business marts (M1-M28) ----------------------------------------------------------
 
-def _orders_mart(s: Star) -> DataFrame:
-    from curata.functions.scalars import month_label
-    return s.orders_geo().withColumn("month", month_label("o_orderdate"))
-
 
 def q_orders_by_month(spark: SparkSession, sf: str) -> DataFrame:
-    """M1: orders per month and country (long form; empty cells are absent)."""
-    return reshape.crosstab(_orders_mart(Star(spark, sf)), "month", "country")
+    """M1."""
+    return marts.orders_by_month(Star(spark, sf).roles("orders"))
 
 
 def q_value_index(spark: SparkSession, sf: str) -> DataFrame:
-    """M2: value of the orders that aren't cancelled per month and currency, index 100 = the first month overall."""
-    from curata.operators.marts import value_index
-    o = _orders_mart(Star(spark, sf)).where(differs(F.col("o_orderstatus"), F.lit(CANCELLED)))
-    out = value_index(o, "month", "currency", "o_totalprice")
+    """M2."""
+    out = marts.value_index(Star(spark, sf).roles("orders"))
     return out.select("month", "currency", F.round("value", 2).alias("value"), F.round("index", 4).alias("index"))
 
 
 def q_monthly_volume(spark: SparkSession, sf: str) -> DataFrame:
-    from curata.operators.marts import period_extremes
-    return _round_doubles(period_extremes(_orders_mart(Star(spark, sf)), "month"))
+    """M3."""
+    return _round_doubles(marts.monthly_volume(Star(spark, sf).roles("orders")))
 
 
 def q_weekday_hour(spark: SparkSession, sf: str) -> DataFrame:
-    """M4: payment events per weekday and hour (Monday first)."""
-    from curata.functions.scalars import weekday_name, weekday_rank
-    e = Star(spark, sf).t("events").where(F.col("ts").isNotNull())
-    return (e.groupBy(weekday_rank("ts").alias("dow_rank"), weekday_name("ts").alias("dow"), F.hour("ts").alias("hour"))
-            .agg(F.count(F.lit(1)).cast("long").alias("n")))
+    """M4: payment events per weekday and hour."""
+    return marts.weekday_hour(Star(spark, sf).roles("visits"))
 
 
 def q_weekday_hour_pivot(spark: SparkSession, sf: str) -> DataFrame:
@@ -758,10 +752,8 @@ def q_weekday_hour_pivot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_weekday_hour_range(spark: SparkSession, sf: str) -> DataFrame:
-    """M5: busiest and quietest filled (weekday, hour) slot and the hour range."""
-    cells = q_weekday_hour(spark, sf)
-    return cells.agg(F.min("n").alias("min_slot"), F.max("n").alias("max_slot"),
-                     F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour"))
+    """M5."""
+    return marts.weekday_hour_range(Star(spark, sf).roles("visits"))
 
 
 def q_status_channel_freq(spark: SparkSession, sf: str) -> DataFrame:
@@ -774,146 +766,91 @@ def q_status_channel_freq(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_mix_by_country(spark: SparkSession, sf: str) -> DataFrame:
     """M7: channel and status mix per country, % of the country's orders."""
-    o = _orders_mart(Star(spark, sf))
-    mix = reshape.frequencies(o, ["o_orderpriority", "o_orderstatus"], by=["country"])   # one pass for both
-    return _round_doubles(mix.select("dimension", "country", "value", "n", "pct"))
+    mix = marts.mix_by_country(Star(spark, sf).roles("orders"))
+    return _round_doubles(mix.withColumn("dimension", _lookup(F.col("dimension"), [("channel", "o_orderpriority"), ("status", "o_orderstatus")])))
 
 
 def q_headline_shares(spark: SparkSession, sf: str) -> DataFrame:
-    """M8: shares of selected statuses and channels over all orders."""
-    from curata.functions.nulls import pct_of
-    o = Star(spark, sf).orders_u()
-    st, ch = F.col("o_orderstatus"), F.col("o_orderpriority")
-    return _round_doubles(o.agg(pct_of(st == "F").alias("fulfilled_pct"), pct_of(st == "O").alias("open_pct"),
-                                pct_of(st == "P").alias("partial_pct"), pct_of(ch == "1-URGENT").alias("urgent_pct"),
-                                pct_of(ch == "5-LOW").alias("low_pct")))
+    """M8."""
+    return _round_doubles(marts.headline_shares(Star(spark, sf).roles("orders")))
 
 
 def q_value_by_currency(spark: SparkSession, sf: str) -> DataFrame:
-    """M9: order value distribution per currency."""
-    o = _orders_mart(Star(spark, sf)).where(F.col("currency").isNotNull())
-    return _round_doubles(reshape.describe(o, "o_totalprice", (0.05, 0.25, 0.5, 0.75, 0.95, 0.99), group="currency"))
+    """M9."""
+    return _round_doubles(marts.value_by_currency(Star(spark, sf).roles("orders")))
 
 
 def q_value_box_stats(spark: SparkSession, sf: str) -> DataFrame:
-    o = _orders_mart(Star(spark, sf)).where(F.col("currency").isNotNull())
-    return _round_doubles(reshape.box_stats(o, "o_totalprice", "currency"))
-
-
-def basket_per_order(s: Star) -> DataFrame:
-    return s.t("lineitem").where(F.col("l_orderkey").isNotNull()).groupBy("l_orderkey").agg(F.count(F.lit(1)).cast("long").alias("n_lines"),
-                                                     F.sum("l_quantity").alias("units"))
+    """M10."""
+    return _round_doubles(marts.value_box_stats(Star(spark, sf).roles("orders")))
 
 
 def q_basket(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines and units per order: count, mean, std, min, p50, p90, p99, max."""
-    b = basket_per_order(Star(spark, sf))
-    long = b.select(*[F.col(c).cast("double").alias(c) for c in ("n_lines", "units")]).unpivot(
-        [], ["n_lines", "units"], "metric", "value")
-    return _round_doubles(reshape.describe(long, "value", (0.5, 0.9, 0.99), group="metric"))   # both in one pass
+    """M11."""
+    return _round_doubles(marts.basket(Star(spark, sf).roles("lines")))
 
 
 def q_basket_frequency(spark: SparkSession, sf: str) -> DataFrame:
-    """How many orders have each line count, how many lines have each quantity."""
-    s = Star(spark, sf)
-    a = reshape.frequency(basket_per_order(s), "n_lines", pct=None).select(
-        F.lit("lines_per_order").alias("metric"), F.col("n_lines").cast("double").alias("value"), "n")
-    b = reshape.frequency(s.t("lineitem"), "l_quantity", dropna=True, pct=None).select(
-        F.lit("quantity_per_line").alias("metric"), F.col("l_quantity").cast("double").alias("value"), "n")
-    return a.unionByName(b)
-
-
-def valid_lines(s: Star) -> DataFrame:
-    """Lines whose part is in the active catalogue, with category and buyer country."""
-    li = s.t("lineitem").join(s.active_parts().select("p_partkey", "p_type", "p_brand"),
-                              F.col("l_partkey") == F.col("p_partkey"), "inner")
-    o = s.orders_geo().select("o_orderkey", "country", "currency")
-    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    """M12."""
+    return marts.basket_frequency(Star(spark, sf).roles("lines"))
 
 
 def q_units_by_category(spark: SparkSession, sf: str) -> DataFrame:
-    """Units sold per category (active catalogue lines)."""
-    return _round_doubles(valid_lines(Star(spark, sf)).where(F.col("p_type").isNotNull()).groupBy("p_type").agg(F.sum("l_quantity").alias("units")))
+    """M13."""
+    out = marts.units_by_category(Star(spark, sf).roles("orders", "lines", "catalogue"))
+    return _round_doubles(out.withColumnRenamed("category", "p_type"))
 
 
 def q_category_mix(spark: SparkSession, sf: str) -> DataFrame:
-    """Category mix per country, % of the country's units."""
-    c = reshape.crosstab(valid_lines(Star(spark, sf)), "country", "p_type", value="l_quantity", agg="sum", name="units")
-    return _round_doubles(reshape.row_share(c, "country", value="units"))
+    """M14."""
+    out = marts.category_mix(Star(spark, sf).roles("orders", "lines", "catalogue"))
+    return _round_doubles(out.withColumnRenamed("category", "p_type"))
 
 
 def q_seller_concentration(spark: SparkSession, sf: str) -> DataFrame:
-    """Share of lines held by the top 10 % of suppliers."""
-    from curata.operators.marts import top_share
-    return _round_doubles(top_share(Star(spark, sf).t("lineitem"), "l_suppkey", 0.1))
+    """M15."""
+    return _round_doubles(marts.seller_concentration(Star(spark, sf).roles("lines")))
 
 
 def q_brand_stats(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct brands, missing-brand share, never-ordered parts (anti join)."""
-    from curata.functions.nulls import pct_of
+    """M16."""
     s = Star(spark, sf)
-    p = integrity.flag_orphans(s.t("part"), "p_partkey", s.t("lineitem"), "l_partkey", name="never_ordered")
-    return _round_doubles(p.agg(F.countDistinct("p_brand").cast("long").alias("brands"),
-                                pct_of(F.col("p_brand").isNull()).alias("missing_brand_pct"),
-                                F.count_if("never_ordered").cast("long").alias("never_ordered"),
-                                pct_of(F.col("never_ordered")).alias("never_ordered_pct")))
+    return _round_doubles(marts.brand_stats(Retail({"products": _products(s, s.t("part").withColumn("unit_cost", F.lit(None).cast("double"))), **s.roles("lines").frames})))
 
 
-def _events_geo(s: Star) -> DataFrame:
-    return s.t("events").join(s.geo().select("c_custkey", "country"), F.col("user_id") == F.col("c_custkey"), "left")
+def _products(s: Star, parts: DataFrame) -> DataFrame:
+    return bind(parts, {"product": "p_partkey", "brand": "p_brand", "price": "p_retailprice", "cost": "unit_cost"}, "products")
 
 
 def q_payment_mix(spark: SparkSession, sf: str) -> DataFrame:
-    """Event type mix per country, % of the country's events."""
-    c = reshape.crosstab(_events_geo(Star(spark, sf)), "country", "event_type")
-    return _round_doubles(reshape.row_share(c, "country"))
+    """Event types per country."""
+    return _round_doubles(marts.payment_mix(Star(spark, sf).roles("payments"), "status").withColumnRenamed("status", "event_type"))
 
 
 def q_payment_status_by_method(spark: SparkSession, sf: str) -> DataFrame:
-    """Event types (payment status) per method, % of the method's events; the method is props' k modulo 6."""
-    k = F.get_json_object("props", "$.k").cast("long")
-    e = Star(spark, sf).t("events").withColumn("method", F.pmod(k, F.lit(6)))
-    return _round_doubles(reshape.row_share(reshape.crosstab(e, "method", "event_type"), "method"))
+    """Event types per method; the method is props' k modulo 6."""
+    return _round_doubles(marts.payment_status_by_method(Star(spark, sf).roles("payments")).withColumnRenamed("status", "event_type"))
 
 
 def q_failure_rate(spark: SparkSession, sf: str) -> DataFrame:
-    """Failed (error) share per country; events without a country are left out."""
-    from curata.functions.nulls import pct_of
-    e = _events_geo(Star(spark, sf)).where(F.col("country").isNotNull())
-    return _round_doubles(e.groupBy("country").agg(pct_of(F.col("event_type") == FAILED).alias("failed_pct"),
-                                                   pct_of(F.col("event_type") == CAPTURED).alias("captured_pct")))
+    """Per country."""
+    return _round_doubles(marts.failure_rate(Star(spark, sf).roles("payments"), "country"))
 
 
 def q_carrier_scorecard(spark: SparkSession, sf: str) -> DataFrame:
-    """Per supplier: lines, returned %, accepted-return %, mean value, mean quantity, median delay, late %."""
-    from curata.functions.nulls import pct_of
-    from curata.operators.quantiles import median_of
-    d = Star(spark, sf).deliveries().withColumn("carrier", F.col("l_suppkey"))
-    x = F.col("delay_days")
-    extra = {
-        "deliveries": F.count(F.lit(1)).cast("long"),
-        "returned_pct": pct_of(F.col("l_returnflag") == "R"),
-        "accepted_pct": pct_of(F.col("l_returnflag") == "A"),
-        "mean_value": F.avg("l_extendedprice"), "mean_quantity": F.avg("l_quantity"),
-        "late_pct": F.when(F.count(x) > 0, F.lit(100.0) * F.count_if(x >= LATE_DAYS) / F.count(x)),
-    }
-    return _round_doubles(median_of(d, "delay_days", "carrier", "median_delay", extra=extra,
-                                    inputs=["l_returnflag", "l_extendedprice", "l_quantity"]))
+    """Suppliers as carriers; the accepted share stands for the failed one, value and quantity for cost and attempts."""
+    out = marts.carrier_scorecard(Star(spark, sf).roles("deliveries"))
+    return _round_doubles(out.withColumnsRenamed({"failed_pct": "accepted_pct", "mean_cost": "mean_value", "mean_attempts": "mean_quantity"}))
 
 
 def q_delay_treated(spark: SparkSession, sf: str) -> DataFrame:
-    """Per order priority, delays that precede the order set to null: lines, nulled ones, and the mean of the rest."""
-    d = Star(spark, sf).deliveries().where(F.col("o_orderpriority").isNotNull()).withColumn("clean", null_if_negative("delay_days"))
-    return _round_doubles(d.groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).cast("long").alias("lines"),
-        F.count_if(F.col("delay_days").isNotNull() & F.col("clean").isNull()).cast("long").alias("nulled"),
-        F.avg("clean").alias("mean_delay")))
+    """Per order priority."""
+    return _round_doubles(marts.delay_treated(Star(spark, sf).roles("deliveries")).withColumnsRenamed({"area": "o_orderpriority", "deliveries": "lines"}))
 
 
 def q_delay_by_priority(spark: SparkSession, sf: str) -> DataFrame:
-    """Delay summary per order priority."""
-    d = Star(spark, sf).deliveries()
-    return _round_doubles(reshape.describe(d, "delay_days", (0.5, 0.95), group="o_orderpriority"))
+    """Per order priority."""
+    return _round_doubles(marts.delay_by_area(Star(spark, sf).roles("deliveries")).withColumnRenamed("area", "o_orderpriority"))
 
 
 def q_balance_histogram(spark: SparkSession, sf: str) -> DataFrame:
@@ -928,13 +865,6 @@ def customers_u(s: Star) -> DataFrame:
     return dedup.first(s.t("customer"), "c_name", ["c_custkey"])
 
 
-def orders_per_customer(s: Star) -> DataFrame:
-    n = s.orders_u().groupBy("o_custkey").agg(F.count(F.lit(1)).cast("long").alias("_n"))
-    c = customers_u(s)
-    return (c.join(n, F.col("c_custkey") == F.col("o_custkey"), "left")
-            .select("c_custkey", "c_mktsegment", F.coalesce("_n", F.lit(0)).cast("long").alias("n_orders")))
-
-
 def q_customer_base(spark: SparkSession, sf: str) -> DataFrame:
     """Segment frequency and customers per quarter of their first order."""
     from curata.functions.scalars import quarter_label
@@ -954,34 +884,18 @@ ORDER_CAPS = (8, 6)
 
 
 def q_orders_per_customer(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers by number of orders, capped (cap = c or more); 0 = never ordered.
-
-    Both notebooks' caps (8 in the full one, 6 in the plain one) come from one pass.
-    """
-    from curata.functions.scalars import clip_upper
-    opc = orders_per_customer(Star(spark, sf))
-    capped = F.array(*[F.struct(F.lit(c).alias("cap"), clip_upper("n_orders", c).cast("long").alias("n_orders"))
-                       for c in ORDER_CAPS])
-    return opc.select(F.inline(capped)).groupBy("cap", "n_orders").agg(F.count(F.lit(1)).cast("long").alias("customers"))
+    """Both notebooks' caps from one pass."""
+    return marts.capped_orders_per_customer(Star(spark, sf).roles("orders", "customers"), ORDER_CAPS)
 
 
 def q_segment_activity(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders per customer by segment: count, median, mean, max."""
-    from curata.operators.quantiles import median_of
-    opc = orders_per_customer(Star(spark, sf))
-    extra = {"customers": F.count(F.lit(1)).cast("long"), "mean": F.avg("n_orders"), "max": F.max("n_orders")}
-    return _round_doubles(median_of(opc, "n_orders", "c_mktsegment", "median", extra=extra, inputs=[]))
+    """M27."""
+    return _round_doubles(marts.activity(Star(spark, sf).roles("orders", "customers"), "segment").withColumnRenamed("segment", "c_mktsegment"))
 
 
 def q_tier_activity(spark: SparkSession, sf: str) -> DataFrame:
-    """M27, second view: orders per customer by tier (account balance in steps of 2,500): count, median, mean, max."""
-    from curata.operators.quantiles import median_of
-    s = Star(spark, sf)
-    tier = s.t("customer").select(F.col("c_custkey").alias("_c"), F.floor(F.col("c_acctbal") / 2500).cast("long").alias("tier"))
-    opc = orders_per_customer(s)
-    opc = opc.join(tier, F.col("c_custkey") == F.col("_c"))
-    extra = {"customers": F.count(F.lit(1)).cast("long"), "mean": F.avg("n_orders"), "max": F.max("n_orders")}
-    return _round_doubles(median_of(opc, "n_orders", "tier", "median", extra=extra, inputs=[]))
+    """M27, second view: tiers are steps of 2,500 of the account balance."""
+    return _round_doubles(marts.activity(Star(spark, sf).roles("orders", "customers"), "tier"))
 
 
 def q_fx_value(spark: SparkSession, sf: str) -> DataFrame:
@@ -991,28 +905,15 @@ def q_fx_value(spark: SparkSession, sf: str) -> DataFrame:
     of even number (1 plus the day's mean total in millions); other days have
     no rate, so their orders stay unconverted.
     """
-    from curata.operators.marts import fx_convert
-    o = _orders_mart(Star(spark, sf)).where(F.col("currency").isNotNull()).select(
-        "currency", F.to_date("o_orderdate").alias("day"), "o_totalprice")
-    rates = o.where(F.dayofmonth("day") % 2 == 0).groupBy("currency", "day").agg(
-        (F.lit(1.0) + F.round(F.avg("o_totalprice"), 0) / 1_000_000).alias("rate"))
-    c = fx_convert(o, rates, "o_totalprice", "currency", "day")
-    return _round_doubles(c.groupBy("currency").agg(
-        F.count(F.lit(1)).cast("long").alias("orders"), F.count("amount_converted").cast("long").alias("converted"),
-        F.sum("o_totalprice").alias("value"), F.sum("amount_converted").alias("value_converted")), 2)
+    r = Star(spark, sf).roles("orders")
+    o = r["orders"].where(F.col("currency").isNotNull()).select("currency", F.to_date("ordered_at").alias("day"), "total")
+    rates = o.where(F.dayofmonth("day") % 2 == 0).groupBy("currency", "day").agg((F.lit(1.0) + F.round(F.avg("total"), 0) / 1_000_000).alias("rate"))
+    return _round_doubles(marts.fx_value(r, rates), 2)
 
 
 def q_bias_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Per country: share of orders, status and channel shares, median value, currency."""
-    from curata.functions.nulls import pct_of
-    from curata.operators.quantiles import median_of
-    o = _orders_mart(Star(spark, sf))
-    extra = {"n_orders": F.count(F.lit(1)), "fulfilled_pct": pct_of(F.col("o_orderstatus") == "F"),
-             "urgent_pct": pct_of(F.col("o_orderpriority") == "1-URGENT"), "currency": F.min("currency")}
-    g = median_of(o, "o_totalprice", "country", "median_value", extra=extra,
-                  inputs=["o_orderstatus", "o_orderpriority", "currency"])
-    g = reshape.grand_share(g, "n_orders", "orders_pct").drop("n_orders")
-    return _round_doubles(g)
+    """M28."""
+    return _round_doubles(marts.bias_table(Star(spark, sf).roles("orders")))
 
 
 # --- treatments (T1-T17) -----------------------------------------------------------
@@ -1047,11 +948,9 @@ def q_dedup_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 def line_quarantine(s: Star) -> DataFrame:
     """Every line tagged curated/quarantine with its reasons."""
-    from curata.operators.treat import tag_reasons
     li = dedup.flag_latest(s.t("lineitem"), LINE_KEY, "l_shipdate", nulls="oldest", name="_latest")
-    tagged = tag_reasons(line_facts(s, li), {
-        "duplicate": ~F.col("_latest"), "orphan": F.col("is_orphan"), "formula": F.col("formula_mismatch")})
-    return tagged.drop("_latest", "p_retailprice", "signature", "is_orphan", "formula_mismatch")
+    flags = line_facts(s, li).withColumn("is_duplicate", ~F.col("_latest")).drop("_latest", "p_retailprice", "signature")
+    return marts.line_quarantine(Retail({"line_flags": flags}))
 
 
 def q_line_quarantine(spark: SparkSession, sf: str) -> DataFrame:
@@ -1065,53 +964,35 @@ def q_quarantine_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_order_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Orders tagged with no_lines / total_mismatch; total recomputed from valid lines when lines exist."""
-    from curata.operators.treat import tag_reasons
-    rec = order_reconciliation(Star(spark, sf))
-    t = tag_reasons(rec, {"no_lines": F.col("no_lines"), "total_mismatch": F.col("subtotal_mismatch")})
-    return t.select("o_orderkey", "zone", "reasons",
-                    F.round(F.when(F.col("n_lines") > 0, F.coalesce(F.col("sum_valid_lines"), F.lit(0.0))), 2)
-                    .alias("recomputed_total"))
+    checks = order_reconciliation(Star(spark, sf)).withColumnsRenamed({"o_orderkey": "order", "subtotal_mismatch": "total_mismatch"})
+    out = marts.order_quarantine(Retail({"order_checks": checks}))
+    return out.select(F.col("order").alias("o_orderkey"), "zone", "reasons", F.round("recomputed_total", 2).alias("recomputed_total"))
 
 
 def q_payment_reference(spark: SparkSession, sf: str) -> DataFrame:
-    """One reference payment per order (the last captured), with its attempt number."""
-    ref, _ = payments.reference_payment(Star(spark, sf).payments(), ["user_id", "day"], "event_type", "ts",
-                                        "event_id", captured=CAPTURED)
-    return ref.select("user_id", "day", "event_id", "ts", F.round("value", 2).alias("value"),
-                      F.col("attempt_no").cast("int"))
+    """T7."""
+    ref = marts.payment_reference(Star(spark, sf).roles("payments"))
+    return ref.select("user_id", "day", F.col("payment").alias("event_id"), F.col("paid_at").alias("ts"), F.round("amount", 2).alias("value"), "attempt_no")
 
 
 def q_partial_due(spark: SparkSession, sf: str) -> DataFrame:
     """Partial-payment flag and amount still due per order."""
-    c = payments.partial_due(payment_facts(Star(spark, sf)), "total")
-    return _round_doubles(c.select("user_id", "day", "total", "captured_amount", "is_partial_payment", "amount_due"), 2)
+    r = Retail({"payment_facts": payment_facts(Star(spark, sf))}, ("user_id", "day"))
+    return _round_doubles(marts.partial_due(r), 2)
 
 
 def q_overcapture_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Over-captures before and after removing repeated captures of one payment reference (props)."""
+    """A payment reference is the event's props."""
     s = Star(spark, sf)
-    p = s.payments()
-    before = payment_facts(s)
-    deduped = dedup.first(p, ["user_id", "day", "event_type", "props"], ["ts", "event_id"])
-    after = payments.payment_check(payment_orders(s), deduped, ["user_id", "day"], "total", "event_type", "value",
-                                   captured=CAPTURED, failed=FAILED)
-    b = before.agg(F.count_if("is_overcapture").cast("long").alias("overcapture_before"),
-                   F.count_if("is_multi_capture").cast("long").alias("multi_capture_before"))
-    a = after.agg(F.count_if("is_overcapture").cast("long").alias("overcapture_after"),
-                  F.count_if("is_multi_capture").cast("long").alias("multi_capture_after"))
-    return b.unionByName(a, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in
-        ("overcapture_before", "multi_capture_before", "overcapture_after", "multi_capture_after")])
+    r = s.roles("payments")
+    r.frames.update(payment_facts=payment_facts(s), paid_orders=payment_orders(s))
+    return marts.overcapture_dedup(r)
 
 
 def q_product_flags(spark: SparkSession, sf: str) -> DataFrame:
-    """Per part: zero price (quarantine), negative margin (flag), really sold."""
+    """T12/T13."""
     s = Star(spark, sf)
-    p = part_costs(s)
-    sold = integrity.flag_orphans(p, "p_partkey", s.t("lineitem"), "l_partkey", name="_unsold")
-    zero = truthy(F.col("p_retailprice") == 0)
-    neg = truthy(F.col("unit_cost") > F.col("p_retailprice")) & ~zero
-    return sold.select("p_partkey", zero.alias("zero_price"), neg.alias("negative_margin"), (~F.col("_unsold")).alias("is_sold"),
-                       F.when(zero, "quarantine").when(neg, "flagged").otherwise("curated").alias("zone"))
+    return marts.product_flags(Retail({"products": _products(s, part_costs(s)), **s.roles("lines").frames})).withColumnRenamed("product", "p_partkey")
 
 
 def q_customer_master(spark: SparkSession, sf: str) -> DataFrame:
@@ -1132,30 +1013,17 @@ def q_pii_rehash(spark: SparkSession, sf: str, salt: str = "") -> DataFrame:
     return c.select("c_custkey", salted_sha256("c_name", salt).alias("name_hash"))
 
 
-def _rfm(orders: DataFrame, who: str) -> DataFrame:
-    from curata.functions.scalars import days_between
-    from curata.operators.marts import quantile_scores
-    o = orders.where(F.col(who).isNotNull() & F.col("currency").isNotNull())
-    base = o.groupBy(who, "currency").agg(
-        F.round(days_between(_ts(RFM_AS_OF), F.max("o_orderdate")), 4).alias("recency_days"),
-        F.count(F.lit(1)).cast("long").alias("frequency"),
-        F.round(F.sum("o_totalprice"), 2).alias("monetary"))
-    return quantile_scores(base, "currency", {"recency_days": False, "frequency": True, "monetary": True})
-
-
 def q_rfm(spark: SparkSession, sf: str) -> DataFrame:
     """Recency, frequency, monetary per customer and currency, scored 1-5 within the currency."""
-    return _rfm(Star(spark, sf).orders_geo(), "o_custkey")
+    return marts.rfm(Star(spark, sf).roles("orders"), _ts(RFM_AS_OF)).withColumnRenamed("customer", "o_custkey")
 
 
 def q_rfm_master(spark: SparkSession, sf: str) -> DataFrame:
     """T14 + T17: the same per master customer: customers of one nation and segment with one balance to the hundred are one person."""
     s = Star(spark, sf)
-    c = s.t("customer")
     person = F.concat_ws("|", "c_nationkey", "c_mktsegment", F.floor(F.col("c_acctbal") / 100).cast("string"))
-    master = identity.master_id(c.select("c_custkey", person.alias("person")), "person", "c_custkey")
-    o = s.orders_geo().join(master.select(F.col("c_custkey").alias("_k"), "master_id"), F.col("o_custkey") == F.col("_k"))
-    return _rfm(o, "master_id")
+    masters = marts.customer_masters(s.t("customer").select(F.col("c_custkey").alias("customer"), person.alias("person")), "person", "customer")
+    return marts.rfm_master(s.roles("orders"), _ts(RFM_AS_OF), masters)
 
 
 # --- inventory, overview, price drift (S4, PR9, A2p) ----------------------------------
@@ -1181,17 +1049,8 @@ def q_table_overview(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_price_drift(spark: SparkSession, sf: str) -> DataFrame:
-    """A2p: line unit price against the catalogue price, on lines of the active catalogue."""
-    from curata.functions.nulls import safe_ratio
-    from curata.operators.quantiles import median_of
-    s = Star(spark, sf)
-    li = s.t("lineitem").join(s.active_parts().select("p_partkey", "p_retailprice"),
-                              F.col("l_partkey") == F.col("p_partkey"), "inner")
-    unit = safe_ratio("l_extendedprice", "l_quantity")
-    li = li.withColumn("_unit", unit).withColumn("_ratio", F.col("_unit") / F.nullif(F.col("p_retailprice"), F.lit(0.0)))
-    extra = {"lines": F.count(F.lit(1)).cast("long"), "min_ratio": F.min("_ratio"), "max_ratio": F.max("_ratio"),
-             "exact_price_lines": F.count_if(truthy(F.abs(F.col("_unit") - F.col("p_retailprice")) <= 0.01)).cast("long")}
-    return _round_doubles(median_of(li, "_ratio", None, "median_ratio", extra=extra, inputs=["_unit", "p_retailprice"]))
+    """A2p."""
+    return _round_doubles(marts.price_drift(Star(spark, sf).roles("lines", "catalogue")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -19,8 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.functions.scalars import days_between
+from curata.functions.nulls import safe_ratio
 from curata.operators import dedup
 from curata.operators.joins import join_on_keys
+from curata.plans.roles import Retail, bind
 
 # Fixed values of the mapping.
 LINE_KEY = ("l_orderkey", "l_linenumber")
@@ -102,3 +104,33 @@ class Star:
     def payments(self) -> DataFrame:
         """events as payments; the paid 'order' is (user_id, day)."""
         return self.t("events").withColumn("day", F.to_date("ts"))
+
+    def roles(self, *names: str) -> Retail:
+        """The frames that the role-bound plans use, bound; only the named ones, which must be among ``STAR_ROLES``."""
+        k = F.get_json_object("props", "$.k").cast("long")
+        events = lambda: self.payments().withColumn("method", F.pmod(k, F.lit(6)))
+        build = {
+            "orders": self.orders_geo, "visits": lambda: self.t("events"),
+            "lines": lambda: self.t("lineitem").withColumn("unit_price", safe_ratio("l_extendedprice", "l_quantity")), "catalogue": self.active_parts,
+            "payments": lambda: events().join(self.geo().select("c_custkey", "country"), F.col("user_id") == F.col("c_custkey"), "left"),
+            "deliveries": self.deliveries,
+            "customers": lambda: dedup.first(self.t("customer"), "c_name", ["c_custkey"]).withColumn("tier", F.floor(F.col("c_acctbal") / 2500).cast("long")),
+        }
+        return Retail({n: bind(build[n](), STAR_ROLES[n], n) for n in names}, ("user_id", "day"), CANCELLED, CAPTURED, FAILED, "A", "R", LATE_DAYS,
+                      {"fulfilled_pct": ("status", "F"), "open_pct": ("status", "O"), "partial_pct": ("status", "P"), "urgent_pct": ("channel", "1-URGENT"),
+                       "low_pct": ("channel", "5-LOW")}, {"fulfilled_pct": ("status", "F"), "urgent_pct": ("channel", "1-URGENT")})
+
+
+#: Which column of the star plays which role.
+STAR_ROLES = {
+    "orders": {"order": "o_orderkey", "customer": "o_custkey", "ordered_at": "o_orderdate", "status": "o_orderstatus", "channel": "o_orderpriority",
+               "country": "country", "currency": "currency", "total": "o_totalprice"},
+    "visits": {"at": "ts"},
+    "lines": {"order": "l_orderkey", "product": "l_partkey", "seller": "l_suppkey", "quantity": "l_quantity", "unit_price": "unit_price"},
+    "catalogue": {"product": "p_partkey", "category": "p_type", "price": "p_retailprice"},
+    "payments": {"user_id": "user_id", "day": "day", "payment": "event_id", "paid_at": "ts", "status": "event_type", "amount": "value", "method": "method",
+                 "reference": "props", "country": "country"},
+    "deliveries": {"carrier": "l_suppkey", "status": "l_returnflag", "cost": "l_extendedprice", "attempts": "l_quantity", "delay_days": "delay_days",
+                   "area": "o_orderpriority"},
+    "customers": {"customer": "c_custkey", "segment": "c_mktsegment", "tier": "tier", "measure": "c_acctbal"},
+}
