@@ -43,6 +43,57 @@ def test_csv_by_name_quotes_and_whole_floats(spark, scratch):
         io.read_csv_table(spark, p, StructType([StructField("gone", StringType())]))
 
 
+BAD_CSV = """id,n,at,note
+a,1,2025-01-01,fine
+b,2,2025-01-02,"two, ""quoted"" cells",extra
+c,3
+d,abc,never,"broken
+line"
+e,4.0,2025-01-03,NA
+f,,,
+g,5,2025-01-04,x,y,z
+"""
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_rejected_records_and_bad_cells_are_kept_and_counted(spark, scratch, multi_line):
+    from pyspark.sql.types import IntegerType
+    os.makedirs(f"{scratch}/in/t.csv")
+    text = BAD_CSV if multi_line else BAD_CSV.replace('"broken\nline"', "broken")
+    for k in range(2):
+        with open(f"{scratch}/in/t.csv/part{k}.csv", "w") as f:
+            f.write(text)
+    schema = StructType([StructField("at", TimestampType()), StructField("id", StringType()), StructField("n", IntegerType()), StructField("note", StringType())])
+    rows, counts = io.land_csv(spark, f"{scratch}/in/t.csv", schema, f"{scratch}/out", "t", "r1", multi_line)
+    assert rows.columns == ["at", "id", "n", "note"]
+    assert counts == {"rows_read": 14, "rows_rejected": 6, "bad at": 2, "bad n": 2}
+    got = rows.collect()
+    assert len(got) == counts["rows_read"] - counts["rows_rejected"]
+    assert sorted({(r.id, r.n, r.note) for r in got}) == [("a", 1, "fine"), ("d", None, "broken\nline" if multi_line else "broken"), ("e", 4, None), ("f", None, None)]
+    rejected = spark.read.parquet(f"{scratch}/out/quarantine/t_rejected/run_id=r1").collect()
+    assert sorted((r._reason, r._record[0]) for r in rejected) == [("short record", "c")] * 2 + [("surplus cells", "b")] * 2 + [("surplus cells", "g")] * 2
+    assert {os.path.basename(r._file) for r in rejected} == {"part0.csv", "part1.csv"}
+    cells = spark.read.parquet(f"{scratch}/out/quarantine/t_cells/run_id=r1").collect()
+    assert sorted((r["column"], r.text) for r in cells) == [("at", "never")] * 2 + [("n", "abc")] * 2
+
+
+def test_counts_come_from_the_pass_that_writes(spark, scratch):
+    """One scan of the CSV files per table: the counts are observed while the rows are written."""
+    with open(f"{scratch}/t.csv", "w") as f:
+        f.write(BAD_CSV)
+    schema = StructType([StructField("id", StringType()), StructField("at", TimestampType())])
+    plan = io.parsed_csv(spark, f"{scratch}/t.csv", schema)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("land", "land")
+    try:
+        io.land_csv(spark, f"{scratch}/t.csv", schema, f"{scratch}/out", "t", "r1")
+        # the header, the write, and the two small tables read back from it
+        assert len(tracker.getJobIdsForGroup("land")) <= 4
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_load_tables_lists_missing(spark):
     with pytest.raises(FileNotFoundError, match="nope"):
         io.load_tables(spark, "/root/testdata/sf0.001", ["orders", "nope"])
