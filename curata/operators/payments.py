@@ -17,6 +17,9 @@ from curata.operators.joins import static_broadcast
 from curata.operators.ordering import positions
 
 
+SEGMENT = 10_000       # steps of a path that one task turns into text
+
+
 def per_order(payments: DataFrame, key: Sequence[str], status: str, amount: str,
               captured: str = "CAPTURED", failed: str = "FAILED") -> DataFrame:
     """n_payments, n_failed, n_captured and captured_amount per order (null keys dropped, N7)."""
@@ -89,7 +92,7 @@ def ratio_top_k(check: DataFrame, k: int = 10, tol: float = 0.001) -> DataFrame:
 
 
 def status_sequences(payments: DataFrame, key: Sequence[str], status: str, ts: str, tie: str,
-                     k: int = 8, sep: str = " → ", min_steps: int = 2) -> DataFrame:
+                     k: int = 8, sep: str = " → ", min_steps: int = 2, segment: int = SEGMENT) -> DataFrame:
     """A4s/G13: the k most frequent chronological status paths (>= ``min_steps`` steps).
 
     No group is gathered whole: each payment gets its position in its order
@@ -97,7 +100,7 @@ def status_sequences(payments: DataFrame, key: Sequence[str], status: str, ts: s
     a path is identified by its length plus two exact DECIMAL sums of 64-bit
     hashes of (position, status), which are map-side combinable. Only the k
     reported paths are turned into text, each from the steps of one order
-    (its smallest order key): the text is the answer itself. Ties in
+    (its smallest order key), segment by segment (``path_text``). Ties in
     frequency go to the path first seen at the smallest order key. Rows with
     a null key are left out (N7).
     """
@@ -112,9 +115,18 @@ def status_sequences(payments: DataFrame, key: Sequence[str], status: str, ts: s
         F.count(F.lit(1)).cast("long").alias("orders"), F.min(F.struct(*key)).alias("_rep"))
     top = per_path.orderBy(F.col("orders").desc(), F.col("_rep").asc()).limit(k).select("orders", "_rep.*")
     # k rows: bounded by the report size, so broadcasting it is safe.
-    steps = pos.join(static_broadcast(top), key).groupBy(*key, "orders").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_pos"), F.col(status)))).alias("_s"))
-    return steps.select(F.array_join(F.transform("_s", lambda x: x[status]), sep).alias("sequence"), "orders")
+    return path_text(pos.join(static_broadcast(top), key), [*key, "orders"], status, "_pos", sep, segment).select("sequence", "orders")
+
+
+def path_text(steps: DataFrame, key: Sequence[str], status: str, pos: str, sep: str, segment: int = SEGMENT, name: str = "sequence") -> DataFrame:
+    """The steps of every key as one text in the order of ``pos`` (from 1, without gaps).
+
+    Texts are put together per segment of ``segment`` steps first, so a long
+    path is spread over tasks and its last step joins a few segment texts.
+    """
+    part = F.floor((F.col(pos) - 1) / segment).alias("_seg")
+    texts = steps.groupBy(*key, part).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(pos), F.col(status)))), lambda x: x[status]), sep).alias("_t"))
+    return texts.groupBy(*key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_seg", "_t"))), lambda x: x["_t"]), sep).alias(name))
 
 
 def reference_payment(payments: DataFrame, key: Sequence[str], status: str, ts: str, tie: str,

@@ -670,6 +670,37 @@ def q_identity_history(spark: SparkSession, sf: str) -> DataFrame:
         "parts_without_sales_pct", F.when(F.col("parts") > 0, F.lit(100.0) * F.col("parts_without_sales") / F.col("parts"))))
 
 
+def identity_keys(s: Star) -> DataFrame:
+    """Customers with the two keys that stand for e-mail and phone: one balance to the hundred in a nation and segment, and one balance to the unit."""
+    return s.t("customer").select("c_custkey", F.concat_ws("|", "c_nationkey", "c_mktsegment", F.floor(F.col("c_acctbal") / 100).cast("string")).alias("first_key"),
+                                  F.floor("c_acctbal").cast("long").alias("second_key"))
+
+
+def q_identity_components(spark: SparkSession, sf: str) -> DataFrame:
+    """A7a/T14 over two keys: customers who share either, directly or through others, are one person."""
+    from curata.operators.components import identity_components
+    return identity_components(identity_keys(Star(spark, sf)), "c_custkey", ["first_key", "second_key"])
+
+
+# The sources of each attribute, the most trusted first.
+ATTRIBUTE_SOURCES = {"contact": ("orders", "events"), "amount": ("customer", "orders", "events"), "state": ("events", "orders")}
+
+
+def q_attribute_survivors(spark: SparkSession, sf: str) -> DataFrame:
+    """Per customer, each attribute from its most trusted source that has it, latest first, with source and time."""
+    from curata.operators.survivorship import survivors
+    s = Star(spark, sf)
+    text, money, when = (F.lit(None).cast(t) for t in ("string", "double", "timestamp_ntz"))
+    crm = s.t("customer").select(F.col("c_custkey").alias("customer"), F.lit("customer").alias("source"), when.alias("at"), text.alias("contact"),
+                                 F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("amount"), text.alias("state"))
+    orders = s.t("orders").select(F.col("o_custkey").alias("customer"), F.lit("orders").alias("source"), F.col("o_orderdate").alias("at"),
+                                  F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("contact"), F.col("o_totalprice").alias("amount"), F.col("o_orderstatus").alias("state"))
+    events = s.t("events").select(F.col("user_id").alias("customer"), F.lit("events").alias("source"), F.col("ts").alias("at"), F.col("event_type").alias("contact"),
+                                  F.col("value").alias("amount"), F.when(F.col("event_type") == FAILED, F.col("event_type")).alias("state"))
+    out = survivors(crm.unionByName(orders).unionByName(events), "customer", "source", "at", ATTRIBUTE_SOURCES)
+    return out.withColumn("amount", F.round("amount", 2))
+
+
 def q_id_prefix_signature(spark: SparkSession, sf: str) -> DataFrame:
     """A7a signature (X9, U8): per 11-character prefix of the part type, all parts and surplus parts by name."""
     part = Star(spark, sf).t("part")
@@ -860,6 +891,21 @@ def q_balance_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return h.select("bin", F.round("bin_lo", 4).alias("bin_lo"), "n")
 
 
+def q_size_values(spark: SparkSession, sf: str) -> DataFrame:
+    """M23, second view: one bin per value, here of the part's size."""
+    return marts.measure_values(Retail({"customers": Star(spark, sf).t("part").select(F.col("p_partkey").alias("customer"), F.lit(None).cast("string").alias("segment"),
+                                                                                       F.lit(None).cast("long").alias("tier"), F.col("p_size").alias("measure"))}))
+
+
+def q_customer_base_views(spark: SparkSession, sf: str) -> DataFrame:
+    """M25, further views: customers per tier and nation (as account status), in one pass."""
+    s = Star(spark, sf)
+    c = bind(s.roles("customers")["customers"].join(s.t("customer").select(F.col("c_custkey").alias("_k"), F.col("c_nationkey").cast("string").alias("nation")), F.col("customer") == F.col("_k")),
+             {"customer": "customer", "segment": "segment", "tier": "tier", "account_status": "nation"}, "customers")
+    out = marts.value_frequencies(Retail({"customers": c.withColumn("tier", F.col("tier").cast("string"))}), "customers", ["tier", "account_status"])
+    return _round_doubles(out)
+
+
 def customers_u(s: Star) -> DataFrame:
     """One row per customer name, the smallest key kept."""
     return dedup.first(s.t("customer"), "c_name", ["c_custkey"])
@@ -1101,6 +1147,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orphan_signature": q_orphan_signature,
     "identity_history": q_identity_history,
     "id_prefix_signature": q_id_prefix_signature,
+    "identity_components": q_identity_components,
+    "attribute_survivors": q_attribute_survivors,
+    "size_values": q_size_values,
+    "customer_base_views": q_customer_base_views,
     "scorecard": q_scorecard,
     "usable_share": q_usable_share,
     "orders_by_month": q_orders_by_month,

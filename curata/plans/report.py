@@ -24,7 +24,7 @@ MARTS = {
     "units_by_category", "category_mix", "seller_concentration", "brand_stats", "payment_mix", "failure_rate",
     "carrier_scorecard", "delay_by_priority", "balance_histogram", "customer_base", "orders_per_customer",
     "segment_activity", "bias_table", "crosstab_row_pct", "status_matrix_lines", "status_matrix_returns", "rfm", "rfm_master",
-    "payment_status_by_method", "tier_activity", "fx_value", "delay_treated",
+    "payment_status_by_method", "tier_activity", "fx_value", "delay_treated", "size_values", "customer_base_views",
 }
 
 

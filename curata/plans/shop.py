@@ -3,8 +3,9 @@
 Names, keys and domains are data (``TABLES``, ``KEYS``, ``DOMAINS``); the
 rules are ``Rule`` objects that run in one aggregate per frame. ``load`` reads
 the tables from CSV or Parquet, ``register`` counts the fifteen anomalies,
-``validity`` runs the fifty checks, and ``run_shop`` writes all reports of a
-run.
+``validity`` runs the fifty checks, ``roles`` binds the tables for the plans of
+``marts``, and ``run_shop`` makes one run: landing with rejected records,
+reports, marts, quarantine with release, surrogate keys, snapshots and alerts.
 """
 
 from __future__ import annotations
@@ -17,10 +18,16 @@ from pyspark.sql.types import StructType
 
 from curata.functions.nulls import any_of, blank, differs, not_full_match, outside, truthy
 from curata.functions.scalars import days_between
-from curata.operators import dedup, identity, integrity, payments, reshape
+from curata.operators import dedup, identity, integrity, payments, profile, reshape
+from curata.operators.components import identity_components
 from curata.operators.joins import join_on_keys
 from curata.operators.rules import domain_rules, rows_of_ambiguous_groups, run_rules
-from curata.sources.io import load_tables, zone_path
+from curata.operators.survivorship import survivors
+from curata.operators.treat import reason_rates
+from curata.plans import marts
+from curata.plans.roles import Retail, bind
+from curata.sources import keys, quarantine, snapshots
+from curata.sources.io import inventory, land_csv, load_tables, zone_path
 from curata.specs import ForeignKey, Rule, TableSpec
 
 TOL = 0.05
@@ -103,9 +110,15 @@ class Shop:
         """The latest row of every order (a null time is the newest)."""
         return dedup.latest(self.t["orders"], "order_id", "updated_at", nulls="newest")
 
-    def lines(self) -> DataFrame:
-        """Order lines with ``is_orphan`` (no such product) and ``formula_mismatch`` (total is not quantity x price - discount)."""
-        flagged = integrity.flag_orphans(self.t["order_lines"], "product_id", self.t["products"], "product_id")
+    def lines(self, known_products: DataFrame | None = None) -> DataFrame:
+        """Order lines with ``is_orphan`` (no such product) and ``formula_mismatch`` (total is not quantity x price - discount).
+
+        ``known_products`` adds product ids, in column ``key``, that earlier runs have seen.
+        """
+        products = self.t["products"].select("product_id")
+        if known_products is not None:
+            products = products.unionByName(known_products.select(_c("key").alias("product_id")))
+        flagged = integrity.flag_orphans(self.t["order_lines"], "product_id", products, "product_id")
         gap = _c("quantity") * _c("unit_price") - _c("line_discount") - _c("line_total")
         return flagged.withColumn("formula_mismatch", truthy(F.abs(gap) > TOL))
 
@@ -118,7 +131,7 @@ class Shop:
         has = _c("n_lines").isNotNull()
         parts = _c("subtotal_amount") + _c("shipping_amount") - _c("discount_amount")
         return j.select(
-            "order_id", truthy(F.abs(_c("total_amount") - parts) > TOL).alias("total_mismatch"), (~has).alias("no_lines"),
+            "order_id", "n_lines", "sum_valid_lines", truthy(F.abs(_c("total_amount") - parts) > TOL).alias("total_mismatch"), (~has).alias("no_lines"),
             (has & truthy(F.abs(_c("subtotal_amount") - _c("sum_lines")) > TOL)).alias("subtotal_mismatch"),
             (has & truthy(F.abs(_c("subtotal_amount") - F.coalesce("sum_valid_lines", F.lit(0.0))) > TOL)).alias("subtotal_valid_mismatch"))
 
@@ -127,7 +140,7 @@ class Shop:
 
     def deliveries(self) -> DataFrame:
         """Deliveries with their order's date and the days from order to delivery and in transit."""
-        o = self.orders_u().select(_c("order_id").alias("_order"), "order_date", "order_status")
+        o = self.orders_u().select(_c("order_id").alias("_order"), "order_date", "order_status", "delivery_address_zone")
         j = join_on_keys(self.t["deliveries"], o, [("order_id", "_order")], "left").drop("_order")
         return j.withColumn("days_to_delivery", days_between("delivered_at", "order_date")).withColumn(
             "days_in_transit", days_between("delivered_at", "shipped_at"))
@@ -188,7 +201,7 @@ def rules(shop: Shop, current_year: int) -> list[tuple[DataFrame, list[Rule]]]:
             rule("customers", "email_hash is not hexadecimal", not_full_match("email_hash", "[0-9a-f]+")),
             rule("customers", "a name is missing or blank", blank("first_name") | blank("last_name")),
         ]),
-        (first.join(joined, _c("_buyer") == _c("customer_id"), "left"), [
+        (join_on_keys(first, joined, [("_buyer", "customer_id")], "left"), [
             rule("customers", "ordered before registration", truthy(_c("first_order") < _c("registration_date")), "of customers with orders")]),
         (shop.t["products"], domain_rules("products", DOMAINS["products"]) + [
             rule("products", "weight_grams <= 0", truthy(_c("weight_grams") <= 0)),
@@ -267,11 +280,151 @@ def status_matrices(shop: Shop) -> dict[str, DataFrame]:
     return {f"status_by_{c}": reshape.row_share(reshape.crosstab(s, "order_status", c), "order_status") for c in ("payment_status", "delivery_status")}
 
 
-def run_shop(spark: SparkSession, input_dir: str, base_dir: str, run_id: str, current_year: int, fmt: str = "csv") -> dict[str, str]:
-    """Write every report of one run below the monitoring zone; returns name -> path."""
-    shop = load(spark, input_dir, fmt)
-    made = {**key_reports(shop), "register": register(shop), "validity": validity(shop, current_year), **status_matrices(shop)}
-    paths = {name: f"{zone_path(base_dir, 'monitoring', name)}/run_id={run_id}" for name in made}
-    for name, df in made.items():
+#: Which column of the six tables plays which role.
+SHOP_ROLES = {
+    "orders": {"order": "order_id", "customer": "customer_id", "ordered_at": "order_date", "status": "order_status", "channel": "channel",
+               "zone": "delivery_address_zone", "country": "country_code", "currency": "currency", "total": "total_amount"},
+    "lines": {"order": "order_id", "product": "product_id", "seller": "seller_id", "quantity": "quantity", "unit_price": "unit_price", "sku": "product_sku"},
+    "catalogue": {"product": "product_id", "category": "category_name", "price": "unit_price", "sku": "sku"},
+    "products": {"product": "product_id", "brand": "brand", "price": "unit_price", "cost": "unit_cost"},
+    "customers": {"customer": "customer_id", "segment": "customer_segment", "tier": "loyalty_tier", "account_status": "account_status", "registered_at": "registration_date",
+                  "birth_year": "birth_year"},
+    "payments": {"order": "order_id", "payment": "payment_id", "paid_at": "payment_date", "status": "payment_status", "amount": "payment_amount",
+                 "method": "payment_method", "provider": "payment_provider", "reference": "transaction_reference"},
+}
+DELIVERY_ROLES = {"order": "order_id", "carrier": "carrier", "status": "delivery_status", "cost": "delivery_cost", "attempts": "delivery_attempts",
+                  "delay_days": "days_to_delivery", "transit_days": "days_in_transit", "area": "delivery_address_zone"}
+#: Headline shares and the shares of the bias table, by order role and value.
+SHARES = {"delivered_pct": ("status", "DELIVERED"), "cancelled_pct": ("status", "CANCELLED"), "returned_pct": ("status", "RETURNED"), "app_pct": ("channel", "MOBILE_APP"),
+          "web_pct": ("channel", "WEB"), "urban_pct": ("zone", "URBAN"), "rural_pct": ("zone", "RURAL")}
+BIAS = {"urban_pct": ("zone", "URBAN"), "rural_pct": ("zone", "RURAL"), "app_pct": ("channel", "MOBILE_APP")}
+#: Rows announced per table.
+EXPECTED_ROWS = {"orders": 52_000, "order_lines": 107_517, "customers": 81_200, "products": 12_000, "payments": 46_141, "deliveries": 41_218}
+ALERT_PCT = 1.0
+#: The sources that may give an attribute, the most trusted first (T19): the CRM's record, then what orders say.
+ATTRIBUTE_SOURCES = {"country": ("crm", "orders"), "zone": ("orders",), "currency": ("orders",), "segment": ("crm",), "tier": ("crm",)}
+
+
+def roles(shop: Shop, current_year: int, known_products: DataFrame | None = None) -> Retail:
+    """The six tables bound to the roles of the plans; the customers' measure is their age."""
+    spec = {t.name: t for t in TABLES}
+    table = {"orders": "orders", "lines": "order_lines", "catalogue": "products", "products": "products", "customers": "customers", "payments": "payments"}
+    source = {**{frame: shop.t[name] for frame, name in table.items()}, "orders": shop.orders_u(), "customers": dedup.first(shop.t["customers"], "email_hash", ["customer_id"])}
+    frames = {frame: bind(source[frame], SHOP_ROLES[frame], frame, spec[name]) for frame, name in table.items()}
+    frames["customers"] = frames["customers"].withColumn("measure", F.lit(current_year) - _c("birth_year"))
+    frames["visits"] = frames["orders"].select(_c("ordered_at").alias("at"))
+    frames["deliveries"] = bind(shop.deliveries(), DELIVERY_ROLES, "deliveries")
+    frames["paid_orders"] = frames["orders"].select("order", "total")
+    facts = shop.payment_checks()
+    frames["payment_facts"] = facts.withColumnsRenamed({"order_id": "order", "total_amount": "total"})
+    frames["order_checks"] = shop.order_checks().withColumnsRenamed({"order_id": "order", "total_mismatch": "total_formula"}).withColumnRenamed("subtotal_mismatch", "total_mismatch")
+    frames["line_flags"] = dedup.flag_surplus(shop.lines(known_products), "order_line_id", name="is_duplicate")
+    return Retail(frames, shares=SHARES, bias=BIAS, late_days=LATE_DAYS)
+
+
+def masters(shop: Shop) -> DataFrame:
+    """(customer, master_id): customers who share an e-mail or a phone hash, directly or through others, are one person."""
+    return identity_components(shop.t["customers"], "customer_id", ["email_hash", "phone_hash"]).withColumnRenamed("customer_id", "customer")
+
+
+def customer_attributes(shop: Shop) -> DataFrame:
+    """Per customer, every attribute from its most trusted source that has it, with source and time."""
+    none = F.lit(None).cast("string")
+    crm = shop.t["customers"].select("customer_id", F.lit("crm").alias("source"), _c("registration_date").alias("at"), _c("country_code").alias("country"), none.alias("zone"),
+                                     none.alias("currency"), _c("customer_segment").alias("segment"), _c("loyalty_tier").alias("tier"))
+    orders = shop.orders_u().select("customer_id", F.lit("orders").alias("source"), _c("order_date").alias("at"), _c("country_code").alias("country"),
+                                    _c("delivery_address_zone").alias("zone"), "currency", none.alias("segment"), none.alias("tier"))
+    return survivors(crm.unionByName(orders), "customer_id", "source", "at", ATTRIBUTE_SOURCES)
+
+
+def business(shop: Shop, current_year: int, as_of: str) -> dict[str, DataFrame]:
+    """Every mart and treatment of the plans over the six tables, by name."""
+    r = roles(shop, current_year)
+    when = F.lit(as_of).cast("timestamp")
+    return {
+        "orders_by_month": marts.orders_by_month(r), "value_index": marts.value_index(r), "monthly_volume": marts.monthly_volume(r), "weekday_hour": marts.weekday_hour(r),
+        "weekday_hour_range": marts.weekday_hour_range(r), "status_channel_freq": marts.value_frequencies(r, "orders", ["status", "channel"]),
+        "mix_by_country": marts.mix_by_country(r, ["zone", "channel"]), "headline_shares": marts.headline_shares(r), "value_by_currency": marts.value_by_currency(r),
+        "value_box_stats": marts.value_box_stats(r), "delay_box_stats": marts.delay_box_stats(r), "basket": marts.basket(r), "basket_frequency": marts.basket_frequency(r),
+        "units_by_category": marts.units_by_category(r), "category_mix": marts.category_mix(r), "seller_concentration": marts.seller_concentration(r),
+        "brand_stats": marts.brand_stats(r), "payment_mix": marts.payment_mix(r), "payment_status_by_method": marts.payment_status_by_method(r),
+        "failure_rate": marts.failure_rate(r), "carrier_scorecard": marts.carrier_scorecard(r), "delay_by_area": marts.delay_by_area(r), "delay_histogram": marts.delay_histogram(r),
+        "age_histogram": marts.measure_histogram(r), "age_values": marts.measure_values(r), "delivery_status_freq": marts.value_frequencies(r, "deliveries", ["status"]),
+        "customer_base": marts.value_frequencies(r, "customers", ["segment", "tier", "account_status"]), "registrations": marts.registrations(r),
+        "orders_per_customer": marts.capped_orders_per_customer(r), "segment_activity": marts.activity(r, "segment"), "tier_activity": marts.activity(r, "tier"),
+        "bias_table": marts.bias_table(r), "order_quarantine": marts.order_quarantine(r), "payment_reference": marts.payment_reference(r), "partial_due": marts.partial_due(r),
+        "overcapture_dedup": marts.overcapture_dedup(r), "delay_treated": marts.delay_treated(r), "product_flags": marts.product_flags(r), "price_drift": marts.price_drift(r),
+        "rfm": marts.rfm(r, when), "rfm_master": marts.rfm_master(r, when, masters(shop)), "customer_masters": masters(shop), "customer_attributes": customer_attributes(shop),
+        "phone_duplicates": identity.duplicate_identity_summary(shop.t["customers"], "phone_hash", "customer_id", PROFILE),
+    }
+
+
+def scorecard(shop: Shop, current_year: int) -> DataFrame:
+    """PR7: rows, completeness, failing checks and registered anomalies per table."""
+    comp = None
+    for t in TABLES:
+        part = profile.completeness(shop.t[t.name], t.name)
+        comp = part if comp is None else comp.unionByName(part)
+    failing = validity(shop, current_year).groupBy(F.substring_index("table", " x ", 1).alias("table")).agg(F.count_if(_c("violations") > 0).alias("failing_checks"))
+    n = {t.name: sum(r[1] == t.name for r in REGISTER) for t in TABLES}
+    count = F.create_map(*[F.lit(x) for kv in n.items() for x in kv])[_c("table")]
+    return comp.join(failing, "table", "left").select("table", "rows", F.round("completeness_pct", 4).alias("completeness_pct"),
+                                                      F.coalesce("failing_checks", F.lit(0)).cast("long").alias("failing_checks"), count.cast("long").alias("registered_anomalies"))
+
+
+def alerts(spark: SparkSession, run_id: str, found: list[tuple[str, str, int, int]], limit_pct: float = ALERT_PCT) -> DataFrame:
+    """One row per (table, measure, observed, base) of a run: the rate, and whether it is above the limit."""
+    rows = [(run_id, t, m, int(n), int(base), 100.0 * n / base if base else None, limit_pct, bool(base) and 100.0 * n / base > limit_pct) for t, m, n, base in found]
+    return spark.createDataFrame(rows, "run_id string, table string, measure string, observed long, base long, rate_pct double, limit_pct double, alert boolean")
+
+
+def run_shop(spark: SparkSession, input_dir: str, base_dir: str, run_id: str, current_year: int, fmt: str = "csv", previous: str | None = None,
+             at: str | None = None, with_marts: bool = True) -> dict[str, str]:
+    """One run over the tables of a folder; returns the path of every table written, by name.
+
+    Landing counts rejected records and bad cells while it writes. Reports go
+    to the monitoring zone, marts to the marts zone. Lines are settled in the
+    curated and quarantine zones: an orphan of run ``previous`` is released
+    once its product has arrived. Customers get persistent keys and, like
+    products, a snapshot step at time ``at`` (default: the run id, a date).
+    Everything lies under ``run_id``, so a repeated run replaces itself only.
+    """
+    at = at or run_id
+    found: list[tuple[str, str, int, int]] = []
+    if fmt == "csv":
+        tables = {}
+        for t in TABLES:
+            tables[t.name], n = land_csv(spark, f"{input_dir.rstrip('/')}/{t.name}.csv", t.schema, base_dir, t.name, run_id)
+            found += [(t.name, m.replace("_", " "), k, n["rows_read"]) for m, k in n.items() if m != "rows_read"]
+        shop = Shop(tables)
+    else:
+        shop = load(spark, input_dir, fmt)
+
+    # lines: tagged against all products known so far, settled, and counted by reason from what was written
+    known = quarantine.known_parents(spark, base_dir, "order_lines", previous)
+    tagged = marts.line_quarantine(roles(shop, current_year, known))
+    staged = f"{zone_path(base_dir, 'intermediate', 'order_lines_tagged')}/run_id={run_id}"
+    tagged.write.mode("overwrite").parquet(staged)
+    tagged = spark.read.parquet(staged)
+    quarantine.settle(spark, tagged, shop.t["products"], "product_id", "product_id", base_dir, "order_lines", run_id, previous)
+    found += [("order_lines", r.reason, r.rows, r.population) for r in reason_rates(tagged, ["duplicate", "orphan", "formula"], ALERT_PCT).collect()]
+
+    folder = zone_path(base_dir, "curated", "customer_keys")
+    n = keys.allocate(spark, shop.t["customers"], "customer_id", ["email_hash"], folder, run_id, previous)
+    found.append(("customers", "colliding ids", n["colliding_keys"], n["keys"]))
+    _, held = keys.with_keys(shop.t["customers"], spark.read.parquet(f"{folder}/run_id={run_id}"), "customer_id", ["email_hash"])
+    for t in TABLES:
+        if t.name in ("customers", "products"):
+            snapshots.take_snapshot(spark, shop.t[t.name], t.key, base_dir, t.name, run_id, at, previous)
+
+    quality = {**key_reports(shop), "register": register(shop), "validity": validity(shop, current_year), **status_matrices(shop),
+               "inventory": inventory(shop.t, EXPECTED_ROWS), "scorecard": scorecard(shop, current_year),
+               **{f"profile_{t.name}": profile.profile_columns(shop.t[t.name], t.name) for t in TABLES}, "alerts": alerts(spark, run_id, found)}
+    made = [("monitoring", name, df) for name, df in quality.items()]
+    made += [("marts", name, df) for name, df in business(shop, current_year, at).items()] if with_marts else []
+    made.append(("quarantine", "customers_colliding", held))
+    paths = {name: f"{zone_path(base_dir, zone, name)}/run_id={run_id}" for zone, name, _ in made}
+    for _, name, df in made:
         df.write.mode("overwrite").parquet(paths[name])
-    return paths
+    return {**paths, "order_lines_curated": f"{zone_path(base_dir, 'curated', 'order_lines')}/run_id={run_id}",
+            "order_lines_quarantine": f"{zone_path(base_dir, 'quarantine', 'order_lines')}/run_id={run_id}", "customer_keys": f"{folder}/run_id={run_id}"}

@@ -89,3 +89,21 @@ def test_fx_convert_rate_table(spark):
     assert out[1] == 100.0 * 0.0016 and out[3] == 10.0 * 0.0015
     assert out[2] is None and out[4] is None          # conflicting rate, missing rate: null, never 1
     assert len(out) == 4
+
+
+def test_a_path_of_a_million_steps_is_put_together_by_segments(spark):
+    from pyspark.sql import functions as F
+
+    from curata.operators.payments import path_text
+
+    steps = spark.range(1_000_000, numPartitions=8).select(F.lit("hot").alias("k"), (F.col("id") + 1).alias("pos"), (F.col("id") % 7).cast("string").alias("s"))
+    steps = steps.unionByName(spark.createDataFrame([("small", 2, "b"), ("small", 1, "a")], "k string, pos long, s string"))
+    made = path_text(steps, ["k"], "s", "pos", ">")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "_seg" in plan and plan.count("hashpartitioning(k") == 2          # by (key, segment), then by key
+    segments = steps.groupBy("k", F.floor((F.col("pos") - 1) / 10_000)).count().agg(F.max("count"), F.count("*")).first()
+    assert tuple(segments) == (10_000, 101)
+    got = {r.k: r for r in made.select("k", F.length("sequence").alias("n"), F.sha2("sequence", 256).alias("h")).collect()}
+    import hashlib
+    text = ">".join(str(i % 7) for i in range(1_000_000))
+    assert (got["hot"].n, got["hot"].h) == (len(text), hashlib.sha256(text.encode()).hexdigest()) and got["small"].h == hashlib.sha256(b"a>b").hexdigest()
