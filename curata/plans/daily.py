@@ -24,7 +24,7 @@ def _write_run(df: DataFrame, path: str, run_id: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
-def run_daily(spark: SparkSession, input_dir: str, base_dir: str, run_id: str, buckets: int = 64) -> dict:
+def run_daily(spark: SparkSession, input_dir: str, base_dir: str, run_id: str) -> dict:
     s = Star(spark, input_dir)
 
     # lines: tag once, keep the tagged table, split into curated / quarantine
@@ -33,7 +33,7 @@ def run_daily(spark: SparkSession, input_dir: str, base_dir: str, run_id: str, b
     tagged = spark.read.parquet(f"{staged}/run_id={run_id}")
     lines_ok, lines_bad = split_zones(tagged)
     _write_run(lines_bad, zone_path(base_dir, "quarantine", "lineitem"), run_id)
-    upsert(spark, lines_ok.drop("zone", "reasons"), zone_path(base_dir, "curated", "lineitem"), list(LINE_KEY), "l_shipdate", buckets)
+    upsert(spark, lines_ok.drop("zone", "reasons"), zone_path(base_dir, "curated", "lineitem"), list(LINE_KEY), "l_shipdate")
 
     # orders: quarantine those without lines or with a wrong total, curate the rest
     staged = zone_path(base_dir, "intermediate", "orders_tagged")
@@ -41,7 +41,7 @@ def run_daily(spark: SparkSession, input_dir: str, base_dir: str, run_id: str, b
     oq = spark.read.parquet(f"{staged}/run_id={run_id}")
     _write_run(oq.where(F.col("zone") == "quarantine"), zone_path(base_dir, "quarantine", "orders"), run_id)
     orders_ok = s.orders_u().join(oq.where(F.col("zone") == "curated").select("o_orderkey"), "o_orderkey", "left_semi")
-    upsert(spark, orders_ok, zone_path(base_dir, "curated", "orders"), "o_orderkey", "o_orderdate", buckets)
+    upsert(spark, orders_ok, zone_path(base_dir, "curated", "orders"), "o_orderkey", "o_orderdate")
 
     # monitoring exports
     _write_run(catalog.anomaly_register(s), zone_path(base_dir, "monitoring", "anomaly_register"), run_id)

@@ -21,46 +21,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def read_text(spark: SparkSession, path: str) -> str | None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all below it; nothing happens if it isn't there."""
     fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        jvm = spark.sparkContext._jvm
-        data = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return str(data)
-
-
-def write_text_new(spark: SparkSession, path: str, text: str) -> None:
-    """Create ``path`` with ``text`` via a temp file and a rename; fail if it already exists.
-
-    On stores whose rename is atomic and refuses an existing name (HDFS), a
-    second writer racing for the same name loses. Object stores that copy on
-    rename don't promise that: there, two racing writers need a lock.
-    """
-    import uuid
-
-    fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
-    out = fs.create(tmp, False)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(p) or not fs.rename(tmp, p):
-        fs.delete(tmp, False)
-        raise FileExistsError(f"{path} was written by another writer")
-
-
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [str(s.getPath().getName()) for s in fs.listStatus(p) if s.isFile()]
+    fs.delete(p, True)
 
 
 def list_dirs(spark: SparkSession, path: str) -> list[str]:

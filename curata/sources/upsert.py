@@ -7,37 +7,25 @@ Semantics of the curated MERGE:
 * a key absent from the target is inserted; null keys never match, so rows
   with a null key are inserted on every run.
 
-``merge_latest`` is that rule as one full outer join. ``upsert`` keeps the
-target as hash buckets of the key (``_bucket``), merges the buckets that a
-batch touches into a folder of this attempt's own (never written by anybody
-else), and then publishes a numbered pointer file that names the folder of
-every bucket (``_pointers/<version>.json``; readers take the highest). Of two
-writers that started from one version, the second fails at the pointer: its
-folder is referred to by nothing, and what the first committed stays as it
-is. This needs a store whose rename refuses an existing name (HDFS, a local
-disk); elsewhere, use Delta Lake, which is taken when it is on the classpath.
+``merge_latest`` is that rule as one full outer join. ``upsert`` uses Delta
+Lake's MERGE where it is on the classpath. Elsewhere every commit writes the
+merged table as one Parquet snapshot folder (``snapshot=<n>``), which counts
+once Spark has marked it complete; readers take the highest, and the last
+``keep`` stay. That rewrites the table per commit: take Delta for tables that
+are large against their batches.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.operators.dedup import latest
-from curata.session import checkpoint_dir
 from curata.sources import fs
 from curata.specs import as_tuple
 
-BUCKET = "_bucket"
-POINTERS = "_pointers"
-VERSION = "_version"
-
-
-def bucket_of(key, n: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in as_tuple(key)]), F.lit(n)).cast("int")
+SNAPSHOT = "snapshot"
+EPOCHS = "epochs"          # per snapshot: the last applied batch of every stream
 
 
 def merge_latest(target: DataFrame, source: DataFrame, key, ts: str = "updated_at",
@@ -65,47 +53,38 @@ def _delta_available(spark: SparkSession) -> bool:
     return "Delta" in (spark.conf.get("spark.sql.extensions", "") or "")
 
 
-def _pointer(spark: SparkSession, path: str) -> dict | None:
-    versions = [int(n[:-5]) for n in fs.list_files(spark, f"{path}/{POINTERS}") if n.endswith(".json") and n[:-5].isdigit()]
-    if not versions:
-        return None
-    return json.loads(fs.read_text(spark, f"{path}/{POINTERS}/{max(versions)}.json"))
-
-
-def _publish(spark: SparkSession, path: str, ptr: dict) -> None:
-    fs.write_text_new(spark, f"{path}/{POINTERS}/{ptr['version']}.json", json.dumps(ptr))
+def _numbers(spark: SparkSession, path: str, complete: bool = True) -> list[int]:
+    """The numbers of the snapshot folders, ascending; only those that Spark has completed unless told otherwise."""
+    names = [d for d in fs.list_dirs(spark, path) if d.startswith(f"{SNAPSHOT}=")]
+    return sorted(int(d.split("=")[1]) for d in names if not complete or fs.exists(spark, f"{path}/{d}/_SUCCESS"))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """The path holds a curated table (pointer file or Delta log)."""
-    return _pointer(spark, path) is not None or fs.exists(spark, f"{path}/_delta_log")
+    """The path holds a curated table (a complete snapshot or a Delta log)."""
+    return bool(_numbers(spark, path)) or fs.exists(spark, f"{path}/_delta_log")
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """Current version of a bucketed table (each bucket from the folder that the pointer names)."""
+    """The table as of its last commit."""
     if fs.exists(spark, f"{path}/_delta_log"):
         return spark.read.format("delta").load(path)
-    ptr = _pointer(spark, path)
-    if ptr is None:
+    done = _numbers(spark, path)
+    if not done:
         raise FileNotFoundError(f"no curated table at {path}")
-    paths = [f"{path}/{VERSION}={v}/{BUCKET}={b}" for b, v in ptr["buckets"].items()]
-    if not paths:
-        return spark.createDataFrame([], ptr["schema"])
-    df = spark.read.option("basePath", path).parquet(*paths)
-    return df.drop(VERSION, BUCKET).select(*json.loads(ptr["schema_json"])["names"])
-
-
-def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "updated_at",
-           buckets: int = 64, batch_key: str | None = None, batch_id: int | None = None) -> dict:
-    """Apply one batch; returns {"version", "touched_buckets"} (and "skipped" for a replay).
-
-    First call writes the deduplicated batch (fails if the path already holds
-    data, like the default write mode). Later calls read only the buckets the
-    batch touches, merge them and write those buckets anew, one file each;
-    choose ``buckets`` at the first call so that a bucket fits a task.
-    With ``batch_key``/``batch_id`` (a stream and its epoch) the pointer
-    records the last applied id per key, so a replayed batch is skipped:
-    exactly-once even for rows with a null key.
+    return spark.read.parquet(f"{path}/{SNAPSHOT}={done[-1]}")
+
+
+def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "updated_at", keep: int = 3,
+           batch_key: str | None = None, batch_id: int | None = None) -> dict:
+    """Apply one batch; returns {"version"} (and "skipped" for a replay).
+
+    The first call writes the deduplicated batch (fails if the path already
+    holds other data, like the default write mode). With ``batch_key`` and
+    ``batch_id`` (a stream and its epoch) the snapshot knows the last applied
+    id per key, so a replayed batch is skipped: exactly-once even for rows
+    with a null key. Of two writers that start from one version, the second
+    fails because its folder exists; a folder that a lost writer left
+    incomplete is never read, and the next commit takes a new number.
     """
     keys = list(as_tuple(key))
     if _delta_available(spark):  # pragma: no cover - Delta not in this image
@@ -114,38 +93,32 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, key, ts: str = "update
         batch = latest(df, keys, ts, nulls="oldest")
         if not DeltaTable.isDeltaTable(spark, path):
             batch.write.format("delta").save(path)
-            return {"version": 0, "touched_buckets": None}
+            return {"version": 0}
         cond = " AND ".join(f"t.{k} = s.{k}" for k in keys)
         (DeltaTable.forPath(spark, path).alias("t").merge(batch.alias("s"), cond)
          .whenMatchedUpdateAll(condition=f"s.{ts} >= t.{ts}").whenNotMatchedInsertAll().execute())
-        return {"version": None, "touched_buckets": None}
-
-    ptr = _pointer(spark, path)
-    applied = dict((ptr or {}).get("batches", {}))
+        return {"version": None}
+
+    foreign = [d for d in fs.list_dirs(spark, path) if not d.startswith(f"{SNAPSHOT}=") and d != EPOCHS]
+    if foreign:
+        raise FileExistsError(f"{path} holds data that is not a curated table: {foreign}")
+    done, version = _numbers(spark, path), max(_numbers(spark, path, complete=False), default=-1) + 1
+    applied: dict[str, int] = {}
+    if done and fs.exists(spark, f"{path}/{EPOCHS}/{SNAPSHOT}={done[-1]}"):
+        applied = {r.stream: r.epoch for r in spark.read.parquet(f"{path}/{EPOCHS}/{SNAPSHOT}={done[-1]}").collect()}     # one row per stream
     if batch_key is not None and batch_id is not None:
-        if batch_key in applied and batch_id <= applied[batch_key]:
-            return {"version": ptr["version"], "touched_buckets": 0, "skipped": True}
+        if batch_id <= applied.get(batch_key, -1):
+            return {"version": done[-1], "skipped": True}
         applied[batch_key] = batch_id
-    names = list(df.columns)
-    n_buckets = ptr["n_buckets"] if ptr else buckets
-    if ptr is None:
-        foreign = [d for d in fs.list_dirs(spark, path) if not d.startswith(f"{VERSION}=") and d != POINTERS]
-        if foreign:
-            raise FileExistsError(f"{path} holds data that is not a curated table: {foreign}")
-    # the deduplicated batch feeds two jobs (touched buckets, write): materialise it once
-    checkpoint_dir(spark)
-    batch = latest(df, keys, ts, nulls="oldest").withColumn(BUCKET, bucket_of(keys, n_buckets)).checkpoint(eager=True)
-    touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())       # as many as buckets at most
-    current = ptr["buckets"] if ptr else {}
-    old_paths = [f"{path}/{VERSION}={current[str(b)]}/{BUCKET}={b}" for b in touched if str(b) in current]
-    out = batch.select(*names, BUCKET)
-    if old_paths:
-        target = spark.read.option("basePath", path).parquet(*old_paths)
-        out = merge_latest(target.select(*names, BUCKET), out, keys, ts, dedup_source=False)
-    version = ptr["version"] + 1 if ptr else 0
-    folder = f"{version}-{uuid.uuid4().hex}"
-    out.repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{VERSION}={folder}")
-    new_ptr = {"version": version, "buckets": {**current, **{str(b): folder for b in touched}}, "n_buckets": n_buckets,
-               "schema_json": json.dumps({"names": names}), "schema": df.schema.simpleString(), "batches": applied}
-    _publish(spark, path, new_ptr)
-    return {"version": version, "touched_buckets": len(touched)}
+    out = latest(df, keys, ts, nulls="oldest")
+    if done:
+        out = merge_latest(read_current(spark, path).select(*df.columns), out, keys, ts, dedup_source=False)
+    if applied:                     # before the snapshot, without which it means nothing
+        # not createDataFrame, which would make a stream's own session the active one everywhere
+        rows = F.array(*[F.struct(F.lit(k).alias("stream"), F.lit(v).cast("long").alias("epoch")) for k, v in applied.items()])
+        spark.range(1).select(F.inline(rows)).coalesce(1).write.mode("overwrite").parquet(f"{path}/{EPOCHS}/{SNAPSHOT}={version}")
+    out.write.mode("errorifexists").parquet(f"{path}/{SNAPSHOT}={version}")
+    for old in (done + [version])[:-keep]:
+        for folder in (f"{path}/{SNAPSHOT}={old}", f"{path}/{EPOCHS}/{SNAPSHOT}={old}"):
+            fs.delete(spark, folder)
+    return {"version": version}

@@ -5,7 +5,7 @@ ignores older rows). A stream of change rows is handled by running the same
 ``upsert`` inside ``foreachBatch``: replaying a micro-batch after a failure
 gives the same table for non-null keys, because a tie takes the batch row and
 older rows never win. On top of that, the epoch of every applied batch is
-recorded in the table's pointer file under the stream's checkpoint location,
+recorded beside the table's snapshot under the stream's checkpoint location,
 so a replayed epoch is skipped: rows with a null key (which never match and
 would be inserted again) are applied exactly once as well.
 """
@@ -19,14 +19,13 @@ from curata.sources.upsert import upsert
 
 
 def start_upsert_stream(stream: DataFrame, path: str, key, ts: str, checkpoint_location: str,
-                        buckets: int = 64, trigger: dict | None = None,
-                        query_name: str | None = None) -> StreamingQuery:
+                        trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
     """Start a streaming query that upserts every micro-batch into the curated table at ``path``."""
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        upsert(batch.sparkSession, batch, path, key, ts, buckets, batch_key=checkpoint_location, batch_id=epoch_id)
+        upsert(batch.sparkSession, batch, path, key, ts, batch_key=checkpoint_location, batch_id=epoch_id)
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     if query_name:

@@ -115,7 +115,7 @@ def test_streaming_upsert(spark, scratch):
     spark.createDataFrame([("a", T(2025, 1, 1), "1"), ("b", T(2025, 1, 1), "1")], schema).write.parquet(f"{src}/b1")
     stream = spark.readStream.schema(schema).parquet(f"{src}/*")
     target = os.path.join(scratch, "curated")
-    q = start_upsert_stream(stream, target, "id", "updated_at", os.path.join(scratch, "ckpt"), buckets=4)
+    q = start_upsert_stream(stream, target, "id", "updated_at", os.path.join(scratch, "ckpt"))
     q.processAllAvailable()
     spark.createDataFrame([("a", T(2025, 1, 2), "2"), ("b", T(2024, 1, 1), "0")], schema).write.parquet(f"{src}/b2")
     q.processAllAvailable()
@@ -128,7 +128,7 @@ def test_run_daily_keeps_every_line_and_is_idempotent(spark, scratch):
     from curata.plans.daily import run_daily
     sf = "/root/testdata/sf0.001"
     base = os.path.join(scratch, "lake")
-    out1 = run_daily(spark, sf, base, "2026-01-01", buckets=8)
+    out1 = run_daily(spark, sf, base, "2026-01-01")
     n_in = spark.read.parquet(f"{sf}/lineitem.parquet").count()
     assert out1.get("lines_curated", 0) + out1.get("lines_quarantine", 0) == n_in      # curated ∪ quarantine = input
     q = spark.read.parquet(f"{base}/quarantine/lineitem")
@@ -137,7 +137,7 @@ def test_run_daily_keeps_every_line_and_is_idempotent(spark, scratch):
     assert curated.count() == curated.select("l_orderkey", "l_linenumber").distinct().count()
     reg = spark.read.parquet(f"{base}/monitoring/anomaly_register")
     n_reg = reg.count()
-    run_daily(spark, sf, base, "2026-01-01", buckets=8)                                 # same day again
+    run_daily(spark, sf, base, "2026-01-01")                                 # same day again
     assert spark.read.parquet(f"{base}/quarantine/lineitem").count() == out1["lines_quarantine"]
     assert spark.read.parquet(f"{base}/monitoring/anomaly_register").count() == n_reg
     assert read_current(spark, f"{base}/curated/lineitem").count() == curated.count()
