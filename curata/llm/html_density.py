@@ -17,8 +17,12 @@ what holds the article (see ``settle``). On what is left, following Sun, Song an
 
 A chosen element is widened to the ``article`` (or else ``main``) element
 that holds it, so short paragraphs and titles are not lost; if the page has
-its largest density sum in one, text outside such elements is left out.
-Inside, only lists of links that look like a menu go (see ``_is_menu``).
+its largest density sum in one, text outside such elements is left out. On a
+page without them the title (the only ``h1``) and the paragraphs between it
+and the main text belong to it (see ``_lead``). Inside, only lists of links
+that look like a menu go (see ``_is_menu``). Reader comments are also known by
+the heading of their section, and a comment that is never closed ends the
+page, as it does in a browser.
 
 Blocks: an element that is not inline starts and ends a block, and so does a
 line break. Pages are independent rows, parsed in place without a shuffle.
@@ -34,6 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from curata.llm.hashing import text_slices
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
                    "strike strong sub sup time tt u var wbr img body-text "
@@ -76,6 +82,9 @@ SAME_LEVEL = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"})
 #: An end tag doesn't close elements beyond these.
 WALLS = frozenset("html body article aside main nav footer header section div td th table ul ol dl form".split())
 _SPACES = re.compile(r"\s+")
+#: Headings of reader comments, as a whole, with or without a number.
+_COMMENT_HEADING = re.compile(r"(?i)(?:\(?\d+\)?\s*)?(?:(?:reader|user|your|all|add a|post a|leave a|join the|laisser un|tous les|alle|neue|los|deja un)\s+)?"
+                              r"(?:comments?|conversation|reply|replies|commentaires?|kommentare?|leserkommentare|comentarios?)(?:\s*\(?\d+\)?)?\s*:?")
 
 
 class Node:
@@ -170,8 +179,11 @@ class TreeParser(HTMLParser):
             self._pop_to(old)
         if tag == "body" and self.open.get("head"):
             self._pop_to(self._nearest({"head"}, ()))
-        header = tag == "header" and not (self.open.get("article") or self.open.get("main"))
+        within = self.open.get("article") or self.open.get("main")
+        header = tag == "header" and not within
         mark = _mark(tag, attrs)
+        if mark == "header" and within:
+            mark = None                       # the article's own
         out = tag in LEFT_OUT or header or mark == "out"
         if tag in VOID:
             self.at.parts.append(Node(tag, self.at, out))
@@ -198,14 +210,72 @@ class TreeParser(HTMLParser):
         self.at.parts.append(data)
 
 
+def _without_open_comment(html: str) -> str:
+    """The page with comments as the parser knows them, up to one that is never closed (unless a script or style, whose text is none, holds its begin)."""
+    if "<!--" not in html:
+        return html
+    html = re.sub(r"<!---?>", "", html).replace("--!>", "-->")        # empty ones, and the other way to close one
+    at = html.find("<!--", max(html.rfind("-->"), -3) + 3)
+    if at < 0:
+        return html
+    before = html[:at].lower()
+    if any(before.rfind(f"<{tag}") > before.rfind(f"</{tag}") for tag in ("script", "style", "textarea", "title")):
+        return html
+    return html[:at]
+
+
 def parse(html: str) -> tuple[Node, list[Node]]:
     """The page's root and its marked elements, in page order."""
     parser = TreeParser()
-    parser.feed(html)
+    parser.feed(_without_open_comment(html))
     parser.close()
     return parser.root, parser.marked
 
 
+def _text(node: Node) -> str:
+    todo, out = [node], []
+    while todo:
+        part = todo.pop()
+        if type(part) is str:
+            out.append(part)
+        elif not part.out:
+            todo.extend(reversed(part.parts))
+    return _SPACES.sub(" ", "".join(out)).strip()
+
+
+def _empty(part: Node | str) -> bool:
+    return not part.strip() if type(part) is str else part.out or not _text(part) if part.tag not in HEADINGS else False
+
+
+def mark_comments(root: Node, marked: list[Node]) -> list[Node]:
+    """``marked`` and the sections that begin with a heading of reader comments."""
+    found, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        if n.out:
+            continue
+        todo.extend(n.children())
+        if n.tag in HEADINGS and n.tag != "h1" and _COMMENT_HEADING.fullmatch(_text(n)):
+            around = n
+            # the section of a heading: what has nothing before it
+            while around.parent is not None and around.parent.tag in ("section", "div", "aside", "header") and _first(around):
+                around = around.parent
+            if around is not n and around.mark != "comment":
+                around.mark = "comment"
+                found.append(around)
+    return marked + found
+
+
+def _first(node: Node) -> bool:
+    """Whether nothing with text stands before a node in its parent."""
+    for part in node.parent.parts:
+        if part is node:
+            return True
+        if not _empty(part):
+            return False
+    return False
+
+
 def _postorder(root: Node) -> list[Node]:
     """Elements that are not left out, children before parents (iterative: pages may be nested deeply)."""
     todo, order = [root], []
@@ -238,26 +308,25 @@ def settle(body: Node, marked: list[Node]) -> None:
         n.title = n.tag == "h1" or any(c.title for c in kept)
         n.article = n.tag in ("article", "main") and n.chars > 0 or any(c.article for c in kept)
     all_plain = total = body.chars - body.link_chars
-    within = {id(n) for n in order}
-    marked = [n for n in marked if n is not body and id(n) in within]
-    for n in sorted(marked, key=lambda n: n.mark != "comment"):
-        around, inside = n.parent, False
-        while around is not None and not around.out:
-            inside = inside or around.tag in ("article", "main")
-            around = around.parent
-        if around is not None:
-            continue                              # left out with what is around it
-        plain = n.chars - n.link_chars
-        most = 2 * plain > total and (n.article or inside or not body.article)
-        heavy = n.link_tags >= 3 and 2 * n.link_chars > n.chars
-        if n.title and n.mark != "header":
-            continue
-        if n.mark in ("comment", "strong"):
-            n.out = 10 * plain <= 9 * all_plain
-        else:
-            n.out = not most and (n.mark != "part" or heavy)
-        if n.out and n.mark == "comment":
-            total -= plain
+    for comments in (True, False):
+        todo = [(body, body.tag in ("article", "main"))]
+        while todo:                                   # in page order; nothing below what is left out
+            n, inside = todo.pop()
+            if n.mark and n is not body and (n.mark == "comment") is comments:
+                plain = n.chars - n.link_chars
+                most = 2 * plain > total and (n.article or inside or not body.article)
+                heavy = n.link_tags >= 3 and 2 * n.link_chars > n.chars
+                if n.title and n.mark != "header":
+                    n.out = False
+                elif n.mark in ("comment", "strong"):
+                    n.out = 10 * plain <= 9 * all_plain
+                else:
+                    n.out = not most and (n.mark != "part" or heavy)
+                if n.out and comments:
+                    total -= plain
+            if not n.out:
+                within = inside or n.tag in ("article", "main")
+                todo.extend((c, within) for c in reversed(list(n.children())) if not c.out)
 
 
 def measure(body: Node) -> list[Node]:
@@ -309,18 +378,58 @@ def _choose(body: Node, order: list[Node]) -> tuple[list[Node], float]:
             top = largest[id(n)]
             chosen.append(top if top.density_sum else n)
         todo.extend(n.children())
-    if _article_of(best) is None:             # the main text stands in no article element, whatever teasers do
-        chosen = [best, *(n for n in chosen if _article_of(n) is None)]
-    return chosen, threshold
+    around = _articles(body)
+    if around.get(id(best)) is None:          # the main text stands in no article element, whatever teasers do
+        chosen = [best, *(n for n in chosen if around.get(id(n)) is None)]
+        if best is not body:
+            chosen += _lead(body, best)
+        return chosen, threshold
+    return [a for n in chosen if (a := around.get(id(n))) is not None], threshold
+
+
+def _articles(body: Node) -> dict[int, Node]:
+    """Of every element in one: the outermost ``article`` around it, or else the outermost ``main``."""
+    out: dict[int, Node] = {}
+    todo: list[tuple[Node, Node | None, Node | None]] = [(body, None, None)]
+    while todo:
+        n, article, main = todo.pop()
+        article = article or (n if n.tag == "article" else None)
+        main = main or (n if n.tag == "main" else None)
+        if article or main:
+            out[id(n)] = article or main
+        todo.extend((c, article, main) for c in n.children())
+    return out
+
+
+def _lead(body: Node, best: Node) -> list[Node]:
+    """The page's only ``h1``, if it stands before the main text, and the blocks between them that are no lists of links."""
+    titles, todo = [], [body]
+    while todo:
+        n = todo.pop()
+        if not n.out:
+            if n.tag == "h1" and n.chars:
+                titles.append(n)
+            todo.extend(n.children())
+    if len(titles) != 1:
+        return []
+    path = {id(best)}
+    n = best
+    while n.parent is not None:
+        n = n.parent
+        path.add(id(n))
+    out, n = [titles[0]], titles[0]
+    while id(n) not in path:                  # up to the element that holds both
+        parts = n.parent.parts
+        begin = next(k for k, x in enumerate(parts) if x is n)
+        for part in parts[begin + 1:]:
+            if type(part) is Node and id(part) in path:
+                return out
+            if type(part) is Node and not part.out and part.chars and 2 * part.link_chars <= part.chars and part.tag not in INLINE:
+                out.append(part)
+        n = n.parent
+    return []                                 # the title stands inside the main text or behind it
 
 
-def _article_of(node: Node) -> Node | None:
-    """The outermost ``article`` around an element, or else the outermost ``main``."""
-    found = {}
-    while node is not None:
-        found[node.tag] = node
-        node = node.parent
-    return found.get("article") or found.get("main")
 
 
 def _is_menu(node: Node) -> bool:
@@ -369,11 +478,10 @@ def main_text(html: str | None) -> str:
             break
         todo.extend(n.children())
     body.out = False
-    settle(body, marked)
+    settle(body, mark_comments(root, marked))
     order = measure(body)
     chosen, threshold = _choose(body, order)
-    semantic = [x for x in map(_article_of, chosen) if x is not None]
-    keep = {id(x) for x in (semantic or chosen)}
+    keep = {id(x) for x in chosen}
     lines: list[str] = []
     words: list[str] = []
 
@@ -423,7 +531,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         import pyarrow as pa
 
         for b in batches:
-            texts = [main_text(h) for h in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, kinds[2]), pa.array(map(len, texts), kinds[3])], schema.names)
+            for lo, hi in text_slices(b.column(2)):
+                part = b.slice(lo, hi - lo)
+                texts = [main_text(h) for h in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, kinds[2]), pa.array(map(len, texts), kinds[3])], schema.names)
 
     return src.mapInArrow(run, schema)

@@ -62,30 +62,32 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     ``taken`` is ``floor(target / source_size)`` whole epochs, plus the part
     of one more epoch that comes before the budget's end; the row at the end
     is cut there, so the sources' taken words sum to ``floor(target)``. Rows
-    are ordered by (key, id, size); the key hashes the seed and the id (null
-    ids share one), and fully equal rows are interchangeable. A null text has
-    size 0 and a null source is a source of its own. Same-named input columns
-    are replaced; an empty table gives none.
+    are ordered by (key, id, size); the key hashes the seed, the id and the
+    text, so rows of one id, or of none, spread over the ranges, and rows that
+    agree in both are interchangeable. A null text has size 0 and a null
+    source is a source of its own. Columns named like the four are replaced,
+    others pass through whatever their names; an empty table gives none.
     """
     own = ("size", "source_size", "target", "taken")
     keep = [c for c in docs.columns if c.lower() not in own]
     n_ranges = 1
     while n_ranges * range_rows < docs.count() and n_ranges < 1 << 24:
         n_ranges *= 2
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
-    d = docs.select(*keep, n_words(F.col(text)).alias("size"), key.alias("_key"), F.col(source).alias("_source"))
-    d = d.withColumn("_range", F.floor(F.conv(F.substring("_key", 1, 6), 16, 10).cast("long") * n_ranges / (1 << 24)).cast("int"))
-    ranges = d.groupBy("_source", "_range").agg(F.sum("size").alias("_sum")).checkpoint()
-    before = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    of = targets(ranges.groupBy(F.col("_source").alias("source")).agg(F.sum("_sum").alias("source_size")), weights, share, max_epochs)
-    sums = ranges.withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
-    sums = small_side(sums.join(of, F.col("_source").eqNullSafe(F.col("source"))).select(
-        F.col("_source").alias("_s"), F.col("_range").alias("_r"), "_offset", "source_size", "target"))
-    inside = Window.partitionBy("_source", "_range").orderBy("_key", doc_id, "size").rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    d = d.join(sums, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.md5(body)))
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), n_words(body).alias("size"), key.alias("key"), F.col(source).alias("of"), F.col(doc_id).alias("id"))
+    d = d.withColumn("range", F.floor(F.conv(F.substring("key", 1, 6), 16, 10).cast("long") * n_ranges / (1 << 24)).cast("int"))
+    ranges = d.groupBy("of", "range").agg(F.sum("size").alias("total")).checkpoint()
+    before = Window.partitionBy("of").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    goals = targets(ranges.groupBy(F.col("of").alias("source")).agg(F.sum("total").alias("source_size")), weights, share, max_epochs)
+    sums = ranges.withColumn("offset", F.coalesce(F.sum("total").over(before), F.lit(0)))
+    sums = small_side(sums.join(goals, F.col("of").eqNullSafe(F.col("source"))).select(
+        F.col("of").alias("s"), F.col("range").alias("r"), "offset", "source_size", "target"))
+    inside = Window.partitionBy("of", "range").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    d = d.join(sums, F.col("of").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")))
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
-    rest = budget - epochs * F.col("source_size") - F.col("_before") - F.col("_offset")
+    rest = budget - epochs * F.col("source_size") - F.col("before") - F.col("offset")
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
-    return d.select(*keep, "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return d.select(*[F.col("row").getField(c).alias(c) for c in keep], "size", "source_size", "target", taken.cast("long").alias("taken"))

@@ -118,7 +118,7 @@ ORACLE: dict[str, str] = {
         FROM v""",
     "op5_source_mix": r"""
         WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-                          md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+                          md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
         s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
                      CAST([3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT) + 1] AS DOUBLE) AS w FROM d GROUP BY source),
         k AS (SELECT *, CAST(2 * source_size AS DOUBLE) AS cap, row_number() OVER (ORDER BY 2 * source_size / w, source NULLS LAST) AS n FROM s),

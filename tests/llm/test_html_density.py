@@ -72,6 +72,79 @@ def test_linked_blocks_of_the_article_stay():
     assert main_text(f"<nav>{MENU}</nav><article>{body}<p>{PARA[3]}</p><div>{MENU}</div></article>") == "\n".join([*want, PARA[3]])
 
 
+def test_titles_and_leads_outside_the_content_stay():
+    rest = BODY[16:]
+    assert main_text(f"<article><div class='header'><h1>A title</h1><p>By A</p></div>{rest}</article>") == WANT.replace("A title", "A title\nBy A")
+    long = "".join(f"<p>{p}</p>" for p in PARA * 6)
+    want = "\n".join(["A title", "A lead that says what follows.", *PLAIN * 6])
+    page = f"<body><nav>{MENU}</nav><h1>A title</h1><p>A lead that says what follows.</p><div>{MENU}</div><div class=content>{long}</div><div class='sidebar'>{JUNK}</div></body>"
+    assert main_text(page) == want
+    assert main_text(page.replace("<h1>", "<div><div class=top-part><h1>").replace("follows.</p>", "follows.</p></div></div>")) == want
+    # a title behind the main text, or one of two, says nothing
+    assert main_text(f"<div class=content>{long}</div><div><h1>Other</h1></div>") == "\n".join(PLAIN * 6)
+
+
+def test_comment_sections_by_heading():
+    for heading in ("Comments", "12 comments", "Reader comments (3)", "Kommentare", "Leave a reply"):
+        more = f"<section id='reader-opinions'><div><h3>{heading}</h3></div><p>{JUNK}</p><p>{JUNK}</p></section>"
+        assert main_text(f"<article>{BODY}{more}</article>") == WANT
+    kept = f"<section><h3>Comments on the method</h3><p>{JUNK}</p></section>"
+    assert main_text(f"<article>{BODY}{kept}</article>") == "\n".join([WANT, "Comments on the method", JUNK])
+
+
+def test_comments_that_are_never_closed():
+    assert main_text(f"<article>{BODY}<!-- unclosed <p>{JUNK}</p></article>") == WANT
+    assert main_text(f"<article>{BODY}<!-- closed --><p>More.</p><!--> <!--- x --!></article>") == WANT + "\nMore."
+    assert main_text(f"<script>x = '<!--';</script><article>{BODY}</article>") == WANT
+
+
+def test_deep_nesting_takes_linear_time():
+    import time
+
+    for tag in ("<div>", "<div class='ad'>", "<section><h3>Comments</h3>"):
+        began = time.perf_counter()
+        text = main_text("<article><h1>A title</h1>" + tag * 20_000 + "deep words")
+        assert time.perf_counter() - began < 10 and text.startswith("A title")
+
+
+def density_of(node):
+    """The same figures by recursion straight from their definitions: characters, tags, link characters, link tags."""
+    chars = tags = link_chars = link_tags = 0
+    for part in node.parts:
+        if type(part) is str:
+            chars += len("".join(part.split()))
+        elif not part.out:
+            c, t, lc, lt = density_of(part)
+            chars, tags, link_chars, link_tags = chars + c, tags + t + 1, link_chars + lc, link_tags + lt + (part.tag == "a")
+    return chars, tags, chars if node.tag == "a" else link_chars, link_tags
+
+
+def test_densities_against_their_definition():
+    import math
+    import random
+
+    from curata.llm.html_density import measure, parse
+
+    rng = random.Random(3)
+
+    def some(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return "word " * rng.randint(0, 9)
+        return "".join(f"<{t}>{some(depth - 1)}</{t}>" for t in rng.choices(["div", "b", "a", "section", "span", "script"], k=rng.randint(1, 3)))
+
+    for _ in range(60):
+        body, _ = parse(some(4))
+        whole = density_of(body)
+        for n in measure(body):
+            c, t, lc, lt = density_of(n)
+            want = 0.0
+            if c:
+                base = math.log(c / max(c - lc, 1) * lc + (whole[2] / whole[0]) * c + math.e)
+                want = c / max(t, 1) * max(math.log(max(c / max(lc, 1) * max(t, 1) / max(lt, 1), 1.0)) / base, 0.0)
+            assert n.density == pytest.approx(want)
+            assert n.density_sum == pytest.approx(sum(x.density for x in n.children() if not x.out))
+
+
 def test_text_rules():
     assert main_text(None) == main_text("") == main_text("<html><body></body></html>") == main_text("<nav>x</nav>") == ""
     assert main_text("just  text \n here") == "just text here"

@@ -32,11 +32,16 @@ def made():
     return rows
 
 
+CLASH = ["_key", "key", "row", "of", "id", "range", "before", "offset", "s", "r", "a b.c"]
+
+
 @pytest.mark.parametrize("range_rows", [10_000, 20])
 def test_mix(spark, range_rows):
     rows = made()
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumn("size", F.lit("clash")).withColumn("target", F.lit(0))
+    docs = docs.select("*", *[F.lit(c).alias(c) for c in CLASH])
     got = mix(docs, range_rows=range_rows).collect()
+    assert all(r[c] == c for r in got for c in CLASH)
     sizes = {}
     for _, s, t in rows:
         sizes[s] = sizes.get(s, 0) + len((t or "").split())
@@ -50,7 +55,8 @@ def test_mix(spark, range_rows):
     # one document of a source is cut at most; all others are taken a whole number of times, in key order
     by = {}
     for r in got:
-        key = hashlib.md5(f"mix-1:{'' if r.doc_id is None else r.doc_id}".encode()).hexdigest()
+        text = hashlib.md5((r.text or "").encode()).hexdigest()
+        key = hashlib.md5(f"mix-1:{'' if r.doc_id is None else r.doc_id}:{text}".encode()).hexdigest()
         by.setdefault(r.source, []).append((key, -1 if r.doc_id is None else r.doc_id, r.size, r.taken))
     for s, x in by.items():
         times = [t / n for _, _, n, t in sorted(x, key=lambda v: (*v[:3], -v[3])) if n]
