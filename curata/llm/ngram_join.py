@@ -256,7 +256,7 @@ def text_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     checkpoint_dir(docs.sparkSession)
     src, texts = _signed(docs, doc_id, text, words, bands * rows)
     member, live = _buckets(texts, bands, rows)
-    inside = member.join(live, ["band", "bucket"])
+    inside = member.join(live, ["band", "bucket"]).select("band", "bucket", "digest", "size", "least").checkpoint()      # read four times
     payload = _payload(src, texts, inside.select("digest").distinct(), words)
     keep = least_matches(threshold, tolerance, bands * rows)
     weight = 8 * F.col("size") + 4 * bands * rows
@@ -271,10 +271,12 @@ def text_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     classes = connected_components(known, "a", "b").withColumnRenamed("node", "digest").checkpoint()
 
     # 2. in buckets with several classes, the texts outside the largest against those of other classes
-    tagged = inside.join(classes, "digest", "left").select("band", "bucket", "digest", "size", F.coalesce("component", "digest").alias("class")).checkpoint()
+    tagged = inside.join(classes, "digest", "left").select("band", "bucket", "digest", "size", F.coalesce("component", "digest").alias("class"))
+    mixed = tagged.groupBy("band", "bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("band", "bucket").checkpoint()
+    tagged = tagged.join(small_side(mixed), ["band", "bucket"]).checkpoint()
     share = tagged.groupBy("band", "bucket", "class").agg(F.count(F.lit(1)).alias("k"), F.sum(weight).alias("w"))
-    open_ = share.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n_classes"), F.max_by("class", F.struct("k", "class")).alias("largest"),
-                                                F.sum("w").alias("w"), F.max_by("w", F.struct("k", "class")).alias("most")).where("n_classes > 1")
+    open_ = share.groupBy("band", "bucket").agg(F.max_by("class", F.struct("k", "class")).alias("largest"), F.sum("w").alias("w"),
+                                                F.max_by("w", F.struct("k", "class")).alias("most"))
     open_ = open_.select("band", "bucket", "largest", F.ceil(F.col("w") / cell_bytes).cast("int").alias("all_parts"),
                          F.ceil((F.col("w") - F.col("most")) / cell_bytes).cast("int").alias("few_parts"))
     part = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "digest"), F.col(n)).cast("int")

@@ -142,7 +142,7 @@ ORACLE: dict[str, str] = {
         b AS (SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
               FROM v JOIN s ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r)
         SELECT page_id, host, path, b.rule,
-               coalesce(b.verdict, CASE WHEN regexp_matches(host || path, '(?:^|\.)spam-farm\.|(?:^|\.)cheap-pills\.|(?:^|[./_-])casinos?(?:[./_-]|$)|/login(?:[./]|$)|/cart(?:[./]|$)')
+               coalesce(b.verdict, CASE WHEN regexp_matches(host || path, '""" + "|".join(r.pattern for r in url_rules.PATTERN_RULES) + r"""')
                                         THEN 'block' ELSE 'allow' END) AS verdict
         FROM v LEFT JOIN b ON v.r = b.r""",
     "op9_quality_cascade": r"""

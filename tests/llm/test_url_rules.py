@@ -1,5 +1,6 @@
 """Verdicts against trying every rule on every URL; rules are filed under their rarest token."""
 
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ def test_verdicts(spark):
     rows = [(i, u) for i, u in enumerate(URLS)] + [(None, URLS[9]), (6, URLS[6])]
     pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit(3)).withColumn("best", F.lit(1))
     want = sorted(((i, *brute(u, [*U.SITE_RULES, *U.PATTERN_RULES])) for i, u in rows), key=str)
-    for block in (U.BLOCK_RULES, 2):
+    for block in (U.BLOCK_RULES, 150):
         got = U.judge_urls(pages, block_rules=block).drop("matched_by").collect()
         assert sorted(map(tuple, got), key=str) == want
 
@@ -46,7 +47,41 @@ def test_index_runs_few_rules():
 
 def test_prefix_rule_token_may_go_on():
     rule = U.site_rule("block", "a.com/pre")
-    assert rule.tokens == ("a", "com") and U.RuleIndex([rule], {}).best("a.com/prefix")
+    assert set().union(*rule.slots) == {"a", "com"} and U.RuleIndex([rule], {}).best("a.com/prefix")
+
+
+def test_tokens_come_from_the_expression():
+    slots = lambda p: [set(s) for s in U.literal_tokens(p)]
+    assert slots(r"/login(?:[./]|$)") == [{"login"}] and slots(r"/login") == [] and slots(r"login/") == []
+    assert slots(r"(?:^|[./_-])casinos?(?:[./_-]|$)") == [{"casino", "casinos"}]
+    assert slots(r"(?:^|[.])cheap-pills[.]") == [{"pills"}, {"cheap"}]
+    assert slots(r"/(?:cat|dog)/(?:x/)?news/") == [{"news"}] and slots(r"/(?:cat|dog)/") == [{"cat", "dog"}]
+    assert {frozenset(["example"]), frozenset(["com"]), frozenset(["en"])} == set(U.site_rule("block", "example.com/en/").slots)
+    assert slots(r"/a+b/") == [] and slots(r"(?i)/login/") == [] and slots(r"^(?:[^/]*[.])?pills[.]") == [{"pills"}] and slots(r"^[^/]*pills[.]") == []
+
+
+def test_index_finds_what_trying_every_rule_finds():
+    """Texts made of the rules' own words, bounded in every way: the index gives what all rules tried give."""
+    r = random.Random(9)
+    rules = [*U.SITE_RULES, *U.PATTERN_RULES]
+    assert len(U.PATTERN_RULES) > 200 and sum(not x.slots for x in rules) <= len(rules) // 100
+    words = sorted({t for x in rules for s in x.slots for t in s}) + ["a", "blog", "example", "news"]
+    counts = {w: r.randint(0, 1000) for w in words}
+    index = U.RuleIndex(rules, counts)
+    tried = []
+    for _ in range(6000):
+        text = "".join(r.choice(words) + r.choice(["", "s", ".", "-", "/", "/", "_", "."]) for _ in range(r.randint(1, 5))) + r.choice(["", ".html", "/", "x"])
+        want = max(((x.site, len(x.name), x.name, x.verdict) for x in rules if re.search(x.pattern, text)), default=None)
+        assert index.best(text) == want, text
+        tried.append(len(index.candidates(text)))
+    assert sum(tried) / len(tried) < len(rules) / 10
+
+
+def test_clean_urls_are_allowed():
+    index = U.RuleIndex(U.PATTERN_RULES, {})
+    for url in ("www.example.com/en/history-of-france.html", "blog.example.org/2020/05/the-account-of-a-journey", "example.net/research/searching/1", "a.com/pilsner/beers",
+                "adsorption.example.com/logins", "shares.org/x"):
+        assert index.best(url) is None, url
 
 
 def test_empty_and_no_rules(spark):
