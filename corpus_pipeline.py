@@ -9,11 +9,17 @@ table passes through as an empty table.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curata.llm import decontaminate, mixture, ngram_join, pii, quality_cascade
 from curata.session import scratch_path
+from curata.sources import fs
+
+#: The session setting that holds the secret key of the surrogates.
+SURROGATE_KEY = "spark.curata.surrogateKey"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +39,15 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data in their texts replaced; ``n_chars`` follows the text."""
-    out = pii.replace(docs)
+    """All documents, personal data in their texts replaced; ``n_chars`` follows the text.
+
+    The key comes from the session setting ``SURROGATE_KEY``. Without it the
+    key printed in ``pii`` is used, with a warning: fit for trials only.
+    """
+    key = spark.conf.get(SURROGATE_KEY, None)
+    if not key:
+        warnings.warn(f"{SURROGATE_KEY} is not set: surrogates are made with a public key", stacklevel=2)
+    out = pii.replace(docs, key=key or pii.KEY)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
@@ -55,10 +68,15 @@ ORACLE_SQL = None      # groups of near copies and surrogates aren't SQL; see te
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage over ``documents``; results are kept below the shared checkpoint folder, so a lost executor repeats one stage's tasks at most."""
+    """Every stage over ``documents``; results are kept below the shared checkpoint folder, so a lost executor repeats one stage's tasks at most.
+
+    A stage's table goes once the next one is written; the last one stays, as the result reads it.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = scratch_path(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(f"{base}/{k}-{name}")
         docs = spark.read.parquet(f"{base}/{k}-{name}")
+        if k:
+            fs.delete(spark, f"{base}/{k - 1}-{STAGES[k - 1][0]}")
     return docs

@@ -5,6 +5,7 @@ import re
 import unicodedata
 
 import corpus_pipeline
+import pytest
 from test_decontaminate import brute as leaks
 from test_mixture import process
 from test_ngram_join import brute as groups
@@ -91,6 +92,34 @@ def test_stages(spark, scratch):
     assert again == sorted((tuple(r) for r in found["source_mix"]), key=str)
 
 
+def test_the_callers_key_decides(spark, scratch):
+    docs = spark.createDataFrame([(1, "write to ann.lee@mail.example.com", "en", "a", 33)], "doc_id long, text string, lang string, source string, n_chars long")
+    made = {}
+    for key in (None, "one", "two", "one"):
+        try:
+            if key:
+                spark.conf.set(corpus_pipeline.SURROGATE_KEY, key)
+                text = corpus_pipeline.personal_data(spark, docs, scratch).first().text
+            else:
+                with pytest.warns(UserWarning, match="surrogateKey"):
+                    text = corpus_pipeline.personal_data(spark, docs, scratch).first().text
+        finally:
+            spark.conf.unset(corpus_pipeline.SURROGATE_KEY)
+        assert made.setdefault(key, text) == text
+    assert len(set(made.values())) == 3
+
+
+def test_clashing_columns_pass_every_stage(spark, scratch):
+    from pyspark.sql import functions as F
+    made(spark, scratch)
+    clash = ["_mentions", "_key", "_first", "_digest", "row", "mentions", "key", "digest", "news"]
+    docs = spark.read.parquet(f"{scratch}/documents.parquet").select("*", *[F.lit(c).alias(c) for c in clash])
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, scratch).write.parquet(f"{scratch}/clash-{name}")
+        docs = spark.read.parquet(f"{scratch}/clash-{name}")
+        assert all(r[c] == c for r in docs.collect() for c in clash) and docs.count() > 0
+
+
 def test_empty(spark, scratch):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{scratch}/documents.parquet")
     spark.createDataFrame([(1, "an item of some words here")], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
