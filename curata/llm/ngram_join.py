@@ -145,16 +145,21 @@ def text_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
     return out.join(named, "group_digest").select("digest", "first_id", "n_copies", "n_links", "group_digest", "class_id")
 
 
-def _buckets(texts: DataFrame, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
-    """Texts by bucket ``(digest, size, band, bucket)``, and the buckets to look at ``(band, bucket, n, least)``, checkpointed; ``least`` is the smallest digest."""
+def _buckets(texts: DataFrame, bands: int, rows: int, least: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Texts by bucket ``(digest, band, bucket)``, and the buckets to look at ``(band, bucket, n)``, checkpointed.
+
+    With ``least``, also the texts' sizes and every bucket's smallest digest;
+    what isn't needed isn't shuffled.
+    """
     width = 4 * rows
     keys = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), F.substring("sig", 1 + width * b, width)).alias("bucket"))
                      for b in range(bands)])
-    member = texts.where("sig is not null").select("digest", "size", F.inline(keys))
+    member = texts.where("sig is not null").select("digest", *(["size"] if least else []), F.inline(keys))
     h1, h2 = F.xxhash64("digest").cast("decimal(20,0)"), F.xxhash64(F.lit(1), "digest")
-    buckets = member.groupBy("bucket", "band").agg(F.count(F.lit(1)).alias("n"), F.sum(h1).alias("s"), F.bit_xor(h2).alias("x"), F.min("digest").alias("least"))
-    same = buckets.where("n > 1").groupBy("n", "s", "x").agg(F.min(F.struct("band", "bucket")).alias("b"), F.min("least").alias("least"))
-    return member, same.select("b.band", "b.bucket", "n", "least").checkpoint()
+    buckets = member.groupBy("bucket", "band").agg(F.count(F.lit(1)).alias("n"), F.sum(h1).alias("s"), F.bit_xor(h2).alias("x"),
+                                                     *([F.min("digest").alias("least")] if least else []))
+    same = buckets.where("n > 1").groupBy("n", "s", "x").agg(F.min(F.struct("band", "bucket")).alias("b"), *([F.min("least").alias("least")] if least else []))
+    return member, same.select("b.band", "b.bucket", "n", *(["least"] if least else [])).checkpoint()
 
 
 def _cells(texts: DataFrame, bands: int, rows: int, block: int) -> DataFrame:
@@ -255,7 +260,7 @@ def text_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     """
     checkpoint_dir(docs.sparkSession)
     src, texts = _signed(docs, doc_id, text, words, bands * rows)
-    member, live = _buckets(texts, bands, rows)
+    member, live = _buckets(texts, bands, rows, least=True)
     inside = member.join(live, ["band", "bucket"]).select("band", "bucket", "digest", "size", "least").checkpoint()      # read four times
     payload = _payload(src, texts, inside.select("digest").distinct(), words)
     keep = least_matches(threshold, tolerance, bands * rows)
